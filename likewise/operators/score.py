@@ -85,12 +85,17 @@ def similarity_open(catalog: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     equal length compare by their first differing name, and the smaller name
     is the better match.  No global attribute index is needed.
     """
-    t =(catalog.filter(F.col(id_col) == F.lit(sku))
+    t = (catalog.filter(F.col(id_col) == F.lit(sku))
          .orderBy(F.to_json("attributes")).limit(1)
          .select(F.col("attributes").alias("t")).scalar())
+    # The subquery is projected into its own column first: Spark does not
+    # allow subqueries inside the lambda of a higher-order function.
+    with_t = exclude_item(catalog, sku, id_col).withColumn("_t", t)
     matched = F.array_sort(F.filter(
-        F.map_keys(t),
-        lambda k: matches(F.try_element_at(F.col("attributes"), k), F.try_element_at(t, k))))
-    return (exclude_item(catalog, sku, id_col)
+        F.map_keys("_t"),
+        lambda k: matches(F.try_element_at(F.col("attributes"), k),
+                          F.try_element_at(F.col("_t"), k))))
+    return (with_t
             .withColumn("matched", F.coalesce(matched, F.array().cast("array<string>")))
+            .drop("_t")
             .withColumn("match_count", F.size("matched")))

@@ -59,12 +59,13 @@ def cust5(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p").alias("e")))
 
 
-def docs5(spark: SparkSession, sf_dir: str) -> DataFrame:
+def docs5(spark: SparkSession, sf_dir: str, labelled_only: bool = False) -> DataFrame:
     """Five attributes per document; ``d`` and ``e`` are missing (null) for
-    documents without labels."""
+    documents without labels.  ``labelled_only`` keeps just the labelled
+    documents (inner join), a catalog that does not cover every document."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     lab = table(spark, sf_dir, "labels")
-    return (d.join(lab, "doc_id", "left")
+    return (d.join(lab, "doc_id", "inner" if labelled_only else "left")
             .select(F.col("doc_id").alias("sku"),
                     F.col("lang").alias("a"),
                     F.col("source").alias("b"),
