@@ -8,7 +8,7 @@ earlier attribute name weighs more.
 from .errors import ItemNotFound, TooManyAttributes
 from .operators.batch import (batch_top_k, batch_top_k_indexed, candidate_pairs,
                               missing_requests, subset_heads, subset_rows)
-from .operators.lookup import exclude_item, lookup_item, require_item, target_struct
+from .operators.lookup import exclude_item, lookup_item, require_item, target_values
 from .operators.rank import rank_candidates, top_k_names, top_k_similar, top_k_weights
 from .operators.score import (digit_score_compat, match_indicators, similarity_open,
                               similarity_score)
@@ -22,6 +22,6 @@ __all__ = [
     "cached", "candidate_pairs", "digit_score_compat", "discover_names", "exclude_item",
     "flatten_attributes", "lookup_item", "match_indicators", "missing_requests",
     "rank_candidates", "read_catalog", "require_item", "similarity_open",
-    "similarity_score", "subset_heads", "subset_rows", "target_struct", "to_map",
+    "similarity_score", "subset_heads", "subset_rows", "target_values", "to_map",
     "top_k_names", "top_k_similar", "top_k_weights", "write_catalog_json",
 ]

@@ -43,17 +43,17 @@ def matches(candidate: Column, target: Column) -> Column:
     return F.coalesce(candidate == target, F.lit(False))
 
 
-def mask_expr(names: Sequence[str], target: Column) -> Column:
+def mask_expr(names: Sequence[str], target: dict) -> Column:
     """Bit mask of the attributes on which each row equals ``target``.
 
-    ``target`` is a struct column with one field per attribute name, for
-    example a scalar subquery over the looked-up item.
+    ``target`` maps attribute names to the requested item's values; they
+    become literals, and a missing or null value matches nothing.
     """
     m = len(names)
     if m > MAX_SCORED_ATTRIBUTES:
         raise TooManyAttributes(f"{m} attributes; the bigint score holds at most "
                                 f"{MAX_SCORED_ATTRIBUTES}")
-    terms = [F.when(matches(F.col(n), target.getField(n)), F.lit(bit_of(i, m)))
+    terms = [F.when(matches(F.col(n), F.lit(target.get(n))), F.lit(bit_of(i, m)))
              .otherwise(F.lit(0)).cast("bigint") for i, n in enumerate(names)]
     return sum(terms[1:], terms[0]) if terms else F.lit(0).cast("bigint")
 

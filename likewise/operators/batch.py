@@ -49,10 +49,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..errors import TooManyAttributes
 from ..functions.columns import (attribute_names, bit_of, count_from_score,
                                  mask_from_score, score_from_mask)
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # 2**16 groups per item is the largest fan-out accepted by default.
 MAX_LATTICE_ATTRIBUTES = 16
+# Up to this many attributes all 2**m masks are enumerated and filtered.
+DENSE_SUBSET_ATTRIBUTES = 12
 
 
 # Group keys are two 64-bit hashes.  Each present value is hashed twice with
@@ -82,9 +84,13 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
     rows stay three numbers and an id wide however long the values are, so
     the fan-out is cheap to shuffle and sort.
 
-    One ``explode`` per attribute over ``[none, this attribute]`` (only
-    ``[none]`` when the value is null) yields exactly ``2**p`` rows for ``p``
-    present attributes, in generated code.
+    All subsets come from a single ``explode``: for up to
+    ``DENSE_SUBSET_ATTRIBUTES`` attributes the ``2**m`` masks are enumerated and
+    those outside the present attributes filtered out; for more, the subsets of
+    the present attributes are built directly by doubling an array once per
+    present attribute, so a sparse item never enumerates ``2**m`` masks.  The
+    keys of each subset are then computed from the item's per-attribute
+    hashes, so only the three key numbers and the id are materialised per row.
     """
     m = len(names)
     hashed = flat.select(
@@ -93,22 +99,27 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
           for i, n in enumerate(names)],
         *[F.xxhash64(F.lit(_SEED_B - i), F.col(n).cast("string")).alias(f"_v{i}")
           for i, n in enumerate(names)],
-        *[F.col(n).isNotNull().alias(f"_p{i}") for i, n in enumerate(names)])
-    expanded = hashed
-    for i in range(m):
-        choice = F.when(F.col(f"_p{i}"), F.array(F.lit(False), F.lit(True))) \
-            .otherwise(F.array(F.lit(False)))
-        expanded = expanded.select("*", F.explode(choice).alias(f"_t{i}"))
+        sum((F.when(F.col(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
+             for i, n in enumerate(names)), F.lit(0)).alias("_p"))
+    if m <= DENSE_SUBSET_ATTRIBUTES:
+        masks = F.sequence(F.lit(0), F.lit((1 << m) - 1))
+        expanded = (hashed.select("*", F.explode(masks).alias("_s"))
+                    .filter(F.col("_s").bitwiseAND(F.col("_p")) == F.col("_s")))
+    else:
+        masks = F.expr(
+            f"aggregate(sequence(0, {m - 1}), array(0), (acc, b) -> "
+            f"IF(shiftright(_p, b) & 1 = 1, "
+            f"concat(acc, transform(acc, s -> s | shiftleft(1, b))), acc))")
+        expanded = hashed.select("*", F.explode(masks).alias("_s"))
+    if not include_empty:
+        expanded = expanded.filter(F.col("_s") != 0)
     zero = F.lit(0).cast("bigint")
-    s = sum((F.when(F.col(f"_t{i}"), F.lit(bit_of(i, m))).otherwise(F.lit(0))
-             for i in range(m)), F.lit(0))
     k1, k2 = zero, zero
     for i in range(m):
-        k1 = k1.bitwiseXOR(F.when(F.col(f"_t{i}"), F.col(f"_u{i}")).otherwise(zero))
-        k2 = k2.bitwiseXOR(F.when(F.col(f"_t{i}"), F.col(f"_v{i}")).otherwise(zero))
-    rows = expanded.select(k1.alias("_k1"), k2.alias("_k2"), s.alias("_s"), id_col)
-    if not include_empty:
-        rows = rows.filter(F.col("_s") != 0)
+        on = F.col("_s").bitwiseAND(F.lit(bit_of(i, m))) != 0
+        k1 = k1.bitwiseXOR(F.when(on, F.col(f"_u{i}")).otherwise(zero))
+        k2 = k2.bitwiseXOR(F.when(on, F.col(f"_v{i}")).otherwise(zero))
+    rows = expanded.select(k1.alias("_k1"), k2.alias("_k2"), "_s", id_col)
     return rows
 
 
@@ -154,9 +165,28 @@ def _requests_in_catalog(flat: DataFrame, requests: DataFrame, id_col: str) -> D
     return flat.join(broadcast_if_small(ids), id_col, "left_semi")
 
 
+def _needed_groups(rows: DataFrame, req: DataFrame, req_items: DataFrame, m: int,
+                   max_rows: int) -> DataFrame:
+    """Only the catalog's rows in groups some request belongs to.
+
+    Whole groups are kept, so their heads are unchanged.  When the request
+    keys are provably few (distinct requests counted, times ``2**m``) they are
+    broadcast and the filter runs inside the fan-out stage, before any
+    shuffle; otherwise nothing is filtered (a shuffled semi-join would move as
+    many rows as the heads step itself).
+    """
+    n_req = req_items.limit(max_rows + 1).count()
+    bound = n_req << m
+    if bound > max_rows:
+        return rows
+    keys = req.select(*_group_cols()).distinct()
+    return rows.join(F.broadcast(keys), _group_cols(), "left_semi")
+
+
 def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     id_col: str = "sku", include_empty: bool = True,
-                    max_attributes: int = MAX_LATTICE_ATTRIBUTES) -> DataFrame:
+                    max_attributes: int = MAX_LATTICE_ATTRIBUTES,
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``(request_sku, sku, score)``: every head a request meets, with the score
     of the subset it was met through (a lower bound of its exact score)."""
     names = attribute_names(flat, id_col)
@@ -164,12 +194,14 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     m = len(names)
     flat = _spread(flat, id_col)
     rows = subset_rows(flat, names, id_col, include_empty)
-    heads = subset_heads(rows, k, id_col)
     if requests is None:
         req = rows
+        heads = subset_heads(rows, k, id_col)
     else:
-        req = subset_rows(_requests_in_catalog(flat, requests, id_col), names, id_col,
-                          include_empty)
+        req_items = _requests_in_catalog(flat, requests, id_col)
+        req = subset_rows(req_items, names, id_col, include_empty)
+        heads = subset_heads(_needed_groups(rows, req, req_items, m, max_broadcast_rows),
+                             k, id_col)
     # Shuffled hash join, heads as the build side: each heads partition is a
     # small hash table (at most k + 1 rows per key) and the request rows stream
     # through it without being sorted.

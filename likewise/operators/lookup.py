@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..errors import ItemNotFound
-from ..functions.columns import attribute_names
 
 
 def lookup_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
@@ -17,7 +16,7 @@ def lookup_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     smallest JSON text of its attributes is taken, which does not depend on
     file order.  An unknown id gives an empty frame; ``require_item`` raises.
     """
-    names = attribute_names(flat, id_col)
+    names = [c for c in flat.columns if c != id_col]
     order = F.to_json(F.struct(*names)) if names else F.lit("")
     return flat.filter(F.col(id_col) == F.lit(sku)).orderBy(order).limit(1)
 
@@ -39,12 +38,19 @@ def exclude_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     return flat.filter(F.col(id_col) != F.lit(sku))
 
 
-def target_struct(flat: DataFrame, sku, id_col: str = "sku") -> Column:
-    """The looked-up item's attributes as one struct-valued scalar subquery.
+def target_values(flat: DataFrame, sku, id_col: str = "sku") -> dict:
+    """The looked-up item's attribute values, ``{name: value}``.
 
-    Spark runs the subquery once, before the main query, and hands its single
-    value to every task; no row is collected by this library and no join is
-    planned.  An unknown id yields a null struct, so nothing matches.
+    One small job: the id filter is pushed to the scan and at most one row
+    (the item's own attributes, bounded by the number of attributes) comes
+    back to the driver.  The values then enter the scoring plan as literals,
+    so every candidate is compared against constants in generated code and
+    the whole catalog is scored in one projection, with no join and no
+    shuffle.  Raises ``ItemNotFound`` for an unknown id.
     """
-    names = attribute_names(flat, id_col)
-    return lookup_item(flat, sku, id_col).select(F.struct(*names).alias("t")).scalar()
+    rows = lookup_item(flat, sku, id_col).collect()
+    if not rows:
+        raise ItemNotFound(sku)
+    row = rows[0].asDict()
+    row.pop(id_col, None)
+    return row

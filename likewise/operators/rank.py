@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import (digits_from_mask, matched_names_from_mask)
 from ..plans.sizing import broadcast_if_small
-from .lookup import require_item
 from .score import similarity_score
 
 SCORE_COLUMNS = ("score", "match_count", "mask")
@@ -43,21 +42,18 @@ def rank_candidates(scored: DataFrame, order: str = "fixed", m: int | None = Non
             .drop("_hs"))
 
 
-def top_k_similar(flat: DataFrame, sku, k: int = 10, id_col: str = "sku",
-                  check: bool = True) -> DataFrame:
+def top_k_similar(flat: DataFrame, sku, k: int = 10, id_col: str = "sku") -> DataFrame:
     """The ``k`` items most similar to ``sku``, best first.
 
     Order is ``score desc, id asc``: more matches first, then the match on the
     earlier attribute name, then the smaller id, so ties are cut the same way
     on every run.  ``orderBy(...).limit(k)`` plans as a per-task top-k whose
     k rows per task are merged once (``TakeOrderedAndProject``); nothing is
-    shuffled.  ``check`` raises ``ItemNotFound`` for an unknown id (one small
+    shuffled.  An unknown id raises ``ItemNotFound`` (the look-up is one small
     job); ``k < 0`` raises ``ValueError`` and ``k = 0`` is empty.
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    if check:
-        require_item(flat, sku, id_col)
     scored = similarity_score(flat, sku, id_col)
     return scored.orderBy(F.desc("score"), F.asc(id_col)).limit(k)
 

@@ -1,9 +1,9 @@
 """Scoring every candidate against one requested item.
 
-Each operator is one projection over the catalog: the target's attributes
-arrive as a scalar subquery (``lookup.target_struct``), every candidate row is
-compared column by column inside whole-stage code generation, and no shuffle
-is planned.  Work grows linearly with the catalog and splits across as many
+Each operator is one projection over the catalog: the requested item is
+looked up once (``lookup.target_values``, one row), its values enter the plan
+as literals, every candidate row is compared column by column inside
+whole-stage code generation, and no shuffle is planned.  Work grows linearly with the catalog and splits across as many
 tasks as the scan has splits.
 """
 
@@ -13,11 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..errors import TooManyAttributes
+from ..errors import ItemNotFound, TooManyAttributes
 from ..functions.columns import (MAX_DIGIT_ATTRIBUTES, attribute_names, compat_weights,
                                  count_from_score, indicator_expr, mask_expr, matches,
                                  score_from_mask)
-from .lookup import exclude_item, target_struct
+from .lookup import exclude_item, lookup_item, target_values
 
 
 def match_indicators(flat: DataFrame, sku, weights: Sequence[int] | None = None,
@@ -32,9 +32,9 @@ def match_indicators(flat: DataFrame, sku, weights: Sequence[int] | None = None,
     weights = list(weights) if weights is not None else compat_weights(len(names))
     if len(weights) != len(names):
         raise ValueError(f"{len(names)} attributes but {len(weights)} weights")
-    target = target_struct(flat, sku, id_col)
+    target = target_values(flat, sku, id_col)
     return exclude_item(flat, sku, id_col).select(
-        "*", *[indicator_expr(F.col(n), target.getField(n), w).alias(f"col_{n}_diff")
+        "*", *[indicator_expr(F.col(n), F.lit(target.get(n)), w).alias(f"col_{n}_diff")
                for n, w in zip(names, weights)])
 
 
@@ -69,12 +69,11 @@ def similarity_score(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     """
     names = attribute_names(flat, id_col)
     m = len(names)
-    target = target_struct(flat, sku, id_col)
-    mask = mask_expr(names, target)
-    return (exclude_item(flat, sku, id_col)
-            .withColumn("mask", mask)
-            .withColumn("score", score_from_mask(F.col("mask"), m))
-            .withColumn("match_count", count_from_score(F.col("score"), m)))
+    mask = mask_expr(names, target_values(flat, sku, id_col))
+    score = score_from_mask(mask, m)
+    return exclude_item(flat, sku, id_col).select(
+        "*", mask.alias("mask"), score.alias("score"),
+        count_from_score(score, m).alias("match_count"))
 
 
 def similarity_open(catalog: DataFrame, sku, id_col: str = "sku") -> DataFrame:
@@ -83,19 +82,16 @@ def similarity_open(catalog: DataFrame, sku, id_col: str = "sku") -> DataFrame:
 
     Order candidates by ``match_count desc, matched asc, sku asc``: arrays of
     equal length compare by their first differing name, and the smaller name
-    is the better match.  No global attribute index is needed.
+    is the better match.  No global attribute index is needed: the requested
+    item's present attributes, looked up once, become one literal comparison
+    each, so the names come out already sorted.
     """
-    t = (catalog.filter(F.col(id_col) == F.lit(sku))
-         .orderBy(F.to_json("attributes")).limit(1)
-         .select(F.col("attributes").alias("t")).scalar())
-    # The subquery is projected into its own column first: Spark does not
-    # allow subqueries inside the lambda of a higher-order function.
-    with_t = exclude_item(catalog, sku, id_col).withColumn("_t", t)
-    matched = F.array_sort(F.filter(
-        F.map_keys("_t"),
-        lambda k: matches(F.try_element_at(F.col("attributes"), k),
-                          F.try_element_at(F.col("_t"), k))))
-    return (with_t
-            .withColumn("matched", F.coalesce(matched, F.array().cast("array<string>")))
-            .drop("_t")
-            .withColumn("match_count", F.size("matched")))
+    rows = lookup_item(catalog.select(id_col, "attributes"), sku, id_col).collect()
+    if not rows:
+        raise ItemNotFound(sku)
+    target = {k: v for k, v in (rows[0]["attributes"] or {}).items() if v is not None}
+    hits = [F.when(matches(F.try_element_at(F.col("attributes"), F.lit(k)), F.lit(v)), F.lit(k))
+            for k, v in sorted(target.items())]
+    matched = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return exclude_item(catalog, sku, id_col).select(
+        "*", matched.alias("matched"), F.size(matched).alias("match_count"))
