@@ -27,6 +27,7 @@ from likewise.operators.text import term_match
 from likewise.plans.session import shared_path
 from likewise.sources import derived
 from likewise.sources.tables import append_rows, table_rows
+from likewise.streaming.requests import results as stream_results, serve_requests
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -146,6 +147,20 @@ def q_append_and_count(spark: SparkSession, sf: str) -> DataFrame:
     return table_rows(spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_stream_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests for every part on an order line, streamed in four file batches
+    and answered from the stored subset index of part10."""
+    flat = derived.part10(spark, sf)
+    req_dir = shared_path(spark, "ordered-parts")
+    (derived.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("sku")).distinct()
+     .repartition(4, "sku").write.parquet(req_dir))
+    stream = (spark.readStream.schema("sku bigint").option("maxFilesPerTrigger", 1)
+              .parquet(req_dir))
+    out = shared_path(spark, "stream-answers")
+    serve_requests(spark, flat, stream, K, out).awaitTermination()
+    return stream_results(spark, out)
+
+
 def q_term_match(spark: SparkSession, sf: str) -> DataFrame:
     docs = derived.table(spark, sf, "documents").select("doc_id", "text")
     return term_match(docs, "text", TERM, id_col="doc_id")
@@ -173,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_requests": q_missing_requests,
     "append_and_count": q_append_and_count,
     "term_match": q_term_match,
+    "stream_top_k": q_stream_top_k,
 }
 
 
@@ -262,14 +278,16 @@ def _compat_sql(cat: str, names: list[str], target: int) -> str:
   FROM ({_indicators_sql(cat, names, target)})"""
 
 
-def _batch_sql(cat: str, names: list[str], k: int, matched_only: bool = False) -> str:
+def _batch_sql(cat: str, names: list[str], k: int, matched_only: bool = False,
+               requests: str | None = None) -> str:
     m = len(names)
-    where = f"WHERE match_count > 0" if matched_only else ""
+    where = "WHERE match_count > 0" if matched_only else ""
+    req = f"WHERE t.sku IN ({requests})" if requests else ""
     return f"""pairs AS (
   SELECT t.sku AS request_sku, x.sku AS sku,
          CAST({_count_sql(names)} AS INTEGER) AS match_count,
          CAST({_mask_sql(names)} AS BIGINT) AS mask
-  FROM {cat} t JOIN {cat} x ON t.sku <> x.sku),
+  FROM {cat} t JOIN {cat} x ON t.sku <> x.sku {req}),
 ranked AS (
   SELECT request_sku, sku, match_count, mask,
          CAST(match_count * {1 << m} + mask AS BIGINT) AS score,
@@ -345,6 +363,8 @@ FROM ({top})""",
         "missing_requests": """SELECT DISTINCT d.doc_id AS sku FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "append_and_count": "SELECT CAST(2 * count(*) AS BIGINT) AS n FROM nation",
+        "stream_top_k": f"WITH {CTE_PART10}, "
+                        f"{_batch_sql('part10', p10, K, requests='SELECT l_partkey FROM lineitem')}",
         "term_match": f"""SELECT doc_id, hits FROM (
   SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'),
                                       lambda tok: tok = '{TERM}')) AS INTEGER) AS hits

@@ -183,6 +183,19 @@ def _needed_groups(rows: DataFrame, req: DataFrame, req_items: DataFrame, m: int
     return rows.join(F.broadcast(keys), _group_cols(), "left_semi")
 
 
+def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str) -> DataFrame:
+    # Shuffled hash join, heads as the build side: each heads partition is a
+    # small hash table (at most k + 1 rows per key) and the request rows stream
+    # through it without being sorted.
+    r, h = req.alias("r"), heads.hint("shuffle_hash").alias("h")
+    cond = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in _group_cols()]
+    pairs = r.join(h, cond).select(
+        F.col(f"r.{id_col}").alias("request_sku"),
+        F.col(f"h.{id_col}").alias(id_col),
+        score_from_mask(F.col("r._s"), m).alias("score"))
+    return pairs.filter(F.col("request_sku") != F.col(id_col))
+
+
 def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     id_col: str = "sku", include_empty: bool = True,
                     max_attributes: int = MAX_LATTICE_ATTRIBUTES,
@@ -202,16 +215,48 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
         req = subset_rows(req_items, names, id_col, include_empty)
         heads = subset_heads(_needed_groups(rows, req, req_items, m, max_broadcast_rows),
                              k, id_col)
-    # Shuffled hash join, heads as the build side: each heads partition is a
-    # small hash table (at most k + 1 rows per key) and the request rows stream
-    # through it without being sorted.
-    r, h = req.alias("r"), heads.hint("shuffle_hash").alias("h")
-    cond = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in _group_cols()]
-    pairs = r.join(h, cond).select(
-        F.col(f"r.{id_col}").alias("request_sku"),
-        F.col(f"h.{id_col}").alias(id_col),
-        score_from_mask(F.col("r._s"), m).alias("score"))
-    return pairs.filter(F.col("request_sku") != F.col(id_col))
+    return _pairs(req, heads, m, id_col)
+
+
+def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> DataFrame:
+    """Best score per (request, candidate), then the top ``k`` per request.
+
+    One shuffle on the request id serves both steps.
+    """
+    best = (pairs.repartition("request_sku")
+            .groupBy("request_sku", id_col).agg(F.max("score").alias("score")))
+    w = Window.partitionBy("request_sku").orderBy(F.desc("score"), F.asc(id_col))
+    top = best.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    return top.select("request_sku", F.col("rn").cast("int").alias("rn"), id_col, "score",
+                      count_from_score(F.col("score"), m).alias("match_count"),
+                      mask_from_score(F.col("score"), m).alias("mask"))
+
+
+def build_subset_index(flat: DataFrame, k: int, id_col: str = "sku",
+                       include_empty: bool = True,
+                       max_attributes: int = MAX_LATTICE_ATTRIBUTES) -> DataFrame:
+    """The heads of every subset group of the whole catalog, ``(_k1, _k2, _s, id)``.
+
+    Built once, it answers any number of later requests (``top_k_from_index``);
+    write it as a table to reuse it across jobs.
+    """
+    names = attribute_names(flat, id_col)
+    _check_lattice(names, max_attributes)
+    return subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty),
+                        k, id_col)
+
+
+def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k: int,
+                     id_col: str = "sku", include_empty: bool = True) -> DataFrame:
+    """Answer ``requests`` from a prebuilt subset index of ``flat`` (same ``k``).
+
+    Only the requests are fanned out; the catalog side is the stored heads.
+    """
+    names = attribute_names(flat, id_col)
+    m = len(names)
+    req = subset_rows(_requests_in_catalog(flat, requests, id_col), names, id_col,
+                      include_empty)
+    return top_k_from_pairs(_pairs(req, heads, m, id_col), k, m, id_col)
 
 
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
@@ -227,18 +272,9 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    names = attribute_names(flat, id_col)
-    m = len(names)
+    m = len(attribute_names(flat, id_col))
     pairs = candidate_pairs(flat, k, requests, id_col, include_empty, max_attributes)
-    # One shuffle on the request id serves both steps below: the best score
-    # per (request, candidate), then the top k per request.
-    best = (pairs.repartition("request_sku")
-            .groupBy("request_sku", id_col).agg(F.max("score").alias("score")))
-    w = Window.partitionBy("request_sku").orderBy(F.desc("score"), F.asc(id_col))
-    top = best.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
-    return top.select("request_sku", F.col("rn").cast("int").alias("rn"), id_col, "score",
-                      count_from_score(F.col("score"), m).alias("match_count"),
-                      mask_from_score(F.col("score"), m).alias("mask"))
+    return top_k_from_pairs(pairs, k, m, id_col)
 
 
 def batch_top_k_indexed(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
