@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..errors import TooManyAttributes
 from ..functions.columns import (attribute_names, bit_of, count_from_score,
                                  mask_from_score, score_from_mask)
-from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from ..plans.sizing import MAX_BROADCAST_ROWS
 
 # 2**16 groups per item is the largest fan-out accepted by default.
 MAX_LATTICE_ATTRIBUTES = 16
@@ -160,24 +160,32 @@ def _spread(flat: DataFrame, id_col: str) -> DataFrame:
     return flat.repartition(n, id_col)
 
 
-def _requests_in_catalog(flat: DataFrame, requests: DataFrame, id_col: str) -> DataFrame:
+def _requests_in_catalog(flat: DataFrame, requests: DataFrame, id_col: str,
+                         max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int | None]:
+    """Catalog rows of the requested ids, and the counted number of distinct
+    request ids when it is at most ``max_rows`` (else ``None``).
+
+    A counted id list is broadcast into a semi-join; a longer one is joined
+    with a shuffle on the id.
+    """
     ids = requests.select(F.col(id_col)).distinct()
-    return flat.join(broadcast_if_small(ids), id_col, "left_semi")
+    n_ids = ids.limit(max_rows + 1).count()
+    if n_ids <= max_rows:
+        return flat.join(F.broadcast(ids), id_col, "left_semi"), n_ids
+    return flat.join(ids, id_col, "left_semi"), None
 
 
-def _needed_groups(rows: DataFrame, req: DataFrame, req_items: DataFrame, m: int,
+def _needed_groups(rows: DataFrame, req: DataFrame, n_req: int | None, m: int,
                    max_rows: int) -> DataFrame:
     """Only the catalog's rows in groups some request belongs to.
 
     Whole groups are kept, so their heads are unchanged.  When the request
-    keys are provably few (distinct requests counted, times ``2**m``) they are
+    keys are provably few (``n_req`` counted requests times ``2**m``) they are
     broadcast and the filter runs inside the fan-out stage, before any
     shuffle; otherwise nothing is filtered (a shuffled semi-join would move as
     many rows as the heads step itself).
     """
-    n_req = req_items.limit(max_rows + 1).count()
-    bound = n_req << m
-    if bound > max_rows:
+    if n_req is None or (n_req << m) > max_rows:
         return rows
     keys = req.select(*_group_cols()).distinct()
     return rows.join(F.broadcast(keys), _group_cols(), "left_semi")
@@ -211,9 +219,9 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
         req = rows
         heads = subset_heads(rows, k, id_col)
     else:
-        req_items = _requests_in_catalog(flat, requests, id_col)
+        req_items, n_req = _requests_in_catalog(flat, requests, id_col, max_broadcast_rows)
         req = subset_rows(req_items, names, id_col, include_empty)
-        heads = subset_heads(_needed_groups(rows, req, req_items, m, max_broadcast_rows),
+        heads = subset_heads(_needed_groups(rows, req, n_req, m, max_broadcast_rows),
                              k, id_col)
     return _pairs(req, heads, m, id_col)
 
@@ -254,8 +262,8 @@ def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k:
     """
     names = attribute_names(flat, id_col)
     m = len(names)
-    req = subset_rows(_requests_in_catalog(flat, requests, id_col), names, id_col,
-                      include_empty)
+    req_items, _ = _requests_in_catalog(flat, requests, id_col)
+    req = subset_rows(req_items, names, id_col, include_empty)
     return top_k_from_pairs(_pairs(req, heads, m, id_col), k, m, id_col)
 
 
