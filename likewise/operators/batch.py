@@ -47,8 +47,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..errors import TooManyAttributes
-from ..functions.columns import (attribute_names, bit_of, count_from_score,
-                                 mask_from_score, score_from_mask)
+from ..functions.columns import (MAX_SCORED_ATTRIBUTES, attribute_names, bit_of,
+                                 count_from_score, mask_from_score, score_from_mask)
 from ..plans.sizing import MAX_BROADCAST_ROWS
 
 # 2**16 groups per item is the largest fan-out accepted by default.
@@ -93,6 +93,7 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
     hashes, so only the three key numbers and the id are materialised per row.
     """
     m = len(names)
+    mask_type = "int" if m <= 30 else "bigint"
     hashed = flat.select(
         id_col,
         *[F.xxhash64(F.lit(i + _SEED_A), F.col(n).cast("string")).alias(f"_u{i}")
@@ -100,23 +101,23 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
         *[F.xxhash64(F.lit(_SEED_B - i), F.col(n).cast("string")).alias(f"_v{i}")
           for i, n in enumerate(names)],
         sum((F.when(F.col(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
-             for i, n in enumerate(names)), F.lit(0)).alias("_p"))
+             for i, n in enumerate(names)), F.lit(0).cast(mask_type)).alias("_p"))
     if m <= DENSE_SUBSET_ATTRIBUTES:
         masks = F.sequence(F.lit(0), F.lit((1 << m) - 1))
         expanded = (hashed.select("*", F.explode(masks).alias("_s"))
                     .filter(F.col("_s").bitwiseAND(F.col("_p")) == F.col("_s")))
     else:
         masks = F.expr(
-            f"aggregate(sequence(0, {m - 1}), array(0), (acc, b) -> "
+            f"aggregate(sequence(0, {m - 1}), array(CAST(0 AS BIGINT)), (acc, b) -> "
             f"IF(shiftright(_p, b) & 1 = 1, "
-            f"concat(acc, transform(acc, s -> s | shiftleft(1, b))), acc))")
+            f"concat(acc, transform(acc, s -> s | shiftleft(CAST(1 AS BIGINT), b))), acc))")
         expanded = hashed.select("*", F.explode(masks).alias("_s"))
     if not include_empty:
         expanded = expanded.filter(F.col("_s") != 0)
     zero = F.lit(0).cast("bigint")
     k1, k2 = zero, zero
     for i in range(m):
-        on = F.col("_s").bitwiseAND(F.lit(bit_of(i, m))) != 0
+        on = F.col("_s").bitwiseAND(F.lit(bit_of(i, m)).cast(mask_type)) != 0
         k1 = k1.bitwiseXOR(F.when(on, F.col(f"_u{i}")).otherwise(zero))
         k2 = k2.bitwiseXOR(F.when(on, F.col(f"_v{i}")).otherwise(zero))
     rows = expanded.select(k1.alias("_k1"), k2.alias("_k2"), "_s", id_col)
@@ -140,11 +141,25 @@ def subset_heads(rows: DataFrame, k: int, id_col: str = "sku",
     return heads.drop("_r")
 
 
-def _check_lattice(names: Sequence[str], max_attributes: int) -> None:
-    if len(names) > max_attributes:
+def _check_lattice(flat: DataFrame, names: Sequence[str], max_attributes: int) -> None:
+    """The fan-out is ``2**p`` per item for ``p`` present attributes.
+
+    With at most ``max_attributes`` columns nothing needs checking; with more
+    (an open catalog flattened to many names), one aggregate finds the largest
+    number of attributes any single item has.
+    """
+    m = len(names)
+    if m > MAX_SCORED_ATTRIBUTES:
+        raise TooManyAttributes(f"{m} attributes; the bigint score holds at most "
+                                f"{MAX_SCORED_ATTRIBUTES}")
+    if m <= max_attributes:
+        return
+    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    widest = flat.agg(F.max(present)).first()[0] or 0
+    if widest > max_attributes:
         raise TooManyAttributes(
-            f"{len(names)} attributes: the subset index fans out to 2**m groups per "
-            f"item and is limited to m <= {max_attributes}")
+            f"an item has {widest} attributes: the subset index fans out to 2**p groups "
+            f"per item and is limited to p <= {max_attributes}")
 
 
 def _spread(flat: DataFrame, id_col: str) -> DataFrame:
@@ -211,7 +226,7 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     """``(request_sku, sku, score)``: every head a request meets, with the score
     of the subset it was met through (a lower bound of its exact score)."""
     names = attribute_names(flat, id_col)
-    _check_lattice(names, max_attributes)
+    _check_lattice(flat, names, max_attributes)
     m = len(names)
     flat = _spread(flat, id_col)
     rows = subset_rows(flat, names, id_col, include_empty)
@@ -249,7 +264,7 @@ def build_subset_index(flat: DataFrame, k: int, id_col: str = "sku",
     write it as a table to reuse it across jobs.
     """
     names = attribute_names(flat, id_col)
-    _check_lattice(names, max_attributes)
+    _check_lattice(flat, names, max_attributes)
     return subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty),
                         k, id_col)
 

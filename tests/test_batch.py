@@ -99,3 +99,18 @@ def test_candidates_per_request_are_bounded(spark):
     k = 3
     per_request = candidate_pairs(cat, k).groupBy("request_sku").count()
     assert per_request.agg({"count": "max"}).first()[0] <= (2 ** 3) * (k + 1)
+
+
+def test_open_catalog_many_names_few_per_item(spark):
+    """40 attribute names, at most 4 present per item: the sparse fan-out path."""
+    rng = random.Random(21)
+    m = 40
+    names = [f"n{j:02d}" for j in range(m)]
+    rows = []
+    for i in range(60):
+        vals = [None] * m
+        for j in rng.sample(range(m), rng.randrange(1, 5)):
+            vals[j] = rng.choice(["x", "y", "hot"])
+        rows.append((f"i{i:03d}", *vals))
+    cat = flat_frame(spark, rows, names)
+    assert as_lists(batch_top_k(cat, 4)) == brute_force(rows, names, 4)
