@@ -114,3 +114,18 @@ def test_open_catalog_many_names_few_per_item(spark):
         rows.append((f"i{i:03d}", *vals))
     cat = flat_frame(spark, rows, names)
     assert as_lists(batch_top_k(cat, 4)) == brute_force(rows, names, 4)
+
+
+def test_open_form_orders_like_fixed_score(spark):
+    """O8b (map form, names) and O8 (bit score) give the same order."""
+    from pyspark.sql import functions as F
+
+    from likewise import similarity_open, to_map
+    names = ["a", "b", "c", "d", "e"]
+    rows = random_catalog(13, 50, 5)
+    cat = flat_frame(spark, rows, names)
+    for t in ["i000", "i021", "i044"]:
+        fixed = [r["sku"] for r in top_k_similar(cat, t, 49).collect()]
+        opened = similarity_open(to_map(cat), t).orderBy(
+            F.desc("match_count"), F.asc("matched"), F.asc("sku"))
+        assert [r["sku"] for r in opened.collect()] == fixed
