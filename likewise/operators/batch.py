@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..errors import TooManyAttributes
 from ..functions.columns import (MAX_SCORED_ATTRIBUTES, attribute_names, bit_of,
                                  count_from_score, mask_from_score, score_from_mask)
+from ..plans.session import shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
 
 # 2**16 groups per item is the largest fan-out accepted by default.
@@ -222,9 +223,14 @@ def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str) -> DataFrame:
 def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     id_col: str = "sku", include_empty: bool = True,
                     max_attributes: int = MAX_LATTICE_ATTRIBUTES,
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                    materialize_index: bool = False) -> DataFrame:
     """``(request_sku, sku, score)``: every head a request meets, with the score
-    of the subset it was met through (a lower bound of its exact score)."""
+    of the subset it was met through (a lower bound of its exact score).
+
+    ``materialize_index`` writes the heads to the shared checkpoint folder
+    first (one extra write and read; worth it for long jobs on large
+    clusters)."""
     names = attribute_names(flat, id_col)
     _check_lattice(flat, names, max_attributes)
     m = len(names)
@@ -238,9 +244,20 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
         req = subset_rows(req_items, names, id_col, include_empty)
         heads = subset_heads(_needed_groups(rows, req, n_req, m, max_broadcast_rows),
                              k, id_col)
+    if materialize_index:
+        heads = _materialize(heads)
     return _pairs(req, heads, m, id_col)
 
 
+def _materialize(heads: DataFrame) -> DataFrame:
+    """Write the heads as a table below the shared checkpoint folder and read
+    them back: the join then starts from stored files, so a lost executor
+    costs a re-read instead of re-running the fan-out and the group limit."""
+    path = shared_path(heads.sparkSession, "subset-heads")
+    heads.write.mode("errorifexists").parquet(path)
+    return heads.sparkSession.read.parquet(path)
+
+
 def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> DataFrame:
     """Best score per (request, candidate), then the top ``k`` per request.
 
@@ -284,7 +301,8 @@ def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k:
 
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                 id_col: str = "sku", include_empty: bool = True,
-                max_attributes: int = MAX_LATTICE_ATTRIBUTES) -> DataFrame:
+                max_attributes: int = MAX_LATTICE_ATTRIBUTES,
+                materialize_index: bool = False) -> DataFrame:
     """Top ``k`` similar items for every request (all catalog items by default).
 
     Result: ``request_sku, rn, sku, score, match_count, mask`` with ``rn``
@@ -296,7 +314,8 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     if k < 0:
         raise ValueError("k must not be negative")
     m = len(attribute_names(flat, id_col))
-    pairs = candidate_pairs(flat, k, requests, id_col, include_empty, max_attributes)
+    pairs = candidate_pairs(flat, k, requests, id_col, include_empty, max_attributes,
+                            materialize_index=materialize_index)
     return top_k_from_pairs(pairs, k, m, id_col)
 
 

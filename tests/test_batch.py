@@ -129,3 +129,11 @@ def test_open_form_orders_like_fixed_score(spark):
         opened = similarity_open(to_map(cat), t).orderBy(
             F.desc("match_count"), F.asc("matched"), F.asc("sku"))
         assert [r["sku"] for r in opened.collect()] == fixed
+
+
+def test_materialized_index_gives_same_result(spark):
+    names = ["a", "b", "c", "d"]
+    rows = random_catalog(17, 45, 4)
+    cat = flat_frame(spark, rows, names)
+    assert as_lists(batch_top_k(cat, 5, materialize_index=True)) == \
+        brute_force(rows, names, 5)
