@@ -31,9 +31,11 @@ before the shuffle and a final one after it, so a group holding a third of
 all items still sends at most ``k + 1`` rows per task through the shuffle.
 The request side of the equi-join on the group key can be hot (every request
 shares the empty subset); the heads side of each key has at most ``k + 1``
-rows, and AQE's skew-join rule splits an oversized request partition into
-several tasks that each read the small heads partition.  The last shuffle is
-on the request id, whose groups are bounded by ``2**p x (k + 1)`` rows.
+rows.  Groups with more request rows than one task should take are found by
+an exact count and salted: their request rows are spread over several
+buckets and their few heads copied into each (``_hot_groups``, ``_pairs``).
+The last shuffle is on the request id, whose groups are bounded by
+``2**p x (k + 1)`` rows.
 
 The exponent is the per-item number of attributes, not the catalog's total, so
 open catalogs with many names but few per item stay cheap.  ``max_attributes``
@@ -56,6 +58,10 @@ from ..plans.sizing import MAX_BROADCAST_ROWS
 MAX_LATTICE_ATTRIBUTES = 16
 # Up to this many attributes all 2**m masks are enumerated and filtered.
 DENSE_SUBSET_ATTRIBUTES = 12
+# A subset group is hot when its request rows exceed this many times the
+# average rows per shuffle partition, and never below MIN_HOT_GROUP_ROWS.
+HOT_GROUP_FACTOR = 4
+MIN_HOT_GROUP_ROWS = 1 << 20
 
 
 # Group keys are two 64-bit hashes.  Each present value is hashed twice with
@@ -207,12 +213,32 @@ def _needed_groups(rows: DataFrame, req: DataFrame, n_req: int | None, m: int,
     return rows.join(F.broadcast(keys), _group_cols(), "left_semi")
 
 
-def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str) -> DataFrame:
-    # Shuffled hash join, heads as the build side: each heads partition is a
-    # small hash table (at most k + 1 rows per key) and the request rows stream
-    # through it without being sorted.
+def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str,
+           hot: DataFrame | None = None) -> DataFrame:
+    """Join request rows to the heads of their groups.
+
+    Shuffled hash join, heads as the build side: each heads partition is a
+    small hash table (at most ``k + 1`` rows per key) and the request rows
+    stream through it without being sorted.  ``hot`` lists the groups with
+    too many request rows for one task (``_hot_groups``); their request rows
+    are spread over ``_b`` salt buckets by request id and their heads are
+    copied into every bucket, so each bucket's task gets a share of the rows
+    and the same ``k + 1`` heads.  The result does not change.
+    """
+    keys = _group_cols()
+    if hot is not None:
+        req = (req.join(hot, keys, "left")
+               .withColumn("_salt", F.when(F.col("_b").isNull(), F.lit(0))
+                           .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_b"))))
+               .drop("_b"))
+        heads = (heads.join(hot, keys, "left")
+                 .withColumn("_salt", F.explode(
+                     F.when(F.col("_b").isNull(), F.array(F.lit(0)))
+                     .otherwise(F.sequence(F.lit(0), F.col("_b") - 1))))
+                 .drop("_b"))
+        keys = [*keys, "_salt"]
     r, h = req.alias("r"), heads.hint("shuffle_hash").alias("h")
-    cond = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in _group_cols()]
+    cond = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in keys]
     pairs = r.join(h, cond).select(
         F.col(f"r.{id_col}").alias("request_sku"),
         F.col(f"h.{id_col}").alias(id_col),
@@ -220,11 +246,41 @@ def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str) -> DataFrame:
     return pairs.filter(F.col("request_sku") != F.col(id_col))
 
 
+def _hot_groups(req_items: DataFrame, req: DataFrame, names: Sequence[str],
+                hot_group_rows: int | None) -> DataFrame | None:
+    """Groups whose request rows would overload one join task, with their
+    number of salt buckets ``_b``; ``None`` when no group can be that large.
+
+    A group is hot above ``HOT_GROUP_FACTOR`` times the average number of
+    request rows per shuffle partition (at least ``MIN_HOT_GROUP_ROWS``).  No
+    group has more rows than there are requests, so when the requests are
+    fewer than that nothing is counted.  Otherwise one aggregation, combined
+    per task before its shuffle, counts the rows of every group.  At most
+    ``fan-out / threshold <= partitions / HOT_GROUP_FACTOR`` groups can pass,
+    which bounds the broadcast.
+    """
+    spark = req_items.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    n_req, fan = req_items.agg(F.count(F.lit(1)),
+                               F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()
+    n_req, fan = n_req or 0, fan or 0
+    threshold = hot_group_rows or max(HOT_GROUP_FACTOR * fan // max(parts, 1),
+                                      MIN_HOT_GROUP_ROWS)
+    if n_req <= threshold:
+        return None
+    counts = req.groupBy(*_group_cols()).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > threshold).select(
+        *_group_cols(), F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_b"))
+    return F.broadcast(hot)
+
+
 def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     id_col: str = "sku", include_empty: bool = True,
                     max_attributes: int = MAX_LATTICE_ATTRIBUTES,
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                    materialize_index: bool = False) -> DataFrame:
+                    materialize_index: bool = False,
+                    hot_group_rows: int | None = None) -> DataFrame:
     """``(request_sku, sku, score)``: every head a request meets, with the score
     of the subset it was met through (a lower bound of its exact score).
 
@@ -237,7 +293,7 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     flat = _spread(flat, id_col)
     rows = subset_rows(flat, names, id_col, include_empty)
     if requests is None:
-        req = rows
+        req_items, req = flat, rows
         heads = subset_heads(rows, k, id_col)
     else:
         req_items, n_req = _requests_in_catalog(flat, requests, id_col, max_broadcast_rows)
@@ -246,7 +302,8 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                              k, id_col)
     if materialize_index:
         heads = _materialize(heads)
-    return _pairs(req, heads, m, id_col)
+    hot = _hot_groups(req_items, req, names, hot_group_rows)
+    return _pairs(req, heads, m, id_col, hot)
 
 
 def _materialize(heads: DataFrame) -> DataFrame:
@@ -296,13 +353,15 @@ def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k:
     m = len(names)
     req_items, _ = _requests_in_catalog(flat, requests, id_col)
     req = subset_rows(req_items, names, id_col, include_empty)
-    return top_k_from_pairs(_pairs(req, heads, m, id_col), k, m, id_col)
+    hot = _hot_groups(req_items, req, names, None)
+    return top_k_from_pairs(_pairs(req, heads, m, id_col, hot), k, m, id_col)
 
 
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                 id_col: str = "sku", include_empty: bool = True,
                 max_attributes: int = MAX_LATTICE_ATTRIBUTES,
-                materialize_index: bool = False) -> DataFrame:
+                materialize_index: bool = False,
+                hot_group_rows: int | None = None) -> DataFrame:
     """Top ``k`` similar items for every request (all catalog items by default).
 
     Result: ``request_sku, rn, sku, score, match_count, mask`` with ``rn``
@@ -315,7 +374,8 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
         raise ValueError("k must not be negative")
     m = len(attribute_names(flat, id_col))
     pairs = candidate_pairs(flat, k, requests, id_col, include_empty, max_attributes,
-                            materialize_index=materialize_index)
+                            materialize_index=materialize_index,
+                            hot_group_rows=hot_group_rows)
     return top_k_from_pairs(pairs, k, m, id_col)
 
 

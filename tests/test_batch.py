@@ -137,3 +137,18 @@ def test_materialized_index_gives_same_result(spark):
     cat = flat_frame(spark, rows, names)
     assert as_lists(batch_top_k(cat, 5, materialize_index=True)) == \
         brute_force(rows, names, 5)
+
+
+@pytest.mark.parametrize("hot_rows", [5, 40])
+def test_salted_hot_groups_give_same_result(spark, hot_rows):
+    """Force the hot-group path: groups above ``hot_rows`` request rows are
+    spread over salt buckets (the empty subset always is)."""
+    names = ["a", "b", "c", "d"]
+    rows = random_catalog(23, 70, 4)
+    cat = flat_frame(spark, rows, names)
+    assert as_lists(batch_top_k(cat, 6, hot_group_rows=hot_rows)) == \
+        brute_force(rows, names, 6)
+    req_ids = [f"i{i:03d}" for i in range(0, 70, 3)]
+    requests = spark.createDataFrame([(r,) for r in req_ids], "sku string")
+    assert as_lists(batch_top_k(cat, 6, requests=requests, hot_group_rows=hot_rows)) == \
+        brute_force(rows, names, 6, requests=req_ids)
