@@ -170,16 +170,18 @@ def _check_lattice(flat: DataFrame, names: Sequence[str], max_attributes: int) -
 
 
 def _spread(flat: DataFrame, id_col: str) -> DataFrame:
-    """Hash-partition the catalog on its id before the 2**p fan-out.
+    """Hash-partition the catalog on all of its columns before the fan-out.
 
     A catalog read from a single file is one task; without this the whole
     fan-out would run in it.  One shuffle of the catalog costs a ``2**p``-th
-    of the fan-out's own shuffle, and the id is unique, so no partition is
-    hot.  The explicit partition count keeps AQE from merging the partitions
-    back into one because the catalog itself is small.
+    of the fan-out's own shuffle.  Hashing every column (not just the id)
+    keeps the partitions even even if one id were repeated on many rows, and
+    is deterministic, so a retried task gets the same rows.  The explicit
+    partition count keeps AQE from merging the partitions back into one
+    because the catalog itself is small.
     """
     n = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return flat.repartition(n, id_col)
+    return flat.repartition(n, F.xxhash64(*flat.columns))
 
 
 def _requests_in_catalog(flat: DataFrame, requests: DataFrame, id_col: str,
@@ -392,4 +394,6 @@ def batch_top_k_indexed(flat: DataFrame, k: int = 10, requests: DataFrame | None
 def missing_requests(flat: DataFrame, requests: DataFrame, id_col: str = "sku") -> DataFrame:
     """Distinct request ids that are not in the catalog (anti join on the id)."""
     ids = requests.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).distinct()
-    return ids.join(flat.select(id_col), id_col, "left_anti")
+    # Both sides are made distinct first (combined per task before the
+    # shuffle), so an id repeated on many rows cannot overload one task.
+    return ids.join(flat.select(id_col).distinct(), id_col, "left_anti")
