@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 TOKEN_SEPARATOR = "[^a-z0-9]+"
 
 
+def _pattern(term: str) -> str:
+    term = term.lower()
+    if not term or not all(c.isascii() and c.isalnum() for c in term):
+        raise ValueError("term must be a non-empty run of ASCII letters and digits")
+    return f"(?<![a-z0-9]){term}(?![a-z0-9])"
+
+
 def term_hits(text_col: str, term: str) -> F.Column:
     """How often ``term`` occurs as a whole token in the lower-cased text.
 
@@ -16,20 +23,17 @@ def term_hits(text_col: str, term: str) -> F.Column:
     tokens, but runs as one compiled regular expression per row in generated
     code instead of building an array of every token of the text.
     """
-    term = term.lower()
-    if not term or not all(c.isascii() and c.isalnum() for c in term):
-        raise ValueError("term must be a non-empty run of ASCII letters and digits")
-    pattern = f"(?<![a-z0-9]){term}(?![a-z0-9])"
-    return F.regexp_count(F.lower(F.col(text_col)), F.lit(pattern))
+    return F.regexp_count(F.lower(F.col(text_col)), F.lit(_pattern(term)))
 
 
 def term_match(df: DataFrame, column: str, term: str, id_col: str | None = None) -> DataFrame:
     """Rows whose ``column`` contains ``term`` as a whole token, with ``hits``.
 
-    The whole text of every row is tokenised inside one projection (no
-    shuffle); the filter on ``hits > 0`` runs in the same stage.  The hit
-    count over all rows is ``term_match(...).count()`` or a sum of ``hits``.
+    The whole text of every row is read in one stage, with no shuffle.  Rows
+    are first kept with ``rlike``, which stops at the first hit, and only the
+    kept rows are counted in full.  The hit count over all rows is
+    ``term_match(...).count()`` or a sum of ``hits``.
     """
-    hits = term_hits(column, term)
     cols = [id_col] if id_col else [c for c in df.columns if c != column]
-    return df.select(*cols, hits.alias("hits")).filter(F.col("hits") > 0)
+    hit = F.lower(F.col(column)).rlike(_pattern(term))
+    return df.filter(hit).select(*cols, term_hits(column, term).alias("hits"))
