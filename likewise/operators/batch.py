@@ -77,7 +77,8 @@ def _group_cols() -> list[str]:
 
 
 def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
-                include_empty: bool = True) -> DataFrame:
+                include_empty: bool = True, min_level: int = 0,
+                max_level: int | None = None) -> DataFrame:
     """``(_k1, _k2, _s, id)``: one row per item and subset of its present
     attributes.
 
@@ -98,6 +99,7 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
     present attribute, so a sparse item never enumerates ``2**m`` masks.  The
     keys of each subset are then computed from the item's per-attribute
     hashes, so only the three key numbers and the id are materialised per row.
+    ``min_level`` and ``max_level`` keep only subsets of that many attributes.
     """
     m = len(names)
     mask_type = "int" if m <= 30 else "bigint"
@@ -120,7 +122,11 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
             f"concat(acc, transform(acc, s -> s | shiftleft(CAST(1 AS BIGINT), b))), acc))")
         expanded = hashed.select("*", F.explode(masks).alias("_s"))
     if not include_empty:
-        expanded = expanded.filter(F.col("_s") != 0)
+        min_level = max(min_level, 1)
+    if min_level > 0:
+        expanded = expanded.filter(F.bit_count("_s") >= min_level)
+    if max_level is not None:
+        expanded = expanded.filter(F.bit_count("_s") <= max_level)
     zero = F.lit(0).cast("bigint")
     k1, k2 = zero, zero
     for i in range(m):
@@ -282,9 +288,11 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     max_attributes: int = MAX_LATTICE_ATTRIBUTES,
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                     materialize_index: bool = False,
-                    hot_group_rows: int | None = None) -> DataFrame:
+                    hot_group_rows: int | None = None, min_level: int = 0,
+                    max_level: int | None = None) -> DataFrame:
     """``(request_sku, sku, score)``: every head a request meets, with the score
     of the subset it was met through (a lower bound of its exact score).
+    ``min_level``/``max_level`` restrict both sides to subsets of that size.
 
     ``materialize_index`` writes the heads to the shared checkpoint folder
     first (one extra write and read; worth it for long jobs on large
@@ -293,13 +301,14 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     _check_lattice(flat, names, max_attributes)
     m = len(names)
     flat = _spread(flat, id_col)
-    rows = subset_rows(flat, names, id_col, include_empty)
+    levels = dict(min_level=min_level, max_level=max_level)
+    rows = subset_rows(flat, names, id_col, include_empty, **levels)
     if requests is None:
         req_items, req = flat, rows
         heads = subset_heads(rows, k, id_col)
     else:
         req_items, n_req = _requests_in_catalog(flat, requests, id_col, max_broadcast_rows)
-        req = subset_rows(req_items, names, id_col, include_empty)
+        req = subset_rows(req_items, names, id_col, include_empty, **levels)
         heads = subset_heads(_needed_groups(rows, req, n_req, m, max_broadcast_rows),
                              k, id_col)
     if materialize_index:
@@ -359,11 +368,18 @@ def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k:
     return top_k_from_pairs(_pairs(req, heads, m, id_col, hot), k, m, id_col)
 
 
+def _materialize_table(df: DataFrame, name: str) -> DataFrame:
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                 id_col: str = "sku", include_empty: bool = True,
                 max_attributes: int = MAX_LATTICE_ATTRIBUTES,
                 materialize_index: bool = False,
-                hot_group_rows: int | None = None) -> DataFrame:
+                hot_group_rows: int | None = None,
+                split_level: int | None = None) -> DataFrame:
     """Top ``k`` similar items for every request (all catalog items by default).
 
     Result: ``request_sku, rn, sku, score, match_count, mask`` with ``rn``
@@ -371,14 +387,43 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     order as ``top_k_similar``.  Requests whose id is not in the catalog are
     left out; ``missing_requests`` lists them.  ``include_empty=False`` keeps
     only candidates with at least one match (``batch_top_k_indexed``).
+
+    Two rounds (``split_level``, by default half the attributes; ``0`` turns
+    it off).  Small subsets make big groups, whose heads are mostly poor
+    candidates and make up most of the candidate rows.  Round 1 uses only
+    subsets of at least ``split_level`` attributes.  A request that finds
+    ``k`` candidates there is finished: those ``k`` items match it on at least
+    ``split_level`` attributes, so its whole top ``k`` does, and each of those
+    is met through its own exact match set, which round 1 covers.  Only the
+    unfinished requests run round 2 over the smaller subsets, together with
+    the candidates they already have.  Round 1's result is written to the
+    shared checkpoint folder, so it runs once and later steps start from
+    stored files.
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    m = len(attribute_names(flat, id_col))
-    pairs = candidate_pairs(flat, k, requests, id_col, include_empty, max_attributes,
-                            materialize_index=materialize_index,
-                            hot_group_rows=hot_group_rows)
-    return top_k_from_pairs(pairs, k, m, id_col)
+    names = attribute_names(flat, id_col)
+    m = len(names)
+    lowest = 0 if include_empty else 1
+    split = (m + 1) // 2 if split_level is None else split_level
+    common = dict(id_col=id_col, include_empty=include_empty, max_attributes=max_attributes,
+                  materialize_index=materialize_index, hot_group_rows=hot_group_rows)
+    if k == 0 or split <= lowest or split > m:
+        return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
+
+    round1 = _materialize_table(
+        top_k_from_pairs(candidate_pairs(flat, k, requests, min_level=split, **common),
+                         k, m, id_col), "batch-round1")
+    finished = round1.filter(F.col("rn") == k).select("request_sku")
+    asked = (flat.select(F.col(id_col).alias("request_sku")) if requests is None else
+             requests.select(F.col(id_col).alias("request_sku"))).distinct()
+    unfinished = (asked.join(finished, "request_sku", "left_anti")
+                  .select(F.col("request_sku").alias(id_col)))
+    carried = (round1.join(finished, "request_sku", "left_anti")
+               .select("request_sku", id_col, "score"))
+    pairs2 = candidate_pairs(flat, k, unfinished, max_level=split - 1, **common)
+    round2 = top_k_from_pairs(pairs2.unionByName(carried), k, m, id_col)
+    return round1.join(finished, "request_sku", "left_semi").unionByName(round2)
 
 
 def batch_top_k_indexed(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,

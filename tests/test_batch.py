@@ -152,3 +152,13 @@ def test_salted_hot_groups_give_same_result(spark, hot_rows):
     requests = spark.createDataFrame([(r,) for r in req_ids], "sku string")
     assert as_lists(batch_top_k(cat, 6, requests=requests, hot_group_rows=hot_rows)) == \
         brute_force(rows, names, 6, requests=req_ids)
+
+
+@pytest.mark.parametrize("split", [0, 1, 2, 3, 4, None])
+def test_two_rounds_equal_brute_force(spark, split):
+    names = ["a", "b", "c", "d"]
+    rows = random_catalog(31, 60, 4)
+    cat = flat_frame(spark, rows, names)
+    assert as_lists(batch_top_k(cat, 5, split_level=split)) == brute_force(rows, names, 5)
+    assert as_lists(batch_top_k(cat, 5, include_empty=False, split_level=split)) == {
+        t: v for t, v in brute_force(rows, names, 5, matched_only=True).items() if v}
