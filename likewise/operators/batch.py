@@ -62,6 +62,9 @@ DENSE_SUBSET_ATTRIBUTES = 12
 # average rows per shuffle partition, and never below MIN_HOT_GROUP_ROWS.
 HOT_GROUP_FACTOR = 4
 MIN_HOT_GROUP_ROWS = 1 << 20
+# With fewer attributes the fan-out is small and a second round costs more
+# in extra jobs than it saves (measured at sf0.1: 5 attributes lose, 10 win).
+TWO_ROUND_MIN_ATTRIBUTES = 8
 
 
 # Group keys are two 64-bit hashes.  Each present value is hashed twice with
@@ -388,8 +391,9 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     left out; ``missing_requests`` lists them.  ``include_empty=False`` keeps
     only candidates with at least one match (``batch_top_k_indexed``).
 
-    Two rounds (``split_level``, by default half the attributes; ``0`` turns
-    it off).  Small subsets make big groups, whose heads are mostly poor
+    Two rounds (``split_level``; by default half the attributes when there
+    are at least ``TWO_ROUND_MIN_ATTRIBUTES``, else one round; ``0`` turns it
+    off).  Small subsets make big groups, whose heads are mostly poor
     candidates and make up most of the candidate rows.  Round 1 uses only
     subsets of at least ``split_level`` attributes.  A request that finds
     ``k`` candidates there is finished: those ``k`` items match it on at least
@@ -405,7 +409,9 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     names = attribute_names(flat, id_col)
     m = len(names)
     lowest = 0 if include_empty else 1
-    split = (m + 1) // 2 if split_level is None else split_level
+    if split_level is None:
+        split_level = (m + 1) // 2 if m >= TWO_ROUND_MIN_ATTRIBUTES else 0
+    split = split_level
     common = dict(id_col=id_col, include_empty=include_empty, max_attributes=max_attributes,
                   materialize_index=materialize_index, hot_group_rows=hot_group_rows)
     if k == 0 or split <= lowest or split > m:
