@@ -392,8 +392,9 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     only candidates with at least one match (``batch_top_k_indexed``).
 
     Two rounds (``split_level``; by default half the attributes when there
-    are at least ``TWO_ROUND_MIN_ATTRIBUTES``, else one round; ``0`` turns it
-    off).  Small subsets make big groups, whose heads are mostly poor
+    are at least ``TWO_ROUND_MIN_ATTRIBUTES`` and the requests are too many for
+    the few-requests pruning of ``candidate_pairs``, else one round; ``0``
+    turns it off).  Small subsets make big groups, whose heads are mostly poor
     candidates and make up most of the candidate rows.  Round 1 uses only
     subsets of at least ``split_level`` attributes.  A request that finds
     ``k`` candidates there is finished: those ``k`` items match it on at least
@@ -409,11 +410,22 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     names = attribute_names(flat, id_col)
     m = len(names)
     lowest = 0 if include_empty else 1
-    if split_level is None:
+    auto_split = split_level is None
+    if auto_split:
         split_level = (m + 1) // 2 if m >= TWO_ROUND_MIN_ATTRIBUTES else 0
     split = split_level
     common = dict(id_col=id_col, include_empty=include_empty, max_attributes=max_attributes,
                   materialize_index=materialize_index, hot_group_rows=hot_group_rows)
+    if requests is not None:
+        # The request ids are read several times (counted, joined, split into
+        # finished and unfinished); store them once so their lineage runs once.
+        requests = _materialize_table(
+            requests.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).distinct(),
+            "batch-requests")
+        if auto_split and (requests.count() << m) <= MAX_BROADCAST_ROWS:
+            # Few requests: one round, whose heads are built only for the
+            # groups these requests are in, beats fanning the catalog out twice.
+            split = 0
     if k == 0 or split <= lowest or split > m:
         return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
 

@@ -162,3 +162,14 @@ def test_two_rounds_equal_brute_force(spark, split):
     assert as_lists(batch_top_k(cat, 5, split_level=split)) == brute_force(rows, names, 5)
     assert as_lists(batch_top_k(cat, 5, include_empty=False, split_level=split)) == {
         t: v for t, v in brute_force(rows, names, 5, matched_only=True).items() if v}
+
+
+def test_two_rounds_with_requests(spark):
+    names = ["a", "b", "c", "d"]
+    rows = random_catalog(37, 60, 4)
+    cat = flat_frame(spark, rows, names)
+    req_ids = [f"i{i:03d}" for i in range(0, 60, 4)] + ["absent"]
+    requests = spark.createDataFrame([(r,) for r in req_ids], "sku string")
+    for split in (2, 3):
+        assert as_lists(batch_top_k(cat, 5, requests=requests, split_level=split)) == \
+            brute_force(rows, names, 5, requests=req_ids)
