@@ -65,6 +65,7 @@ MIN_HOT_GROUP_ROWS = 1 << 20
 # With fewer attributes the fan-out is small and a second round costs more
 # in extra jobs than it saves (measured at sf0.1: 5 attributes lose, 10 win).
 TWO_ROUND_MIN_ATTRIBUTES = 8
+TWO_ROUND_MIN_FANOUT = 4_000_000
 
 
 # Group keys are two 64-bit hashes.  Each present value is hashed twice with
@@ -392,9 +393,10 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     only candidates with at least one match (``batch_top_k_indexed``).
 
     Two rounds (``split_level``; by default half the attributes when there
-    are at least ``TWO_ROUND_MIN_ATTRIBUTES`` and the requests are too many for
-    the few-requests pruning of ``candidate_pairs``, else one round; ``0``
-    turns it off).  Small subsets make big groups, whose heads are mostly poor
+    are at least ``TWO_ROUND_MIN_ATTRIBUTES``, the fan-out has at least
+    ``TWO_ROUND_MIN_FANOUT`` rows and the requests are too many for the
+    few-requests pruning of ``candidate_pairs``, else one round; ``0`` turns
+    it off).  Small subsets make big groups, whose heads are mostly poor
     candidates and make up most of the candidate rows.  Round 1 uses only
     subsets of at least ``split_level`` attributes.  A request that finds
     ``k`` candidates there is finished: those ``k`` items match it on at least
@@ -426,6 +428,13 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
             # Few requests: one round, whose heads are built only for the
             # groups these requests are in, beats fanning the catalog out twice.
             split = 0
+    elif auto_split and split > lowest:
+        present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+        fan = flat.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
+        if fan < TWO_ROUND_MIN_FANOUT:
+            # A small fan-out is cheaper to finish in one round than to
+            # split into two rounds' worth of jobs.
+            split = 0
     if k == 0 or split <= lowest or split > m:
         return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
 
