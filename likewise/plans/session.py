@@ -47,13 +47,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is used as it is.  Only when it is unset (tests on one machine) a fresh
     folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="likewise-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
