@@ -28,6 +28,12 @@ MAX_SCORED_ATTRIBUTES = 57
 MAX_DIGIT_ATTRIBUTES = 10
 
 
+def attr(name: str) -> Column:
+    """The column of an attribute, quoted so that names with dots or
+    spaces (common in JSON catalogs) are taken literally."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def attribute_names(flat: DataFrame, id_col: str = "sku") -> list[str]:
     """Attribute columns of a flat catalog, in alphabetical order."""
     return sorted(c for c in flat.columns if c != id_col)
@@ -53,7 +59,7 @@ def mask_expr(names: Sequence[str], target: dict) -> Column:
     if m > MAX_SCORED_ATTRIBUTES:
         raise TooManyAttributes(f"{m} attributes; the bigint score holds at most "
                                 f"{MAX_SCORED_ATTRIBUTES}")
-    terms = [F.when(matches(F.col(n), F.lit(target.get(n))), F.lit(bit_of(i, m)))
+    terms = [F.when(matches(attr(n), F.lit(target.get(n))), F.lit(bit_of(i, m)))
              .otherwise(F.lit(0)).cast("bigint") for i, n in enumerate(names)]
     return sum(terms[1:], terms[0]) if terms else F.lit(0).cast("bigint")
 

@@ -49,7 +49,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..errors import TooManyAttributes
-from ..functions.columns import (MAX_SCORED_ATTRIBUTES, attribute_names, bit_of,
+from ..functions.columns import (MAX_SCORED_ATTRIBUTES, attr, attribute_names, bit_of,
                                  count_from_score, mask_from_score, score_from_mask)
 from ..plans.session import shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
@@ -109,11 +109,11 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
     mask_type = "int" if m <= 30 else "bigint"
     hashed = flat.select(
         id_col,
-        *[F.xxhash64(F.lit(i + _SEED_A), F.col(n).cast("string")).alias(f"_u{i}")
+        *[F.xxhash64(F.lit(i + _SEED_A), attr(n).cast("string")).alias(f"_u{i}")
           for i, n in enumerate(names)],
-        *[F.xxhash64(F.lit(_SEED_B - i), F.col(n).cast("string")).alias(f"_v{i}")
+        *[F.xxhash64(F.lit(_SEED_B - i), attr(n).cast("string")).alias(f"_v{i}")
           for i, n in enumerate(names)],
-        sum((F.when(F.col(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
+        sum((F.when(attr(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
              for i, n in enumerate(names)), F.lit(0).cast(mask_type)).alias("_p"))
     if m <= DENSE_SUBSET_ATTRIBUTES:
         masks = F.sequence(F.lit(0), F.lit((1 << m) - 1))
@@ -171,7 +171,7 @@ def _check_lattice(flat: DataFrame, names: Sequence[str], max_attributes: int) -
                                 f"{MAX_SCORED_ATTRIBUTES}")
     if m <= max_attributes:
         return
-    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
     widest = flat.agg(F.max(present)).first()[0] or 0
     if widest > max_attributes:
         raise TooManyAttributes(
@@ -191,7 +191,7 @@ def _spread(flat: DataFrame, id_col: str) -> DataFrame:
     because the catalog itself is small.
     """
     n = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return flat.repartition(n, F.xxhash64(*flat.columns))
+    return flat.repartition(n, F.xxhash64(*[attr(c) for c in flat.columns]))
 
 
 def _requests_in_catalog(flat: DataFrame, requests: DataFrame, id_col: str,
@@ -273,7 +273,7 @@ def _hot_groups(req_items: DataFrame, req: DataFrame, names: Sequence[str],
     """
     spark = req_items.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
     n_req, fan = req_items.agg(F.count(F.lit(1)),
                                F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()
     n_req, fan = n_req or 0, fan or 0
@@ -429,7 +429,7 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
             # groups these requests are in, beats fanning the catalog out twice.
             split = 0
     elif auto_split and split > lowest:
-        present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+        present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
         fan = flat.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
         if fan < TWO_ROUND_MIN_FANOUT:
             # A small fan-out is cheaper to finish in one round than to

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..errors import ItemNotFound
+from ..functions.columns import attr
 
 
 def lookup_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
@@ -17,7 +18,7 @@ def lookup_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     file order.  An unknown id gives an empty frame; ``require_item`` raises.
     """
     names = [c for c in flat.columns if c != id_col]
-    order = F.to_json(F.struct(*names)) if names else F.lit("")
+    order = F.to_json(F.struct(*[attr(n) for n in names])) if names else F.lit("")
     return flat.filter(F.col(id_col) == F.lit(sku)).orderBy(order).limit(1)
 
 

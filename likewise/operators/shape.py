@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import MapType, StructType
 
 from ..errors import TooManyAttributes
+from ..functions.columns import attr
 
 # Flattening turns every attribute name into a column.  The list of names is
 # the schema of the result, so it is brought to the driver; this bound keeps
@@ -62,6 +63,6 @@ def attributes_long(catalog: DataFrame, id_col: str = "sku") -> DataFrame:
         out = catalog.select(id_col, F.explode("attributes").alias("name", "value"))
     else:
         names = sorted(c for c in catalog.columns if c != id_col)
-        out = catalog.select(id_col, *[F.col(n).cast("string").alias(n) for n in names]) \
-            .unpivot([id_col], names, "name", "value")
+        out = catalog.select(id_col, *[attr(n).cast("string").alias(n) for n in names]) \
+            .unpivot([id_col], [attr(n) for n in names], "name", "value")
     return out.filter(F.col("value").isNotNull())

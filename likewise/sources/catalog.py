@@ -88,7 +88,7 @@ def to_map(flat: DataFrame, id_col: str = "sku") -> DataFrame:
     names = sorted(c for c in flat.columns if c != id_col)
     pairs = []
     for n in names:
-        pairs += [F.lit(n), F.col(n).cast("string")]
+        pairs += [F.lit(n), F.col("`" + n.replace("`", "``") + "`").cast("string")]
     amap = F.create_map(*pairs) if pairs else F.create_map()
     return flat.select(F.col(id_col).alias("sku"),
                        F.map_filter(amap, lambda k, v: v.isNotNull()).alias("attributes"))

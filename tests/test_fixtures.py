@@ -169,3 +169,12 @@ def test_duplicate_ids_pick_smallest_attributes(spark):
     catalog, _ = read_catalog(spark, path)
     rows = {r["sku"]: r["attributes"] for r in catalog.collect()}
     assert rows == {"d": {"a": "b"}, "e": {"a": "b"}}
+
+
+def test_attribute_names_with_dots(spark):
+    cat = spark.createDataFrame(
+        [("t", "r", "x"), ("y", "r", "z"), ("w", "q", "x")],
+        "sku string, `color.main` string, `size x` string")
+    assert [r["sku"] for r in top_k_similar(cat, "t", 2).collect()] == ["y", "w"]
+    best = {r["request_sku"]: r["sku"] for r in batch_top_k(cat, 1).collect()}
+    assert best == {"t": "y", "y": "t", "w": "t"}
