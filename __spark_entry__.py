@@ -148,12 +148,12 @@ def q_append_and_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_top_k(spark: SparkSession, sf: str) -> DataFrame:
-    """Requests for every part on an order line, streamed in four file batches
+    """Requests for every part on an order line, streamed in two file batches
     and answered from the stored subset index of part10."""
     flat = derived.part10(spark, sf)
     req_dir = shared_path(spark, "ordered-parts")
     (derived.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("sku")).distinct()
-     .repartition(4, "sku").write.parquet(req_dir))
+     .repartition(2, "sku").write.parquet(req_dir))
     stream = (spark.readStream.schema("sku bigint").option("maxFilesPerTrigger", 1)
               .parquet(req_dir))
     out = shared_path(spark, "stream-answers")
