@@ -22,6 +22,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import TooManyAttributes
 
+# Output names and the miss marker of the original job, kept
+# so that its results can be reproduced column for column.
+COMPAT_SCORE_COLUMN = "concatealldiffcols"
+NAMES_COLUMN = "Most Similar SKU's"
+INDICATOR_COLUMN = "col_{}_diff"
+MISS_WEIGHT = -1
+
 # A bigint holds (m + 1) * 2**m for m up to 57.
 MAX_SCORED_ATTRIBUTES = 57
 # The digit form writes one decimal digit per attribute, weights m-1 .. 0.
@@ -83,8 +90,8 @@ def compat_weights(m: int) -> list[int]:
 
 
 def indicator_expr(candidate: Column, target: Column, weight: int) -> Column:
-    """``weight`` on a match, ``-1`` otherwise."""
-    return F.when(matches(candidate, target), F.lit(weight)).otherwise(F.lit(-1))
+    """``weight`` on a match, ``MISS_WEIGHT`` (-1) otherwise."""
+    return F.when(matches(candidate, target), F.lit(weight)).otherwise(F.lit(MISS_WEIGHT))
 
 
 def digits_from_mask(mask: Column, names: Sequence[str]) -> Column:

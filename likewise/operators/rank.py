@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import (digits_from_mask, matched_names_from_mask)
+from ..functions.columns import (COMPAT_SCORE_COLUMN, NAMES_COLUMN, digits_from_mask,
+                                 matched_names_from_mask)
 from ..plans.sizing import broadcast_if_small
 from .score import similarity_score
 
@@ -30,7 +31,7 @@ def rank_candidates(scored: DataFrame, order: str = "fixed", m: int | None = Non
     """
     if order not in ("compat", "fixed"):
         raise ValueError("order must be 'compat' or 'fixed'")
-    score_col = score_col or ("concatealldiffcols" if order == "compat" else "score")
+    score_col = score_col or (COMPAT_SCORE_COLUMN if order == "compat" else "score")
     hist = scored.groupBy(F.col(score_col).alias("_hs")).agg(F.count(F.lit(1)).alias("_hn"))
     key = F.asc_nulls_first("_hs") if order == "compat" else F.desc_nulls_last("_hs")
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
@@ -60,7 +61,7 @@ def top_k_similar(flat: DataFrame, sku, k: int = 10, id_col: str = "sku") -> Dat
 
 def top_k_names(top: DataFrame, id_col: str = "sku") -> DataFrame:
     """Only the ids, in one column named as the original job names it."""
-    return top.select(F.col(id_col).alias("Most Similar SKU's"))
+    return top.select(F.col(id_col).alias(NAMES_COLUMN))
 
 
 def top_k_weights(top: DataFrame, id_col: str = "sku") -> DataFrame:

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..errors import ItemNotFound, TooManyAttributes
-from ..functions.columns import (MAX_DIGIT_ATTRIBUTES, attr, attribute_names, compat_weights,
+from ..functions.columns import (COMPAT_SCORE_COLUMN, INDICATOR_COLUMN, MAX_DIGIT_ATTRIBUTES,
+                                 MISS_WEIGHT, attr, attribute_names, compat_weights,
                                  count_from_score, indicator_expr, mask_expr, matches,
                                  score_from_mask)
 from .lookup import exclude_item, lookup_item, target_values
@@ -34,7 +35,7 @@ def match_indicators(flat: DataFrame, sku, weights: Sequence[int] | None = None,
         raise ValueError(f"{len(names)} attributes but {len(weights)} weights")
     target = target_values(flat, sku, id_col)
     return exclude_item(flat, sku, id_col).select(
-        "*", *[indicator_expr(attr(n), F.lit(target.get(n)), w).alias(f"col_{n}_diff")
+        "*", *[indicator_expr(attr(n), F.lit(target.get(n)), w).alias(INDICATOR_COLUMN.format(n))
                for n, w in zip(names, weights)])
 
 
@@ -54,9 +55,9 @@ def digit_score_compat(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
         raise TooManyAttributes(f"the digit score needs at most {MAX_DIGIT_ATTRIBUTES} "
                                 f"attributes, got {len(names)}")
     ind = match_indicators(flat, sku, id_col=id_col)
-    text = F.concat(*[attr(f"col_{n}_diff").cast("string") for n in names])
-    digits = F.regexp_replace(text, F.lit("-1"), F.lit(""))
-    return ind.withColumn("concatealldiffcols", digits.try_cast("int"))
+    text = F.concat(*[attr(INDICATOR_COLUMN.format(n)).cast("string") for n in names])
+    digits = F.regexp_replace(text, F.lit(str(MISS_WEIGHT)), F.lit(""))
+    return ind.withColumn(COMPAT_SCORE_COLUMN, digits.try_cast("int"))
 
 
 def similarity_score(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
