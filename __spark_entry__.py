@@ -125,6 +125,18 @@ def q_batch_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k(derived.part10(spark, sf), K)
 
 
+def popular_parts(spark: SparkSession, sf: str, n: int = 200) -> DataFrame:
+    """Request ids: the ``n`` parts on most order lines (a top-n report over
+    lineitem, ties by key)."""
+    li = derived.table(spark, sf, "lineitem")
+    return (li.groupBy(F.col("l_partkey").alias("sku")).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "sku").limit(n).select("sku"))
+
+
+def q_batch_top_k_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return batch_top_k(derived.part10(spark, sf), K, requests=popular_parts(spark, sf))
+
+
 def q_batch_top_k_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k(derived.docs5(spark, sf), K)
 
@@ -183,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_k_names": q_top_k_names,
     "top_k_weights": q_top_k_weights,
     "batch_top_k": q_batch_top_k,
+    "batch_top_k_requests": q_batch_top_k_requests,
     "batch_top_k_sparse": q_batch_top_k_sparse,
     "batch_top_k_indexed": q_batch_top_k_indexed,
     "missing_requests": q_missing_requests,
@@ -357,6 +370,9 @@ SELECT sku, CAST(row_number() OVER (ORDER BY score DESC, sku ASC) AS INTEGER) AS
        score, match_count, mask, {_digits_sql(p10)} AS digits, {_matched_sql(p10)} AS matched
 FROM ({top})""",
         "batch_top_k": f"WITH {CTE_PART10}, {_batch_sql('part10', p10, K)}",
+        "batch_top_k_requests": f"WITH {CTE_PART10}, " + _batch_sql(
+            "part10", p10, K, requests="SELECT l_partkey FROM lineitem GROUP BY l_partkey "
+                                       "ORDER BY count(*) DESC, l_partkey LIMIT 200"),
         "batch_top_k_sparse": f"WITH {CTE_DOCS5}, {_batch_sql('docs5', FIVE, K)}",
         "batch_top_k_indexed": f"WITH {CTE_CUST5}, "
                                f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
