@@ -259,7 +259,7 @@ def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str,
 
 
 def _hot_groups(req_items: DataFrame, req: DataFrame, names: Sequence[str],
-                hot_group_rows: int | None) -> DataFrame | None:
+                hot_group_rows: int | None, n_req: int | None = None) -> DataFrame | None:
     """Groups whose request rows would overload one join task, with their
     number of salt buckets ``_b``; ``None`` when no group can be that large.
 
@@ -271,6 +271,8 @@ def _hot_groups(req_items: DataFrame, req: DataFrame, names: Sequence[str],
     ``fan-out / threshold <= partitions / HOT_GROUP_FACTOR`` groups can pass,
     which bounds the broadcast.
     """
+    if hot_group_rows is None and n_req is not None and n_req <= MIN_HOT_GROUP_ROWS:
+        return None  # counted requests, fewer than any threshold: nothing to check
     spark = req_items.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
@@ -307,6 +309,7 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     flat = _spread(flat, id_col)
     levels = dict(min_level=min_level, max_level=max_level)
     rows = subset_rows(flat, names, id_col, include_empty, **levels)
+    n_req = None
     if requests is None:
         req_items, req = flat, rows
         heads = subset_heads(rows, k, id_col)
@@ -317,7 +320,7 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                              k, id_col)
     if materialize_index:
         heads = _materialize(heads)
-    hot = _hot_groups(req_items, req, names, hot_group_rows)
+    hot = _hot_groups(req_items, req, names, hot_group_rows, n_req)
     return _pairs(req, heads, m, id_col, hot)
 
 
@@ -366,9 +369,9 @@ def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k:
     """
     names = attribute_names(flat, id_col)
     m = len(names)
-    req_items, _ = _requests_in_catalog(flat, requests, id_col)
+    req_items, n_req = _requests_in_catalog(flat, requests, id_col)
     req = subset_rows(req_items, names, id_col, include_empty)
-    hot = _hot_groups(req_items, req, names, None)
+    hot = _hot_groups(req_items, req, names, None, n_req)
     return top_k_from_pairs(_pairs(req, heads, m, id_col, hot), k, m, id_col)
 
 
