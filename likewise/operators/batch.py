@@ -395,7 +395,7 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     left out; ``missing_requests`` lists them.  ``include_empty=False`` keeps
     only candidates with at least one match (``batch_top_k_indexed``).
 
-    Two rounds (``split_level``; by default half the attributes when there
+    Two rounds (``split_level``; by default three fifths of the attributes when there
     are at least ``TWO_ROUND_MIN_ATTRIBUTES``, the fan-out has at least
     ``TWO_ROUND_MIN_FANOUT`` rows and the requests are too many for the
     few-requests pruning of ``candidate_pairs``, else one round; ``0`` turns
@@ -417,7 +417,10 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     lowest = 0 if include_empty else 1
     auto_split = split_level is None
     if auto_split:
-        split_level = (m + 1) // 2 if m >= TWO_ROUND_MIN_ATTRIBUTES else 0
+        # Three fifths of the attributes (6 of 10): on part10 at sf0.1 this
+        # beats half (5 of 10) by about 20%, as the first round gets cheaper
+        # while nearly every request still finishes in it.
+        split_level = (3 * m + 4) // 5 if m >= TWO_ROUND_MIN_ATTRIBUTES else 0
     split = split_level
     common = dict(id_col=id_col, include_empty=include_empty, max_attributes=max_attributes,
                   materialize_index=materialize_index, hot_group_rows=hot_group_rows)
