@@ -14,6 +14,7 @@ tables; the only limits are the operators' own ``k``.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -210,8 +211,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_top_k_weights(spark, SMOKE_DIR)
 
 
+def _present(module: str) -> bool:
+    """Whether a module is there; errors inside it are not hidden."""
+    return importlib.util.find_spec(module) is not None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    if _present("likewise.llm"):
+        from likewise.llm.queries import QUERIES as llm_queries
+        found |= llm_queries
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
+            found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # --------------------------------------------------------------------------
@@ -335,7 +348,10 @@ def oracle_sql() -> dict[str, str]:
     top = f"""SELECT * FROM ({_scored_sql('part10', p10, TARGET)})
   ORDER BY score DESC, sku ASC LIMIT {K}"""
     open_matched = ", ".join(f"CASE WHEN x.{n} = t.{n} THEN '{n}' END" for n in FIVE)
-    return {
+    llm_sql = {}
+    if _present("likewise.llm"):
+        from likewise.llm.queries import ORACLE_SQL as llm_sql
+    return llm_sql | {
         "read_catalog": f"""WITH {CTE_CUST5}, long AS ({_long_sql('cust5', FIVE)})
 SELECT name, count(*) AS n FROM long GROUP BY name""",
         "flatten_attributes": f"WITH {CTE_CUST5} SELECT * FROM cust5",
