@@ -6,9 +6,34 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, mixing, simhash_dedup, token_output
+from . import (decontaminate, host_reputation, language_id, line_quality, line_templates, mixing,
+               quote_links, secret_scan, simhash_dedup, token_output)
 from .common import table
 
+# The fixed url rules: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs).select(
+        "row.doc_id", "text", "n_lines", "n_dropped")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    base = [r.kind for r in secret_scan.BASE_RULES]
+    digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter(
+        "spans", lambda s: s["kind"] == kind)).cast("bigint")
+    of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return found.select(
+        "row.doc_id",
+        *[count(k).alias(f"n_{k}") for k in base],
+        F.sha2(digest(of_base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,6 +57,17 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled outcomes are the labels of the same id: a page is bad if toxic or
+    of quality 0."""
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), F.when(
+        (F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0).alias("bad"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return host_reputation.judge_urls(pages, outcomes, URL_RULES).select(
+        "row.page_id", "host", "path", "rule", "verdict")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy drawn, with its place in the global order."""
     copies = mixing.copies(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -47,12 +83,27 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "held_out", language_id.held_out())
 
 
+def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_quality.judge(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return found.select("row.doc_id", *[F.col("quality")[c].alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
 QUERIES = {
+    "op1_line_templates": op1_line_templates,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_token_output": op4_token_output,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_host_reputation": op6_host_reputation,
     "op7_mix_sources": op7_mix_sources,
     "op8_language_id": op8_language_id,
+    "op9_quote_links": op9_quote_links,
+    "op10_line_quality": op10_line_quality,
 }
 
 
@@ -85,5 +136,7 @@ SELECT doc_id, source, copy, {order} AS shuffle_key FROM copies"""
 
 
 ORACLE_SQL = {
+    "op6_host_reputation": host_reputation.judge_sql(URL_RULES),
+    "op10_line_quality": line_quality.quality_sql(),
     "op7_mix_sources": mix_sources_sql(),
 }
