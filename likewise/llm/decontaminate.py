@@ -193,14 +193,19 @@ def _mark(data: np.ndarray, offsets: np.ndarray, tests: TestWindows, old: list[d
         np.add.at(marks, at, 1)
         np.add.at(marks, end, -1)
         hit = np.cumsum(marks)[:-1] > 0
-        # A chain goes on where the next word starts a window that follows in an item.
         by = np.argsort(at, kind="stable")
         window, at = window[by], at[by]
         row = rows[at]
-        chained = np.zeros(len(at), bool)
-        chained[1:] = ((at[1:] == at[:-1] + 1) & (row[1:] == row[:-1])
-                       & np.isin(window[:-1] * len(tests.words) + window[1:], tests.follows))
-        head = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
+        # A chain goes on where the next word starts a window that follows in an
+        # item.  Only full windows chain, and no two of them start at one word.
+        head = np.arange(len(at))
+        full = np.flatnonzero(tests.lengths[window] == tests.window)
+        if len(full):
+            w, a, r = window[full], at[full], row[full]
+            alone = np.ones(len(full), bool)
+            alone[1:] = ((a[1:] != a[:-1] + 1) | (r[1:] != r[:-1])
+                         | ~np.isin(w[:-1] * len(tests.words) + w[1:], tests.follows))
+            head[full] = full[np.maximum.accumulate(np.where(alone, np.arange(len(full)), 0))]
         length = at - at[head] + tests.lengths[window]
         bounds = np.flatnonzero(np.append(np.append(True, row[1:] != row[:-1]), True))
         for low, high in zip(bounds, bounds[1:]):
