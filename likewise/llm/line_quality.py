@@ -105,9 +105,11 @@ def judge(docs: DataFrame, text_col: str = "text", columns: list[str] | None = N
                            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     rows = rows.withColumn("lost_chars", lost.cast("bigint"))
     kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("word_chars"))
-    return rows.select("row", F.struct(
+    # Made as a generator's row, so that a filter on it is not pushed into the
+    # expressions above, which would be computed again for each use.
+    return rows.select("row", F.explode(F.array(F.struct(
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        kept.alias("kept"), "lost_chars", F.col("clean").alias("text")).alias("quality"))
+        kept.alias("kept"), "lost_chars", F.col("clean").alias("text")))).alias("quality"))
 
 
 def clean(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
