@@ -115,7 +115,8 @@ def _bucket_links(fp: np.ndarray, run: np.ndarray, max_bits: int) -> tuple[np.nd
         at = at[run[at] == run[at + step]]
         if not len(at):
             break
-        near = np.bitwise_count(fp[at] ^ fp[at + step]) <= max_bits
+        # Unsigned, as bits of a negative number are counted by its magnitude.
+        near = np.bitwise_count((fp[at] ^ fp[at + step]).view(np.uint64)) <= max_bits
         left.append((at[near], at[near] + step))
         if sum(len(x) for x, _ in left) > 1 << 21:
             root = _forest(len(fp), *(np.concatenate(x) for x in zip(*left)))
