@@ -63,14 +63,16 @@ def with_domain(hosts: DataFrame) -> DataFrame:
 
 
 def _strength(units: DataFrame) -> float:
-    """The prior's weight in labels, by moments over units ``(n, bad, prior)``: with
-    no more spread than chance a million, at least 1."""
+    """The prior's weight in labels, by moments over units ``(n, bad, prior)``: at
+    most the number of labels it was learnt from, as with no more spread than
+    chance, and at least 1."""
     spread = units.agg(
         F.sum(F.pow(F.col("bad") - F.col("n") * F.col("prior"), F.lit(2.0))
               - F.col("n") * F.col("prior") * (1 - F.col("prior"))),
-        F.sum(F.col("n") * (F.col("n") - 1) * F.col("prior") * (1 - F.col("prior")))).first()
+        F.sum(F.col("n") * (F.col("n") - 1) * F.col("prior") * (1 - F.col("prior"))), F.sum("n")).first()
     rho = spread[0] / spread[1] if spread[1] else 0.0
-    return min(max((1 - rho) / rho, 1.0), 1e6) if rho > 0 else 1e6
+    most = float(spread[2] or 0)
+    return max(min((1 - rho) / rho, most) if rho > 0 else most, 1.0)
 
 
 def _shrunk(units: DataFrame, strength: float) -> Column:
@@ -81,7 +83,7 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     """``(host, n, bad, mean, low)`` for every distinct non-empty host of ``hosts``
     from ``outcomes`` (``host``, ``bad`` 0 or 1): the posterior mean of the share of bad pages
     and its lower bound.  Null outcomes count nothing; without any outcome the
-    share is one half and its bound 0."""
+    share is one half and its bound 0, as one label's weight is all there is."""
     seen = (outcomes.filter("host != '' AND bad IS NOT NULL").groupBy("host")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
     every = hosts.select("host").filter("host != ''").distinct()
@@ -135,8 +137,8 @@ def judge_sql(rules: list[Rule]) -> str:
         verdict = f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
     long = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
     tail = lambda n: f"array_to_string(list_slice(string_split(bare, '.'), -{n}, -1), '.')"
-    strength = """(SELECT CASE WHEN rho > 0 THEN least(greatest((1 - rho) / rho, 1.0), 1e6) ELSE 1e6 END
-    FROM (SELECT coalesce(sum(pow(bad - n * prior, 2.0) - n * prior * (1 - prior))
+    strength = """(SELECT greatest(CASE WHEN rho > 0 THEN least((1 - rho) / rho, most) ELSE most END, 1.0)
+    FROM (SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) AS most, coalesce(sum(pow(bad - n * prior, 2.0) - n * prior * (1 - prior))
           / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 0) AS rho FROM {0}))"""
     return f"""WITH rest AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
