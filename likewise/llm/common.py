@@ -52,10 +52,22 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+# Texts of one Arrow batch, so that long texts don't make a batch large.
+BATCH_BYTES = 4 << 20
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package shipped to the workers."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``df.mapInArrow`` with this package shipped to the workers, batches bounded
+    in bytes, and a worker's unused memory given back after each task."""
+    spark = df.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def utf8_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +114,7 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     n = len(data)
     if len(_powers[0]) < n + 1:
         for i, step in enumerate((_STEP, _STEP_INVERSE)):
-            run = np.full(max(n + 1, 1 << 20), step, np.uint64)
+            run = np.full(n + 1, step, np.uint64)
             run[0] = 1
             _powers[i] = np.multiply.accumulate(run)
     sums = np.zeros(n + 1, np.uint64)

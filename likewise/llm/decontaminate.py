@@ -32,7 +32,7 @@ from .common import col, map_arrow, materialize, row_blocks, segment_hashes, utf
 WINDOW = 13
 # Contaminated: one hit word or more, and at least one word in MIN_SHARE hit.
 MIN_SHARE = 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)

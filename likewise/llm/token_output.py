@@ -42,11 +42,12 @@ from .common import col, map_arrow, row_blocks, segment_hashes, utf8_bytes
 
 MAGIC = b"GRAMMAR1"
 END_ID = 0
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 6 << 20
 ROUNDS = 5
 RULES_PER_ROUND = 2048
 MIN_COUNT = 16
-CACHE_ENTRIES = 2_000_000
+CACHE_ENTRIES = 1_000_000
+ENCODE_BYTES = 1 << 20
 _PAIR_BITS = 21
 NULL_ID = -(1 << 63)
 
@@ -110,6 +111,13 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and each text's count."""
+        parts = [self._encode(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+                 for low, high in row_blocks(offsets, ENCODE_BYTES)]
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([n for _, n in parts])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         c = self.cache
