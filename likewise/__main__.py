@@ -1,6 +1,6 @@
 """Command line: the N items most similar to one item of a JSON-lines catalog.
 
-    python -m likewise --catalog catalog.jsonl --sku sku-12312 --num 10 [--master local[*]]
+    python -m likewise --catalog catalog.jsonl --sku item-7 --num 10 [--master local[*]]
 
 Prints the ids with their weights.  Without ``--master`` the session takes
 its master and settings from the Spark configuration (``spark-defaults.conf``
@@ -14,7 +14,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from . import ItemNotFound, flatten_attributes, read_catalog, top_k_similar, top_k_weights
+from . import (ItemNotFound, cached, flatten_attributes, read_catalog, top_k_similar,
+               top_k_weights)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -33,13 +34,15 @@ def main(argv: list[str] | None = None) -> int:
     spark = builder.getOrCreate()
     try:
         catalog, rejects = read_catalog(spark, args.catalog)
-        flat = flatten_attributes(catalog)
-        try:
-            top = top_k_weights(top_k_similar(flat, args.sku, args.num))
-        except ItemNotFound as err:
-            print(err, file=sys.stderr)
-            return 2
-        top.orderBy("rank").show(args.num, truncate=False)
+        # Names, look-up and scoring all read the parsed catalog.
+        with cached(catalog):
+            flat = flatten_attributes(catalog)
+            try:
+                top = top_k_weights(top_k_similar(flat, args.sku, args.num))
+            except ItemNotFound as err:
+                print(err, file=sys.stderr)
+                return 2
+            top.orderBy("rank").show(args.num, truncate=False)
         bad = rejects.count()
         if bad:
             print(f"{bad} catalog lines were rejected (malformed or without id)",

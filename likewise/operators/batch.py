@@ -38,24 +38,30 @@ The last shuffle is on the request id, whose groups are bounded by
 ``2**p x (k + 1)`` rows.
 
 The exponent is the per-item number of attributes, not the catalog's total, so
-open catalogs with many names but few per item stay cheap.  ``max_attributes``
-bounds it.
+open catalogs with many names but few per item stay cheap.  Where some item has
+more than ``max_attributes``, or the names are too many for a bigint mask, the
+same result comes from ``scan.scan_top_k``, which compares blocks of requests
+with all items.  Null ids are left out and one row per id counts
+(``one_row_per_id``), as for a single request.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..errors import TooManyAttributes
-from ..functions.columns import (MAX_SCORED_ATTRIBUTES, attr, attribute_names, bit_of,
-                                 count_from_score, mask_from_score, score_from_mask)
-from ..plans.session import shared_path
+from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, bit_of,
+                                 count_from_score, escaped, mask_from_score, score_from_mask)
+from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
+from .lookup import one_row_per_id
+from .scan import scan_top_k
 
-# 2**16 groups per item is the largest fan-out accepted by default.
-MAX_LATTICE_ATTRIBUTES = 16
+# Above 2**12 groups for some item the requests are scanned in blocks instead.
+MAX_LATTICE_ATTRIBUTES = 12
+# Spark's group limit before the shuffle ends at 1,000 rows of a group.
+MAX_GROUP_LIMIT = 1000
 # Up to this many attributes all 2**m masks are enumerated and filtered.
 DENSE_SUBSET_ATTRIBUTES = 12
 # A subset group is hot when its request rows exceed this many times the
@@ -151,6 +157,14 @@ def subset_heads(rows: DataFrame, k: int, id_col: str = "sku",
     """
     group = _group_cols()
     w = Window.partitionBy(*group).orderBy(F.asc(id_col))
+    if k + 1 > MAX_GROUP_LIMIT:
+        # No group limit runs before the shuffle then: cut salted parts first,
+        # so a group of all items is cut in many tasks.
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = Window.partitionBy(*group, "_salt").orderBy(F.asc(id_col))
+        rows = (rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
+                .withColumn("_r", F.row_number().over(salted)).filter(F.col("_r") <= k + 1)
+                .drop("_salt", "_r"))
     heads = rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k + 1)
     if drop_singletons:
         heads = heads.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy(*group))) \
@@ -158,25 +172,20 @@ def subset_heads(rows: DataFrame, k: int, id_col: str = "sku",
     return heads.drop("_r")
 
 
-def _check_lattice(flat: DataFrame, names: Sequence[str], max_attributes: int) -> None:
-    """The fan-out is ``2**p`` per item for ``p`` present attributes.
+def _fits_lattice(flat: DataFrame, names: Sequence[str], max_attributes: int) -> bool:
+    """Whether every item's subsets are few enough to be indexed.
 
     With at most ``max_attributes`` columns nothing needs checking; with more
     (an open catalog flattened to many names), one aggregate finds the largest
     number of attributes any single item has.
     """
     m = len(names)
-    if m > MAX_SCORED_ATTRIBUTES:
-        raise TooManyAttributes(f"{m} attributes; the bigint score holds at most "
-                                f"{MAX_SCORED_ATTRIBUTES}")
+    if m > MAX_BIGINT_ATTRIBUTES:
+        return False
     if m <= max_attributes:
-        return
+        return True
     present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
-    widest = flat.agg(F.max(present)).first()[0] or 0
-    if widest > max_attributes:
-        raise TooManyAttributes(
-            f"an item has {widest} attributes: the subset index fans out to 2**p groups "
-            f"per item and is limited to p <= {max_attributes}")
+    return (flat.agg(F.max(present)).first()[0] or 0) <= max_attributes
 
 
 def _spread(flat: DataFrame, id_col: str) -> DataFrame:
@@ -226,7 +235,7 @@ def _needed_groups(rows: DataFrame, req: DataFrame, n_req: int | None, m: int,
 
 
 def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str,
-           hot: DataFrame | None = None) -> DataFrame:
+           hot: DataFrame | None = None, build_heads: bool = True) -> DataFrame:
     """Join request rows to the heads of their groups.
 
     Shuffled hash join, heads as the build side: each heads partition is a
@@ -249,7 +258,7 @@ def _pairs(req: DataFrame, heads: DataFrame, m: int, id_col: str,
                      .otherwise(F.sequence(F.lit(0), F.col("_b") - 1))))
                  .drop("_b"))
         keys = [*keys, "_salt"]
-    r, h = req.alias("r"), heads.hint("shuffle_hash").alias("h")
+    r, h = req.alias("r"), (heads.hint("shuffle_hash") if build_heads else heads).alias("h")
     cond = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in keys]
     pairs = r.join(h, cond).select(
         F.col(f"r.{id_col}").alias("request_sku"),
@@ -291,7 +300,6 @@ def _hot_groups(req_items: DataFrame, req: DataFrame, names: Sequence[str],
 
 def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
                     id_col: str = "sku", include_empty: bool = True,
-                    max_attributes: int = MAX_LATTICE_ATTRIBUTES,
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                     materialize_index: bool = False,
                     hot_group_rows: int | None = None, min_level: int = 0,
@@ -304,7 +312,6 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     first (one extra write and read; worth it for long jobs on large
     clusters)."""
     names = attribute_names(flat, id_col)
-    _check_lattice(flat, names, max_attributes)
     m = len(names)
     flat = _spread(flat, id_col)
     levels = dict(min_level=min_level, max_level=max_level)
@@ -319,20 +326,11 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
         heads = subset_heads(_needed_groups(rows, req, n_req, m, max_broadcast_rows),
                              k, id_col)
     if materialize_index:
-        heads = _materialize(heads)
+        heads = materialize(heads, "subset-heads")
     hot = _hot_groups(req_items, req, names, hot_group_rows, n_req)
     return _pairs(req, heads, m, id_col, hot)
 
 
-def _materialize(heads: DataFrame) -> DataFrame:
-    """Write the heads as a table below the shared checkpoint folder and read
-    them back: the join then starts from stored files, so a lost executor
-    costs a re-read instead of re-running the fan-out and the group limit."""
-    path = shared_path(heads.sparkSession, "subset-heads")
-    heads.write.mode("errorifexists").parquet(path)
-    return heads.sparkSession.read.parquet(path)
-
-
 def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> DataFrame:
     """Best score per (request, candidate), then the top ``k`` per request.
 
@@ -347,38 +345,68 @@ def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> D
                       mask_from_score(F.col("score"), m).alias("mask"))
 
 
-def build_subset_index(flat: DataFrame, k: int, id_col: str = "sku",
-                       include_empty: bool = True,
-                       max_attributes: int = MAX_LATTICE_ATTRIBUTES) -> DataFrame:
-    """The heads of every subset group of the whole catalog, ``(_k1, _k2, _s, id)``.
-
-    Built once, it answers any number of later requests (``top_k_from_index``);
-    write it as a table to reuse it across jobs.
-    """
-    names = attribute_names(flat, id_col)
-    _check_lattice(flat, names, max_attributes)
-    return subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty),
-                        k, id_col)
+def catalog_version(flat: DataFrame, id_col: str = "sku") -> str:
+    """A digest of all rows: their number and the sum of their hashes."""
+    columns = [attr(c).cast("string") for c in sorted(flat.columns)]
+    n, total = flat.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()
+    return f"{n}:{total}"
 
 
-def top_k_from_index(flat: DataFrame, heads: DataFrame, requests: DataFrame, k: int,
-                     id_col: str = "sku", include_empty: bool = True) -> DataFrame:
-    """Answer ``requests`` from a prebuilt subset index of ``flat`` (same ``k``).
+def build_subset_index(flat: DataFrame, k: int, path: str | None = None, id_col: str = "sku",
+                       include_empty: bool = True, unique_ids: bool = False) -> str:
+    """Write the subset index of ``flat`` for up to ``k`` results and return its path.
 
-    Only the requests are fanned out; the catalog side is the stored heads.
+    It holds the items themselves (``items``, sorted by id within its files), the
+    heads of every subset group (``heads``, sorted by the group's key, so that
+    a few keys read few row groups) and one row of what it was built for
+    (``about``).  Built once, it answers any number of later requests.
     """
+    spark = flat.sparkSession
+    path = path or shared_path(spark, "subset-index")
+    version = catalog_version(flat, id_col)
+    flat = escaped(flat, id_col)
     names = attribute_names(flat, id_col)
+    flat = flat if unique_ids else one_row_per_id(flat, id_col)
+    flat.sortWithinPartitions(id_col).write.parquet(f"{path}/items")
+    flat = spark.read.parquet(f"{path}/items")
+    if not _fits_lattice(flat, names, MAX_LATTICE_ATTRIBUTES):
+        raise ValueError(f"an item has more than {MAX_LATTICE_ATTRIBUTES} attributes; batch_top_k "
+                         "answers requests on such a catalog without an index")
+    heads = subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty), k, id_col)
+    heads.sortWithinPartitions(*_group_cols()).write.parquet(f"{path}/heads")
+    about = [(k, names, id_col, include_empty, version)]
+    spark.createDataFrame(about, "k int, names array<string>, id_col string, include_empty boolean, "
+                          "version string").write.parquet(f"{path}/about")
+    return path
+
+
+def top_k_from_index(spark: SparkSession, path: str, requests: DataFrame, k: int,
+                     flat: DataFrame | None = None, include_empty: bool = True) -> DataFrame:
+    """Answer ``requests`` from the subset index at ``path``.
+
+    A larger ``k`` than the index has, another ``include_empty`` or, where
+    ``flat`` is given, another catalog raises a ValueError.  Only the requests
+    are fanned out; while their rows are counted to be few they are broadcast
+    into the scan of the stored heads, which then never move.
+    """
+    about = spark.read.parquet(f"{path}/about").first()
+    id_col, names = about["id_col"], list(about["names"])
+    if k > about["k"] or include_empty != about["include_empty"]:
+        raise ValueError(f"the index is for k <= {about['k']} and include_empty={about['include_empty']}")
+    if flat is not None and catalog_version(flat, id_col) != about["version"]:
+        raise ValueError("the index is of another catalog")
     m = len(names)
-    req_items, n_req = _requests_in_catalog(flat, requests, id_col)
+    items, heads = spark.read.parquet(f"{path}/items"), spark.read.parquet(f"{path}/heads")
+    req_items, n_req = _requests_in_catalog(items, requests, id_col)
+    req_items = materialize(req_items, "index-requests")
     req = subset_rows(req_items, names, id_col, include_empty)
-    hot = _hot_groups(req_items, req, names, None, n_req)
-    return top_k_from_pairs(_pairs(req, heads, m, id_col, hot), k, m, id_col)
-
-
-def _materialize_table(df: DataFrame, name: str) -> DataFrame:
-    path = shared_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
+    fan = req_items.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
+    if fan <= MAX_BROADCAST_ROWS:
+        pairs = _pairs(F.broadcast(req), heads, m, id_col, build_heads=False)
+    else:
+        pairs = _pairs(req, heads, m, id_col, _hot_groups(req_items, req, names, None, n_req))
+    return top_k_from_pairs(pairs, k, m, id_col)
 
 
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
@@ -386,9 +414,14 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                 max_attributes: int = MAX_LATTICE_ATTRIBUTES,
                 materialize_index: bool = False,
                 hot_group_rows: int | None = None,
-                split_level: int | None = None) -> DataFrame:
+                split_level: int | None = None, unique_ids: bool = False) -> DataFrame:
     """Top ``k`` similar items for every request (all catalog items by default).
 
+    ``requests`` may have a column ``num`` with each request's own number of
+    results, up to ``k`` (null: ``k``; of several rows for an id the largest).
+    Null ids are neither items nor requests, and one row per id counts;
+    ``unique_ids`` tells that the ids are unique and saves that check.
+
     Result: ``request_sku, rn, sku, score, match_count, mask`` with ``rn``
     from 1 (best) to ``k``, ordered by ``score desc, sku asc``, the same
     order as ``top_k_similar``.  Requests whose id is not in the catalog are
@@ -412,8 +445,19 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     """
     if k < 0:
         raise ValueError("k must not be negative")
+    if requests is not None and "num" in requests.columns:
+        wanted = materialize(requests.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("request_sku"))
+                             .agg(F.max(F.coalesce("num", F.lit(k))).alias("num")), "batch-wanted")
+        top = batch_top_k(flat, k, wanted.select(F.col("request_sku").alias(id_col)), id_col, include_empty,
+                          max_attributes, materialize_index, hot_group_rows, split_level, unique_ids)
+        return top.join(wanted, "request_sku").filter(F.col("rn") <= F.col("num")).drop("num")
+    flat = escaped(flat, id_col)
     names = attribute_names(flat, id_col)
     m = len(names)
+    flat = flat.filter(F.col(id_col).isNotNull()) if unique_ids else one_row_per_id(flat, id_col)
+    if not _fits_lattice(flat, names, max_attributes):
+        asked = flat.select(id_col) if requests is None else requests.select(id_col).distinct()
+        return scan_top_k(flat, names, k, asked, id_col, include_empty)
     lowest = 0 if include_empty else 1
     auto_split = split_level is None
     if auto_split:
@@ -422,12 +466,12 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
         # while nearly every request still finishes in it.
         split_level = (3 * m + 4) // 5 if m >= TWO_ROUND_MIN_ATTRIBUTES else 0
     split = split_level
-    common = dict(id_col=id_col, include_empty=include_empty, max_attributes=max_attributes,
+    common = dict(id_col=id_col, include_empty=include_empty,
                   materialize_index=materialize_index, hot_group_rows=hot_group_rows)
     if requests is not None:
         # The request ids are read several times (counted, joined, split into
         # finished and unfinished); store them once so their lineage runs once.
-        requests = _materialize_table(
+        requests = materialize(
             requests.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).distinct(),
             "batch-requests")
         if auto_split and (requests.count() << m) <= MAX_BROADCAST_ROWS:
@@ -444,7 +488,7 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     if k == 0 or split <= lowest or split > m:
         return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
 
-    round1 = _materialize_table(
+    round1 = materialize(
         top_k_from_pairs(candidate_pairs(flat, k, requests, min_level=split, **common),
                          k, m, id_col), "batch-round1")
     finished = round1.filter(F.col("rn") == k).select("request_sku")
@@ -460,13 +504,13 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
 
 
 def batch_top_k_indexed(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
-                        id_col: str = "sku",
-                        max_attributes: int = MAX_LATTICE_ATTRIBUTES) -> DataFrame:
+                        id_col: str = "sku", max_attributes: int = MAX_LATTICE_ATTRIBUTES,
+                        unique_ids: bool = False) -> DataFrame:
     """``batch_top_k`` restricted to candidates sharing at least one attribute
     value with the request: the empty subset is not indexed, so a request
     with fewer than ``k`` matching items gets fewer than ``k`` rows."""
     return batch_top_k(flat, k, requests, id_col, include_empty=False,
-                       max_attributes=max_attributes)
+                       max_attributes=max_attributes, unique_ids=unique_ids)
 
 
 def missing_requests(flat: DataFrame, requests: DataFrame, id_col: str = "sku") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..errors import ItemNotFound
 from ..functions.columns import attr
@@ -17,9 +17,22 @@ def lookup_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     smallest JSON text of its attributes is taken, which does not depend on
     file order.  An unknown id gives an empty frame; ``require_item`` raises.
     """
-    names = [c for c in flat.columns if c != id_col]
-    order = F.to_json(F.struct(*[attr(n) for n in names])) if names else F.lit("")
-    return flat.filter(F.col(id_col) == F.lit(sku)).orderBy(order).limit(1)
+    return flat.filter(F.col(id_col) == F.lit(sku)).orderBy(row_order(flat, id_col)).limit(1)
+
+
+def row_order(flat: DataFrame, id_col: str = "sku"):
+    """The text that decides between rows of one id: the JSON of their attributes
+    in order of the names."""
+    columns = sorted(c for c in flat.columns if c != id_col)
+    return F.to_json(F.struct(*[attr(c) for c in columns])) if columns else F.lit("")
+
+
+def one_row_per_id(flat: DataFrame, id_col: str = "sku") -> DataFrame:
+    """The catalog without null ids and with one row per id, that with the smallest
+    ``row_order``.  Each task keeps one row per id before the shuffle on the id."""
+    order = Window.partitionBy(id_col).orderBy(row_order(flat, id_col))
+    return (flat.filter(F.col(id_col).isNotNull()).withColumn("_first", F.row_number().over(order))
+            .filter("_first = 1").drop("_first"))
 
 
 def require_item(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:

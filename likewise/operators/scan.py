@@ -1,0 +1,108 @@
+"""Top k for many requests over items of any width, by blocks of requests.
+
+For items with many attributes the subset index has too many groups.  Here
+the requests are taken in blocks of bounded size; for a block every task
+compares its items with all requests of the block and keeps the best ``k`` of
+each, so what moves is at most ``k`` rows per request and task.  Attribute
+values are compared by 64-bit hashes seeded by the attribute.
+"""
+
+from __future__ import annotations
+
+import heapq
+from collections.abc import Iterator, Sequence
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, count_from_score, mask_from_score,
+                                 score_from_mask)
+from ..plans.session import materialize, ship_package
+
+# Values of one block of requests, 8 bytes each.
+BLOCK_VALUES = 1 << 18
+
+
+def _coded(flat: DataFrame, names: Sequence[str], id_col: str) -> DataFrame:
+    """``(id, values)``: a hash per attribute, 0 for an absent one."""
+    hashes = [F.when(attr(n).isNull(), F.lit(0)).otherwise(
+        F.xxhash64(F.lit(i), attr(n).cast("string"))) for i, n in enumerate(names)]
+    return flat.select(F.col(id_col).alias("id"), F.array(*hashes).alias("values"))
+
+
+def _best(items: Iterator[pa.RecordBatch], requests: np.ndarray, k: int) -> list[list]:
+    """For each request the ``k`` best ``(negative count, inverted mask, id)``."""
+    found: list[list] = [[] for _ in requests]
+    m = requests.shape[1]
+    for batch in items:
+        ids = batch.column(0).to_pylist()
+        values = batch.column(1).flatten().to_numpy().reshape(-1, m)
+        present = values != 0
+        for r, wanted in enumerate(requests):
+            same = (values == wanted) & present
+            counts = same.sum(axis=1)
+            if len(found[r]) == k and k:
+                at = np.flatnonzero(counts >= -found[r][-1][0])
+            elif len(counts) > k:
+                least = np.partition(counts, len(counts) - k)[len(counts) - k] if k else m + 1
+                at = np.flatnonzero(counts >= least)
+            else:
+                at = np.arange(len(counts))
+            if len(at):
+                masks = np.packbits(~same[at], axis=1)
+                new = ((-int(counts[i]), masks[j].tobytes(), ids[i]) for j, i in enumerate(at))
+                found[r] = heapq.nsmallest(k, [*found[r], *new])
+    return found
+
+
+def scan_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFrame,
+               id_col: str, include_empty: bool) -> DataFrame:
+    """The result of ``batch_top_k`` for the items of ``flat`` named in ``requests``;
+    ids are unique and not null."""
+    spark, m = flat.sparkSession, len(names)
+    coded = materialize(_coded(flat, names, id_col), "scan-values")
+    asked = materialize(coded.join(requests.select(F.col(id_col).alias("id")), "id", "left_semi"),
+                        "scan-requests")
+    n_blocks = max(1, -(-asked.count() * max(m, 1) // BLOCK_VALUES))
+    ship_package(spark)
+    id_type = coded.schema["id"].dataType
+    schema = StructType([StructField("request", id_type), StructField("id", id_type),
+                         StructField("bits", StringType())])
+    id_arrow = pa.int64() if isinstance(id_type, LongType) else None
+    parts = []
+    for block in range(n_blocks):
+        rows = asked.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block).collect()
+        if not rows:
+            continue
+        request_ids = [r[0] for r in rows]
+        wanted = np.array([r[1] for r in rows], np.int64).reshape(len(rows), m)
+
+        def run(batches, request_ids=request_ids, wanted=wanted):
+            # One more than k, as the request itself is among its best.
+            best = _best(batches, wanted, k + 1)
+            table = [(request_ids[r], x, mask) for r, found in enumerate(best)
+                     for _, mask, x in found if x != request_ids[r]]
+            bits = ["".join("10"[int(b)] for b in np.unpackbits(np.frombuffer(mask, np.uint8), count=m))
+                    for _, _, mask in table]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _, _ in table], id_arrow), pa.array([b for _, b, _ in table], id_arrow),
+                 pa.array(bits, pa.string())], ["request", "id", "bits"])
+
+        parts.append(coded.mapInArrow(run, schema))
+    if not parts:
+        pairs = spark.createDataFrame([], schema)
+    else:
+        pairs = reduce(DataFrame.unionAll, parts)
+    mask = F.col("bits") if m > MAX_BIGINT_ATTRIBUTES else F.conv("bits", 2, 10).cast("bigint")
+    pairs = pairs.select("request", "id", score_from_mask(mask, m).alias("score"))
+    if not include_empty:
+        pairs = pairs.filter(count_from_score(F.col("score"), m) > 0)
+    w = Window.partitionBy("request").orderBy(F.desc("score"), F.asc("id"))
+    top = pairs.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    return top.select(F.col("request").alias("request_sku"), F.col("rn").cast("int").alias("rn"),
+                      F.col("id").alias(id_col), "score",
+                      count_from_score(F.col("score"), m).alias("match_count"),
+                      mask_from_score(F.col("score"), m).alias("mask"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..errors import ItemNotFound, TooManyAttributes
 from ..functions.columns import (COMPAT_SCORE_COLUMN, INDICATOR_COLUMN, MAX_DIGIT_ATTRIBUTES,
                                  MISS_WEIGHT, attr, attribute_names, compat_weights,
-                                 count_from_score, indicator_expr, mask_expr, matches,
+                                 count_from_score, escaped, indicator_expr, mask_expr, matches,
                                  score_from_mask)
 from .lookup import exclude_item, lookup_item, target_values
 
@@ -66,8 +66,11 @@ def similarity_score(flat: DataFrame, sku, id_col: str = "sku") -> DataFrame:
     ``score = match_count * 2**m + mask`` where the mask has the alphabetically
     first attribute as its highest bit: more matches always win, and at equal
     count the match on the earlier name wins.  A perfect match scores highest
-    and no match scores 0.  Exact for up to 57 attributes.
+    and no match scores 0.  Beyond 57 attributes ``mask`` and ``score`` are text
+    that orders the same way.  Attributes named like these columns are found
+    behind the prefix ``attribute:``.
     """
+    flat = escaped(flat, id_col)
     names = attribute_names(flat, id_col)
     m = len(names)
     mask = mask_expr(names, target_values(flat, sku, id_col))

@@ -7,27 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import MapType, StructType
 
-from ..errors import TooManyAttributes
-from ..functions.columns import attr
+from ..functions.columns import attr, column_names
 
-# Flattening turns every attribute name into a column.  The list of names is
-# the schema of the result, so it is brought to the driver; this bound keeps
-# an open catalog with unbounded names from doing that.
-MAX_FLAT_ATTRIBUTES = 10_000
-
-
-def discover_names(catalog: DataFrame, max_names: int = MAX_FLAT_ATTRIBUTES) -> list[str]:
+def discover_names(catalog: DataFrame) -> list[str]:
     """Distinct attribute names of a map-form catalog, alphabetical.
 
     One distributed ``distinct`` over the map keys (partial-aggregated before
-    its shuffle); only the distinct names, at most ``max_names``, reach the
-    driver.
+    its shuffle).  The distinct names reach the driver, as they become the
+    schema of the flat form; catalogs with names too many for a schema are
+    handled in the open forms (``attributes_long``, ``similarity_open``).
     """
-    keys = (catalog.select(F.explode(F.map_keys("attributes")).alias("name"))
-            .distinct().limit(max_names + 1).collect())
-    if len(keys) > max_names:
-        raise TooManyAttributes(f"more than {max_names} attribute names")
-    return sorted(r["name"] for r in keys)
+    keys = catalog.select(F.explode(F.map_keys("attributes")).alias("name")).distinct()
+    return sorted(r["name"] for r in keys.toLocalIterator())
 
 
 def flatten_attributes(catalog: DataFrame, names: Sequence[str] | None = None,
@@ -36,17 +27,21 @@ def flatten_attributes(catalog: DataFrame, names: Sequence[str] | None = None,
 
     Accepts the map form or a struct ``attributes`` column.  Attributes are
     taken by name, never by position, so any number of attributes works and
-    an extra one is not silently dropped.
+    an extra one is not silently dropped.  An attribute named like the id or a
+    result column, or like another one in other case, is found behind the
+    prefix ``attribute:``.
     """
     dtype = catalog.schema["attributes"].dataType
     if isinstance(dtype, StructType):
         fields = [f.name for f in dtype.fields]
         names = sorted(names if names is not None else fields)
+        column = column_names(names, id_col)
         cols = [(F.col("attributes").getField(n) if n in fields else F.lit(None))
-                .cast("string").alias(n) for n in names]
+                .cast("string").alias(column[n]) for n in names]
     elif isinstance(dtype, MapType):
         names = sorted(names if names is not None else discover_names(catalog))
-        cols = [F.try_element_at("attributes", F.lit(n)).cast("string").alias(n)
+        column = column_names(names, id_col)
+        cols = [F.try_element_at("attributes", F.lit(n)).cast("string").alias(column[n])
                 for n in names]
     else:
         raise TypeError(f"attributes must be a map or a struct, not {dtype}")

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, functions as F
 
-# Tokens are maximal runs of ASCII letters and digits after lower-casing.
-TOKEN_SEPARATOR = "[^a-z0-9]+"
+# Tokens are maximal runs of letters, marks and digits of any script, after lower-casing.
+TOKEN_CHARS = r"[\p{L}\p{M}\p{N}]"
 
 
 def _pattern(term: str) -> str:
     term = term.lower()
-    if not term or not all(c.isascii() and c.isalnum() for c in term):
-        raise ValueError("term must be a non-empty run of ASCII letters and digits")
-    return f"(?<![a-z0-9]){term}(?![a-z0-9])"
+    if not term or not all(unicodedata.category(c)[0] in "LMN" for c in term):
+        raise ValueError("term must be a non-empty run of letters and digits")
+    return f"(?<!{TOKEN_CHARS}){term}(?!{TOKEN_CHARS})"
 
 
 def term_hits(text_col: str, term: str) -> F.Column:
     """How often ``term`` occurs as a whole token in the lower-cased text.
 
-    A whole token is a match not preceded or followed by an ASCII letter or
-    digit, which is the same as splitting on ``[^a-z0-9]+`` and counting equal
-    tokens, but runs as one compiled regular expression per row in generated
-    code instead of building an array of every token of the text.
+    A whole token is a match not preceded or followed by a letter, mark or
+    digit, which is the same as splitting at everything else and counting equal
+    tokens, but runs as one compiled regular expression per row instead of
+    building an array of every token of the text.
     """
     return F.regexp_count(F.lower(F.col(text_col)), F.lit(_pattern(term)))
 
@@ -29,11 +31,17 @@ def term_hits(text_col: str, term: str) -> F.Column:
 def term_match(df: DataFrame, column: str, term: str, id_col: str | None = None) -> DataFrame:
     """Rows whose ``column`` contains ``term`` as a whole token, with ``hits``.
 
-    The whole text of every row is read in one stage, with no shuffle.  Rows
-    are first kept with ``rlike``, which stops at the first hit, and only the
-    kept rows are counted in full.  The hit count over all rows is
-    ``term_match(...).count()`` or a sum of ``hits``.
+    The whole text of every row is read once in one stage, with no shuffle.
+    ``term_total`` gives the totals.
     """
     cols = [id_col] if id_col else [c for c in df.columns if c != column]
-    hit = F.lower(F.col(column)).rlike(_pattern(term))
-    return df.filter(hit).select(*cols, term_hits(column, term).alias("hits"))
+    # A generator's row, so that the filter does not count a second time.
+    hits = df.select(*cols, F.explode(F.array(term_hits(column, term))).alias("hits"))
+    return hits.filter(F.col("hits") > 0)
+
+
+def term_total(df: DataFrame, column: str, term: str) -> DataFrame:
+    """One row ``(matching_rows, hits)``: the totals of a term search, 0 without a hit."""
+    hits = df.agg(F.count_if(term_hits(column, term) > 0).alias("matching_rows"),
+                  F.coalesce(F.sum(term_hits(column, term)), F.lit(0)).cast("bigint").alias("hits"))
+    return hits

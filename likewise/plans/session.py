@@ -6,11 +6,14 @@ The library never builds its own session inside an operator: callers pass
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on.  AQE re-plans joins and
 # coalesces small shuffle partitions at run time; its skew-join rule splits a
@@ -40,12 +43,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system path and
-    is used as it is.  Only when it is unset (tests on one machine) a fresh
-    folder is created and registered.
+    is used as it is.  Only when it is unset and the master is local (tests on
+    one machine) a fresh folder is created and registered; on any other master
+    a RuntimeError is raised, as executors would not share such a folder.
     """
     try:
         sc = spark.sparkContext
@@ -56,6 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not is_local(master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
         configured = tempfile.mkdtemp(prefix="likewise-ckpt-")
     if sc is None:
         return configured
@@ -71,3 +83,33 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/likewise/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: later steps
+    start from stored files, so a lost executor costs a re-read."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers: its
+    sources go as a zip into the shared folder, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    path = sc._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "package") + "/likewise.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
+    _shipped.add(sc.applicationId)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
@@ -38,9 +38,10 @@ def read_catalog(spark: SparkSession, path: str, infer: bool = False,
     and rows without an id (``'no id'``).  They are split off instead of
     failing the job later.
 
-    With ``dedupe`` one row is kept per id: the one with the smallest
-    ``to_json(attributes)``, a choice that does not depend on file order.
-    That costs one shuffle on ``sku``; pass ``dedupe=False`` for catalogs
+    With ``dedupe`` one row is kept per id: the one with the smallest JSON text
+    of its attributes in order of their names, a choice that depends neither
+    on file nor on key order.  That costs one shuffle on ``sku``, before which
+    each task keeps one row per id; pass ``dedupe=False`` for catalogs
     whose ids are known to be unique.
 
     ``infer=True`` runs Spark's schema inference (one extra pass) and reads
@@ -78,11 +79,22 @@ def read_catalog(spark: SparkSession, path: str, infer: bool = False,
         "sku", F.coalesce("attributes", F.create_map().cast("map<string,string>"))
         .alias("attributes"))
     if dedupe:
-        good = (good.groupBy("sku")
-                .agg(F.min_by("attributes", F.to_json("attributes")).alias("attributes")))
+        good = first_per_id(good)
     return good, rejects
 
 
+def canonical_json(attributes: str = "attributes"):
+    """The JSON text of a map's entries in order of their keys."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(attributes))))
+
+
+def first_per_id(catalog: DataFrame) -> DataFrame:
+    """One row per ``sku`` of a map-form catalog, the smallest by ``canonical_json``."""
+    order = Window.partitionBy("sku").orderBy("_json")
+    return (catalog.withColumn("_json", canonical_json())
+            .withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_json", "_n"))
+
+
 def to_map(flat: DataFrame, id_col: str = "sku") -> DataFrame:
     """Flat catalog to map form; null attributes are left out of the map."""
     names = sorted(c for c in flat.columns if c != id_col)

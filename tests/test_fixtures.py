@@ -10,7 +10,8 @@ from likewise import (ItemNotFound, batch_top_k, digit_score_compat, flatten_att
 from likewise.plans.session import shared_path
 
 NAMES = list("abcdefghij")
-# six items, ten attributes; cell 7 in column a stands for 'att-a-7'.
+# Fixed values of the specification's worked example (F1): six items, ten
+# attributes; cell 7 of column a is the value 'att-a-7'.
 F1 = {
     "sku-1": [7, 3, 10, 10, 15, 11, 2, 7, 5, 14],
     "sku-2": [9, 7, 12, 4, 10, 4, 13, 4, 1, 13],

@@ -3,7 +3,7 @@
 from conftest import flat_frame
 from likewise import batch_top_k
 from likewise.plans.session import shared_path
-from likewise.streaming.requests import results, serve_requests
+from likewise.streaming.requests import missing, results, serve_requests
 from test_batch import as_lists, random_catalog
 
 
@@ -21,3 +21,4 @@ def test_stream_equals_batch(spark):
     serve_requests(spark, cat, stream, 5, out).awaitTermination()
     requests = spark.createDataFrame([(i,) for i in ids], "sku string")
     assert as_lists(results(spark, out)) == as_lists(batch_top_k(cat, 5, requests=requests))
+    assert [r.sku for r in missing(spark, out).collect()] == ["missing"]
