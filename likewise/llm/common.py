@@ -1,16 +1,13 @@
-"""Helpers shared by the operators of this subpackage."""
+"""Helpers shared by the operators of this subpackage (``materialize`` comes from
+``plans.session``)."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-from pathlib import Path
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..plans.session import shared_path
+from ..plans.session import materialize, ship_package  # noqa: F401
 
 
 def col(name: str) -> Column:
@@ -22,36 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared checkpoint folder and read it
-    back: the lineage is cut, and a lost executor costs a re-read."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the executors' Python workers: its
-    sources go as a zip into the shared folder, once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    path = sc._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "package") + "/likewise_llm.zip")
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(packed.getvalue()))
-    out.close()
-    sc.addPyFile(path.toString())
-    _shipped.add(sc.applicationId)
-
-
 # Texts of one Arrow batch, so that long texts don't make a batch large.
 BATCH_BYTES = 4 << 20
 
