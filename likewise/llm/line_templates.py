@@ -59,13 +59,11 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH) -
 def assign_templates(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(leaf, line, template)`` for the lines that share a generalised template.
 
-    ``lines`` has ``leaf, line, text``.  Leaves with one distinct line need no
-    tokens.  The commonest token of a position (the first by name in a tie) is
+    ``lines`` has ``leaf, line, text``, of leaves with several distinct lines.  The
+    commonest token of a position (the first by name in a tie) is
     constant if it fills it in at least half of the distinct lines.
     """
-    many = (lines.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high"))
-            .filter("low != high").select("leaf"))
-    distinct = lines.join(many, "leaf").groupBy("leaf", "line").agg(F.min("text").alias("text"))
+    distinct = lines.groupBy("leaf", "line").agg(F.min("text").alias("text"))
     distinct = materialize(distinct, "template-lines")
     tokens = distinct.select("leaf", "line", F.posexplode(F.split("text", " ")).alias("pos", "token"))
     counts = tokens.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("n"))
