@@ -20,15 +20,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likewise import (append_and_count, attributes_long, batch_top_k, batch_top_k_indexed,
-                      digit_score_compat, exclude_item, flatten_attributes, lookup_item,
+                      cached, digit_score_compat, exclude_item, flatten_attributes, lookup_item,
                       match_indicators, missing_requests, rank_candidates, read_catalog,
                       similarity_open, similarity_score, to_map, top_k_names, top_k_similar,
                       top_k_weights, write_catalog_json)
-from likewise.operators.text import term_match
+from likewise.functions.columns import COMPAT_SCORE_COLUMN, INDICATOR_COLUMN, NAMES_COLUMN
+from likewise.operators.text import term_match, term_total
 from likewise.plans.session import shared_path
 from likewise.sources import derived
 from likewise.sources.tables import append_rows, table_rows
-from likewise.streaming.requests import results as stream_results, serve_requests
+from likewise.streaming.requests import (missing as stream_missing, results as stream_results,
+                                         serve_requests)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -39,7 +41,9 @@ CLONE_ID = -42       # id given to the copy of the target (perfect match)
 K = 10
 TERM = "the"
 
+WIDE = 64            # attributes of the widest single request
 PART10 = list("abcdefghij")
+RESERVED_NAMES = ["Color", "color", "mask", "match_count", "score", "sku"]
 FIVE = list("abcde")
 
 
@@ -57,8 +61,43 @@ def _part10_with_clone(spark: SparkSession, sf: str) -> DataFrame:
 def q_read_catalog(spark: SparkSession, sf: str) -> DataFrame:
     path = write_catalog_json(to_map(derived.cust5(spark, sf)), shared_path(spark, "cust5-json"))
     catalog, _rejects = read_catalog(spark, path)
-    return (attributes_long(catalog).groupBy("name")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return attributes_long(catalog)
+
+
+def q_read_catalog_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as JSON lines, every tenth cut off, every seventh without an id."""
+    key, segment = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    line = F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit('{"sku":"'), key)).when(
+        F.col("c_custkey") % 7 == 0, F.concat(F.lit('{"attributes":{"a":"'), segment, F.lit('"}}'))
+    ).otherwise(F.concat(F.lit('{"sku":"'), key, F.lit('","attributes":{"a":"'), segment, F.lit('"}}')))
+    path = shared_path(spark, "customer-lines")
+    derived.table(spark, sf, "customer").select(line.alias("value")).write.text(path)
+    return read_catalog(spark, path)[1]
+
+
+def _nation_json(spark: SparkSession, sf: str) -> str:
+    """Customers under the id of their nation, so that ids repeat."""
+    flat = derived.table(spark, sf, "customer").select(
+        F.col("c_nationkey").alias("sku"), F.col("c_mktsegment").alias("a"),
+        F.col("c_custkey").cast("string").alias("b"))
+    return write_catalog_json(to_map(flat), shared_path(spark, "nation-json"))
+
+
+def q_read_catalog_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return attributes_long(read_catalog(spark, _nation_json(spark, sf))[0])
+
+
+def q_read_catalog_infer(spark: SparkSession, sf: str) -> DataFrame:
+    return attributes_long(read_catalog(spark, _nation_json(spark, sf), infer=True)[0])
+
+
+def q_cached(spark: SparkSession, sf: str) -> DataFrame:
+    """Two actions on one cached catalog: its items, and its attributes by name."""
+    with cached(to_map(derived.docs5(spark, sf))) as catalog:
+        n = catalog.count()
+        counts = attributes_long(catalog).groupBy("name").agg(F.count(F.lit(1)).alias("n_present"))
+        rows = [(r["name"], r["n_present"], n) for r in counts.collect()]
+    return spark.createDataFrame(rows, "name string, n_present bigint, n_items bigint")
 
 
 def q_flatten_attributes(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +141,7 @@ def q_similarity_open(spark: SparkSession, sf: str) -> DataFrame:
 def q_rank_candidates(spark: SparkSession, sf: str) -> DataFrame:
     scored = digit_score_compat(_part10_with_clone(spark, sf), TARGET)
     return rank_candidates(scored, "compat", m=len(PART10)).select(
-        "sku", "concatealldiffcols", "rank")
+        "sku", COMPAT_SCORE_COLUMN, "rank")
 
 
 def q_rank_candidates_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,31 +150,61 @@ def q_rank_candidates_fixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top_k_similar(spark: SparkSession, sf: str) -> DataFrame:
-    return top_k_similar(derived.part10(spark, sf), TARGET, K)
+    return top_k_similar(derived.part10(spark, sf), TARGET, K, unique_ids=True)
+
+
+def q_top_k_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """64 attributes: more than a bigint score can hold."""
+    wide = derived.orders_wide(spark, sf, WIDE)
+    return top_k_weights(top_k_similar(wide, wide_target(spark, sf), K, unique_ids=True)).select(
+        "sku", "rank", "match_count", "matched")
+
+
+def wide_target(spark: SparkSession, sf: str) -> int:
+    """The customer with the smallest id that has orders."""
+    return derived.table(spark, sf, "orders").agg(F.min("o_custkey")).first()[0]
+
+
+def q_reserved_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Six attributes named like result columns, the id, and each other."""
+    flat = derived.part10(spark, sf)
+    pairs = [x for n, c in zip(RESERVED_NAMES, PART10) for x in (F.lit(n), F.col(c))]
+    catalog = flat.select("sku", F.create_map(*pairs).alias("attributes"))
+    top = top_k_similar(flatten_attributes(catalog, RESERVED_NAMES), TARGET, K)
+    return top_k_weights(top).select("sku", "rank", "score", "match_count", "mask", "matched")
 
 
 def q_top_k_names(spark: SparkSession, sf: str) -> DataFrame:
-    return top_k_names(top_k_similar(derived.part10(spark, sf), TARGET, K))
+    return top_k_names(q_top_k_similar(spark, sf))
 
 
 def q_top_k_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return top_k_weights(top_k_similar(derived.part10(spark, sf), TARGET, K))
+    return top_k_weights(q_top_k_similar(spark, sf))
 
 
 def q_batch_top_k(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_top_k(derived.part10(spark, sf), K)
+    return batch_top_k(derived.part10(spark, sf), K, unique_ids=True)
 
 
-def popular_parts(spark: SparkSession, sf: str, n: int = 200) -> DataFrame:
-    """Request ids: the ``n`` parts on most order lines (a top-n report over
-    lineitem, ties by key)."""
+def q_batch_top_k_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Every part on an order line, each with its own number of results."""
     li = derived.table(spark, sf, "lineitem")
-    return (li.groupBy(F.col("l_partkey").alias("sku")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "sku").limit(n).select("sku"))
+    asked = li.select(F.col("l_partkey").alias("sku"), (1 + F.col("l_partkey") % K).alias("num")).distinct()
+    return batch_top_k(derived.part10(spark, sf), K, requests=asked, unique_ids=True)
 
 
-def q_batch_top_k_requests(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_top_k(derived.part10(spark, sf), K, requests=popular_parts(spark, sf))
+def q_batch_top_k_k2000(spark: SparkSession, sf: str) -> DataFrame:
+    """2,000 results for the parts whose key is that of a nation."""
+    asked = derived.table(spark, sf, "nation").select(F.col("n_nationkey").alias("sku"))
+    return batch_top_k(derived.part10(spark, sf), 2000, requests=asked, unique_ids=True)
+
+
+def q_batch_top_k_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return batch_top_k(derived.part10_dirty(spark, sf), K)
+
+
+def q_batch_top_k_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return batch_top_k(derived.orders_wide(spark, sf, 24), K, unique_ids=True)
 
 
 def q_batch_top_k_sparse(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,7 +212,7 @@ def q_batch_top_k_sparse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_batch_top_k_indexed(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_top_k_indexed(derived.cust5(spark, sf), K)
+    return batch_top_k_indexed(derived.cust5(spark, sf), K, unique_ids=True)
 
 
 def q_missing_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,18 +229,28 @@ def q_append_and_count(spark: SparkSession, sf: str) -> DataFrame:
     return table_rows(spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
-def q_stream_top_k(spark: SparkSession, sf: str) -> DataFrame:
-    """Requests for every part on an order line, streamed in two file batches
-    and answered from the stored subset index of part10."""
-    flat = derived.part10(spark, sf)
-    req_dir = shared_path(spark, "ordered-parts")
-    (derived.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("sku")).distinct()
-     .repartition(2, "sku").write.parquet(req_dir))
-    stream = (spark.readStream.schema("sku bigint").option("maxFilesPerTrigger", 1)
-              .parquet(req_dir))
+def _served(spark: SparkSession, sf: str, key: str) -> str:
+    """Serve a stream of all values of a lineitem key from the stored index of part10."""
+    req_dir = shared_path(spark, "stream-requests")
+    (derived.table(spark, sf, "lineitem").select(F.col(key).alias("sku")).distinct()
+     .write.parquet(req_dir))
+    stream = spark.readStream.schema("sku bigint").parquet(req_dir)
     out = shared_path(spark, "stream-answers")
-    serve_requests(spark, flat, stream, K, out).awaitTermination()
-    return stream_results(spark, out)
+    serve_requests(spark, derived.part10(spark, sf), stream, K, out, unique_ids=True).awaitTermination()
+    return out
+
+
+def q_stream_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return stream_results(spark, _served(spark, sf, "l_partkey"))
+
+
+def q_stream_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Order keys as requests: those that are no part key."""
+    return stream_missing(spark, _served(spark, sf, "l_orderkey"))
+
+
+def q_term_total(spark: SparkSession, sf: str) -> DataFrame:
+    return term_total(derived.table(spark, sf, "documents"), "text", TERM)
 
 
 def q_term_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,6 +260,10 @@ def q_term_match(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_catalog": q_read_catalog,
+    "read_catalog_rejects": q_read_catalog_rejects,
+    "read_catalog_duplicates": q_read_catalog_duplicates,
+    "read_catalog_infer": q_read_catalog_infer,
+    "cached": q_cached,
     "flatten_attributes": q_flatten_attributes,
     "attributes_long": q_attributes_long,
     "json_attributes": q_json_attributes,
@@ -193,16 +276,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_candidates": q_rank_candidates,
     "rank_candidates_fixed": q_rank_candidates_fixed,
     "top_k_similar": q_top_k_similar,
+    "top_k_wide": q_top_k_wide,
+    "reserved_names": q_reserved_names,
     "top_k_names": q_top_k_names,
     "top_k_weights": q_top_k_weights,
     "batch_top_k": q_batch_top_k,
     "batch_top_k_requests": q_batch_top_k_requests,
+    "batch_top_k_k2000": q_batch_top_k_k2000,
+    "batch_top_k_dirty": q_batch_top_k_dirty,
+    "batch_top_k_wide": q_batch_top_k_wide,
     "batch_top_k_sparse": q_batch_top_k_sparse,
     "batch_top_k_indexed": q_batch_top_k_indexed,
     "missing_requests": q_missing_requests,
     "append_and_count": q_append_and_count,
     "term_match": q_term_match,
+    "term_total": q_term_total,
     "stream_top_k": q_stream_top_k,
+    "stream_missing": q_stream_missing,
 }
 
 
@@ -213,12 +303,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _present(module: str) -> bool:
     """Whether a module is there; errors inside it are not hidden."""
-    return importlib.util.find_spec(module) is not None
+    package = module.rpartition(".")[0]
+    return (not package or _present(package)) and importlib.util.find_spec(module) is not None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = dict(QUERIES)
-    if _present("likewise.llm"):
+    if _present("likewise.llm.queries"):
         from likewise.llm.queries import QUERIES as llm_queries
         found |= llm_queries
         if _present("corpus_pipeline"):
@@ -290,17 +381,17 @@ def _indicators_sql(cat: str, names: list[str], target: int) -> str:
     m = len(names)
     cols = ", ".join(f"x.{n}" for n in names)
     ind = ", ".join(f"CAST(CASE WHEN x.{n} = t.{n} THEN {m - 1 - i} ELSE -1 END AS INTEGER) "
-                    f"AS col_{n}_diff" for i, n in enumerate(names))
+                    f"AS {INDICATOR_COLUMN.format(n)}" for i, n in enumerate(names))
     return f"""SELECT x.sku, {cols}, {ind}
   FROM {cat} x, (SELECT * FROM {cat} WHERE sku = {target}) t
   WHERE x.sku <> {target}"""
 
 
 def _compat_sql(cat: str, names: list[str], target: int) -> str:
-    cols = ", ".join(["sku", *names, *[f"col_{n}_diff" for n in names]])
-    concat = ", ".join(f"col_{n}_diff" for n in names)
+    cols = ", ".join(["sku", *names, *[INDICATOR_COLUMN.format(n) for n in names]])
+    concat = ", ".join(INDICATOR_COLUMN.format(n) for n in names)
     return f"""SELECT {cols},
-         TRY_CAST(regexp_replace(concat({concat}), '-1', '', 'g') AS INTEGER) AS concatealldiffcols
+         TRY_CAST(regexp_replace(concat({concat}), '-1', '', 'g') AS INTEGER) AS {COMPAT_SCORE_COLUMN}
   FROM ({_indicators_sql(cat, names, target)})"""
 
 
@@ -323,6 +414,12 @@ ranked AS (
 SELECT request_sku, rn, sku, score, match_count, mask FROM ranked WHERE rn <= {k}"""
 
 
+def _wide_sql(m: int) -> str:
+    cols = ", ".join(f"max(CASE WHEN o_orderkey % {m} = {i} THEN o_orderpriority END) AS o{i:02d}"
+                     for i in range(m))
+    return f"wide AS (SELECT o_custkey AS sku, {cols} FROM orders GROUP BY o_custkey)"
+
+
 def _long_sql(cat: str, names: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT sku, '{n}' AS name, {n} AS value FROM {cat} WHERE {n} IS NOT NULL"
@@ -347,13 +444,34 @@ def oracle_sql() -> dict[str, str]:
     p10 = PART10
     top = f"""SELECT * FROM ({_scored_sql('part10', p10, TARGET)})
   ORDER BY score DESC, sku ASC LIMIT {K}"""
+    six = PART10[:6]
+    six_top = f"""SELECT * FROM ({_scored_sql('part10', six, TARGET)})
+  ORDER BY score DESC, sku ASC LIMIT {K}"""
+    wide = [f"o{i:02d}" for i in range(WIDE)]
+    wide_same = {n: f"CASE WHEN x.{n} = t.{n} THEN {{}} END" for n in wide}
+    nation_first = """WITH first AS (
+  SELECT c_nationkey AS sku, min('{"a":"' || c_mktsegment || '","b":"' || c_custkey || '"}') AS j
+  FROM customer GROUP BY c_nationkey)
+SELECT CAST(sku AS VARCHAR) AS sku, 'a' AS name, json_extract_string(j, '$.a') AS value FROM first
+UNION ALL SELECT CAST(sku AS VARCHAR), 'b', json_extract_string(j, '$.b') FROM first"""
+    hits = f"""SELECT doc_id, CAST(len(list_filter(
+    string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda tok: tok = '{TERM}')) AS INTEGER) AS hits
+  FROM documents"""
     open_matched = ", ".join(f"CASE WHEN x.{n} = t.{n} THEN '{n}' END" for n in FIVE)
     llm_sql = {}
-    if _present("likewise.llm"):
+    if _present("likewise.llm.queries"):
         from likewise.llm.queries import ORACLE_SQL as llm_sql
     return llm_sql | {
         "read_catalog": f"""WITH {CTE_CUST5}, long AS ({_long_sql('cust5', FIVE)})
-SELECT name, count(*) AS n FROM long GROUP BY name""",
+SELECT CAST(sku AS VARCHAR) AS sku, name, value FROM long""",
+        "read_catalog_rejects": """SELECT CASE WHEN c_custkey % 10 = 0 THEN '{"sku":"' || c_custkey
+            ELSE '{"attributes":{"a":"' || c_mktsegment || '"}}' END AS line,
+       CASE WHEN c_custkey % 10 = 0 THEN 'malformed' ELSE 'no id' END AS reason
+FROM customer WHERE c_custkey % 10 = 0 OR c_custkey % 7 = 0""",
+        "read_catalog_duplicates": nation_first,
+        "read_catalog_infer": nation_first,
+        "cached": f"""WITH {CTE_DOCS5}, long AS ({_long_sql('docs5', FIVE)})
+SELECT name, count(*) AS n_present, (SELECT count(*) FROM docs5) AS n_items FROM long GROUP BY name""",
         "flatten_attributes": f"WITH {CTE_CUST5} SELECT * FROM cust5",
         "attributes_long": f"WITH {CTE_DOCS5} {_long_sql('docs5', FIVE)}",
         "json_attributes": """WITH event2 AS (
@@ -372,23 +490,42 @@ SELECT x.sku, CAST({_count_sql(FIVE)} AS INTEGER) AS match_count,
 FROM docs5 x, (SELECT * FROM docs5 WHERE sku = {OPEN_TARGET}) t
 WHERE x.sku <> {OPEN_TARGET}""",
         "rank_candidates": f"""WITH {CTE_PART10_CLONE}
-SELECT sku, concatealldiffcols,
-       CAST(rank() OVER (ORDER BY concatealldiffcols ASC NULLS FIRST) AS INTEGER) AS rank
+SELECT sku, {COMPAT_SCORE_COLUMN},
+       CAST(rank() OVER (ORDER BY {COMPAT_SCORE_COLUMN} ASC NULLS FIRST) AS INTEGER) AS rank
 FROM ({_compat_sql('part10c', p10, TARGET)})""",
         "rank_candidates_fixed": f"""WITH {CTE_PART10_CLONE}
-SELECT sku, score, CAST(rank() OVER (ORDER BY score DESC) AS INTEGER) AS rank
+SELECT sku, score, rank() OVER (ORDER BY score DESC) AS rank
 FROM ({_scored_sql('part10c', p10, TARGET)})""",
         "top_k_similar": f"WITH {CTE_PART10} {top}",
+        "top_k_wide": f"""WITH {_wide_sql(WIDE)}, scored AS (
+  SELECT x.sku, {_count_sql(wide)} AS n,
+         concat({", ".join(f"CASE WHEN x.{c} = t.{c} THEN '1' ELSE '0' END" for c in wide)}) AS bits,
+         concat_ws(',', {", ".join(v.format(f"'{c}'") for c, v in wide_same.items())}) AS matched
+  FROM wide x, (SELECT * FROM wide ORDER BY sku LIMIT 1) t WHERE x.sku <> t.sku)
+SELECT sku, CAST(row_number() OVER (ORDER BY n DESC, bits DESC, sku) AS INTEGER) AS rank,
+       CAST(n AS INTEGER) AS match_count, matched
+FROM (SELECT * FROM scored ORDER BY n DESC, bits DESC, sku LIMIT {K})""",
+        "reserved_names": f"""WITH {CTE_PART10}
+SELECT sku, CAST(row_number() OVER (ORDER BY score DESC, sku ASC) AS INTEGER) AS rank,
+       score, match_count, mask, concat_ws(',', {", ".join(
+           f"CASE WHEN (mask & {1 << (5 - i)}) <> 0 THEN '{n}' END" for i, n in enumerate(RESERVED_NAMES))}) AS matched
+FROM ({six_top})""",
         "top_k_names": f"""WITH {CTE_PART10}
-SELECT sku AS "Most Similar SKU's" FROM ({top})""",
+SELECT sku AS "{NAMES_COLUMN}" FROM ({top})""",
         "top_k_weights": f"""WITH {CTE_PART10}
 SELECT sku, CAST(row_number() OVER (ORDER BY score DESC, sku ASC) AS INTEGER) AS rank,
        score, match_count, mask, {_digits_sql(p10)} AS digits, {_matched_sql(p10)} AS matched
 FROM ({top})""",
         "batch_top_k": f"WITH {CTE_PART10}, {_batch_sql('part10', p10, K)}",
         "batch_top_k_requests": f"WITH {CTE_PART10}, " + _batch_sql(
-            "part10", p10, K, requests="SELECT l_partkey FROM lineitem GROUP BY l_partkey "
-                                       "ORDER BY count(*) DESC, l_partkey LIMIT 200"),
+            "part10", p10, K, requests="SELECT l_partkey FROM lineitem")
+            + " AND rn <= 1 + request_sku % 10",
+        "batch_top_k_k2000": f"WITH {CTE_PART10}, " + _batch_sql(
+            "part10", p10, 2000, requests="SELECT n_nationkey FROM nation"),
+        "batch_top_k_dirty": f"""WITH {CTE_PART10}, dirty AS (
+  SELECT sku, CASE WHEN sku % 3 = 0 THEN 'A0' ELSE a END AS a, b, c, d, e, f, g, h, i, j FROM part10),
+{_batch_sql('dirty', p10, K)}""",
+        "batch_top_k_wide": f"WITH {_wide_sql(24)}, {_batch_sql('wide', [f'o{i:02d}' for i in range(24)], K)}",
         "batch_top_k_sparse": f"WITH {CTE_DOCS5}, {_batch_sql('docs5', FIVE, K)}",
         "batch_top_k_indexed": f"WITH {CTE_CUST5}, "
                                f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
@@ -397,8 +534,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "append_and_count": "SELECT CAST(2 * count(*) AS BIGINT) AS n FROM nation",
         "stream_top_k": f"WITH {CTE_PART10}, "
                         f"{_batch_sql('part10', p10, K, requests='SELECT l_partkey FROM lineitem')}",
-        "term_match": f"""SELECT doc_id, hits FROM (
-  SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'),
-                                      lambda tok: tok = '{TERM}')) AS INTEGER) AS hits
-  FROM documents) WHERE hits > 0""",
+        "stream_missing": """SELECT DISTINCT l_orderkey AS sku FROM lineitem
+WHERE l_orderkey NOT IN (SELECT p_partkey FROM part)""",
+        "term_match": f"SELECT doc_id, hits FROM ({hits}) WHERE hits > 0",
+        "term_total": f"""SELECT count(*) FILTER (WHERE hits > 0) AS matching_rows,
+       CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits FROM ({hits})""",
     }

@@ -83,4 +83,19 @@ def event2(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.try_element_at(props, F.lit("k")).alias("k"))
 
 
-ADAPTERS = {"part10": part10, "cust5": cust5, "docs5": docs5, "event2": event2}
+def orders_wide(spark: SparkSession, sf_dir: str, m: int) -> DataFrame:
+    """``m`` attributes per customer: attribute ``o<i>`` is the highest priority
+    among the customer's orders whose key leaves ``i`` divided by ``m``."""
+    o = table(spark, sf_dir, "orders")
+    return o.groupBy(F.col("o_custkey").alias("sku")).agg(*[
+        F.max(F.when(F.col("o_orderkey") % m == i, F.col("o_orderpriority"))).alias(f"o{i:02d}")
+        for i in range(m)])
+
+
+def part10_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part10`` with small parts once more without an id, and every third part
+    once more with another value of ``a`` that makes this row the one that counts."""
+    p = part10(spark, sf_dir)
+    no_id = p.filter(F.col("e").cast("int") <= 10).withColumn("sku", F.lit(None).cast("bigint"))
+    again = p.filter(F.col("sku") % 3 == 0).withColumn("a", F.lit("A0"))
+    return p.unionByName(no_id).unionByName(again)
