@@ -110,11 +110,19 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = labelled.filter(col(lang_col).isNotNull() & col(text_col).rlike(r"\p{L}"))
     rows = rows.select(col(lang_col).alias("lang"), col(text_col).alias("text"),
                        F.xxhash64(col(id_col), col(text_col)).alias("draw"))
-    names = [r[0] for r in rows.select("lang").distinct().limit(max_languages + 1).collect()]
-    if len(names) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
     fits = rows.withColumn("size", F.octet_length("text")).filter(F.col("size") <= dictionary_bytes)
-    drawn = Window.partitionBy("lang").orderBy("draw", "text")
+    counts = rows.groupBy("lang").agg(F.count_if(F.octet_length("text") <= dictionary_bytes).alias("n"))
+    counts = dict(map(tuple, counts.limit(max_languages + 1).collect()))
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    # Of a language's rows only about twice the sample is ever moved: those whose
+    # hash is small enough, however many rows and tasks there are.
+    names, share = list(counts), F.lit(1.0)
+    for name, n in counts.items():
+        share = F.when(F.col("lang") == name, min(1.0, 2.0 * docs_per_language / max(n, 1))).otherwise(share)
+    place = F.pmod(F.col("draw"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    fits = fits.withColumn("place", place).filter(F.col("place") < share)
+    drawn = Window.partitionBy("lang").orderBy("place", "draw", "text")
     sample = (fits.withColumn("n", F.row_number().over(drawn))
               .filter(F.col("n") <= docs_per_language))
     # Texts beyond the sample's size stay on the executors.
