@@ -44,7 +44,7 @@ def test_lookup_pushes_filter_to_scan(spark):
 
 def test_single_request_plan_has_no_shuffle(spark):
     p = derived.part10(spark, SF_SMOKE)
-    plan = plan_of(top_k_similar(p, 42, 10))
+    plan = plan_of(top_k_similar(p, 42, 10, unique_ids=True))
     assert "TakeOrderedAndProject" in plan
     assert "Exchange" not in plan
     # the scan reads only the six columns part10 needs
