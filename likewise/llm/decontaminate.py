@@ -295,3 +295,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
     found = find_contamination(docs, benchmark, **options)
     return found.filter(~F.col("match.contaminated")).select("row.*")
+
+
+def contamination_sql(window: int = WINDOW, min_share: int = MIN_SHARE) -> str:
+    """DuckDB SQL for ``doc_id`` and the match of every row of ``documents``."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = (f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), "
+             "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), {window}) AS n, array_to_string(list_slice(w, i, i + {window - 1}), ' ') AS k
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window - 1}, least(len(w), 1)) + 1)) AS i FROM b)),
+placed AS (
+  SELECT r, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS k
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT r, p, n, item FROM placed JOIN windows USING (n, k)),
+covered AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS x FROM hits) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+          FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {min_share} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""

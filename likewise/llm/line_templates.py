@@ -127,3 +127,44 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "row", F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n")).alias("text"),
         F.coalesce(F.size(_full(every)), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size(every) - F.size("kept"), F.lit(0)).cast("bigint").alias("n_dropped"))
+
+
+def templates_sql(min_docs: int = MIN_DOCS, depth: int = DEPTH, similarity: float = SIMILARITY) -> str:
+    """DuckDB SQL for ``doc_id, text, n_lines, n_dropped`` of ``documents``."""
+    return f"""WITH d AS (
+  SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY doc_id, text) AS doc, doc_id, text FROM documents),
+lines AS (
+  SELECT r, doc, line, i, regexp_replace(trim(regexp_replace(line, '\\s+', ' ', 'g')),
+                                         '[^ ]*[0-9][^ ]*', '{VARIABLE}', 'g') AS m
+  FROM (SELECT r, doc, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM d)),
+full_lines AS (
+  SELECT *, len(string_split(m, ' ')) || ' ' || array_to_string(list_slice(string_split(m, ' '), 1, {depth}), ' ') AS leaf
+  FROM lines WHERE regexp_matches(line, '\\S')),
+every AS (SELECT DISTINCT leaf, m FROM full_lines),
+many AS (SELECT * FROM every WHERE leaf IN (SELECT leaf FROM every GROUP BY leaf HAVING count(*) > 1)),
+tokens AS (
+  SELECT leaf, m, unnest(string_split(m, ' ')) AS token, unnest(range(1, len(string_split(m, ' ')) + 1)) AS pos FROM many),
+counts AS (SELECT leaf, pos, token, count(*) AS n FROM tokens GROUP BY leaf, pos, token),
+common AS (
+  SELECT leaf, pos, token, 2 * n >= total AS constant
+  FROM (SELECT *, sum(n) OVER (PARTITION BY leaf, pos) AS total,
+               row_number() OVER (PARTITION BY leaf, pos ORDER BY n DESC, token DESC) AS best FROM counts)
+  WHERE best = 1),
+alike AS (
+  SELECT t.leaf, t.m FROM tokens t JOIN common c ON c.leaf = t.leaf AND c.pos = t.pos
+  GROUP BY t.leaf, t.m HAVING count(*) FILTER (WHERE t.token = c.token) >= {similarity} * count(*)),
+named AS (
+  SELECT f.*, CASE WHEN a.m IS NULL THEN '1 ' || f.m ELSE '2 ' || f.leaf END AS template
+  FROM full_lines f LEFT JOIN alike a ON a.leaf = f.leaf AND a.m = f.m),
+often AS (SELECT template FROM named GROUP BY template HAVING count(DISTINCT doc) >= {min_docs}),
+judged AS (
+  SELECT l.r, l.line, l.i, n.template IS NOT NULL AS is_full, n.template IN (SELECT template FROM often) AS gone
+  FROM lines l LEFT JOIN named n ON n.r = l.r AND n.i = l.i),
+joined AS (
+  SELECT r, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(gone, false)), '') AS kept,
+         count(*) FILTER (WHERE is_full) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
+  FROM judged GROUP BY r)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN kept END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
+FROM d LEFT JOIN joined USING (r)"""

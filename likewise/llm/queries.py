@@ -44,8 +44,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), m["n_words"].alias("n_words"),
         m["n_hit"].alias("n_hit"), F.size(m["items"]).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(m["items"], ","), 256).alias("items_sha256"),
-        m["contaminated"].alias("contaminated"), m["longest"].alias("longest"),
-        m["longest_at"].alias("longest_at"))
+        m["contaminated"].alias("contaminated"))
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +135,8 @@ SELECT doc_id, source, copy, {order} AS shuffle_key FROM copies"""
 
 
 ORACLE_SQL = {
+    "op1_line_templates": line_templates.templates_sql(),
+    "op3_decontaminate": decontaminate.contamination_sql(),
     "op6_host_reputation": host_reputation.judge_sql(URL_RULES),
     "op10_line_quality": line_quality.quality_sql(),
     "op7_mix_sources": mix_sources_sql(),
