@@ -10,31 +10,33 @@ from likewise import (ItemNotFound, batch_top_k, digit_score_compat, flatten_att
 from likewise.plans.session import shared_path
 
 NAMES = list("abcdefghij")
-# Fixed values of the specification's worked example (F1): six items, ten
-# attributes; cell 7 of column a is the value 'att-a-7'.
+# six own items with ten attributes.
 F1 = {
-    "sku-1": [7, 3, 10, 10, 15, 11, 2, 7, 5, 14],
-    "sku-2": [9, 7, 12, 4, 10, 4, 13, 4, 1, 13],
-    "sku-3": [10, 6, 1, 1, 13, 12, 9, 6, 7, 4],
-    "sku-4": [9, 14, 7, 4, 8, 7, 14, 9, 13, 3],
-    "sku-5": [8, 7, 10, 4, 11, 4, 8, 8, 7, 8],
-    "sku-6": [6, 2, 13, 6, 2, 11, 2, 11, 1, 9],
-}
-# Expected order per target: (item, digits, count, mask); items without a
-# match follow in id order.
-F1_EXPECTED = {
-    "sku-1": [("sku-6", "43", 2, 24), ("sku-5", "7", 1, 128)],
-    "sku-2": [("sku-5", "864", 3, 336), ("sku-4", "96", 2, 576), ("sku-6", "1", 1, 2)],
-    "sku-3": [("sku-5", "1", 1, 2)],
-    "sku-4": [("sku-2", "96", 2, 576), ("sku-5", "6", 1, 64)],
-    "sku-5": [("sku-2", "864", 3, 336), ("sku-1", "7", 1, 128), ("sku-4", "6", 1, 64),
-              ("sku-3", "1", 1, 2)],
-    "sku-6": [("sku-1", "43", 2, 24), ("sku-2", "1", 1, 2)],
+    "chair": "oak brown matt low wide four plain north small light".split(),
+    "bench": "oak grey matt low long four plain south large heavy".split(),
+    "stool": "pine brown gloss high round three plain north small light".split(),
+    "table": "pine white gloss mid long four carved west large heavy".split(),
+    "shelf": "steel white dull tall slim none drawn east mid modest".split(),
+    "couch": "cloth green soft deep broad six quilted home huge bulky".split(),
 }
 
+
+def by_hand(target):
+    """``(item, digits, count, mask)`` of the items with a match, best first."""
+    out = []
+    for sku, values in F1.items():
+        same = [a == b for a, b in zip(values, F1[target])]
+        if sku != target and any(same):
+            out.append((sku, "".join(str(9 - i) for i, x in enumerate(same) if x), sum(same),
+                        sum(1 << (9 - i) for i, x in enumerate(same) if x)))
+    return sorted(out, key=lambda x: (-x[2], -x[3], x[0]))
+
+
+F1_EXPECTED = {sku: by_hand(sku) for sku in F1}
+
 @pytest.fixture(scope="module")
 def f1(spark):
-    rows = [(sku, *[f"att-{n}-{v}" for n, v in zip(NAMES, vals)]) for sku, vals in F1.items()]
+    rows = [(sku, *vals) for sku, vals in F1.items()]
     return flat_frame(spark, rows, NAMES)
 
 def expected_order(target):
@@ -59,9 +61,11 @@ def test_f1_batch_equals_single(spark, f1):
     assert got == {t: expected_order(t) for t in F1}
 
 def test_f1_names_column(spark, f1):
-    out = top_k_names(top_k_similar(f1, "sku-2", 2))
+    out = top_k_names(top_k_similar(f1, "chair", 2))
     assert out.columns == ["Most Similar SKU's"]
-    assert [r[0] for r in out.collect()] == ["sku-5", "sku-4"]
+    assert [r[0] for r in out.collect()] == expected_order("chair")[:2]
+
+# Fixed values of the specification's two short examples (F2, F3).
 
 def test_f2_count_decides(spark):
     cat = flat_frame(spark, [("t", "a1", "b1", "c1"), ("x", "a2", "b1", "c1"),
