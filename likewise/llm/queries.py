@@ -138,6 +138,7 @@ ORACLE_SQL = {
     "op1_line_templates": line_templates.templates_sql(),
     "op3_decontaminate": decontaminate.contamination_sql(),
     "op6_host_reputation": host_reputation.judge_sql(URL_RULES),
+    "op9_quote_links": quote_links.reply_ordered_sql(),
     "op10_line_quality": line_quality.quality_sql(),
     "op7_mix_sources": mix_sources_sql(),
 }

@@ -169,3 +169,62 @@ def format_chat(ordered: DataFrame, conv_col: str = "conv_id", role_col: str = "
     return told.groupBy(conv_col, "part").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("position", F.coalesce("line", F.lit("")).alias("line")))),
         lambda x: x["line"]), "").alias("chat"))
+
+
+def reply_ordered_sql() -> str:
+    """DuckDB SQL for ``reply_ordered`` of ``conversations``."""
+    normal = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
+    keys = ("list_distinct(list_filter(list_transform(list_concat([{0}], string_split_regex({0}, '\\n\\s*\\n'), "
+            "string_split({0}, chr(10))), lambda p: " + normal.format("p") + "), lambda p: p <> ''))")
+    return f"""WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS r, conv_id AS conv, turn, role, text FROM conversations),
+split AS (
+  SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM m),
+lines AS (
+  SELECT r, i, len(regexp_extract_all(regexp_extract(line, '{_PREFIX}'), '>')) AS level,
+         regexp_replace(line, '{_PREFIX}[ \t]?', '') AS body FROM split),
+near AS (
+  SELECT *, coalesce(lag(level) OVER (PARTITION BY r ORDER BY i), -1) <> level AS cut,
+         coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) AS next_level FROM lines),
+runs AS (SELECT *, sum(CAST(cut AS INT)) OVER (PARTITION BY r ORDER BY i) AS passage FROM near),
+passages AS (
+  SELECT r, passage, any_value(level) AS level, string_agg(body, chr(10) ORDER BY i) AS text
+  FROM runs WHERE level > 0 GROUP BY r, passage),
+full_passages AS (SELECT * FROM passages WHERE {normal.format("text")} <> ''),
+owned AS (
+  SELECT r, trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (
+           WHERE level = 0 AND NOT (next_level > 0 AND regexp_matches(body, '{_INTRODUCTION}'))), ''),
+         ' ' || chr(10) || chr(9)) AS own, max(level) AS top FROM runs GROUP BY r),
+said AS (SELECT m.*, CASE WHEN top > 0 THEN own ELSE text END AS own FROM m JOIN owned USING (r)),
+sources AS (
+  SELECT DISTINCT conv, turn, unnest({keys.format("coalesce(own, '')")}) AS k FROM said WHERE turn IS NOT NULL),
+quoted AS (
+  SELECT r, conv, turn, passage, level, unnest({keys.format("p.text")}) AS k
+  FROM full_passages p JOIN m USING (r) WHERE turn IS NOT NULL),
+found AS (
+  SELECT q.r, q.conv, q.turn, level, length(q.k) AS size, max(s.turn) AS found
+  FROM quoted q JOIN sources s ON s.conv IS NOT DISTINCT FROM q.conv AND s.k = q.k AND s.turn < q.turn
+  GROUP BY q.r, q.conv, q.turn, passage, level, q.k),
+weighed AS (SELECT r, conv, turn, found, sum(size) AS size FROM found WHERE level = 1 GROUP BY r, conv, turn, found),
+replies AS (
+  SELECT r, conv, turn, found AS parent FROM weighed
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY size DESC, found DESC) = 1),
+nodes AS (SELECT conv, turn, min(parent) AS parent FROM replies GROUP BY conv, turn),
+chains(conv, turn, root, depth) AS (
+  SELECT conv, turn, parent, 1 FROM nodes
+  UNION ALL
+  SELECT c.conv, c.turn, n.parent, depth + 1 FROM chains c JOIN nodes n
+  ON n.conv IS NOT DISTINCT FROM c.conv AND n.turn = c.root),
+threads AS (SELECT conv, turn, min(root) AS root, max(depth) AS depth FROM chains GROUP BY conv, turn),
+placed AS (
+  SELECT s.conv AS conv_id, s.turn, s.role, s.own AS text,
+         (SELECT count(*) FROM full_passages p WHERE p.r = s.r) AS n_quotes, y.parent AS reply_to,
+         coalesce(t.root, y.parent, s.turn) AS thread,
+         CASE WHEN y.parent IS NULL THEN 0 ELSE coalesce(t.depth, 0) + 1 END AS depth
+  FROM said s LEFT JOIN replies y ON y.r = s.r
+  LEFT JOIN threads t ON t.conv IS NOT DISTINCT FROM y.conv AND t.turn = y.parent)
+SELECT conv_id, turn, role, text, n_quotes, reply_to, thread, depth,
+       row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS LAST, turn NULLS LAST,
+                          role NULLS FIRST, text NULLS FIRST) AS position
+FROM placed"""

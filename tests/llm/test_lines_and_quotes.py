@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import duckdb
+
 from likewise.llm import line_quality as L, line_templates as T, quote_links as Q
 
 from .helpers import awkward, documents, vocabulary
@@ -139,6 +141,28 @@ def test_quotes_are_linked_and_left_out(spark):
         (3, 1, 0), (4, 2, 0), (4, 1, 3), (5, 1, 1), (7, 1, 0)}
 
 
+def test_sql_agrees_on_quotes(spark, tmp_path):
+    rng = random.Random(6)
+    rows = []
+    for conv in range(8):
+        texts = []
+        for turn in range(rng.randint(1, 12)):
+            lines = [rng.choice(["yes", "no way", "Fine by me.", "see  below"]) for _ in range(rng.randint(0, 3))]
+            for old in rng.sample(texts, min(len(texts), rng.randint(0, 2))):
+                sign = rng.choice(["> ", ">", ">> ", " > > "])
+                quote = [sign + x for x in old.split("\n")]
+                lines = [*rng.choice([["You wrote:"], [], ["", "Ann said :"]]), *quote, *lines]
+            texts.append("\n".join(lines))
+            rows.append((conv if conv else None, turn, rng.choice("ub"), texts[-1]))
+    messages(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    found = Q.reply_ordered(spark.read.parquet(f"{tmp_path}/conversations.parquet"))
+    want = con.sql(Q.reply_ordered_sql()).fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(want)
+    assert sum(r[5] is not None for r in want) > 10 and max(r[7] for r in want) > 1
+
+
 def test_latest_earlier_message_counts_and_chains_resolve(spark):
     rows = [(1, 0, "u", "m0")] + [(1, i, "u", f"> m{i - 1}\nm{i}") for i in range(1, 20)]
     rows += [(2, 0, "u", "ok"), (2, 1, "u", "ok"), (2, 2, "u", "> ok\nsee"), (2, 3, "u", "ok")]
