@@ -103,7 +103,7 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
     the fan-out is cheap to shuffle and sort.
 
     All subsets come from a single ``explode``: for up to
-    ``DENSE_SUBSET_ATTRIBUTES`` attributes the ``2**m`` masks are enumerated and
+    ``DENSE_SUBSET_ATTRIBUTES`` attributes the masks are enumerated and
     those outside the present attributes filtered out; for more, the subsets of
     the present attributes are built directly by doubling an array once per
     present attribute, so a sparse item never enumerates ``2**m`` masks.  The
@@ -121,8 +121,13 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
           for i, n in enumerate(names)],
         sum((F.when(attr(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
              for i, n in enumerate(names)), F.lit(0).cast(mask_type)).alias("_p"))
+    if not include_empty:
+        min_level = max(min_level, 1)
     if m <= DENSE_SUBSET_ATTRIBUTES:
-        masks = F.sequence(F.lit(0), F.lit((1 << m) - 1))
+        # Only the masks of the wanted levels are enumerated, as one literal.
+        highest = m if max_level is None else max_level
+        masks = [s for s in range(1 << m) if min_level <= s.bit_count() <= highest]
+        masks = F.lit(masks) if masks else F.array().cast("array<int>")
         expanded = (hashed.select("*", F.explode(masks).alias("_s"))
                     .filter(F.col("_s").bitwiseAND(F.col("_p")) == F.col("_s")))
     else:
@@ -131,12 +136,10 @@ def subset_rows(flat: DataFrame, names: Sequence[str], id_col: str = "sku",
             f"IF(shiftright(_p, b) & 1 = 1, "
             f"concat(acc, transform(acc, s -> s | shiftleft(CAST(1 AS BIGINT), b))), acc))")
         expanded = hashed.select("*", F.explode(masks).alias("_s"))
-    if not include_empty:
-        min_level = max(min_level, 1)
-    if min_level > 0:
-        expanded = expanded.filter(F.bit_count("_s") >= min_level)
-    if max_level is not None:
-        expanded = expanded.filter(F.bit_count("_s") <= max_level)
+        if min_level > 0:
+            expanded = expanded.filter(F.bit_count("_s") >= min_level)
+        if max_level is not None:
+            expanded = expanded.filter(F.bit_count("_s") <= max_level)
     zero = F.lit(0).cast("bigint")
     k1, k2 = zero, zero
     for i in range(m):
