@@ -12,6 +12,8 @@ Encoding.  Byte-level BPE never merges across the pre-tokenizer's pieces, so
 equal stretches of text between certain piece borders always give equal ids.
 Texts are cut at such borders, each distinct stretch is encoded once by the
 tokenizers library, and the ids of the whole text are put together from them.
+The literal of an added token (``<|endoftext|>``) is a stretch of its own and gets
+the token's id, as in a plain encode.
 
 File format: a Parquet table, one row per shard, in ascending document order:
 ``part, seq, n_docs, n_tokens, payload``.  ``payload`` is little-endian:
@@ -27,6 +29,7 @@ File format: a Parquet table, one row per shard, in ascending document order:
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -64,11 +67,26 @@ _KIND[32] = _BLANK
 _KIND[10] = _BREAK
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def literal_spans(data: np.ndarray, offsets: np.ndarray,
+                  literals: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the ``literals`` in each text: the leftmost first, of
+    those that start together the longest, none across two texts."""
+    raw = data.tobytes()
+    # A plain search finds the texts to look at, mostly none.
+    found = [m.start() for x in literals if x in raw for m in re.finditer(b"(?=" + re.escape(x) + b")", raw)]
+    texts = np.unique(np.searchsorted(offsets, np.array(found, np.int64), side="right") - 1)
+    either = re.compile(b"|".join(map(re.escape, sorted(literals, key=len, reverse=True))))
+    spans = [m.span() for t in texts for m in either.finditer(raw, int(offsets[t]), int(offsets[t + 1]))]
+    both = np.array(spans, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def stretches(data: np.ndarray, offsets: np.ndarray, literals: list[bytes] = ()) -> np.ndarray:
     """Starts of stretches that the byte-level pre-tokenizer never joins: every
     text's start; a blank before something visible; a lone line break and what
     follows it; a Latin letter next to an ASCII mark other than the
-    apostrophe (its contractions join with letters)."""
+    apostrophe (its contractions join with letters).  Each of the ``literals`` is
+    one stretch."""
     n = len(data)
     kind = _KIND[data]
     cut = np.zeros(n, bool)
@@ -86,26 +104,39 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         cut |= single
         # After a line break (never after a blank, which joins the next word).
         cut[1:] |= single[:-1] & (left == _BREAK)
+    if literals:
+        for low, high in zip(*literal_spans(data, offsets, literals)):
+            cut[low + 1:high] = False
+            cut[low] = True
+            cut[high:high + 1] = True
     cut[np.unique(offsets[offsets < n])] = True
     return np.flatnonzero(cut)
 
 
-_caches: dict[str, dict] = {}
+_caches: dict[tuple[str, bool], dict] = {}
 
 
 class Encoder:
     """Encodes batches of texts; keeps the ids of distinct stretches while the
-    worker lives, up to ``CACHE_ENTRIES`` of them."""
+    worker lives, up to ``CACHE_ENTRIES`` of them.  With ``added_tokens`` their
+    literals get their ids, as in a plain encode; without, they are text."""
 
-    def __init__(self, tokenizer_path: str):
-        cache = _caches.get(tokenizer_path)
+    def __init__(self, tokenizer_path: str, added_tokens: bool = False):
+        cache = _caches.get((tokenizer_path, added_tokens))
         if cache is None or cache["entries"] > CACHE_ENTRIES:
             tokenizer = Tokenizer.from_file(tokenizer_path)
-            tokenizer.encode_special_tokens = True
-            cache = {"tokenizer": tokenizer, "entries": 0, "hashes": np.zeros(0, np.uint64),
+            literals = []
+            if added_tokens:
+                added = tokenizer.get_added_tokens_decoder().values()
+                if any(t.lstrip or t.rstrip or t.single_word for t in added):
+                    raise ValueError("added tokens that depend on what stands beside them are not supported")
+                literals = [t.content.encode() for t in added]
+            else:
+                tokenizer.encode_special_tokens = True
+            cache = {"tokenizer": tokenizer, "literals": literals, "entries": 0, "hashes": np.zeros(0, np.uint64),
                      "starts": np.zeros(0, np.int64), "lengths": np.zeros(0, np.int64),
                      "ids": np.zeros(0, np.int32)}
-            _caches[tokenizer_path] = cache
+            _caches[tokenizer_path, added_tokens] = cache
         self.cache = cache
         self.terminals = cache["tokenizer"].get_vocab_size()
 
@@ -121,7 +152,7 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         c = self.cache
-        starts = stretches(data, offsets)
+        starts = stretches(data, offsets, c["literals"])
         ends = np.append(starts[1:], len(data))
         # Length and bytes together tell stretches apart.
         hashes = segment_hashes(data, starts, ends) ^ (ends - starts).astype(np.uint64) << np.uint64(48)
@@ -315,7 +346,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seq = None, 0
         for batch in batches:
-            encoder = Encoder(tokenizer_path)
+            encoder = Encoder(tokenizer_path, added_tokens=True)
             ids = batch.column(0).fill_null(NULL_ID).to_numpy()
             data, offsets = utf8_bytes(batch.column(1))
             for low, high in row_blocks(offsets, shard_bytes):

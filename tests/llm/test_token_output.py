@@ -77,3 +77,22 @@ def test_many_shards_in_order(spark):
 
 def test_empty_table(spark):
     assert T.token_table(documents(spark, []), PATH).count() == 0
+
+
+def test_added_tokens_encode_like_whole_texts(spark):
+    rng = random.Random(7)
+    parts = ["<|endoftext|>", "<|endof", "text|>", "<", "|>", "'", "s", " a", "  ", "\n", "é", "中", ".", "\r\n", "ll"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    # A literal that only two neighbouring texts make together is none.
+    texts += ["x <|endof", "text|> y", "<|endoftext|>", "", "<|endoftext|><|endoftext|>"]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(50256 in ids for ids in want) > 500
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    ids, counts = T.Encoder(PATH, added_tokens=True).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == want
+    docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in T.token_table(docs, PATH, shard_bytes=4000).collect()}
+    assert got == {i: (len(x) + 1, zlib.crc32(np.array(x + [0], "<u4"))) for i, x in enumerate(want)}
