@@ -3,7 +3,7 @@
 Documents are range-partitioned by id, so the partitions hold ascending ids.
 A task encodes whole texts and packs runs of documents into shards.  In each
 shard the most frequent pairs of neighbouring symbols are repeatedly replaced
-by new symbols (nonterminals); the shard holds the rules, the shortened
+by new symbols (nonterminals) until no pair is seen ``MIN_COUNT`` times; the shard holds the rules, the shortened
 sequence, every rule's expansion length and each document's token count.  With
 those lengths a document's tokens are found and decoded without expanding the
 rest of the shard.
@@ -33,6 +33,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,6 @@ from .common import col, map_arrow, row_blocks, segment_hashes, utf8_bytes
 MAGIC = b"GRAMMAR1"
 END_ID = 0
 SHARD_BYTES = 6 << 20
-ROUNDS = 5
 RULES_PER_ROUND = 2048
 MIN_COUNT = 16
 CACHE_ENTRIES = 1_000_000
@@ -193,36 +193,50 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.nd
 # Re-Pair
 # --------------------------------------------------------------------------
 
-def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS,
+def compress(ids: np.ndarray, terminals: int, rounds: int | None = None,
              rules_per_round: int = RULES_PER_ROUND,
              min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """``(rules, sequence)``: each round gives the ``rules_per_round`` most frequent
     pairs (seen at least ``min_count`` times) nonterminals and replaces them from
-    left to right."""
+    left to right.  It goes on until no pair is seen that often, or for ``rounds``."""
     sequence = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    symbols = terminals
-    for r in range(rounds):
+    symbols, fresh = terminals, None
+    for r in count() if rounds is None else range(rounds):
         if len(sequence) < 2:
             break
-        # Pairs are counted by a hash, each round by another one; of pairs that
-        # meet in a bucket one is counted, so a rare miss is made up for later.
         pair = sequence[:-1] << 32 | sequence[1:]
-        bucket = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * r)
-                  >> np.uint64(64 - _PAIR_BITS)).view(np.int64)
-        full = np.bincount(bucket, minlength=1 << _PAIR_BITS)
-        at = np.flatnonzero(full[bucket] >= min_count)
-        pair, bucket = pair[at], bucket[at]
-        held = np.zeros(1 << _PAIR_BITS, np.int64)
-        held[bucket] = pair
-        same = held[bucket] == pair
-        at, bucket = at[same], bucket[same]
-        counts = np.bincount(bucket, minlength=1 << _PAIR_BITS)
-        often = np.flatnonzero(counts >= min_count)
-        if not len(often):
-            break
+        if fresh is not None:
+            # All pairs seen often are replaced: only new symbols can make others.
+            new = sequence >= fresh
+            at = np.flatnonzero(new[:-1] | new[1:])
+            held, bucket, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
+            often = np.flatnonzero(counts >= min_count)
+            if not len(often):
+                fresh = None
+        if fresh is None:
+            # Pairs are counted by a hash, each round by another one; of pairs that
+            # meet in a bucket one is counted, so a rare miss is made up for later.
+            bucket = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * r)
+                      >> np.uint64(64 - _PAIR_BITS)).view(np.int64)
+            full = np.bincount(bucket, minlength=1 << _PAIR_BITS)
+            at = np.flatnonzero(full[bucket] >= min_count)
+            everywhere, pair, bucket = at, pair[at], bucket[at]
+            held = np.zeros(1 << _PAIR_BITS, np.int64)
+            held[bucket] = pair
+            same = held[bucket] == pair
+            at, bucket = at[same], bucket[same]
+            counts = np.bincount(bucket, minlength=1 << _PAIR_BITS)
+            often = np.flatnonzero(counts >= min_count)
+            if not len(often):
+                # What is left is counted one by one, so that no miss ends it early.
+                held, bucket, counts = np.unique(pair, return_inverse=True, return_counts=True)
+                at, often = everywhere, np.flatnonzero(counts >= min_count)
+                if not len(often):
+                    break
+        fresh = symbols if len(often) <= rules_per_round else None
         often = often[np.lexsort((held[often], -counts[often]))][:rules_per_round]
-        symbol_of = np.full(1 << _PAIR_BITS, -1, np.int64)
+        symbol_of = np.full(len(held), -1, np.int64)
         symbol_of[often] = symbols + np.arange(len(often))
         given = symbol_of[bucket]
         at, given = at[given >= 0], given[given >= 0]
@@ -258,23 +272,28 @@ def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
-    """The tokens of a sequence of symbols; every pass opens all nonterminals."""
-    out = symbols.astype(np.int64)
-    while True:
-        opened = out >= terminals
-        if not opened.any():
-            return out
-        width = opened + 1
-        place = np.cumsum(width) - width
-        wide = np.empty(int(width.sum()), np.int64)
-        wide[place] = np.where(opened, rules[np.where(opened, out - terminals, 0), 0]
-                               if len(rules) else 0, out)
-        wide[place[opened] + 1] = rules[out[opened] - terminals, 1]
-        out = wide
+    """The tokens of a sequence of symbols; every pass puts the terminals in their
+    places and opens the nonterminals."""
+    symbols, rules = symbols.astype(np.int64), rules.astype(np.int64)
+    lengths = np.append(expansion_lengths(rules, terminals), 1)
+
+    def sizes(of: np.ndarray) -> np.ndarray:
+        return lengths[np.where(of >= terminals, of - terminals, -1)]
+
+    ends = np.cumsum(sizes(symbols))
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    place = ends - sizes(symbols)
+    while len(symbols):
+        opened = symbols >= terminals
+        out[place[~opened]] = symbols[~opened]
+        left, right = rules[symbols[opened] - terminals].T
+        place = place[opened]
+        symbols, place = np.concatenate([left, right]), np.concatenate([place, place + sizes(left)])
+    return out
 
 
 def write_shard(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, terminals: int,
-                rounds: int = ROUNDS) -> bytes:
+                rounds: int | None = None) -> bytes:
     rules, sequence = compress(ids, terminals, rounds)
     lengths = expansion_lengths(rules, terminals)
     return b"".join([
@@ -329,7 +348,7 @@ class Shard:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
-                 rounds: int = ROUNDS) -> str:
+                 rounds: int | None = None) -> str:
     """Encode ``docs`` into grammar shards at ``path`` in ascending id order.
 
     A null text is an empty one (its end id is still written); null ids come

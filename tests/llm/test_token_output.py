@@ -96,3 +96,14 @@ def test_added_tokens_encode_like_whole_texts(spark):
     docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
     got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in T.token_table(docs, PATH, shard_bytes=4000).collect()}
     assert got == {i: (len(x) + 1, zlib.crc32(np.array(x + [0], "<u4"))) for i, x in enumerate(want)}
+
+
+def test_grammar_goes_on_to_the_least_count():
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 500, 1000)
+    for ids in (np.tile(passage, 1000), rng.integers(0, 60, 200_000), rng.zipf(1.3, 100_000) % 500, np.zeros(5000, int)):
+        rules, sequence = T.compress(ids, 500)
+        assert (T.expand(sequence, rules.astype(np.int64), 500) == ids).all()
+        pairs = sequence[:-1].astype(np.int64) << 32 | sequence[1:]
+        assert not len(pairs) or np.unique(pairs, return_counts=True)[1].max() < T.MIN_COUNT
+    assert len(T.compress(np.tile(passage, 1000), 500)[1]) < 1_000_000 / 500
