@@ -3,11 +3,13 @@ their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (decontaminate, host_reputation, language_id, line_quality, line_templates, mixing,
-               quote_links, secret_scan, simhash_dedup, token_output)
+from . import (decontaminate, hard_negatives, host_reputation, language_id, line_quality, line_templates,
+               merkle_manifest, mixing, packing, quote_links, secret_scan, simhash_dedup, token_output)
 from .common import table
 
 # The fixed url rules: verdict, host, path.
@@ -92,6 +94,34 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector has the next label; components are whole 256ths."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, sf_dir, "embeddings").filter(finite).select(
+        F.col("vec_id").alias("id"), label.cast("bigint").alias("label"), whole.alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(packing.pack(table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 5 divides the crc32 of the id, the candidate leaf has its text's A-Z lower-cased."""
+    names = ["doc_id", "source", "lang", "n_chars"]
+    values = [F.col(n) for n in names]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    candidate = F.when(tampered, merkle_manifest.leaf_digest(*values, lower))
+    found = merkle_manifest.manifest(table(spark, sf_dir, "documents"), [*values, F.col("text")],
+                                     candidate=candidate)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256",
+                        "folded_root", "verified")
+
+
 QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_secret_scan": op2_secret_scan,
@@ -103,6 +133,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quote_links": op9_quote_links,
     "op10_line_quality": op10_line_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_packing": op12_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
@@ -141,4 +174,6 @@ ORACLE_SQL = {
     "op9_quote_links": quote_links.reply_ordered_sql(),
     "op10_line_quality": line_quality.quality_sql(),
     "op7_mix_sources": mix_sources_sql(),
+    "op11_hard_negatives": hard_negatives.mine_sql(),
+    "op13_merkle_manifest": merkle_manifest.manifest_sql(),
 }
