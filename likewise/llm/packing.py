@@ -22,33 +22,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from tokenizers import Tokenizer
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.session import shared_path
 from ..plans.sizing import broadcast_if_small
-from .common import col, map_arrow, row_blocks, utf8_bytes
+from .common import col, map_arrow, row_blocks, run_starts, utf8_bytes
+from .stretch_encoder import shared_encoder, spaced_stretches
 
 LENGTH = 2048
 END_ID = 1
-# Text of one chunk, and of one call of the tokenizer.
+# Text of one chunk.
 CHUNK_BYTES = 2 << 20
-ENCODE_BYTES = 256 << 10
 
 PIECE = "struct<doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint,offset:bigint>"
 CHUNK = "part int, seq int, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, payload binary"
 WINDOW = f"sequence_id bigint, offset bigint, ids binary, pieces array<{PIECE}>"
 
 
-def encode_texts(tokenizer: Tokenizer, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts one after the other, ``end_id`` after each, and each
-    text's count with it."""
-    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-    counts = np.fromiter((len(ids) + 1 for ids in found), np.int64, len(found))
-    ids = np.fromiter((x for ids in found for x in (*ids, end_id)), np.uint32, int(counts.sum()))
-    return ids, counts
-
-
 def write_chunks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> str:
     """Encode ``docs`` into chunks at ``path``.
@@ -61,21 +51,15 @@ def write_chunks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
                        F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, seq = None, 0
+        encoder, seq = None, 0
         for batch in batches:
-            tokenizer = tokenizer or Tokenizer.from_file(tokenizer_path)
-            _, offsets = utf8_bytes(batch.column(1))
+            encoder = encoder or shared_encoder(tokenizer_path, spaced_stretches)
+            data, offsets = utf8_bytes(batch.column(1))
             ids = batch.column(0)
             for low, high in row_blocks(offsets, chunk_bytes):
-                parts, counts = [], []
-                inside = offsets[low:high + 1]
-                for a, b in row_blocks(inside, ENCODE_BYTES):
-                    texts = [t or "" for t in batch.column(1).slice(low + a, b - a).to_pylist()]
-                    tokens, n = encode_texts(tokenizer, texts, end_id)
-                    parts.append(tokens)
-                    counts.append(n)
-                tokens = np.concatenate(parts)
-                counts = np.concatenate(counts)
+                tokens, counts = encoder.encode(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+                tokens = np.insert(tokens, np.cumsum(counts), end_id)
+                counts = counts + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column(2)[0].as_py()], pa.int32()), pa.array([seq], pa.int32()),
                      pa.array([len(tokens)], pa.int64()), pa.array([ids.slice(low, high - low).to_pylist()],
@@ -89,17 +73,6 @@ def write_chunks(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     return path
 
 
-def chunk_starts(chunks: DataFrame) -> DataFrame:
-    """``(part, seq, base)``: the ids before each chunk, from the partitions' totals
-    (one row per partition) and the chunks of its own partition."""
-    totals = chunks.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    own = chunks.select("part", "seq", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("inside"))
-    return own.join(totals, "part").select("part", "seq", (F.col("before") + F.col("inside")).alias("base"))
-
-
 def cut(base: int, doc_ids: list, counts: np.ndarray, length: int) -> list[tuple]:
     """The windows of a chunk that begins at ``base``: ``(sequence_id, offset, from, to,
     pieces)``, where ``from`` and ``to`` are places in the chunk and ``offset`` is where
@@ -127,7 +100,7 @@ def read_windows(spark: SparkSession, path: str, length: int = LENGTH) -> DataFr
     """``(sequence_id, offset, ids, pieces)``: the parts of sequences in each chunk."""
     chunks = spark.read.parquet(path)
     # One small row per chunk, payloads not read.
-    starts = broadcast_if_small(chunk_starts(chunks.select("part", "seq", "n_tokens")))
+    starts = broadcast_if_small(run_starts(chunks.select("part", "seq", "n_tokens")))
     rows = chunks.join(starts, ["part", "seq"]).select("base", "doc_ids", "counts", "payload")
     kind = pa.struct([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "offset")])
 

@@ -8,19 +8,16 @@ sequence, every rule's expansion length and each document's token count.  With
 those lengths a document's tokens are found and decoded without expanding the
 rest of the shard.
 
-Encoding.  Byte-level BPE never merges across the pre-tokenizer's pieces, so
-equal stretches of text between certain piece borders always give equal ids.
-Texts are cut at such borders, each distinct stretch is encoded once by the
-tokenizers library, and the ids of the whole text are put together from them.
-The literal of an added token (``<|endoftext|>``) is a stretch of its own and gets
-the token's id, as in a plain encode.
+Whole texts are encoded by their distinct stretches (``stretch_encoder``), exactly as
+a plain encode does.
 
 File format: a Parquet table, one row per shard, in ascending document order:
 ``part, seq, n_docs, n_tokens, payload``.  ``payload`` is little-endian:
 
-    8 bytes   b"GRAMMAR1"
+    8 bytes   b"GRAMMAR2"
     5 x u32   documents, tokens, terminals (first nonterminal id), rules, symbols
-    i64 x d   document ids (null: the smallest long)
+    i64 x d   document ids (null: 0)
+    u8  x d   1 where the document id is null
     u32 x d   tokens of each document
     u32 x 2r  rules, as pairs of symbols
     u32 x r   expansion length of each rule
@@ -29,7 +26,6 @@ File format: a Parquet table, one row per shard, in ascending document order:
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,153 +33,19 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from tokenizers import Tokenizer
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.session import shared_path
 from ..plans.sizing import broadcast_if_small
-from .common import col, map_arrow, row_blocks, segment_hashes, utf8_bytes
+from .common import col, map_arrow, row_blocks, run_starts, utf8_bytes
+from .stretch_encoder import shared_encoder
 
-MAGIC = b"GRAMMAR1"
+MAGIC = b"GRAMMAR2"
 END_ID = 0
 SHARD_BYTES = 6 << 20
-RULES_PER_ROUND = 2048
+RULES_PER_ROUND = 4096
 MIN_COUNT = 16
-CACHE_ENTRIES = 1_000_000
-ENCODE_BYTES = 1 << 20
 _PAIR_BITS = 21
-NULL_ID = -(1 << 63)
-
-# --------------------------------------------------------------------------
-# Encoding
-# --------------------------------------------------------------------------
-
-# Byte kinds for the cuts.
-_OTHER, _LETTER, _MARK, _BLANK, _BREAK = range(5)
-_KIND = np.zeros(256, np.uint8)
-_KIND[65:91] = _KIND[97:123] = _LETTER
-_KIND[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = _MARK
-_KIND[32] = _BLANK
-_KIND[10] = _BREAK
-
-
-def literal_spans(data: np.ndarray, offsets: np.ndarray,
-                  literals: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the ``literals`` in each text: the leftmost first, of
-    those that start together the longest, none across two texts."""
-    raw = data.tobytes()
-    # A plain search finds the texts to look at, mostly none.
-    found = [m.start() for x in literals if x in raw for m in re.finditer(b"(?=" + re.escape(x) + b")", raw)]
-    texts = np.unique(np.searchsorted(offsets, np.array(found, np.int64), side="right") - 1)
-    either = re.compile(b"|".join(map(re.escape, sorted(literals, key=len, reverse=True))))
-    spans = [m.span() for t in texts for m in either.finditer(raw, int(offsets[t]), int(offsets[t + 1]))]
-    both = np.array(spans, np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
-
-
-def stretches(data: np.ndarray, offsets: np.ndarray, literals: list[bytes] = ()) -> np.ndarray:
-    """Starts of stretches that the byte-level pre-tokenizer never joins: every
-    text's start; a blank before something visible; a lone line break and what
-    follows it; a Latin letter next to an ASCII mark other than the
-    apostrophe (its contractions join with letters).  Each of the ``literals`` is
-    one stretch."""
-    n = len(data)
-    kind = _KIND[data]
-    cut = np.zeros(n, bool)
-    if n > 1:
-        # U+00C0 to U+00FF are letters but for two signs.
-        lead = np.flatnonzero(data[:-1] == 0xC3)
-        lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
-        kind[lead] = kind[lead + 1] = _LETTER
-        left, right = kind[:-1], kind[1:]
-        visible = (kind == _LETTER) | (kind == _MARK)
-        cut[1:] |= ((left == _LETTER) & (right == _MARK)) | ((left == _MARK) & (right == _LETTER))
-        # A blank or line break between visible characters starts a stretch.
-        single = np.zeros(n, bool)
-        single[1:-1] = visible[:-2] & visible[2:] & ((kind[1:-1] == _BLANK) | (kind[1:-1] == _BREAK))
-        cut |= single
-        # After a line break (never after a blank, which joins the next word).
-        cut[1:] |= single[:-1] & (left == _BREAK)
-    if literals:
-        for low, high in zip(*literal_spans(data, offsets, literals)):
-            cut[low + 1:high] = False
-            cut[low] = True
-            cut[high:high + 1] = True
-    cut[np.unique(offsets[offsets < n])] = True
-    return np.flatnonzero(cut)
-
-
-_caches: dict[tuple[str, bool], dict] = {}
-
-
-class Encoder:
-    """Encodes batches of texts; keeps the ids of distinct stretches while the
-    worker lives, up to ``CACHE_ENTRIES`` of them.  With ``added_tokens`` their
-    literals get their ids, as in a plain encode; without, they are text."""
-
-    def __init__(self, tokenizer_path: str, added_tokens: bool = False):
-        cache = _caches.get((tokenizer_path, added_tokens))
-        if cache is None or cache["entries"] > CACHE_ENTRIES:
-            tokenizer = Tokenizer.from_file(tokenizer_path)
-            literals = []
-            if added_tokens:
-                added = tokenizer.get_added_tokens_decoder().values()
-                if any(t.lstrip or t.rstrip or t.single_word for t in added):
-                    raise ValueError("added tokens that depend on what stands beside them are not supported")
-                literals = [t.content.encode() for t in added]
-            else:
-                tokenizer.encode_special_tokens = True
-            cache = {"tokenizer": tokenizer, "literals": literals, "entries": 0, "hashes": np.zeros(0, np.uint64),
-                     "starts": np.zeros(0, np.int64), "lengths": np.zeros(0, np.int64),
-                     "ids": np.zeros(0, np.int32)}
-            _caches[tokenizer_path, added_tokens] = cache
-        self.cache = cache
-        self.terminals = cache["tokenizer"].get_vocab_size()
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and each text's count."""
-        parts = [self._encode(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-                 for low, high in row_blocks(offsets, ENCODE_BYTES)]
-        if not parts:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        return np.concatenate([ids for ids, _ in parts]), np.concatenate([n for _, n in parts])
-
-    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(data):
-            return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        c = self.cache
-        starts = stretches(data, offsets, c["literals"])
-        ends = np.append(starts[1:], len(data))
-        # Length and bytes together tell stretches apart.
-        hashes = segment_hashes(data, starts, ends) ^ (ends - starts).astype(np.uint64) << np.uint64(48)
-        known, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(c["hashes"], known)
-        new = np.ones(len(known), bool)
-        inside = at < len(c["hashes"])
-        new[inside] = c["hashes"][at[inside]] != known[inside]
-        if new.any():
-            raw = data.tobytes()
-            texts = [raw[starts[i]:ends[i]].decode() for i in first[new]]
-            found = [e.ids for e in c["tokenizer"].encode_batch_fast(texts, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            places = len(c["ids"]) + np.cumsum(lengths) - lengths
-            c["ids"] = np.concatenate([c["ids"], np.fromiter(
-                (x for ids in found for x in ids), np.int32, int(lengths.sum()))])
-            c["hashes"] = np.insert(c["hashes"], at[new], known[new])
-            c["starts"] = np.insert(c["starts"], at[new], places)
-            c["lengths"] = np.insert(c["lengths"], at[new], lengths)
-            c["entries"] = len(c["hashes"])
-            at = np.searchsorted(c["hashes"], known)
-        slot = at[which]
-        lengths = c["lengths"][slot]
-        before = np.cumsum(lengths) - lengths
-        total = int(lengths.sum())
-        pick = np.arange(total) + np.repeat(c["starts"][slot] - before, lengths)
-        text = np.searchsorted(offsets, starts, side="right") - 1
-        counts = np.bincount(text, weights=lengths, minlength=len(offsets) - 1).astype(np.int64)
-        return c["ids"][pick], counts
-
-
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.ndarray:
     """``ids`` with ``end_id`` after each document."""
     return np.insert(ids, np.cumsum(counts), end_id)
@@ -193,50 +55,67 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.nd
 # Re-Pair
 # --------------------------------------------------------------------------
 
+def _buckets(left: np.ndarray, right: np.ndarray, turn: int) -> np.ndarray:
+    """A hash of every pair, another one each turn."""
+    mixed = left.view(np.uint32) * np.uint32(0x9E3779B1 + 2 * turn & 0xFFFFFFFF)
+    mixed ^= mixed >> np.uint32(15)
+    mixed += right.view(np.uint32) * np.uint32(0x85EBCA6B + 4 * turn & 0xFFFFFFFF)
+    mixed *= np.uint32(0x2C1B3C6D)
+    mixed >>= np.uint32(32 - _PAIR_BITS)
+    return mixed
+
+
+def _counted(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(held left, held right, bucket, counts)`` of the pairs at ``at``, one by one."""
+    pair = left[at].astype(np.int64) << 32 | right[at]
+    held, bucket, counts = np.unique(pair, return_inverse=True, return_counts=True)
+    return (held >> 32).astype(np.int32), (held & 0xFFFFFFFF).astype(np.int32), bucket, counts
+
+
 def compress(ids: np.ndarray, terminals: int, rounds: int | None = None,
              rules_per_round: int = RULES_PER_ROUND,
              min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """``(rules, sequence)``: each round gives the ``rules_per_round`` most frequent
     pairs (seen at least ``min_count`` times) nonterminals and replaces them from
     left to right.  It goes on until no pair is seen that often, or for ``rounds``."""
-    sequence = ids.astype(np.int64)
+    sequence = ids.astype(np.int32)
     rules: list[np.ndarray] = []
     symbols, fresh = terminals, None
     for r in count() if rounds is None else range(rounds):
         if len(sequence) < 2:
             break
-        pair = sequence[:-1] << 32 | sequence[1:]
+        left, right = sequence[:-1], sequence[1:]
         if fresh is not None:
             # All pairs seen often are replaced: only new symbols can make others.
             new = sequence >= fresh
             at = np.flatnonzero(new[:-1] | new[1:])
-            held, bucket, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
+            held_left, held_right, bucket, counts = _counted(left, right, at)
             often = np.flatnonzero(counts >= min_count)
             if not len(often):
                 fresh = None
         if fresh is None:
-            # Pairs are counted by a hash, each round by another one; of pairs that
-            # meet in a bucket one is counted, so a rare miss is made up for later.
-            bucket = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * r)
-                      >> np.uint64(64 - _PAIR_BITS)).view(np.int64)
-            full = np.bincount(bucket, minlength=1 << _PAIR_BITS)
-            at = np.flatnonzero(full[bucket] >= min_count)
-            everywhere, pair, bucket = at, pair[at], bucket[at]
-            held = np.zeros(1 << _PAIR_BITS, np.int64)
-            held[bucket] = pair
-            same = held[bucket] == pair
-            at, bucket = at[same], bucket[same]
+            # Pairs are counted by a hash; of pairs that meet in a bucket one is
+            # counted, so a rare miss is made up for later.
+            bucket = _buckets(left, right, r)
+            full = np.bincount(bucket, minlength=1 << _PAIR_BITS) >= min_count
+            everywhere = np.flatnonzero(full[bucket])
+            bucket, own_left, own_right = bucket[everywhere], left[everywhere], right[everywhere]
+            held_left, held_right = np.zeros((2, 1 << _PAIR_BITS), np.int32)
+            held_left[bucket], held_right[bucket] = own_left, own_right
+            same = (held_left[bucket] == own_left) & (held_right[bucket] == own_right)
+            at, bucket = everywhere[same], bucket[same]
             counts = np.bincount(bucket, minlength=1 << _PAIR_BITS)
             often = np.flatnonzero(counts >= min_count)
             if not len(often):
                 # What is left is counted one by one, so that no miss ends it early.
-                held, bucket, counts = np.unique(pair, return_inverse=True, return_counts=True)
-                at, often = everywhere, np.flatnonzero(counts >= min_count)
+                at = everywhere
+                held_left, held_right, bucket, counts = _counted(left, right, at)
+                often = np.flatnonzero(counts >= min_count)
                 if not len(often):
                     break
         fresh = symbols if len(often) <= rules_per_round else None
-        often = often[np.lexsort((held[often], -counts[often]))][:rules_per_round]
-        symbol_of = np.full(len(held), -1, np.int64)
+        often = often[np.lexsort((held_right[often], held_left[often], -counts[often]))][:rules_per_round]
+        symbol_of = np.full(len(counts), -1, np.int32)
         symbol_of[often] = symbols + np.arange(len(often))
         given = symbol_of[bucket]
         at, given = at[given >= 0], given[given >= 0]
@@ -246,14 +125,13 @@ def compress(ids: np.ndarray, terminals: int, rounds: int | None = None,
         run = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - run) % 2 == 0
         at, given = at[take], given[take]
+        rules.append(np.stack([held_left[often], held_right[often]], axis=1))
         sequence[at] = given
         keep = np.ones(len(sequence), bool)
         keep[at + 1] = False
         sequence = sequence[keep]
-        chosen = held[often]
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
         symbols += len(often)
-    joined = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    joined = np.concatenate(rules) if rules else np.zeros((0, 2), np.int32)
     return joined.astype("<u4"), sequence.astype("<u4")
 
 
@@ -274,14 +152,14 @@ def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
 def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
     """The tokens of a sequence of symbols; every pass puts the terminals in their
     places and opens the nonterminals."""
-    symbols, rules = symbols.astype(np.int64), rules.astype(np.int64)
+    symbols, rules = symbols.astype(np.int32), rules.astype(np.int32)
     lengths = np.append(expansion_lengths(rules, terminals), 1)
 
     def sizes(of: np.ndarray) -> np.ndarray:
         return lengths[np.where(of >= terminals, of - terminals, -1)]
 
     ends = np.cumsum(sizes(symbols))
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
     place = ends - sizes(symbols)
     while len(symbols):
         opened = symbols >= terminals
@@ -292,13 +170,13 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
     return out
 
 
-def write_shard(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, terminals: int,
-                rounds: int | None = None) -> bytes:
+def write_shard(doc_ids: np.ndarray, nulls: np.ndarray, counts: np.ndarray, ids: np.ndarray,
+                terminals: int, rounds: int | None = None) -> bytes:
     rules, sequence = compress(ids, terminals, rounds)
     lengths = expansion_lengths(rules, terminals)
     return b"".join([
         MAGIC, struct.pack("<5I", len(doc_ids), len(ids), terminals, len(rules), len(sequence)),
-        doc_ids.astype("<i8").tobytes(), counts.astype("<u4").tobytes(), rules.tobytes(),
+        doc_ids.astype("<i8").tobytes(), nulls.astype(np.uint8).tobytes(), counts.astype("<u4").tobytes(), rules.tobytes(),
         lengths.astype("<u4").tobytes(), sequence.tobytes()])
 
 
@@ -317,7 +195,8 @@ class Shard:
             at += part.nbytes
             return part
 
-        self.doc_ids, self.counts = take("<i8", docs), take("<u4", docs).astype(np.int64)
+        self.doc_ids, self.nulls = take("<i8", docs), take("u1", docs).astype(bool)
+        self.counts = take("<u4", docs).astype(np.int64)
         self.rules = take("<u4", 2 * n_rules).reshape(-1, 2).astype(np.int64)
         self.lengths, self.sequence = take("<u4", n_rules).astype(np.int64), take("<u4", n_symbols)
         self.starts = np.cumsum(self.counts) - self.counts
@@ -365,14 +244,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seq = None, 0
         for batch in batches:
-            encoder = Encoder(tokenizer_path, added_tokens=True)
-            ids = batch.column(0).fill_null(NULL_ID).to_numpy()
+            encoder = encoder or shared_encoder(tokenizer_path)
+            ids, nulls = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(False)
             data, offsets = utf8_bytes(batch.column(1))
             for low, high in row_blocks(offsets, shard_bytes):
                 tokens, counts = encoder.encode(data[offsets[low]:offsets[high]],
                                                 offsets[low:high + 1] - offsets[low])
                 tokens = with_end(tokens, counts, end_id)
-                payload = write_shard(ids[low:high], counts + 1, tokens, encoder.terminals, rounds)
+                payload = write_shard(ids[low:high], nulls[low:high], counts + 1, tokens, encoder.terminals, rounds)
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([batch.column(2)[0].as_py()], pa.int32()),
                     "seq": pa.array([seq], pa.int32()),
@@ -390,10 +269,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document, decoded from the
     shards at ``path``: ``start`` counts the ids of all documents before it."""
     shards = spark.read.parquet(path)
-    order = Window.orderBy("part", "seq")
-    before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One small row per shard, payloads not read.
-    starts = broadcast_if_small(shards.select("part", "seq", before.alias("base")))
+    starts = broadcast_if_small(run_starts(shards.select("part", "seq", "n_tokens")))
     rows = shards.select("part", "seq", "payload").join(starts, ["part", "seq"]).select("base", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,7 +280,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 tokens = shard.tokens().astype("<u4")
                 sums = [zlib.crc32(tokens[s:s + n]) for s, n in zip(shard.starts, shard.counts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard.doc_ids, mask=shard.doc_ids == NULL_ID),
+                    [pa.array(shard.doc_ids, mask=shard.nulls),
                      pa.array(shard.starts + base), pa.array(shard.counts),
                      pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

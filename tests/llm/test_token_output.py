@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from likewise.llm import token_output as T
+from likewise.llm import stretch_encoder, token_output as T
+from likewise.llm.stretch_encoder import StretchEncoder, spaced_stretches
 
 from .helpers import awkward, documents
 
@@ -15,22 +16,57 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def plain(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def encode(texts):
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    ids, counts = T.Encoder(PATH).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    ids, counts = StretchEncoder(PATH).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
     ends = np.cumsum(counts)
     return [ids[e - n:e].tolist() for e, n in zip(ends, counts)]
 
 
+PARTS = list("aZé ñ×÷\n\t.,'s’\"12“  中!|\r\x0b") + ["  ", "\n\n", " 's", "'ll ", "I'm", "<|endoftext|>", "😀", "À.", " Ça,"]
+
+
 def test_stretches_encode_like_whole_texts():
     rng = random.Random(6)
-    parts = list("aZé ñ×÷\n\t.,'s’\"12“  中!|\r\x0b") + ["  ", "\n\n", " 's", "'ll ", "I'm", "<|endoftext|>", "😀", "À.", " Ça,"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 50))) for _ in range(5000)]
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 50))) for _ in range(5000)]
+    assert encode(texts) == plain(texts)
+
+
+def test_spaced_stretches_encode_like_whole_texts():
+    """A tokenizer that lower-cases, composes and drops white space."""
+    rng = random.Random(16)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    parts = [*PARTS, "\u0301", "e\u0301", "\u0323\u0307", "Σ", "ΑΣ", "İ", "ß", "\u00a0", "\u2028", "\x1c", "\x85", "ﬁ",
+             "<|startoftext|>", "<|endof", "text|>", "\u1100\u1161", "ก็", "½", "Ⅷ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(8000)]
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    ids, counts = StretchEncoder(path, spaced_stretches).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == want
+
+
+def thue_morse(n, a, b):
+    """Texts whose power sums agree with those of the text with both letters swapped."""
+    return "".join((a, b)[i.bit_count() % 2] for i in range(n))
+
+
+def test_stretches_are_told_apart_by_their_bytes():
+    texts = [thue_morse(n, *pair) for n in (1024, 2048, 4096) for pair in ("ab", "ba", "xy", "yx")]
+    assert encode(texts) == plain(texts)
+
+
+def test_what_an_encoder_knows_is_bounded(monkeypatch):
+    monkeypatch.setattr(stretch_encoder, "KNOWN_STRETCHES", 50)
+    monkeypatch.setattr(stretch_encoder, "BLOCK_BYTES", 200)
+    rng = random.Random(2)
+    texts = [" ".join(str(rng.randint(0, 400)) for _ in range(20)) for _ in range(200)] + ["z" * 5000]
     assert encode(texts) == plain(texts)
 
 
@@ -46,7 +82,7 @@ def test_random_access_and_lengths():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 60, 200)
     ids = rng.integers(0, 5, counts.sum())
-    shard = T.Shard(T.write_shard(np.arange(200), counts, ids, 5))
+    shard = T.Shard(T.write_shard(np.arange(200), np.arange(200) == 9, counts, ids, 5))
     ends = np.cumsum(counts)
     for k in range(200):
         assert (shard.document(k) == ids[ends[k] - counts[k]:ends[k]]).all()
@@ -75,6 +111,17 @@ def test_many_shards_in_order(spark):
     check(spark, docs, shard_bytes=500)
 
 
+def test_thue_morse_documents(spark):
+    """In one worker, one after the other."""
+    texts = [thue_morse(2048, *pair) for pair in ("ab", "ba", "ab", "ba")]
+    check(spark, documents(spark, [(i, t, None, None) for i, t in enumerate(texts)]).coalesce(1))
+
+
+def test_null_and_extreme_ids(spark):
+    rows = [(i, f"text {i}", None, None) for i in (-(1 << 63), -(1 << 63) + 1, None, 0, (1 << 63) - 1)]
+    check(spark, documents(spark, rows), shard_bytes=8)
+
+
 def test_empty_table(spark):
     assert T.token_table(documents(spark, []), PATH).count() == 0
 
@@ -90,7 +137,7 @@ def test_added_tokens_encode_like_whole_texts(spark):
     assert sum(50256 in ids for ids in want) > 500
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    ids, counts = T.Encoder(PATH, added_tokens=True).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    ids, counts = StretchEncoder(PATH).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
     ends = np.cumsum(counts)
     assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == want
     docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
