@@ -12,26 +12,29 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from .common import row_blocks
 
 # A worker keeps the ids of known stretches up to these bounds, then starts anew.
-KNOWN_STRETCHES = 300_000
-KNOWN_BYTES = 8 << 20
-BLOCK_BYTES = 2 << 20
+KNOWN_STRETCHES = 1_000_000
+KNOWN_BYTES = 24 << 20
+BLOCK_BYTES = 4 << 20
+GROUP = 256
 
 # Byte kinds for the cuts.
-_OTHER, _LETTER, _MARK, _BLANK, _BREAK = range(5)
+_OTHER, _LETTER, _MARK, _DIGIT, _BLANK, _BREAK = range(6)
 _KIND = np.zeros(256, np.uint8)
 _KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[48:58] = _DIGIT
 _KIND[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = _MARK
 _KIND[32] = _BLANK
 _KIND[10] = _BREAK
+_VISIBLE = np.isin(np.arange(6), (_LETTER, _MARK, _DIGIT))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -50,48 +53,70 @@ def literal_spans(data: np.ndarray, offsets: np.ndarray,
     return both[:, 0], both[:, 1]
 
 
-def byte_level_stretches(data: np.ndarray, offsets: np.ndarray, literals: list[bytes] = ()) -> np.ndarray:
-    """Starts of stretches that the byte-level pre-tokenizer never joins: every
-    text's start; a blank before something visible; a lone line break and what
-    follows it; a Latin letter next to an ASCII mark other than the
-    apostrophe (its contractions join with letters).  Each of the ``literals`` is
-    one stretch."""
-    n = len(data)
+def _kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of every byte, and where two different visible kinds meet (no piece of a
+    letter run, a digit or a run of marks but the apostrophe goes on there)."""
     kind = _KIND[data]
-    cut = np.zeros(n, bool)
-    if n > 1:
-        # U+00C0 to U+00FF are letters but for two signs.
-        lead = np.flatnonzero(data[:-1] == 0xC3)
-        lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
-        kind[lead] = kind[lead + 1] = _LETTER
-        left, right = kind[:-1], kind[1:]
-        visible = (kind == _LETTER) | (kind == _MARK)
-        cut[1:] |= ((left == _LETTER) & (right == _MARK)) | ((left == _MARK) & (right == _LETTER))
-        # A blank or line break between visible characters starts a stretch.
-        single = np.zeros(n, bool)
-        single[1:-1] = visible[:-2] & visible[2:] & ((kind[1:-1] == _BLANK) | (kind[1:-1] == _BREAK))
-        cut |= single
-        # After a line break (never after a blank, which joins the next word).
-        cut[1:] |= single[:-1] & (left == _BREAK)
+    # U+00C0 to U+00FF are letters but for two signs.
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    visible = _VISIBLE[kind]
+    meet = np.zeros(len(data), bool)
+    meet[1:] = (kind[1:] != kind[:-1]) & visible[1:] & visible[:-1]
+    return kind, meet
+
+
+def _with_borders(cut: np.ndarray, data: np.ndarray, offsets: np.ndarray, literals: list[bytes]) -> np.ndarray:
+    """Starts of stretches: where ``cut`` says and at every text's start; each of the
+    ``literals`` is one stretch."""
     if literals:
         for low, high in zip(*literal_spans(data, offsets, literals)):
             cut[low + 1:high] = False
             cut[low] = True
             cut[high:high + 1] = True
-    cut[np.unique(offsets[offsets < n])] = True
+    cut[np.unique(offsets[offsets < len(data)])] = True
     return np.flatnonzero(cut)
 
 
-def spaced_stretches(data: np.ndarray, offsets: np.ndarray, literals: list[bytes] = ()) -> np.ndarray:
-    """Starts of stretches for a tokenizer that drops white space: every text's start
-    and what follows ASCII white space.  Nothing composes with white space, so
-    normalising before or after the cut is the same; a literal must hold none."""
-    n = len(data)
+def byte_level_stretches(data: np.ndarray, offsets: np.ndarray,
+                         literals: list[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """The texts, and starts of stretches that the byte-level pre-tokenizer never joins:
+    every text's start; where visible kinds meet; a blank before something visible; a lone
+    line break and what follows it.  The apostrophe is no mark, as its contractions join
+    with letters."""
+    kind, cut = _kinds(data)
+    visible = _VISIBLE[kind]
+    # A blank or line break between visible characters starts a stretch.
+    single = np.zeros(len(data), bool)
+    single[1:-1] = visible[:-2] & visible[2:] & ((kind[1:-1] == _BLANK) | (kind[1:-1] == _BREAK))
+    cut |= single
+    # After a line break (never after a blank, which joins the next word).
+    cut[1:] |= single[:-1] & (kind[:-1] == _BREAK)
+    return data, _with_borders(cut, data, offsets, literals)
+
+
+def lowercase_stretches(data: np.ndarray, offsets: np.ndarray,
+                        literals: list[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """The texts and starts of stretches for a tokenizer that composes (NFC), lower-cases,
+    drops white space and cuts runs of letters, digits and runs of other signs apart:
+    every text's start; white space after something else; where visible kinds meet, and
+    between digits.
+
+    Nothing composes with an ASCII character after it, so composing before or after such
+    cuts is the same, and so is lower-casing A-Z before another ASCII character.  That is
+    done here, for fewer stretches, unless it would make a literal."""
+    kind, cut = _kinds(data)
     space = _SPACE[data]
-    cut = np.zeros(n, bool)
-    cut[1:] = space[:-1] & ~space[1:]
-    cut[np.unique(offsets[offsets < n])] = True
-    return np.flatnonzero(cut)
+    cut[1:] |= space[1:] & ~space[:-1]
+    cut[1:] |= (kind[1:] == _DIGIT) & (kind[:-1] == _DIGIT)
+    upper = (data >= 65) & (data <= 90)
+    upper[:-1] &= data[1:] < 128
+    lower = data + (upper * np.uint8(32))
+    raw, lowered = data.tobytes(), lower.tobytes()
+    starts = _with_borders(cut, data, offsets, literals)
+    same = all(raw.count(x) == lowered.count(x) for x in literals)
+    return lower if same else data, starts
 
 
 class StretchEncoder:
@@ -99,7 +124,7 @@ class StretchEncoder:
     does: literals of added tokens in a text get their ids."""
 
     def __init__(self, tokenizer_path: str,
-                 cut: Callable[[np.ndarray, np.ndarray, list[bytes]], np.ndarray] = byte_level_stretches):
+                 cut: Callable[..., tuple[np.ndarray, np.ndarray]] = byte_level_stretches):
         # Spark runs a worker per core; threads of the library beside it only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -108,12 +133,15 @@ class StretchEncoder:
         if any(t.lstrip or t.rstrip or t.single_word or set(t.content) & set(" \t\n\v\f\r") for t in added):
             raise ValueError("added tokens that depend on what stands beside them are not supported")
         self.literals = [t.content.encode() for t in added]
+        # Many stretches are encoded as one text with an added token's literal between
+        # them; what has the first character of a literal is encoded by itself.
+        self.first = {t.content[0] for t in added}
+        self.between = next((t.content for t in added if not t.normalized and not set(t.content[1:]) & self.first), None)
         self.cut = cut
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.known_bytes = 0
+        self.known = pa.array([], pa.large_binary())
         self.ids = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int32)
         self.lengths = np.zeros(0, np.int32)
@@ -126,35 +154,54 @@ class StretchEncoder:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         return np.concatenate([ids for ids, _ in parts]), np.concatenate([n for _, n in parts])
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Ids of the stretches ``new``."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int32, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-        self.known.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-        self.known_bytes += sum(map(len, new))
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Take in the stretches ``new``; their places, in a row with what was known."""
+        texts = new.cast(pa.large_string())
+        if self.between is None:
+            alone = np.ones(len(new), bool)
+        else:
+            alone = pc.match_substring_regex(texts, "[" + re.escape("".join(self.first)) + "]").to_numpy(zero_copy_only=False)
+        order = np.argsort(alone, kind="stable")
+        new, texts = new.take(pa.array(order)), texts.take(pa.array(order)).to_pylist()
+        n = len(texts) - int(alone.sum())
+        groups = [self.between.join(texts[i:min(i + GROUP, n)]) for i in range(0, n, GROUP)] + texts[n:]
+        parts, lengths = [], []
+        border = self.tokenizer.token_to_id(self.between) if self.between else -1
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)):
+            ids = np.array(e.ids, np.int32)
+            if i * GROUP < n:
+                at = np.flatnonzero(ids == border)
+                lengths.append(np.diff(at, prepend=-1, append=len(ids)) - 1)
+                ids = np.delete(ids, at)
+            else:
+                lengths.append([len(ids)])
+            parts.append(ids)
+        lengths = np.concatenate(lengths).astype(np.int32)
+        ids = np.concatenate(parts)
+        self.known = pa.concat_arrays([self.known, new])
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths, dtype=np.int32) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])
+        places = np.empty(len(new), np.int32)
+        places[order] = len(self.starts) - len(new) + np.arange(len(new))
+        return places
 
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n_texts = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(n_texts, np.int64)
-        starts = self.cut(data, offsets, self.literals)
+        data, starts = self.cut(data, offsets, self.literals)
         borders = np.append(starts, len(data)).astype(np.int64)
         parts = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data))])
         coded = parts.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > KNOWN_STRETCHES or self.known_bytes > KNOWN_BYTES:
+        words = coded.dictionary
+        if len(self.known) + len(words) > KNOWN_STRETCHES or self.known.nbytes > KNOWN_BYTES:
             self._forget()
-        slot = np.fromiter(map(self.known.get, words, repeat(-1)), np.int32, len(words))
+        slot = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().copy()
         fresh = np.flatnonzero(slot < 0)
         if len(fresh):
-            slot[fresh] = len(self.starts) + np.arange(len(fresh), dtype=np.int32)
-            self._learn([words[i] for i in fresh])
-        del words
+            slot[fresh] = self._learn(words.take(pa.array(fresh)))
         slot = slot[coded.indices.to_numpy()]
         lengths = self.lengths[slot]
         ends = np.cumsum(lengths, dtype=np.int64)

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from likewise.llm import stretch_encoder, token_output as T
-from likewise.llm.stretch_encoder import StretchEncoder, spaced_stretches
+from likewise.llm.stretch_encoder import StretchEncoder, lowercase_stretches
 
 from .helpers import awkward, documents
 
@@ -36,18 +36,18 @@ def test_stretches_encode_like_whole_texts():
     assert encode(texts) == plain(texts)
 
 
-def test_spaced_stretches_encode_like_whole_texts():
+def test_lowercase_stretches_encode_like_whole_texts():
     """A tokenizer that lower-cases, composes and drops white space."""
     rng = random.Random(16)
     path = public_tokenizers.path("word_bpe_49k.json")
-    parts = [*PARTS, "\u0301", "e\u0301", "\u0323\u0307", "Σ", "ΑΣ", "İ", "ß", "\u00a0", "\u2028", "\x1c", "\x85", "ﬁ",
+    parts = [*PARTS, "\u0301", "J", "I", "K\u030c", "T", "<|ENDOFTEXT|>", "7", "_", "e\u0301", "\u0323\u0307", "Σ", "ΑΣ", "İ", "ß", "\u00a0", "\u2028", "\x1c", "\x85", "ﬁ",
              "<|startoftext|>", "<|endof", "text|>", "\u1100\u1161", "ก็", "½", "Ⅷ"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(8000)]
     tokenizer = Tokenizer.from_file(path)
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    ids, counts = StretchEncoder(path, spaced_stretches).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    ids, counts = StretchEncoder(path, lowercase_stretches).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
     ends = np.cumsum(counts)
     assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == want
 
