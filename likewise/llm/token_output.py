@@ -43,7 +43,7 @@ from .stretch_encoder import shared_encoder
 MAGIC = b"GRAMMAR2"
 END_ID = 0
 SHARD_BYTES = 6 << 20
-RULES_PER_ROUND = 4096
+RULES_PER_ROUND = 8192
 MIN_COUNT = 16
 _PAIR_BITS = 21
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.ndarray:

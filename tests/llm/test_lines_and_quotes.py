@@ -8,48 +8,108 @@ from likewise.llm import line_quality as L, line_templates as T, quote_links as
 from .helpers import awkward, documents, vocabulary
 
 
-def brute_dropped(docs, min_docs, depth=T.DEPTH, share=T.SIMILARITY):
-    mask = lambda line: [T.VARIABLE if any(c in "0123456789" for c in w) else w for w in line.split()]
-    leaves = defaultdict(set)
-    for text in set(docs):
+def brute_dropped(docs, min_docs, depth=T.DEPTH):
+    """What is left of the texts, by plain loops over dictionaries."""
+    mask = lambda line: tuple(T.VARIABLE if any(c in "0123456789" for c in w) else w for w in line.split())
+    seen = defaultdict(set)
+    for text in docs:
         for line in text.split("\n"):
             if line.split():
-                m = mask(line)
-                leaves[len(m), *m[:depth]].add(tuple(m))
-    template = {}
-    for leaf, lines in leaves.items():
-        common = [max((n, w) for w, n in Counter(col).items()) for col in zip(*lines)]
-        pattern = tuple(w if 2 * n >= len(lines) else T.VARIABLE for n, w in common)
-        for m in lines:
-            alike = sum(w == c for w, (_, c) in zip(m, common)) >= share * len(m)
-            template[m] = ("T", leaf, pattern) if alike and len(lines) > 1 else m
-    counts = Counter()
-    for text in docs:
-        counts.update({template[tuple(mask(x))] for x in text.split("\n") if x.split()})
-    return ["\n".join(x for x in text.split("\n")
-                      if not x.split() or counts[template[tuple(mask(x))]] < min_docs) for text in docs]
+                seen[mask(line)].add(text)
+    leaves = defaultdict(list)
+    for m in seen:
+        if len(m) >= depth + T.MIN_CONSTANT:
+            leaves[len(m), *m[:depth]].append((m, ()))
+    template, nodes = {}, list(leaves.values())
+    for _ in range(T.LEVELS):
+        deeper = defaultdict(list)
+        for k, node in enumerate(nodes):
+            counts = Counter((i, m[i]) for m, used in node for i in range(depth, len(m)) if i not in used)
+            for m, used in node:
+                c, i = max(((counts[i, m[i]], -i) for i in range(depth, len(m)) if i not in used), default=(0, 0))
+                if c > 1:
+                    deeper[k, -i, m[-i]].append((m, (*used, -i)))
+        nodes = []
+        for key, node in deeper.items():
+            if len(node) < 2 or sum(len(seen[m]) for m, _ in node) < min_docs:
+                continue
+            constants = []
+            for i in range(depth, len(node[0][0])):
+                n, w = max((n, w) for w, n in Counter(m[i] for m, _ in node).items())
+                if 2 * n >= len(node):
+                    constants.append((i, w))
+            enough = len(constants) >= T.MIN_CONSTANT and 2 * len(constants) >= len(node[0][0]) - depth
+            fits = [m for m, _ in node if enough and 4 * sum(m[i] == w for i, w in constants) >= 3 * len(constants)]
+            template.update((m, (_, key)) for m in fits)
+            nodes.append([(m, used) for m, used in node if m not in fits])
+    of_template = defaultdict(set)
+    for m, t in template.items():
+        of_template[t] |= seen[m]
+    gone = {m for m in seen if len(seen[m]) >= (T.LONG_DOCS if len(m) >= T.LONG_WORDS else min_docs)
+            or m in template and len(of_template[template[m]]) >= min_docs}
+    return ["\n".join(x for x in text.split("\n") if not x.split() or mask(x) not in gone) for text in docs]
+
+
+def dropped(spark, texts, **options):
+    """The texts without their recurring lines, the counts checked."""
+    docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    found = {r.row.doc_id: r for r in T.drop_recurring_lines(docs, **options).collect()}
+    full = lambda s: sum(bool(x.split()) for x in s.split("\n"))
+    for i, t in enumerate(texts):
+        assert (found[i].n_lines, found[i].n_dropped) == (full(t), full(t) - full(found[i].text))
+    return [found[i].text for i in range(len(texts))]
 
 
 def test_templates_equal_brute_force(spark):
     rng = random.Random(3)
     vocab = vocabulary(rng, 12)
-    shapes = [["GET", "page", "{}", "from", "{}", "took", "{}", "ms"], ["user", "{}", "logged", "in", "at", "noon"],
-              ["a", "b", "c", "{}", "{}", "{}"], ["All", "rights", "reserved."]]
+    shapes = [["GET", "page", "{}", "from", "{}", "took", "{}", "ms"], ["GET", "page", "{}", "to", "{}", "cost", "{}", "cents"],
+              ["user", "{}", "logged", "in", "at", "noon"], ["a", "b", "c", "{}", "{}", "{}"],
+              ["All", "rights", "reserved."], ["the", "{}", "of", "{}", "in", "{}", "is", "{}", "and", "so", "on"]]
     texts = []
     for i in range(120):
         lines = [" ".join(rng.choice([rng.choice(vocab), str(rng.randint(0, 99)), f"n{rng.randint(0, 9)}"])
                           if w == "{}" else w for w in rng.choice(shapes)) for _ in range(rng.randint(0, 3))]
         lines += [" ".join(vocabulary(rng, rng.randint(1, 9))) for _ in range(3)] + [""]
+        if i % 7 == 0:
+            lines.append(" ".join(vocab * 5) + f" {i % 3}")
         rng.shuffle(lines)
         texts.append("\n".join([*lines, f"own {'x' * i}"]))
-    docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
     for min_docs in (4, 12, 40):
-        found = {r.row.doc_id: r for r in T.drop_recurring_lines(docs, min_docs=min_docs).collect()}
         want = brute_dropped(texts, min_docs)
-        assert [found[i].text for i in range(len(texts))] == want
-        for i, t in enumerate(texts):
-            full = lambda s: sum(bool(x.split()) for x in s.split("\n"))
-            assert (found[i].n_lines, found[i].n_dropped) == (full(t), full(t) - full(want[i]))
+        assert want != texts
+        assert dropped(spark, texts, min_docs=min_docs) == want
+
+
+def test_unique_short_sentences_stay(spark):
+    verbs = "sleep leave read write sing run swim eat cook walk rest".split()
+    texts = [f"I want to {v}\nYou have to {v} now" for v in verbs]
+    assert dropped(spark, texts) == texts
+
+
+def test_a_long_line_goes_from_the_second_document_on(spark):
+    rng = random.Random(11)
+    long, short = " ".join(vocabulary(rng, 60)), " ".join(vocabulary(rng, 49))
+    texts = [f"{long}\nown {'abcdefghij'[i]}\n{short}" for i in range(9)]
+    assert dropped(spark, texts) == [f"own {'abcdefghij'[i]}\n{short}" for i in range(9)]
+    assert dropped(spark, texts[:2]) == [f"own {x}\n{short}" for x in "ab"]
+    once = [f"{long}\nown a", "other"]
+    assert dropped(spark, once) == once
+
+
+def test_the_smaller_of_two_families_in_a_leaf_is_found(spark):
+    rng = random.Random(12)
+    names = vocabulary(rng, 80)
+    large = [f"the order of {n} was sent by {m} today" for n, m in zip(names[:30], names[30:60])]
+    small = [f"the order of {n} came back from {m} damaged" for n, m in zip(names[60:72], names[:12])]
+    assert len({len(x.split()) for x in large + small}) == 1
+    assert dropped(spark, large + small) == [""] * 42
+    assert dropped(spark, large + small[:9]) == [""] * 30 + small[:9]
+
+
+def test_a_line_of_a_third_of_all_rows(spark):
+    texts = [f"the very same line here\nown {'xyz'[i % 3] * (i + 1)}" for i in range(300)]
+    assert dropped(spark, texts) == [t.split("\n")[1] for t in texts]
 
 
 def test_templates_of_awkward_rows(spark):
