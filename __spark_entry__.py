@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likewise import (append_and_count, attributes_long, batch_top_k, batch_top_k_indexed,
-                      cached, digit_score_compat, exclude_item, flatten_attributes, lookup_item,
+                      batch_top_k_joined, batch_top_k_open, cached, digit_score_compat, exclude_item, flatten_attributes, lookup_item,
                       match_indicators, missing_requests, rank_candidates, read_catalog,
                       similarity_open, similarity_score, to_map, top_k_names, top_k_similar,
                       top_k_weights, write_catalog_json)
@@ -207,6 +207,12 @@ def q_batch_top_k_wide(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k(derived.orders_wide(spark, sf, 24), K, unique_ids=True)
 
 
+def q_batch_top_k_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by the parts they ordered: a name per part, a few of them per customer."""
+    top = batch_top_k_open(derived.parts_of_customers(spark, sf), K, unique_ids=True)
+    return top.withColumn("matched", F.array_join("matched", ","))
+
+
 def q_batch_top_k_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k(derived.docs5(spark, sf), K)
 
@@ -215,6 +221,10 @@ def q_batch_top_k_indexed(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k_indexed(derived.cust5(spark, sf), K, unique_ids=True)
 
 
+def q_batch_top_k_joined(spark: SparkSession, sf: str) -> DataFrame:
+    return batch_top_k_joined(derived.cust5(spark, sf), K, unique_ids=True)
+
+
 def q_missing_requests(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.docs5(spark, sf, labelled_only=True)
     requests = derived.table(spark, sf, "documents").select(F.col("doc_id").alias("sku"))
@@ -285,8 +295,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_top_k_k2000": q_batch_top_k_k2000,
     "batch_top_k_dirty": q_batch_top_k_dirty,
     "batch_top_k_wide": q_batch_top_k_wide,
+    "batch_top_k_open": q_batch_top_k_open,
     "batch_top_k_sparse": q_batch_top_k_sparse,
     "batch_top_k_indexed": q_batch_top_k_indexed,
+    "batch_top_k_joined": q_batch_top_k_joined,
     "missing_requests": q_missing_requests,
     "append_and_count": q_append_and_count,
     "term_match": q_term_match,
@@ -526,9 +538,24 @@ FROM ({top})""",
   SELECT sku, CASE WHEN sku % 3 = 0 THEN 'A0' ELSE a END AS a, b, c, d, e, f, g, h, i, j FROM part10),
 {_batch_sql('dirty', p10, K)}""",
         "batch_top_k_wide": f"WITH {_wide_sql(24)}, {_batch_sql('wide', [f'o{i:02d}' for i in range(24)], K)}",
+        "batch_top_k_open": f"""WITH long AS (
+  SELECT o_custkey AS sku, 'part' || l_partkey AS name, max(l_returnflag) AS value
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey),
+ids AS (SELECT DISTINCT sku FROM long),
+pairs AS (
+  SELECT t.sku AS request_sku, x.sku, count(*) AS n, string_agg(t.name, ',' ORDER BY t.name) AS matched
+  FROM long t JOIN long x ON x.name = t.name AND x.value = t.value AND x.sku <> t.sku GROUP BY t.sku, x.sku),
+every AS (
+  SELECT t.sku AS request_sku, x.sku, coalesce(n, 0) AS n, coalesce(matched, '') AS matched
+  FROM ids t JOIN ids x ON x.sku <> t.sku LEFT JOIN pairs p ON p.request_sku = t.sku AND p.sku = x.sku),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY request_sku ORDER BY n DESC, string_split(matched, ','), sku) AS rn FROM every)
+SELECT request_sku, CAST(rn AS INTEGER) AS rn, sku, CAST(n AS INTEGER) AS match_count, matched FROM ranked WHERE rn <= {K}""",
         "batch_top_k_sparse": f"WITH {CTE_DOCS5}, {_batch_sql('docs5', FIVE, K)}",
         "batch_top_k_indexed": f"WITH {CTE_CUST5}, "
                                f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
+        "batch_top_k_joined": f"WITH {CTE_CUST5}, "
+                              f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
         "missing_requests": """SELECT DISTINCT d.doc_id AS sku FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "append_and_count": "SELECT CAST(2 * count(*) AS BIGINT) AS n FROM nation",

@@ -40,8 +40,7 @@ The last shuffle is on the request id, whose groups are bounded by
 The exponent is the per-item number of attributes, not the catalog's total, so
 open catalogs with many names but few per item stay cheap.  Where some item has
 more than ``max_attributes``, or the names are too many for a bigint mask, the
-same result comes from ``scan.scan_top_k``, which compares blocks of requests
-with all items.  Null ids are left out and one row per id counts
+same result comes from posting lists (``operators.postings``).  Null ids are left out and one row per id counts
 (``one_row_per_id``), as for a single request.
 """
 
@@ -56,9 +55,9 @@ from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, b
 from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
 from .lookup import one_row_per_id
-from .scan import scan_top_k
+from .postings import top_k_by_postings
 
-# Above 2**12 groups for some item the requests are scanned in blocks instead.
+# Above 2**12 groups for some item the posting lists answer instead.
 MAX_LATTICE_ATTRIBUTES = 12
 # Spark's group limit before the shuffle ends at 1,000 rows of a group.
 MAX_GROUP_LIMIT = 1000
@@ -412,6 +411,35 @@ def top_k_from_index(spark: SparkSession, path: str, requests: DataFrame, k: int
     return top_k_from_pairs(pairs, k, m, id_col)
 
 
+def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFrame | None,
+                id_col: str, include_empty: bool) -> DataFrame:
+    """The result of ``batch_top_k`` by posting lists, for items of any width; ids are
+    unique and not null."""
+    m = len(names)
+    present = F.filter(F.array(*[F.when(attr(n).isNotNull(), F.struct(
+        F.lit(i).alias("at"), F.xxhash64(F.lit(i), attr(n).cast("string")).alias("key")))
+        for i, n in enumerate(names)]), lambda x: x.isNotNull())
+    items = materialize(flat.select(F.col(id_col).alias("id"), F.transform(present, lambda x: x["key"]).alias("keys"),
+                                    F.transform(present, lambda x: x["at"]).alias("at")), "wide-items")
+    asked = items.select(F.col("id").alias("request"), "keys", "at")
+    if requests is not None:
+        ids = requests.select(F.col(id_col).alias("request")).distinct()
+        asked = materialize(asked.join(ids, "request", "left_semi"), "wide-requests")
+    top = top_k_by_postings(items.select("id", "keys"), asked, k, include_empty)
+    top = top.join(asked.select("request", "at"), "request")
+    matched = F.transform("places", lambda p: F.get("at", p))
+    if m > MAX_BIGINT_ATTRIBUTES:
+        mask = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.when(
+            F.array_contains("matched", i), "1").otherwise("0")), "")
+    else:
+        mask = F.aggregate("matched", F.lit(0).cast("bigint"), lambda a, i: a + F.pow(
+            F.lit(2.0), F.lit(m - 1) - i).cast("bigint"))
+    top = top.withColumn("matched", matched).withColumn("mask", mask)
+    return top.select(F.col("request").alias("request_sku"), F.col("rn").cast("int").alias("rn"),
+                      F.col("id").alias(id_col), score_from_mask(F.col("mask"), m).alias("score"),
+                      F.size("places").alias("match_count"), "mask")
+
+
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                 id_col: str = "sku", include_empty: bool = True,
                 max_attributes: int = MAX_LATTICE_ATTRIBUTES,
@@ -457,10 +485,11 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     flat = escaped(flat, id_col)
     names = attribute_names(flat, id_col)
     m = len(names)
-    flat = flat.filter(F.col(id_col).isNotNull()) if unique_ids else one_row_per_id(flat, id_col)
+    # The choice of one row per id is stored, as both fan-outs start from it.
+    flat = (flat.filter(F.col(id_col).isNotNull()) if unique_ids
+            else materialize(one_row_per_id(flat, id_col), "batch-items"))
     if not _fits_lattice(flat, names, max_attributes):
-        asked = flat.select(id_col) if requests is None else requests.select(id_col).distinct()
-        return scan_top_k(flat, names, k, asked, id_col, include_empty)
+        return _wide_top_k(flat, names, k, requests, id_col, include_empty)
     lowest = 0 if include_empty else 1
     auto_split = split_level is None
     if auto_split:
@@ -477,10 +506,16 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
         requests = materialize(
             requests.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).distinct(),
             "batch-requests")
-        if auto_split and (requests.count() << m) <= MAX_BROADCAST_ROWS:
+        n_asked = requests.count()
+        if auto_split and (n_asked << m) <= MAX_BROADCAST_ROWS:
             # Few requests: one round, whose heads are built only for the
             # groups these requests are in, beats fanning the catalog out twice.
             split = 0
+        elif 2 * n_asked > flat.count():
+            # Most items are asked for: all are answered, and the others left out.
+            top = batch_top_k(flat, k, None, id_col, include_empty, max_attributes, materialize_index,
+                              hot_group_rows, None if auto_split else split_level, True)
+            return top.join(requests.select(F.col(id_col).alias("request_sku")), "request_sku", "left_semi")
     elif auto_split and split > lowest:
         present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
         fan = flat.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0

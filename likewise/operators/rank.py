@@ -13,6 +13,8 @@ from .score import similarity_score
 
 # Copies of a histogram too large to broadcast.
 RANK_SALTS = 64
+# Up to this many attributes the histogram is small by itself.
+MAX_HISTOGRAM_ATTRIBUTES = 16
 SCORE_COLUMNS = ("score", "match_count", "mask")
 
 
@@ -29,18 +31,25 @@ def rank_candidates(scored: DataFrame, order: str = "fixed", m: int | None = Non
 
     A window without a partition key would send every candidate to one task.
     Instead the rank is read from a histogram of the distinct scores: each
-    task counts its scores before the shuffle, the histogram is sorted by
-    ranges, each range numbers its own scores, and the ranges' totals (one row
-    per range) give where each starts.  The histogram is broadcast back if
-    it is counted to be small; ``m`` attributes bound it by ``2**m + 1`` rows.
-    Otherwise it is joined by the score, salted: its rows are copied
-    ``RANK_SALTS`` times, so candidates of one score go to as many tasks.
+    task counts its scores before the shuffle.  ``m`` attributes bound it by
+    ``2**m + 1`` rows; up to ``MAX_HISTOGRAM_ATTRIBUTES`` it is numbered at once and
+    broadcast.  Otherwise the histogram is sorted by ranges, each range numbers its
+    own scores, and the ranges' totals (one row per range) give where each starts.
+    It is broadcast back if it is counted to be small, else joined by the score,
+    salted: its rows are copied ``RANK_SALTS`` times, so candidates of one score go
+    to as many tasks.
     """
     if order not in ("compat", "fixed"):
         raise ValueError("order must be 'compat' or 'fixed'")
     score_col = score_col or (COMPAT_SCORE_COLUMN if order == "compat" else "score")
     key = F.asc_nulls_first("_hs") if order == "compat" else F.desc_nulls_last("_hs")
     hist = scored.groupBy(F.col(score_col).alias("_hs")).agg(F.count(F.lit(1)).alias("_hn"))
+    kind = "int" if order == "compat" else "bigint"
+    if m is not None and m <= MAX_HISTOGRAM_ATTRIBUTES:
+        # At most 2**m + 1 rows, numbered in one small window.
+        earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        small = hist.select("_hs", (F.coalesce(F.sum("_hn").over(earlier), F.lit(0)) + 1).cast(kind).alias("rank"))
+        return scored.join(F.broadcast(small), scored[score_col].eqNullSafe(small["_hs"])).drop("_hs")
     # Stored, as the ranges must be the same ones for numbers and totals.
     hist = materialize(hist.repartitionByRange(key).sortWithinPartitions(key)
                        .withColumn("_part", F.spark_partition_id()), "rank-histogram")
@@ -49,11 +58,8 @@ def rank_candidates(scored: DataFrame, order: str = "fixed", m: int | None = Non
         "_part", F.coalesce(F.sum("_total").over(first), F.lit(0)).alias("_start"))
     before = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     rank = F.coalesce(F.sum("_hn").over(before), F.lit(0)) + F.col("_start") + 1
-    hist = hist.join(starts, "_part").select("_hs", rank.cast("int" if order == "compat" else "bigint")
-                                             .alias("rank"))
-    bound = (1 << m) + 1 if m is not None and m <= 20 else None
-    small = bound is not None or hist.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    if small:
+    hist = hist.join(starts, "_part").select("_hs", rank.cast(kind).alias("rank"))
+    if hist.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         return scored.join(F.broadcast(hist), scored[score_col].eqNullSafe(hist["_hs"])).drop("_hs")
     hist = hist.select("*", F.explode(F.sequence(F.lit(0), F.lit(RANK_SALTS - 1))).alias("_hsalt"))
     salted = scored.withColumn("_salt", F.pmod(F.xxhash64(*[attr(c) for c in scored.columns]),

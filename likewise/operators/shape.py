@@ -7,18 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import MapType, StructType
 
+from ..errors import TooManyAttributes
 from ..functions.columns import attr, column_names
 
-def discover_names(catalog: DataFrame) -> list[str]:
+# More names than this are no schema.
+MAX_NAMES = 10_000
+
+
+def discover_names(catalog: DataFrame, max_names: int = MAX_NAMES) -> list[str]:
     """Distinct attribute names of a map-form catalog, alphabetical.
 
     One distributed ``distinct`` over the map keys (partial-aggregated before
     its shuffle).  The distinct names reach the driver, as they become the
-    schema of the flat form; catalogs with names too many for a schema are
-    handled in the open forms (``attributes_long``, ``similarity_open``).
+    schema of the flat form.  More than ``max_names`` raise ``TooManyAttributes``,
+    and no more than one beyond that ever reach the driver; such catalogs are
+    handled in the open forms (``attributes_long``, ``similarity_open``,
+    ``batch_top_k_open``).
     """
     keys = catalog.select(F.explode(F.map_keys("attributes")).alias("name")).distinct()
-    return sorted(r["name"] for r in keys.toLocalIterator())
+    names = [r["name"] for r in keys.limit(max_names + 1).collect()]
+    if len(names) > max_names:
+        raise TooManyAttributes(f"more than {max_names} attribute names; use an open form such as batch_top_k_open")
+    return sorted(names)
 
 
 def flatten_attributes(catalog: DataFrame, names: Sequence[str] | None = None,

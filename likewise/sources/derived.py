@@ -92,6 +92,18 @@ def orders_wide(spark: SparkSession, sf_dir: str, m: int) -> DataFrame:
         for i in range(m)])
 
 
+def parts_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map form of customers with orders: an attribute ``part<key>`` for each part they
+    ordered, its value the highest return flag of those lines.  As many names as parts."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    long = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_custkey", "l_partkey")
+            .agg(F.max("l_returnflag").alias("value")))
+    pair = F.struct(F.concat(F.lit("part"), F.col("l_partkey").cast("string")), "value")
+    return long.groupBy(F.col("o_custkey").alias("sku")).agg(
+        F.map_from_entries(F.collect_list(pair)).alias("attributes"))
+
+
 def part10_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part10`` with small parts once more without an id, and every third part
     once more with another value of ``a`` that makes this row the one that counts."""
