@@ -89,27 +89,3 @@ def row_blocks(offsets: np.ndarray, limit: int):
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
-
-
-# Random values of the 256 bytes, and an odd multiplier whose powers weight
-# the positions, for ``segment_hashes``.
-_BYTE_VALUES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every ``data[start:end]``, all at once: prefix sums of
-    random byte values times powers of an odd number, shifted back to the
-    segment's start.  Among ``n`` distinct segments the chance that any two
-    agree is about ``n**2 / 2**65``."""
-    n = len(data)
-    if len(_powers[0]) < n + 1:
-        for i, step in enumerate((_STEP, _STEP_INVERSE)):
-            run = np.full(n + 1, step, np.uint64)
-            run[0] = 1
-            _powers[i] = np.multiply.accumulate(run)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _powers[0][:n], out=sums[1:])
-    return (sums[ends] - sums[starts]) * _powers[1][starts]

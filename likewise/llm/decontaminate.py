@@ -7,15 +7,13 @@ item as a whole) are binary-searched in it together, which gives the range
 of training positions that start with the same words: the verbatim matches
 and their locations.  Successive matches are chained to the longest ones.
 
-Words are compared by 64-bit hashes of their bytes; a false window needs two
-different words with one hash between equal neighbours (for ``10**9``
-different training words against ``10**6`` test words, a chance of about
-``5e-5`` that any such pair of words exists at all).
+Words are told apart by their bytes: a word is its place among the benchmark's
+distinct words, and a word that no item has can be in no match.
 
 Documents are never shuffled.  The test side reaches the tasks in blocks of
-at most ``block_bytes`` of text: one block is one pass; more blocks are
-further passes that carry the marks found so far along with each row, with a
-written table between them.
+at most ``block_bytes`` of text, as arrays of about 25 bytes a word: one block is one
+pass; more blocks are further passes that carry the marks found so far along with
+each row, with a written table between them.
 """
 
 from __future__ import annotations
@@ -24,16 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import col, map_arrow, materialize, row_blocks, segment_hashes, utf8_bytes
+from .common import col, map_arrow, materialize, row_blocks, utf8_bytes
 
 WINDOW = 13
 # Contaminated: one hit word or more, and at least one word in MIN_SHARE hit.
 MIN_SHARE = 20
 SHARD_BYTES = 2 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+# Windows searched at once.
+QUERY_WINDOWS = 1 << 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -60,45 +61,85 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words as an Arrow array."""
+    lengths = ends - starts
+    borders = np.append(0, np.cumsum(lengths))
+    pick = np.arange(borders[-1]) + np.repeat(starts - borders[:-1], lengths)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                 [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(data[pick])])
+
+
 class TestWindows:
-    """The distinct windows of a block of benchmark items."""
+    """The distinct windows of a block of benchmark items, as arrays: the items' words one
+    after the other (``words``, places in ``vocabulary``), and of each distinct window where it
+    begins (``at``), its ``lengths`` and the items that have it (``of``, in rows of ``borders``)."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
         self.window = window
-        windows: dict[tuple, int] = {}
-        self.items: list[set[str]] = []
-        follows: set[tuple[int, int]] = set()
-        for item, text in items:
-            data = _LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-            starts, ends, _ = words_of(data, np.array([0, len(data)]))
-            words = segment_hashes(data, starts, ends).tolist()
-            before = None
-            for i in range(max(len(words) - window + 1, min(len(words), 1))):
-                key = tuple(words[i:i + window])
-                if key not in windows:
-                    windows[key] = len(windows)
-                    self.items.append(set())
-                at = windows[key]
-                self.items[at].add(item)
-                if before is not None:
-                    follows.add((before, at))
-                before = at
-        self.lengths = np.array([len(k) for k in windows], np.int64)
-        self.words = np.zeros((len(windows), window), np.uint64)
-        for key, at in windows.items():
-            self.words[at, :len(key)] = key
-        n = max(len(windows), 1)
-        self.follows = np.sort(np.array([a * n + b for a, b in follows], np.int64))
-        self._digests: dict[tuple, list[str]] = {}
-
-    def items_of(self, windows: tuple[int, ...]) -> list[str]:
-        """The items that have any of these windows; remembered, as documents
-        that share a passage ask for the same ones."""
-        if windows not in self._digests:
-            if len(self._digests) > 10_000:
-                self._digests.clear()
-            self._digests[windows] = sorted(set().union(*(self.items[w] for w in windows)))
-        return self._digests[windows]
+        self.names = sorted({item for item, _ in items})
+        texts = pa.array([text or "" for _, text in items], pa.large_string())
+        data, offsets = utf8_bytes(texts)
+        data = _LOWER[data]
+        starts, ends, rows = words_of(data, offsets)
+        coded = word_array(data, starts, ends).dictionary_encode()
+        self.vocabulary = coded.dictionary
+        self.words = coded.indices.to_numpy().astype(np.int32)
+        place = {name: i for i, name in enumerate(self.names)}
+        item = np.array([place[i] for i, _ in items], np.int64)[rows] if len(items) else rows
+        n_words = np.bincount(rows, minlength=len(items))
+        left = (np.cumsum(n_words)[rows] if len(items) else rows) - np.arange(len(rows))
+        whole = n_words[rows] < window if len(items) else np.zeros(0, bool)
+        first = np.ones(len(rows), bool)
+        first[1:] = rows[1:] != rows[:-1]
+        # Windows of all items, equal ones side by side: full ones, then whole short items.
+        begins = np.flatnonzero((left >= window) | (first & whole))
+        lengths = np.minimum(left[begins], window)
+        padded = np.append(self.words, np.full(window, -1, np.int32))
+        order = self._sorted(begins, lengths, padded)
+        begins, lengths = begins[order], lengths[order]
+        new = np.ones(len(begins), bool)
+        for low in range(1, len(begins), QUERY_WINDOWS):
+            part = np.arange(low, min(low + QUERY_WINDOWS, len(begins)))
+            new[part] = (self._row(begins[part], lengths[part], padded)
+                         != self._row(begins[part - 1], lengths[part - 1], padded)).any(axis=1)
+        group = np.cumsum(new) - 1
+        self.at, self.lengths = begins[new].astype(np.int32), lengths[new].astype(np.int8)
+        pairs = np.unique(group * np.int64(max(len(self.names), 1)) + item[begins])
+        self.of = (pairs % max(len(self.names), 1)).astype(np.int32)
+        self.borders = np.searchsorted(pairs // max(len(self.names), 1), np.arange(len(self.at) + 1)).astype(np.int32)
+        # Which full window an item has one word after which.
+        group_at = np.full(len(self.words) + 1, -1, np.int64)
+        group_at[begins] = np.where(lengths == window, group, -1)
+        after = np.flatnonzero((group_at[:-1] >= 0) & (group_at[1:] >= 0) & (left > window))
+        self.follows = np.unique(group_at[after] * max(len(self.at), 1) + group_at[after + 1])
+
+    def _row(self, begins: np.ndarray, lengths: np.ndarray, padded: np.ndarray) -> np.ndarray:
+        """The words of windows, -1 behind the shorter ones."""
+        steps = np.arange(self.window)
+        return np.where(steps < lengths[:, None], padded[begins[:, None] + steps], -1)
+
+    def _sorted(self, begins: np.ndarray, lengths: np.ndarray, padded: np.ndarray) -> np.ndarray:
+        """An order that brings equal windows together."""
+        full = np.flatnonzero(lengths == self.window)
+        short = np.flatnonzero(lengths < self.window)
+        rank = np.empty(len(self.words), np.int64)
+        rank[suffix_array(self.words.astype(np.int64), self.window)] = np.arange(len(self.words))
+        full = full[np.argsort(rank[begins[full]])]
+        rows = self._row(begins[short], lengths[short], padded)
+        return np.concatenate([full, short[np.lexsort(rows.T[::-1])] if len(short) else short])
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        """The words of some distinct windows."""
+        padded = np.append(self.words, np.full(self.window, -1, np.int32))
+        return self._row(self.at[which].astype(np.int64), self.lengths[which], padded)
+
+    def items_of(self, windows: np.ndarray) -> list[str]:
+        """The items that have any of these distinct windows."""
+        if not len(windows):
+            return []
+        found = np.concatenate([self.of[self.borders[w]:self.borders[w + 1]] for w in windows])
+        return [self.names[i] for i in np.unique(found)]
 
 
 def suffix_array(ranks: np.ndarray, depth: int) -> np.ndarray:
@@ -132,22 +173,32 @@ def suffix_array(ranks: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def find_windows(words: np.ndarray, tests: TestWindows) -> tuple[np.ndarray, np.ndarray]:
-    """``(window, position)`` of every occurrence of a test window in ``words``
-    (hashes), by binary search of all windows in the suffix array."""
+def find_windows(words: pa.Array, tests: TestWindows) -> tuple[np.ndarray, np.ndarray]:
+    """``(window, position)`` of every occurrence of a test window in ``words``, by binary
+    search of all windows in the suffix array."""
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not len(words) or not len(tests.words):
+    if not len(words) or not len(tests.at):
         return none
-    known, ranks = np.unique(words, return_inverse=True)
-    at = np.minimum(np.searchsorted(known, tests.words), len(known) - 1)
-    used = np.arange(tests.window) < tests.lengths[:, None]
-    asked = np.flatnonzero(((known[at] == tests.words) | ~used).all(axis=1))
+    codes = pc.index_in(words, value_set=tests.vocabulary).fill_null(-1).to_numpy().astype(np.int64)
+    known = np.zeros(len(tests.vocabulary), bool)
+    known[codes[codes >= 0]] = True
+    unknown = np.append(0, np.cumsum(~known[tests.words]))
+    asked = np.flatnonzero(unknown[tests.at + tests.lengths.astype(np.int64)] == unknown[tests.at])
     if not len(asked):
         return none
-    query, used, n = at[asked], used[asked], len(words)
+    # A word that no item has is like no other, so it ties with none.
+    ranks = np.where(codes < 0, len(known) + np.arange(len(codes)), codes)
     order = suffix_array(ranks, tests.window)
     padded = np.append(ranks, np.full(tests.window, -1))
-    steps = np.arange(tests.window)
+    found = [_search(asked[i:i + QUERY_WINDOWS], tests, order, padded) for i in range(0, len(asked), QUERY_WINDOWS)]
+    return np.concatenate([w for w, _ in found]), np.concatenate([p for _, p in found])
+
+
+def _search(asked: np.ndarray, tests: TestWindows, order: np.ndarray,
+            padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of the windows ``asked``."""
+    query, n = tests.rows(asked), len(order)
+    used, steps = query >= 0, np.arange(tests.window)
 
     def bound(upper: bool) -> np.ndarray:
         low, high = np.zeros(len(query), np.int64), np.full(len(query), n, np.int64)
@@ -166,8 +217,6 @@ def find_windows(words: np.ndarray, tests: TestWindows) -> tuple[np.ndarray, np.
     low, high = bound(False), bound(True)
     counts = high - low
     total = int(counts.sum())
-    if not total:
-        return none
     slot = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
     return np.repeat(asked, counts), order[slot]
 
@@ -178,7 +227,7 @@ def _mark(data: np.ndarray, offsets: np.ndarray, tests: TestWindows, old: list[d
     n_rows = len(offsets) - 1
     data = _LOWER[data]
     starts, ends, rows = words_of(data, offsets)
-    window, at = find_windows(segment_hashes(data, starts, ends), tests)
+    window, at = find_windows(word_array(data, starts, ends), tests)
     if len(at):
         end = at + tests.lengths[window]
         whole = end <= len(rows)
@@ -204,14 +253,14 @@ def _mark(data: np.ndarray, offsets: np.ndarray, tests: TestWindows, old: list[d
             w, a, r = window[full], at[full], row[full]
             alone = np.ones(len(full), bool)
             alone[1:] = ((a[1:] != a[:-1] + 1) | (r[1:] != r[:-1])
-                         | ~np.isin(w[:-1] * len(tests.words) + w[1:], tests.follows))
+                         | ~np.isin(w[:-1] * len(tests.at) + w[1:], tests.follows))
             head[full] = full[np.maximum.accumulate(np.where(alone, np.arange(len(full)), 0))]
         length = at - at[head] + tests.lengths[window]
         bounds = np.flatnonzero(np.append(np.append(True, row[1:] != row[:-1]), True))
         for low, high in zip(bounds, bounds[1:]):
             r = int(row[low])
             hits[r] = np.packbits(hit[first[r]:first[r] + n_words[r]])
-            items[r] = tests.items_of(tuple(np.unique(window[low:high]).tolist()))
+            items[r] = tests.items_of(np.unique(window[low:high]))
             best = low + int(length[low:high].argmax())
             longest[r], longest_at[r] = int(length[best]), int(at[head[best]] - first[r])
     for r, before in enumerate(old):
@@ -303,7 +352,7 @@ def contamination_sql(window: int = WINDOW, min_share: int = MIN_SHARE) -> str:
     words = (f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), "
              "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
     return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words} AS w FROM benchmark),
 windows AS (
   SELECT DISTINCT item, least(len(w), {window}) AS n, array_to_string(list_slice(w, i, i + {window - 1}), ' ') AS k
   FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window - 1}, least(len(w), 1)) + 1)) AS i FROM b)),

@@ -6,7 +6,12 @@ by their host's reputation: labelled page outcomes are shrunk from host to
 registered domain to suffix to the whole by beta-binomial priors.  Each level's
 prior strength is estimated from how much more its units differ than chance
 would have them.  A host is blocked when the lower bound of its posterior
-share of bad pages is above a limit, so few labels never block by themselves.
+share of bad pages is above the share of the whole, so it is so with fair
+certainty worse than pages in general; one label never is enough.
+
+A suffix is a host's last label, or its last two where the last is a country's (two
+letters) and the one before a general one (``co.uk``, ``com.au``); the registered domain
+has one label more.  An address is a domain of its own, and all addresses have one suffix.
 
 The pages are grouped by host before anything is joined, so a hot host is a
 row; the verdict comes back to the pages by a join on the host, whose skew
@@ -19,10 +24,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import col, materialize
 
-MAX_BAD = 0.4
+# The bound may be this many times the share of bad pages in the whole.
+MAX_RATIO = 1.0
 Z = 1.645
-# Suffixes of two labels under which domains are registered.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz", "com.cn")
+# Second-level labels under which countries register domains, and address forms.
+GENERAL = "ac|co|com|edu|gob|gouv|gov|govt|go|id|info|ltd|me|mil|ne|net|nhs|nom|or|org|plc|sch|school"
+LONG_SUFFIX = rf"(^|\.)({GENERAL})\.[a-z][a-z]$"
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[[0-9a-f:.]+\])$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Rule = tuple[str, str, str]  # verdict, host, path
@@ -51,15 +59,19 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
 
 def with_domain(hosts: DataFrame) -> DataFrame:
     """Adds ``domain`` (registered) and ``suffix`` to rows with a ``host``; a port is
-    left aside."""
+    left aside.  A host that is a suffix itself is its own domain."""
     bare = F.regexp_replace("host", ":[0-9]*$", "")
-    return (hosts.withColumn("_bare", bare)
-            .withColumn("_long", F.substring_index("_bare", ".", -2).isin(*LONG_SUFFIXES))
-            .withColumn("suffix", F.when(F.col("_long"), F.substring_index("_bare", ".", -2))
-                        .otherwise(F.substring_index("_bare", ".", -1)))
-            .withColumn("domain", F.when(F.col("_long"), F.substring_index("_bare", ".", -3))
-                        .otherwise(F.substring_index("_bare", ".", -2)))
-            .drop("_bare", "_long"))
+    labels = F.when(F.col("_bare").rlike(LONG_SUFFIX), 2).otherwise(1)
+    address = F.col("_bare").rlike(ADDRESS)
+
+    def last(n: Column) -> Column:
+        return F.when(n == 1, F.substring_index("_bare", ".", -1)).when(
+            n == 2, F.substring_index("_bare", ".", -2)).otherwise(F.substring_index("_bare", ".", -3))
+
+    return (hosts.withColumn("_bare", bare).withColumn("_n", labels)
+            .withColumn("suffix", F.when(address, "address").otherwise(last(F.col("_n"))))
+            .withColumn("domain", F.when(address, F.col("_bare")).otherwise(last(F.col("_n") + 1)))
+            .drop("_bare", "_n"))
 
 
 def _strength(units: DataFrame) -> float:
@@ -80,9 +92,9 @@ def _shrunk(units: DataFrame, strength: float) -> Column:
 
 
 def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
-    """``(host, n, bad, mean, low)`` for every distinct non-empty host of ``hosts``
+    """``(host, n, bad, mean, low, whole)`` for every distinct non-empty host of ``hosts``
     from ``outcomes`` (``host``, ``bad`` 0 or 1): the posterior mean of the share of bad pages
-    and its lower bound.  Null outcomes count nothing; without any outcome the
+    and its lower bound, and the share of the whole.  Null outcomes count nothing; without any outcome the
     share is one half and its bound 0, as one label's weight is all there is."""
     seen = (outcomes.filter("host != '' AND bad IS NOT NULL").groupBy("host")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
@@ -91,7 +103,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     domains = units.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(F.sum("n"), F.sum("bad")).first()
-    suffixes = suffixes.withColumn("prior", F.lit(((whole[1] or 0) + 0.5) / ((whole[0] or 0) + 1.0)))
+    share = F.lit(((whole[1] or 0) + 0.5) / ((whole[0] or 0) + 1.0))
+    suffixes = suffixes.withColumn("prior", share)
     suffixes = suffixes.select("suffix", _shrunk(suffixes, _strength(suffixes)).alias("prior"))
     domains = domains.join(suffixes, "suffix")
     domains = domains.select("domain", "suffix", _shrunk(domains, _strength(domains)).alias("prior"))
@@ -101,25 +114,28 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     total = F.col("n") + strength
     mean = alpha / total
     low = F.greatest(mean - Z * F.sqrt(mean * (1 - mean) / (total + 1)), F.lit(0.0))
-    return units.select("host", "n", "bad", mean.alias("mean"), low.alias("low"))
+    return units.select("host", "n", "bad", mean.alias("mean"), low.alias("low"), share.alias("whole"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], id_col: str = "page_id",
-               url_col: str = "url", max_bad: float = MAX_BAD) -> DataFrame:
-    """``(row, host, path, rule, verdict)`` for every row of ``pages``; ``outcomes``
-    has ``(page_id, bad)``.  ``verdict`` is ``allow`` or ``block``.
+               url_col: str = "url", max_ratio: float = MAX_RATIO) -> DataFrame:
+    """``(row, host, path, rule, verdict, n, bad, mean, low)`` for every row of ``pages``;
+    ``outcomes`` has ``(page_id, bad)``.  ``verdict`` is ``allow`` or ``block``, and the last four
+    are the host's labelled pages, the bad ones, its posterior mean and the bound.
 
-    An empty host (null url, no ``://``) fits no rule and is allowed.  A page's
+    An empty host (null url, no ``://``) fits no rule, has no reputation and is allowed.  A page's
     repeated rows and outcomes all count.  An empty table gives no rows.
     """
     rows = with_url_parts(pages, url_col)
     labelled = rows.select(F.col("row")[id_col].alias("id"), "host").join(
         outcomes.select(F.col("page_id").alias("id"), "bad"), "id").select("host", "bad")
-    known = host_reputation(labelled, rows).select("host", (F.col("low") > max_bad).alias("bad_host"))
+    known = host_reputation(labelled, rows).withColumn(
+        "bad_host", F.col("low") > max_ratio * F.col("whole"))
     name, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("bad_host"), "block").otherwise("allow")
     return rows.join(known, "host", "left").select(
-        "row", "host", "path", name.alias("rule"), F.coalesce(verdict, learned).alias("verdict"))
+        "row", "host", "path", name.alias("rule"), F.coalesce(verdict, learned).alias("verdict"),
+        "n", "bad", "mean", "low")
 
 
 def allowed(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], **options) -> DataFrame:
@@ -128,14 +144,14 @@ def allowed(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], **options)
 
 
 def judge_sql(rules: list[Rule]) -> str:
-    """DuckDB SQL for ``page_id, host, path, rule, verdict``; bad pages are those whose
+    """DuckDB SQL for ``page_id, host, path, rule, verdict, n, bad, mean, low``; bad pages are those whose
     label (``labels.doc_id`` is the page id) is toxic or of quality 0."""
     name = verdict = "NULL"
     for what, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r)):
         fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
         name = f"CASE WHEN {fits} THEN '{host}{path}' ELSE {name} END"
         verdict = f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
-    long = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
+    address, long = f"regexp_matches(bare, '{ADDRESS}')", f"regexp_matches(bare, '{LONG_SUFFIX}')"
     tail = lambda n: f"array_to_string(list_slice(string_split(bare, '.'), -{n}, -1), '.')"
     strength = """(SELECT greatest(CASE WHEN rho > 0 THEN least((1 - rho) / rho, most) ELSE most END, 1.0)
     FROM (SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) AS most, coalesce(sum(pow(bad - n * prior, 2.0) - n * prior * (1 - prior))
@@ -153,8 +169,8 @@ hosts AS (
   SELECT host, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad, regexp_replace(host, ':[0-9]*$', '') AS bare
   FROM (SELECT DISTINCT host FROM parts WHERE host <> '') LEFT JOIN seen USING (host)),
 named AS (
-  SELECT host, n, bad, CASE WHEN {tail(2)} IN ({long}) THEN {tail(2)} ELSE {tail(1)} END AS suffix,
-         CASE WHEN {tail(2)} IN ({long}) THEN {tail(3)} ELSE {tail(2)} END AS domain FROM hosts),
+  SELECT host, n, bad, CASE WHEN {address} THEN 'address' WHEN {long} THEN {tail(2)} ELSE {tail(1)} END AS suffix,
+         CASE WHEN {address} THEN bare WHEN {long} THEN {tail(3)} ELSE {tail(2)} END AS domain FROM hosts),
 domain0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY domain, suffix),
 suffix0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
             (sum(sum(bad)) OVER () + 0.5) / (sum(sum(n)) OVER () + 1.0) AS prior FROM domain0 GROUP BY suffix),
@@ -164,10 +180,11 @@ domain1 AS (SELECT domain, suffix, n, bad, prior FROM domain0 JOIN suffix1 USING
 domain2 AS (SELECT domain, suffix, (bad + k * prior) / (n + k) AS prior
             FROM domain1, (SELECT {strength.format('domain1')} AS k)),
 host1 AS (SELECT host, n, bad, prior FROM named JOIN domain2 USING (domain, suffix)),
-host2 AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS total
+host2 AS (SELECT host, n, bad, (bad + k * prior) / (n + k) AS mean, n + k AS total
           FROM host1, (SELECT {strength.format('host1')} AS k)),
-bad_hosts AS (SELECT host FROM host2
-  WHERE greatest(mean - {Z} * sqrt(mean * (1 - mean) / (total + 1)), 0.0) > {MAX_BAD})
-SELECT page_id, host, path, {name} AS rule,
-       coalesce({verdict}, CASE WHEN host IN (SELECT host FROM bad_hosts) THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts"""
+lows AS (SELECT host, n, bad, mean, greatest(mean - {Z} * sqrt(mean * (1 - mean) / (total + 1)), 0.0) AS low FROM host2),
+whole AS (SELECT max(prior) AS share FROM suffix0)
+SELECT page_id, host, path, {name} AS rule, coalesce({verdict},
+         CASE WHEN low > {MAX_RATIO} * (SELECT share FROM whole) THEN 'block' ELSE 'allow' END) AS verdict,
+       CAST(n AS BIGINT) AS n, CAST(bad AS BIGINT) AS bad, round(mean, 6) AS mean, round(low, 6) AS low
+FROM parts LEFT JOIN lows USING (host)"""

@@ -44,8 +44,11 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 def normalise(text: str | None) -> bytes:
     """Lower-cased letters with single blanks between their runs, and at both ends."""
-    letters = _NOT_LETTERS.sub(" ", text or "").strip().lower()
-    return f" {letters} ".encode() if letters else b""
+    letters = _NOT_LETTERS.sub(" ", text or "").strip()
+    if not letters.replace(" ", "").isalpha():
+        # Number signs such as one half are neither digits nor letters.
+        letters = " ".join("".join(c if c.isalpha() else " " for c in letters).split())
+    return f" {letters.lower()} ".encode() if letters else b""
 
 
 @dataclass(frozen=True)

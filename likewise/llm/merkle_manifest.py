@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.numbering import numbered
 from ..plans.sizing import broadcast_if_small
 from .common import col, materialize
 
@@ -50,24 +51,6 @@ def group_key(group: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("-"))
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with ``idx``, the place from 0 in ``order`` within ``grp``, and
-    ``n``, the rows of the group."""
-    ranged = (rows.repartitionByRange("grp", *order).sortWithinPartitions("grp", *order)
-              .withColumn("part", F.spark_partition_id()))
-    # Stored, as sizes and places must come from the same ranges.
-    ranged = materialize(ranged, "merkle-ranges")
-    by_part = Window.partitionBy("grp").orderBy("part")
-    sizes = ranged.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("size"))
-    starts = sizes.select(
-        "grp", "part",
-        F.coalesce(F.sum("size").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("size").over(Window.partitionBy("grp")).alias("n"))
-    place = F.row_number().over(Window.partitionBy("grp", "part").orderBy(*order)) - 1
-    return (ranged.withColumn("place", place).join(broadcast_if_small(starts), ["grp", "part"])
-            .withColumn("idx", F.col("before") + F.col("place")).drop("part", "place", "before"))
-
-
 def _slots(fanout: int) -> list[str]:
     return [f"d{s}" for s in range(fanout)]
 
@@ -175,7 +158,7 @@ def manifest(docs: DataFrame, values: list[Column], id_col: str = "doc_id", grou
                          F.monotonically_increasing_id().alias("row"))
     # Stored once: the texts are hashed here and not read again.
     leaves = materialize(leaves, "merkle-leaves")
-    leaves = numbered(leaves, ["id", "digest", "row"]).select(
+    leaves = numbered(leaves, "grp", ["id", "digest", "row"], ["id", "digest", "row"]).select(
         "grp", "n", "idx", "digest", F.struct("id", "changed").alias("carried"))
     leaves = materialize(leaves, "merkle-numbered")
     groups = build(leaves, fanout, "carried")
@@ -183,7 +166,7 @@ def manifest(docs: DataFrame, values: list[Column], id_col: str = "doc_id", grou
 
     subroots = tops.select(F.lit("").alias("grp"), F.col("grp").alias("key"), F.col("top").alias("digest"),
                            F.struct("grp", "top", "height").alias("carried"))
-    subroots = materialize(numbered(subroots, ["key"]).drop("key"), "merkle-subroots")
+    subroots = materialize(numbered(subroots, "grp", ["key"], ["key"]).drop("key"), "merkle-subroots")
     whole = build(subroots, fanout, "carried")
     start = whole.tops.select("grp", "height", F.col("top").alias("root"), F.array().cast(PATH).alias("path"))
     lone = subroots.filter("n = 1").join(start.filter("height = 0"), "grp").select(

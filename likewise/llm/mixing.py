@@ -3,9 +3,10 @@
 A source's mean repetition rate is its target share of the corpus over its
 own share, in characters.  Each document draws a number of copies from the
 Poisson distribution with that mean: a uniform number hashed from seed and id
-is inverted through the distribution.  A document is exploded by its count
-and the copies are dealt out globally by a hash.  Counts depend on nothing
-but id, seed and rate, so a retried task draws the same ones.
+(from the text where the id is null) is inverted through the distribution.  A document
+is exploded by its count and the copies are dealt out globally by a hash of id, text and
+copy.  Counts depend on nothing but these, seed and rate, so a retried task draws the
+same ones.
 
 Rates above ``PART`` are drawn as a sum of equal independent parts, which is
 Poisson again and keeps ``exp(-mean)`` far from underflow.
@@ -80,14 +81,16 @@ def copies(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str
     ``row`` holds the ``columns`` of ``docs`` (all by default), the order of
     ``shuffle_key`` (0 to 1) is the global random order.
 
-    A null source is a source of its own.  Rows with one id (null ids too) draw
-    the same count, so a repeated row is repeated alike.  An empty table gives
-    no rows; a document that draws 0 is left out, which is the operator's task.
+    A null source is a source of its own.  Rows with one id draw the same count, rows
+    without an id one by their text, so a repeated row is repeated alike.  An empty table
+    gives no rows; a document that draws 0 is left out, which is the operator's task.
     """
     table = broadcast_if_small(poisson_table(source_rates(docs, weights, source_col, text_col, flatten))
                                .withColumnRenamed("source", "rate_source"))
     rows = docs.select(F.struct(*[col(c) for c in columns or docs.columns]).alias("row"),
-                       col(id_col).alias("id"), col(source_col).alias("source"))
+                       col(id_col).cast("string").alias("id"), F.md5(col(text_col)).alias("digest"),
+                       col(source_col).alias("source"))
+    rows = rows.withColumn("id", F.coalesce("id", F.concat_ws(":", F.lit("null"), "digest")))
     joined = rows.join(table, rows["source"].eqNullSafe(table["rate_source"]))
     # Each part's uniform number is hashed once, then counted through the distribution.
     uniforms = F.transform(F.sequence(F.lit(1), F.col("parts")),
@@ -96,9 +99,9 @@ def copies(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str
                         lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
     counted = joined.withColumn("n", drawn)
     exploded = counted.filter("n > 0").select(
-        "row", "source", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+        "row", "source", "id", "digest", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
     return exploded.select("row", "source", "copy", hash_uniform(
-        F.lit(seed), F.lit("order"), F.col("id"), F.col("copy")).alias("shuffle_key"))
+        F.lit(seed), F.lit("order"), F.col("id"), F.col("digest"), F.col("copy")).alias("shuffle_key"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None,

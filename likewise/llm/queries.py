@@ -66,26 +66,46 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0).alias("bad"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return host_reputation.judge_urls(pages, outcomes, URL_RULES).select(
-        "row.page_id", "host", "path", "rule", "verdict")
+        "row.page_id", "host", "path", "rule", "verdict", "n", "bad", F.round("mean", 6).alias("mean"),
+        F.round("low", 6).alias("low"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every copy drawn, with its place in the global order."""
-    copies = mixing.copies(table(spark, sf_dir, "documents"), columns=["doc_id"])
-    return copies.select("row.doc_id", "source", "copy", "shuffle_key").repartition(
-        "shuffle_key").sortWithinPartitions("shuffle_key")
+    """Every copy drawn, with its place in the global order and the digest of its text as it
+    came through the shuffle."""
+    copies = mixing.copies(table(spark, sf_dir, "documents"), columns=["doc_id", "text"])
+    dealt = copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.select("row.doc_id", "source", "copy", "shuffle_key", F.md5("row.text").alias("text_md5"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~language_id.held_out()))
     found = language_id.identify(docs, model, columns=["doc_id"])
-    return found.select("row.doc_id", "lang_pred", "score", "rejected").withColumn(
-        "held_out", language_id.held_out())
+    return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "rejected").select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_links.reply_ordered(table(spark, sf_dir, "conversations"))
+    """The conversations hold no quotes, so every message of an odd turn quotes the one of
+    the turn before, and every fourth also what stands two turns before, one level deeper."""
+    messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(
+        F.min("text").alias("said"))
+
+    def before(n: int, name: str) -> DataFrame:
+        return said.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("said").alias(name))
+
+    def quoted(text: str, sign: str):
+        return F.concat(F.lit(sign), F.replace(F.col(text), F.lit("\n"), F.lit("\n" + sign)))
+
+    both = messages.join(before(1, "one"), ["conv_id", "turn"], "left").join(
+        before(2, "two"), ["conv_id", "turn"], "left")
+    text = F.when((F.col("turn") % 4 == 3) & F.col("one").isNotNull() & F.col("two").isNotNull(), F.concat_ws(
+        "\n", quoted("two", ">> "), quoted("one", "> "), F.lit(""), "text")).when(
+        (F.col("turn") % 2 == 1) & F.col("one").isNotNull(),
+        F.concat_ws("\n", F.lit("They wrote:"), quoted("one", "> "), F.lit(""), "text")).otherwise(F.col("text"))
+    return quote_links.reply_ordered(both.select("conv_id", "turn", "role", text.alias("text")))
 
 
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,9 +162,10 @@ QUERIES = {
 def mix_sources_sql() -> str:
     top = 16 ** 13
     uniform = "(CAST('0x' || substr(md5({}), 1, 13) AS BIGINT) / {}.0)"
-    draw = uniform.format(f"concat_ws(':', '{mixing.SEED}', '1', coalesce(CAST(doc_id AS VARCHAR), 'null'))", top)
-    order = uniform.format(f"concat_ws(':', '{mixing.SEED}', 'order', "
-                           "coalesce(CAST(doc_id AS VARCHAR), 'null'), CAST(copy AS VARCHAR))", top)
+    key = "coalesce(CAST(doc_id AS VARCHAR), concat_ws(':', 'null', md5(text)))"
+    draw = uniform.format(f"concat_ws(':', '{mixing.SEED}', '1', {key})", top)
+    order = uniform.format(f"concat_ws(':', '{mixing.SEED}', 'order', {key}, coalesce(md5(text), 'null'), "
+                           "CAST(copy AS VARCHAR))", top)
     return f"""WITH RECURSIVE sizes AS (
   SELECT source, CAST(coalesce(sum(length(text)), 0) AS DOUBLE) AS size FROM documents GROUP BY source),
 rates AS (
@@ -158,20 +179,36 @@ cdf(source, rate, k, p, c) AS (
   SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM cdf
   WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
 drawn AS (
-  SELECT d.doc_id, d.source, count(c.k) AS n
-  FROM (SELECT row_number() OVER () AS r, doc_id, source, {draw} AS u FROM documents) d
+  SELECT d.doc_id, d.source, d.text, count(c.k) AS n
+  FROM (SELECT row_number() OVER () AS r, doc_id, source, text, {draw} AS u FROM documents) d
   LEFT JOIN cdf c ON c.source IS NOT DISTINCT FROM d.source AND c.c <= d.u
-  GROUP BY d.r, d.doc_id, d.source),
+  GROUP BY d.r, d.doc_id, d.source, d.text),
 copies AS (
-  SELECT doc_id, source, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM drawn)
-SELECT doc_id, source, copy, {order} AS shuffle_key FROM copies"""
+  SELECT doc_id, source, text, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM drawn)
+SELECT doc_id, source, copy, {order} AS shuffle_key, md5(text) AS text_md5 FROM copies"""
+
+
+def quote_links_sql() -> str:
+    quoted = "'{1}' || replace({0}, chr(10), chr(10) || '{1}')"
+    source = f"""WITH said AS (
+  SELECT conv_id, turn, min(text) AS said FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  GROUP BY conv_id, turn)
+SELECT c.conv_id, c.turn, c.role, CASE
+  WHEN c.turn % 4 = 3 AND one.said IS NOT NULL AND two.said IS NOT NULL
+    THEN concat_ws(chr(10), {quoted.format('two.said', '>> ')}, {quoted.format('one.said', '> ')}, '', c.text)
+  WHEN c.turn % 2 = 1 AND one.said IS NOT NULL
+    THEN concat_ws(chr(10), 'They wrote:', {quoted.format('one.said', '> ')}, '', c.text)
+  ELSE c.text END AS text
+FROM conversations c LEFT JOIN said one ON one.conv_id = c.conv_id AND one.turn = c.turn - 1
+LEFT JOIN said two ON two.conv_id = c.conv_id AND two.turn = c.turn - 2"""
+    return quote_links.reply_ordered_sql(f"({source})")
 
 
 ORACLE_SQL = {
     "op1_line_templates": line_templates.templates_sql(),
     "op3_decontaminate": decontaminate.contamination_sql(),
     "op6_host_reputation": host_reputation.judge_sql(URL_RULES),
-    "op9_quote_links": quote_links.reply_ordered_sql(),
+    "op9_quote_links": quote_links_sql(),
     "op10_line_quality": line_quality.quality_sql(),
     "op7_mix_sources": mix_sources_sql(),
     "op11_hard_negatives": hard_negatives.mine_sql(),

@@ -4,7 +4,8 @@ The lines of a message that start with ``>`` are quotes; the number of signs is
 the nesting level.  Runs of one level are passages.  Normalised passages (and
 their lines) are hashed and joined to the normalised texts, paragraphs and lines
 of earlier messages of the conversation: of all messages with an equal hash the
-latest earlier one counts, found by one sort per hash and not by pairing them.
+latest earlier one counts, found by sorting the turns of a hash in ranges and not by
+pairing them.
 The message that covers most characters of a message's first-level quotes is
 the one it replies to.  Replies follow their thread's first message, and quotes
 and their introductions are left out of the formatted text.
@@ -16,12 +17,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..plans.numbering import numbered
 from .common import col, materialize
 
 _PREFIX = r"^(?:[ \t]*>)+"
+# Turns of one window, so that a long conversation is not one.
+TURNS = 1024
 _INTRODUCTION = r"(?i)\b(wrote|writes|said|schrieb|écrit|a écrit|escribió)\s*:\s*$"
-BLOCK_TURNS = 256
 CHUNK = 64
+PREFIX = 64
 
 
 def _normal(text: Column) -> Column:
@@ -66,6 +70,11 @@ def _keys(text: Column) -> Column:
     return F.transform(normal, lambda p: F.struct(F.md5(p).alias("hash"), F.length(p).alias("size")))
 
 
+def _group(name: str) -> Column:
+    """A text without nulls for a value or a null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("-"))
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """``(conv, turn, h, passage, level, found, size)``: for each quoted passage and each
     earlier message found for it, the matched characters.  ``messages`` is parsed
@@ -75,22 +84,25 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quoted = quoted.select("conv", "turn", "h", "passage", F.col("p.level").alias("level"),
                            F.explode(_keys(F.col("p.text"))).alias("key"))
     quoted = quoted.filter("turn IS NOT NULL").select("conv", "turn", "h", "passage", "level", "key.hash", "key.size")
-    asked = quoted.select("conv", "hash").distinct()
+    quoted = quoted.withColumn("grp", _group("conv"))
+    asked = quoted.select("grp", "hash", "turn").distinct()
     own = messages.filter("turn IS NOT NULL").select(
-        "conv", "turn", F.explode(_keys(F.coalesce("own", F.lit("")))).alias("key"))
-    own = own.select("conv", "turn", F.col("key.hash").alias("hash"))
-    own = own.join(asked.select(F.col("conv").alias("c"), F.col("hash").alias("x")),
-                   own["conv"].eqNullSafe(F.col("c")) & (own["hash"] == F.col("x")), "left_semi")
-    none = F.lit(None)
-    both = own.select("conv", "turn", "hash", F.col("turn").alias("source"), none.cast("bigint").alias("h"),
-                      none.cast("int").alias("passage"), none.cast("int").alias("level"), none.cast("int").alias("size")
-                      ).unionByName(quoted.select("conv", "turn", "hash", none.cast("bigint").alias("source"),
-                                                  "h", "passage", "level", "size"))
+        _group("conv").alias("grp"), "turn", F.explode(_keys(F.coalesce("own", F.lit("")))).alias("key"))
+    own = own.select("grp", F.col("key.hash").alias("hash"), "turn").distinct()
+    own = own.join(asked.select("grp", "hash").distinct(), ["grp", "hash"], "left_semi")
+    # Each turn once, in ranges of turns; the last turn of earlier ranges is carried on.
+    both = own.withColumn("source", F.col("turn")).unionByName(asked.withColumn("source", F.lit(None).cast("bigint")))
+    both = materialize(both.withColumn("range", F.floor(F.col("turn") / TURNS)), "quote-turns")
+    tops = both.groupBy("grp", "hash", "range").agg(F.max("source").alias("top"))
+    before = Window.partitionBy("grp", "hash").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("grp", "hash", "range", F.max("top").over(before).alias("carried"))
     # Quotes of a turn come before the turn's own texts, so only earlier turns count.
-    earlier = (Window.partitionBy("conv", "hash").orderBy("turn", F.col("source").isNotNull())
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = both.withColumn("found", F.last("source", ignorenulls=True).over(earlier))
-    return (found.filter("source IS NULL AND found IS NOT NULL")
+    inside = (Window.partitionBy("grp", "hash", "range").orderBy("turn", F.col("source").isNotNull())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = both.withColumn("last", F.last("source", ignorenulls=True).over(inside)).filter("source IS NULL")
+    found = found.join(tops, ["grp", "hash", "range"]).select(
+        "grp", "hash", "turn", F.coalesce("last", "carried").alias("found")).filter("found IS NOT NULL")
+    return (quoted.join(found, ["grp", "hash", "turn"])
             .groupBy("conv", "turn", "h", "passage", "level", "found").agg(F.sum("size").alias("size")))
 
 
@@ -143,20 +155,18 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
         "conv", "turn", "role", F.col("own").alias("text"), F.size("passages").cast("bigint").alias("n_quotes"),
         F.col("parent").alias("reply_to"), F.coalesce("root", "turn").alias("thread"),
         F.coalesce("depth", F.lit(0)).alias("depth"))
-    # A conversation is numbered in blocks of turns, so a long one is no single task's.
-    placed = placed.withColumn("block", F.floor(F.col("thread") / BLOCK_TURNS))
-    blocks = placed.groupBy("conv", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("conv").orderBy(F.asc_nulls_last("block")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    blocks = blocks.select(F.col("conv").alias("c"), F.col("block").alias("b"),
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("conv", "block").orderBy(
-        F.asc_nulls_last("thread"), F.asc_nulls_last("turn"), "role", "text")
-    placed = placed.withColumn("position", F.row_number().over(inside))
-    return (placed.join(blocks, placed["conv"].eqNullSafe(F.col("c")) & placed["block"].eqNullSafe(F.col("b")))
-            .select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col),
-                    F.col("text").alias(text_col), "n_quotes", "reply_to", "thread", "depth",
-                    (F.col("position") + F.col("before")).alias("position")))
+    # Ranges by the start of the text, so that texts are no range bounds; a short one is
+    # told from its likes by its row.
+    placed = materialize(placed.withColumn("grp", _group("conv")).withColumn("row", F.monotonically_increasing_id()),
+                         "quote-places")
+    start = F.substring("text", 1, PREFIX)
+    whole = F.col("text").isNull() | (F.length("text") <= PREFIX)
+    first = [F.asc_nulls_last("thread"), F.asc_nulls_last("turn"), F.asc_nulls_first("role")]
+    keys = [*first, F.asc_nulls_first(start), F.when(whole, F.col("row")).otherwise(F.lit((1 << 63) - 1))]
+    placed = numbered(placed, "grp", keys, [*first, F.asc_nulls_first("text"), "row"])
+    return placed.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col),
+                         F.col("text").alias(text_col), "n_quotes", "reply_to", "thread", "depth",
+                         (F.col("idx") + 1).alias("position"))
 
 
 def format_chat(ordered: DataFrame, conv_col: str = "conv_id", role_col: str = "role",
@@ -171,13 +181,13 @@ def format_chat(ordered: DataFrame, conv_col: str = "conv_id", role_col: str = "
         lambda x: x["line"]), "").alias("chat"))
 
 
-def reply_ordered_sql() -> str:
-    """DuckDB SQL for ``reply_ordered`` of ``conversations``."""
+def reply_ordered_sql(source: str = "conversations") -> str:
+    """DuckDB SQL for ``reply_ordered`` of ``source``."""
     normal = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
     keys = ("list_distinct(list_filter(list_transform(list_concat([{0}], string_split_regex({0}, '\\n\\s*\\n'), "
             "string_split({0}, chr(10))), lambda p: " + normal.format("p") + "), lambda p: p <> ''))")
     return f"""WITH RECURSIVE m AS (
-  SELECT row_number() OVER () AS r, conv_id AS conv, turn, role, text FROM conversations),
+  SELECT row_number() OVER () AS r, conv_id AS conv, turn, role, text FROM {source}),
 split AS (
   SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM m),

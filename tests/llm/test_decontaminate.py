@@ -88,3 +88,30 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert D.decontaminate(awkward(spark), bench).count() == 9
     assert D.decontaminate(documents(spark, []), bench).count() == 0
+
+
+def test_null_item_ids_and_repeats(spark):
+    bench = spark.createDataFrame([(None, "one two three"), (7, "one two three"), (7, "One, two three")],
+                                  "item_id bigint, text string")
+    rows = D.find_contamination(documents(spark, [(1, "ONE two  three", None, None)]), bench).select("match.*").collect()
+    assert [(r.n_hit, r["items"]) for r in rows] == [(3, ["", "7"])]
+
+
+def test_words_are_told_apart_by_their_bytes(spark):
+    """Words whose power sums agree modulo any power of two."""
+    morse = lambda a, b: "".join((a, b)[i.bit_count() % 2] for i in range(2048))
+    bench = spark.createDataFrame([(1, morse("a", "b"))], "item_id bigint, text string")
+    docs = documents(spark, [(i, t, None, None) for i, t in enumerate([morse("a", "b"), morse("b", "a")])])
+    found = D.find_contamination(docs, bench, columns=["doc_id"]).select("row.doc_id", "match.n_hit").collect()
+    assert {(r.doc_id, r.n_hit) for r in found} == {(0, 1), (1, 0)}
+
+
+def test_windows_take_few_bytes():
+    rng = random.Random(3)
+    vocab = vocabulary(rng, 5000)
+    items = [(str(i), " ".join(rng.choice(vocab) for _ in range(500))) for i in range(200)]
+    items += [(f"x{i}", items[i][1]) for i in range(50)]
+    tests = D.TestWindows(items, 13)
+    arrays = (tests.words, tests.at, tests.lengths, tests.of, tests.borders, tests.follows)
+    assert sum(a.nbytes for a in arrays) < 30 * sum(len(t.split()) for _, t in items)
+    assert len(tests.at) == len({tuple(t.split()[i:i + 13]) for _, t in items for i in range(488)})

@@ -248,3 +248,25 @@ def test_awkward_messages(spark):
     assert sorted(r.position for r in got if r.conv_id == 1) == [1, 2, 3, 4, 5, 6]
     assert [(r.turn, r.reply_to) for r in got if r.conv_id is None and r.n_quotes] == [(None, None)]
     assert Q.reply_ordered(messages(spark, [])).count() == 0
+
+
+def test_windows_are_split_by_turns(spark, monkeypatch):
+    """One line quoted all over a long conversation; ranges carry the last turn on."""
+    monkeypatch.setattr(Q, "TURNS", 16)
+    rows = [(1, i, "u", "yes" if i % 5 == 0 else f"> yes\nanswer {i}" if i % 7 == 0 else f"text {i}") for i in range(300)]
+    rows += [(None, i, "u", r[3]) for i, r in enumerate(rows[:100])]
+    got = {(r.conv_id, r.turn): r for r in Q.reply_ordered(messages(spark, rows)).collect()}
+    for conv, turn, _, text in rows:
+        want = (turn - 1) // 5 * 5 if text.startswith(">") else None
+        assert got[conv, turn].reply_to == want
+    for conv in (1, None):
+        mine = sorted((r for (c, _), r in got.items() if c == conv), key=lambda r: r.position)
+        assert [r.position for r in mine] == list(range(1, len(mine) + 1))
+        assert [(r.thread, r.turn) for r in mine] == sorted((r.thread, r.turn) for r in mine)
+
+
+def test_messages_without_a_turn_are_numbered_through(spark):
+    rows = [(1, None, "u", "same")] * 200 + [(1, None, "u", "x" * 70 + str(i % 7)) for i in range(50)] + [(1, 3, "u", "z")]
+    got = sorted(((r.position, r.turn, r.text) for r in Q.reply_ordered(messages(spark, rows).repartition(6)).collect()))
+    assert [p for p, _, _ in got] == list(range(1, 252)) and got[0][1:] == (3, "z")
+    assert [t for _, _, t in got[1:]] == sorted(r[3] for r in rows[:-1])

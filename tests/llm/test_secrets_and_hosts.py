@@ -136,4 +136,29 @@ def test_reputation_equals_plain_shrinkage(spark):
     got = {r.host: r.low for r in found.collect()}
     want = brute_lows(seen)
     assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want)
-    assert sum(x > H.MAX_BAD for x in got.values()) > 3
+    assert sum(x > 0.3 for x in got.values()) > 3
+
+
+def test_domains_suffixes_and_addresses(spark):
+    cases = {"a.b.example.co.uk": ("example.co.uk", "co.uk"), "example.com.au:8080": ("example.com.au", "com.au"),
+             "x.co.de": ("x.co.de", "co.de"), "www.python.org": ("python.org", "org"), "localhost": ("localhost", "localhost"),
+             "co.uk": ("co.uk", "co.uk"), "10.0.0.1": ("10.0.0.1", "address"), "192.168.1.1:80": ("192.168.1.1", "address"),
+             "[::1]:443": ("[::1]", "address"), "1.2.3.example": ("3.example", "example"), "notco.uk": ("notco.uk", "uk")}
+    rows = H.with_domain(spark.createDataFrame([(h,) for h in cases], "host string")).collect()
+    assert {r.host: (r.domain, r.suffix) for r in rows} == cases
+
+
+def test_reputation_blocks_a_bad_host_only(spark):
+    """Hosts that are worse than the whole with enough labels are blocked, others not."""
+    rng = random.Random(6)
+    share = {"bad.example": 0.9, "so-so.example": 0.3, "good.example": 0.05, "tiny.example": 1.0, "other.test": 0.2}
+    urls, bad = [], []
+    for host, p in share.items():
+        for _ in range(1 if host == "tiny.example" else 200):
+            urls.append(f"http://{host}/p{len(urls)}")
+            bad.append(int(rng.random() < p))
+    outcomes = spark.createDataFrame(list(enumerate(bad)), "page_id bigint, bad int")
+    got = {r.host: (r.verdict, r.n, r.bad, r.low, r["mean"]) for r in H.judge_urls(pages(spark, urls), outcomes, RULES).collect()}
+    assert {h: v[0] for h, v in got.items()} == {h: "block" if h == "bad.example" else "allow" for h in share}
+    assert all(low < mean for _, _, _, low, mean in got.values())
+    assert got["bad.example"][1] == 200 and got["bad.example"][2] == sum(bad[:200])
