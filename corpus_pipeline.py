@@ -2,7 +2,13 @@
 decontamination, mixing to target weights, token output.
 
 Each stage takes what its predecessor kept, written as Parquet and read again;
-all but the last return the columns of ``documents``.
+all but the last return the columns of ``documents``, whatever further ones there are.
+
+A text that is null or has no letter is of no language and goes in the first stage.  Null
+ids are ids: of near duplicates the one with the smallest id stays, a null id last, and of
+rows with that id one; the copies a row without an id gets are drawn by its text.
+Repeated rows are copies of each other.  Long texts are read whole.  An empty table gives
+no rows, an empty benchmark contaminates nothing.
 """
 
 from __future__ import annotations
@@ -48,8 +54,8 @@ STAGES = [
     ("token_output", write_tokens),
 ]
 
-# Compression, fingerprints and tokens have no SQL form; tests/llm compares the
-# stages with brute-force versions.
+# Compression, fingerprints and tokens have no SQL form; tests/llm compares each stage's
+# operator with a brute-force version.
 ORACLE_SQL = None
 
 
