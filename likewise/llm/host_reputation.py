@@ -5,9 +5,9 @@ starts with the rule's; of several the longest wins.  Other urls are judged
 by their host's reputation: labelled page outcomes are shrunk from host to
 registered domain to suffix to the whole by beta-binomial priors.  Each level's
 prior strength is estimated from how much more its units differ than chance
-would have them.  A host is blocked when the lower bound of its posterior
+would have them, and what a prior leaves uncertain is added below it.  A host is blocked when the lower bound of its posterior
 share of bad pages is above the share of the whole, so it is so with fair
-certainty worse than pages in general; one label never is enough.
+certainty worse than pages in general.
 
 A suffix is a host's last label, or its last two where the last is a country's (two
 letters) and the one before a general one (``co.uk``, ``com.au``); the registered domain
@@ -27,6 +27,8 @@ from .common import col, materialize
 # The bound may be this many times the share of bad pages in the whole.
 MAX_RATIO = 1.0
 Z = 1.645
+# A prior weighs at least so many labels.
+MIN_STRENGTH = 4.0
 # Second-level labels under which countries register domains, and address forms.
 GENERAL = "ac|co|com|edu|gob|gouv|gov|govt|go|id|info|ltd|me|mil|ne|net|nhs|nom|or|org|plc|sch|school"
 LONG_SUFFIX = rf"(^|\.)({GENERAL})\.[a-z][a-z]$"
@@ -77,18 +79,27 @@ def with_domain(hosts: DataFrame) -> DataFrame:
 def _strength(units: DataFrame) -> float:
     """The prior's weight in labels, by moments over units ``(n, bad, prior)``: at
     most the number of labels it was learnt from, as with no more spread than
-    chance, and at least 1."""
+    chance, and at least ``MIN_STRENGTH``."""
     spread = units.agg(
         F.sum(F.pow(F.col("bad") - F.col("n") * F.col("prior"), F.lit(2.0))
               - F.col("n") * F.col("prior") * (1 - F.col("prior"))),
         F.sum(F.col("n") * (F.col("n") - 1) * F.col("prior") * (1 - F.col("prior"))), F.sum("n")).first()
     rho = spread[0] / spread[1] if spread[1] else 0.0
     most = float(spread[2] or 0)
-    return max(min((1 - rho) / rho, most) if rho > 0 else most, 1.0)
+    return max(min((1 - rho) / rho, most) if rho > 0 else most, MIN_STRENGTH)
 
 
-def _shrunk(units: DataFrame, strength: float) -> Column:
-    return (F.col("bad") + F.lit(strength) * F.col("prior")) / (F.col("n") + F.lit(strength))
+def _shrunk(units: DataFrame, strength: float) -> tuple[Column, Column]:
+    """The posterior mean of the share of bad pages, and its variance: that of a beta
+    distribution around it, and what the prior's own uncertainty adds."""
+    total = F.col("n") + F.lit(strength)
+    mean = (F.col("bad") + F.lit(strength) * F.col("prior")) / total
+    return mean, mean * (1 - mean) / (total + 1) + F.pow(F.lit(strength) / total, F.lit(2.0)) * F.col("prior_var")
+
+
+def _as_prior(units: DataFrame, *keys: str) -> DataFrame:
+    mean, var = _shrunk(units, _strength(units))
+    return units.select(*keys, mean.alias("prior"), var.alias("prior_var"))
 
 
 def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -103,18 +114,14 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     domains = units.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(F.sum("n"), F.sum("bad")).first()
-    share = F.lit(((whole[1] or 0) + 0.5) / ((whole[0] or 0) + 1.0))
-    suffixes = suffixes.withColumn("prior", share)
-    suffixes = suffixes.select("suffix", _shrunk(suffixes, _strength(suffixes)).alias("prior"))
-    domains = domains.join(suffixes, "suffix")
-    domains = domains.select("domain", "suffix", _shrunk(domains, _strength(domains)).alias("prior"))
-    units = units.join(domains, ["domain", "suffix"])
-    strength = F.lit(_strength(units))
-    alpha = F.col("bad") + strength * F.col("prior")
-    total = F.col("n") + strength
-    mean = alpha / total
-    low = F.greatest(mean - Z * F.sqrt(mean * (1 - mean) / (total + 1)), F.lit(0.0))
-    return units.select("host", "n", "bad", mean.alias("mean"), low.alias("low"), share.alias("whole"))
+    n, bad = whole[0] or 0, whole[1] or 0
+    share = (bad + 0.5) / (n + 1.0)
+    suffixes = suffixes.withColumn("prior", F.lit(share)).withColumn("prior_var", F.lit(share * (1 - share) / (n + 2.0)))
+    domains = domains.join(_as_prior(suffixes, "suffix"), "suffix")
+    units = units.join(_as_prior(domains, "domain", "suffix"), ["domain", "suffix"])
+    mean, var = _shrunk(units, _strength(units))
+    low = F.greatest(mean - Z * F.sqrt(var), F.lit(0.0))
+    return units.select("host", "n", "bad", mean.alias("mean"), low.alias("low"), F.lit(share).alias("whole"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], id_col: str = "page_id",
@@ -153,9 +160,11 @@ def judge_sql(rules: list[Rule]) -> str:
         verdict = f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
     address, long = f"regexp_matches(bare, '{ADDRESS}')", f"regexp_matches(bare, '{LONG_SUFFIX}')"
     tail = lambda n: f"array_to_string(list_slice(string_split(bare, '.'), -{n}, -1), '.')"
-    strength = """(SELECT greatest(CASE WHEN rho > 0 THEN least((1 - rho) / rho, most) ELSE most END, 1.0)
+    strength = f"""(SELECT greatest(CASE WHEN rho > 0 THEN least((1 - rho) / rho, most) ELSE most END, {MIN_STRENGTH})
     FROM (SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) AS most, coalesce(sum(pow(bad - n * prior, 2.0) - n * prior * (1 - prior))
-          / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 0) AS rho FROM {0}))"""
+          / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 0) AS rho FROM {{0}}))"""
+    mean = "((bad + k * prior) / (n + k))"
+    shrunk = f"{mean} AS mean, {mean} * (1 - {mean}) / (n + k + 1) + pow(k / (n + k), 2.0) * prior_var AS var"
     return f"""WITH rest AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
@@ -172,17 +181,16 @@ named AS (
   SELECT host, n, bad, CASE WHEN {address} THEN 'address' WHEN {long} THEN {tail(2)} ELSE {tail(1)} END AS suffix,
          CASE WHEN {address} THEN bare WHEN {long} THEN {tail(3)} ELSE {tail(2)} END AS domain FROM hosts),
 domain0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY domain, suffix),
-suffix0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
-            (sum(sum(bad)) OVER () + 0.5) / (sum(sum(n)) OVER () + 1.0) AS prior FROM domain0 GROUP BY suffix),
-suffix1 AS (SELECT suffix, (bad + k * prior) / (n + k) AS prior
-            FROM suffix0, (SELECT {strength.format('suffix0')} AS k)),
-domain1 AS (SELECT domain, suffix, n, bad, prior FROM domain0 JOIN suffix1 USING (suffix)),
-domain2 AS (SELECT domain, suffix, (bad + k * prior) / (n + k) AS prior
-            FROM domain1, (SELECT {strength.format('domain1')} AS k)),
-host1 AS (SELECT host, n, bad, prior FROM named JOIN domain2 USING (domain, suffix)),
-host2 AS (SELECT host, n, bad, (bad + k * prior) / (n + k) AS mean, n + k AS total
-          FROM host1, (SELECT {strength.format('host1')} AS k)),
-lows AS (SELECT host, n, bad, mean, greatest(mean - {Z} * sqrt(mean * (1 - mean) / (total + 1)), 0.0) AS low FROM host2),
+suffix0 AS (
+  SELECT *, share * (1 - share) / (total + 2.0) AS prior_var, share AS prior FROM (
+    SELECT suffix, sum(n) AS n, sum(bad) AS bad, sum(sum(n)) OVER () AS total,
+           (sum(sum(bad)) OVER () + 0.5) / (sum(sum(n)) OVER () + 1.0) AS share FROM domain0 GROUP BY suffix)),
+suffix1 AS (SELECT suffix, {shrunk} FROM suffix0, (SELECT {strength.format('suffix0')} AS k)),
+domain1 AS (SELECT domain, suffix, n, bad, mean AS prior, var AS prior_var FROM domain0 JOIN suffix1 USING (suffix)),
+domain2 AS (SELECT domain, suffix, {shrunk} FROM domain1, (SELECT {strength.format('domain1')} AS k)),
+host1 AS (SELECT host, n, bad, mean AS prior, var AS prior_var FROM named JOIN domain2 USING (domain, suffix)),
+lows AS (SELECT host, n, bad, mean, greatest(mean - {Z} * sqrt(var), 0.0) AS low
+         FROM (SELECT host, n, bad, {shrunk} FROM host1, (SELECT {strength.format('host1')} AS k))),
 whole AS (SELECT max(prior) AS share FROM suffix0)
 SELECT page_id, host, path, {name} AS rule, coalesce({verdict},
          CASE WHEN low > {MAX_RATIO} * (SELECT share FROM whole) THEN 'block' ELSE 'allow' END) AS verdict,

@@ -136,7 +136,8 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     """
     rows = messages.select(col(conv_col).alias("conv"), col(turn_col).cast("bigint").alias("turn"),
                            col(role_col).alias("role"), col(text_col).alias("text"))
-    rows = parse_quotes(rows.withColumn("h", F.xxhash64("role", "text")))
+    # Parsed once, as the rows are read for quotes, for own texts and for the result.
+    rows = materialize(parse_quotes(rows.withColumn("h", F.xxhash64("role", "text"))), "quote-messages")
     links = materialize(link_quotes(rows), "quote-links")
     best = Window.partitionBy("conv", "turn", "h").orderBy(F.desc("size"), F.desc("found"))
     replies = (links.filter("level = 1").groupBy("conv", "turn", "h", "found").agg(F.sum("size").alias("size"))

@@ -102,7 +102,7 @@ def brute_lows(seen):
         under = sum(n * (n - 1) * p * (1 - p) for n, b, p in units)
         rho = over / under if under else 0
         most = sum(n for n, _, _ in units)
-        return max(min((1 - rho) / rho, most) if rho > 0 else most, 1)
+        return max(min((1 - rho) / rho, most) if rho > 0 else most, H.MIN_STRENGTH)
 
     def level(name, prior_of):
         sums = defaultdict(lambda: [0, 0])
@@ -110,14 +110,19 @@ def brute_lows(seen):
             sums[name(h)][0] += n
             sums[name(h)][1] += b
         units = {u: (n, b, prior_of(u)) for u, (n, b) in sums.items()}
-        k = strength(list(units.values()))
-        return {u: (b + k * p) / (n + k) for u, (n, b, p) in units.items()}, k, units
-
-    whole = (sum(b for _, b in seen.values()) + 0.5) / (sum(n for n, _ in seen.values()) + 1)
-    suffixes, _, _ = level(suffix, lambda u: whole)
-    domains, _, _ = level(domain, lambda u: suffixes[suffix(u)])
-    hosts, k, units = level(lambda h: h, lambda u: domains[domain(u)])
-    return {h: max(m - H.Z * math.sqrt(m * (1 - m) / (units[h][0] + k + 1)), 0) for h, m in hosts.items()}
+        k = strength([(n, b, p) for n, b, (p, _) in units.values()])
+        out = {}
+        for u, (n, b, (p, var)) in units.items():
+            mean = (b + k * p) / (n + k)
+            out[u] = mean, mean * (1 - mean) / (n + k + 1) + (k / (n + k)) ** 2 * var
+        return out
+
+    labels = sum(n for n, _ in seen.values())
+    whole = (sum(b for _, b in seen.values()) + 0.5) / (labels + 1)
+    suffixes = level(suffix, lambda u: (whole, whole * (1 - whole) / (labels + 2)))
+    domains = level(domain, lambda u: suffixes[suffix(u)])
+    hosts = level(lambda h: h, lambda u: domains[domain(u)])
+    return {h: max(mean - H.Z * math.sqrt(var), 0) for h, (mean, var) in hosts.items()}
 
 
 def test_reputation_equals_plain_shrinkage(spark):
