@@ -20,7 +20,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from likewise import (append_and_count, attributes_long, batch_top_k, batch_top_k_indexed,
-                      batch_top_k_joined, batch_top_k_open, cached, digit_score_compat, exclude_item, flatten_attributes, lookup_item,
+                      append_once, append_once_and_count, batch_top_k_joined, batch_top_k_open,
+                      build_term_index, build_upkept_index, cached, committed_rows, read_stored,
+                      search_terms, store_catalog, top_k_from_upkept, update_index, digit_score_compat, exclude_item, flatten_attributes, lookup_item,
                       match_indicators, missing_requests, rank_candidates, read_catalog,
                       similarity_open, similarity_score, to_map, top_k_names, top_k_similar,
                       top_k_weights, write_catalog_json)
@@ -225,6 +227,24 @@ def q_batch_top_k_joined(spark: SparkSession, sf: str) -> DataFrame:
     return batch_top_k_joined(derived.cust5(spark, sf), K, unique_ids=True)
 
 
+def q_batch_top_k_upkept(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of three quarters of the customers, to which the others are added, of which
+    every seventh is removed and every fifth gets another segment; no rebuild."""
+    cust = derived.cust5(spark, sf)
+    key = F.col("sku")
+    path = build_upkept_index(cust.filter(key % 4 != 0), K, unique_ids=True)
+    update_index(spark, path, added=cust.filter(key % 4 == 0))
+    update_index(spark, path, removed=cust.filter(key % 7 == 0).select("sku"))
+    changed = cust.filter((key % 5 == 0) & (key % 7 != 0)).withColumn("b", F.lit("NONE"))
+    update_index(spark, path, added=changed)
+    return top_k_from_upkept(spark, path)
+
+
+def q_lookup_stored(spark: SparkSession, sf: str) -> DataFrame:
+    path = store_catalog(derived.part10(spark, sf), shared_path(spark, "part10-stored"))
+    return lookup_item(read_stored(spark, path), TARGET)
+
+
 def q_missing_requests(spark: SparkSession, sf: str) -> DataFrame:
     catalog = derived.docs5(spark, sf, labelled_only=True)
     requests = derived.table(spark, sf, "documents").select(F.col("doc_id").alias("sku"))
@@ -239,6 +259,17 @@ def q_append_and_count(spark: SparkSession, sf: str) -> DataFrame:
     return table_rows(spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_append_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by segment, a batch each, every batch twice."""
+    path = shared_path(spark, "customer-batches")
+    cust = derived.table(spark, sf, "customer")
+    for segment in [r[0] for r in cust.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]:
+        rows = cust.filter(F.col("c_mktsegment") == segment)
+        append_once(rows, path, segment)
+        append_once_and_count(rows, path, segment)
+    return committed_rows(spark, path).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _served(spark: SparkSession, sf: str, key: str) -> str:
     """Serve a stream of all values of a lineitem key from the stored index of part10."""
     req_dir = shared_path(spark, "stream-requests")
@@ -268,6 +299,12 @@ def q_term_match(spark: SparkSession, sf: str) -> DataFrame:
     return term_match(docs, "text", TERM, id_col="doc_id")
 
 
+def q_term_index(spark: SparkSession, sf: str) -> DataFrame:
+    docs = derived.table(spark, sf, "documents").select("doc_id", "text")
+    path = build_term_index(docs, "text", "doc_id", shared_path(spark, "term-index"))
+    return search_terms(spark, path, TERM, "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_catalog": q_read_catalog,
     "read_catalog_rejects": q_read_catalog_rejects,
@@ -299,6 +336,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_top_k_sparse": q_batch_top_k_sparse,
     "batch_top_k_indexed": q_batch_top_k_indexed,
     "batch_top_k_joined": q_batch_top_k_joined,
+    "batch_top_k_upkept": q_batch_top_k_upkept,
+    "lookup_stored": q_lookup_stored,
+    "append_once": q_append_once,
+    "term_index": q_term_index,
     "missing_requests": q_missing_requests,
     "append_and_count": q_append_and_count,
     "term_match": q_term_match,
@@ -556,6 +597,12 @@ SELECT request_sku, CAST(rn AS INTEGER) AS rn, sku, CAST(n AS INTEGER) AS match_
                                f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
         "batch_top_k_joined": f"WITH {CTE_CUST5}, "
                               f"{_batch_sql('cust5', FIVE, K, matched_only=True)}",
+        "batch_top_k_upkept": f"""WITH {CTE_CUST5}, kept AS (
+  SELECT sku, a, CASE WHEN sku % 5 = 0 THEN 'NONE' ELSE b END AS b, c, d, e FROM cust5 WHERE sku % 7 <> 0),
+{_batch_sql('kept', FIVE, K)}""",
+        "lookup_stored": f"WITH {CTE_PART10} SELECT * FROM part10 WHERE sku = {TARGET}",
+        "append_once": "SELECT c_mktsegment AS batch, count(*) AS n FROM customer GROUP BY c_mktsegment",
+        "term_index": f"SELECT doc_id, hits FROM ({hits}) WHERE hits > 0",
         "missing_requests": """SELECT DISTINCT d.doc_id AS sku FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "append_and_count": "SELECT CAST(2 * count(*) AS BIGINT) AS n FROM nation",

@@ -17,10 +17,16 @@ from .operators.score import (digit_score_compat, match_indicators, similarity_o
 from .operators.value_join import batch_top_k_joined
 from .operators.shape import attributes_long, discover_names, flatten_attributes
 from .sources.catalog import cached, read_catalog, to_map, write_catalog_json
-from .sources.tables import append_and_count
+from .operators.upkeep import build_upkept_index, live_items, top_k_from_upkept, update_index
+from .plans.session import OwnedTables
+from .sources.stored import build_term_index, read_stored, search_terms, store_catalog
+from .sources.tables import append_and_count, append_once, append_once_and_count, committed_count, committed_rows
 
 __all__ = [
-    "ItemNotFound", "TooManyAttributes",
+    "ItemNotFound", "OwnedTables", "TooManyAttributes",
+    "append_once", "append_once_and_count", "build_term_index", "build_upkept_index", "committed_count",
+    "committed_rows", "live_items", "read_stored", "search_terms", "store_catalog", "top_k_from_upkept",
+    "update_index",
     "append_and_count", "attributes_long", "batch_top_k", "batch_top_k_indexed",
     "batch_top_k_joined", "batch_top_k_open", "build_subset_index", "top_k_from_index",
     "cached", "candidate_pairs", "digit_score_compat", "discover_names", "exclude_item",

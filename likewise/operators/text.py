@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 
 # Tokens are maximal runs of letters, marks and digits of any script, after lower-casing.
 TOKEN_CHARS = r"[\p{L}\p{M}\p{N}]"
+NO_TOKEN = r"[^\p{L}\p{M}\p{N}]+"
 
 
-def _pattern(term: str) -> str:
+def check_term(term: str) -> str:
+    """The term in lower case; a ValueError unless it is one token."""
     term = term.lower()
     if not term or not all(unicodedata.category(c)[0] in "LMN" for c in term):
         raise ValueError("term must be a non-empty run of letters and digits")
-    return f"(?<!{TOKEN_CHARS}){term}(?!{TOKEN_CHARS})"
+    return term
+
+
+def _pattern(term: str) -> str:
+    return f"(?<!{TOKEN_CHARS}){check_term(term)}(?!{TOKEN_CHARS})"
 
 
 def term_hits(text_col: str, term: str) -> F.Column:

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,10 +86,54 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/likewise/{name}-{uuid.uuid4().hex}"
 
 
+_owners: ContextVar[tuple["OwnedTables", ...]] = ContextVar("likewise-owners", default=())
+
+
+class OwnedTables:
+    """The intermediate tables written in a ``with`` block, deleted when it ends.
+
+    What the block makes must be written or collected in it, as its plan reads the tables.
+    ``keep`` writes a DataFrame as a table that outlives the block (it then belongs to the
+    enclosing block, if there is one).  Blocks nest; each owns what is written in it and not
+    in an inner one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "OwnedTables":
+        self._token = _owners.set((*_owners.get(), self))
+        return self
+
+    def __exit__(self, *_error) -> None:
+        _owners.reset(self._token)
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        outer = _owners.get()[:-1]
+        token = _owners.set(outer)
+        try:
+            return materialize(df, name)
+        finally:
+            _owners.reset(token)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of this package's by the file system it is in."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: later steps
-    start from stored files, so a lost executor costs a re-read."""
+    start from stored files, so a lost executor costs a re-read.  The table belongs to the
+    innermost ``OwnedTables`` block; without one it stays until the folder is cleared."""
     path = shared_path(df.sparkSession, name)
+    owners = _owners.get()
+    if owners:
+        owners[-1].paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

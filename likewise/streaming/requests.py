@@ -10,7 +10,8 @@ move.
 
 Results go to ``output_path/answers/epoch=<id>`` with ``overwrite``: a micro-batch
 replayed after a failure rewrites the same folder, so the sink is
-exactly-once together with the query's checkpoint.
+exactly-once together with the query's checkpoint.  A micro-batch's intermediate
+tables are deleted when its answers are written.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.batch import build_subset_index, missing_requests, top_k_from_index
-from ..plans.session import shared_path
+from ..plans.session import OwnedTables, shared_path
 
 
 def serve_requests(spark: SparkSession, flat: DataFrame, requests: DataFrame, k: int,
@@ -43,10 +44,11 @@ def serve_requests(spark: SparkSession, flat: DataFrame, requests: DataFrame, k:
 
     def answer(batch: DataFrame, epoch_id: int) -> None:
         asked = batch.select(id_col)
-        top = top_k_from_index(spark, index_path, asked, k)
-        top.write.mode("overwrite").parquet(f"{output_path}/answers/epoch={epoch_id}")
-        missing = missing_requests(items, asked, id_col)
-        missing.write.mode("overwrite").parquet(f"{output_path}/missing/epoch={epoch_id}")
+        with OwnedTables(spark):
+            top = top_k_from_index(spark, index_path, asked, k)
+            top.write.mode("overwrite").parquet(f"{output_path}/answers/epoch={epoch_id}")
+            missing = missing_requests(items, asked, id_col)
+            missing.write.mode("overwrite").parquet(f"{output_path}/missing/epoch={epoch_id}")
 
     writer = (requests.writeStream.foreachBatch(answer)
               .option("checkpointLocation", checkpoint_location))
