@@ -25,11 +25,18 @@ MAX_LOST_PERCENT = 40
 ENDINGS = ".!?:;,…)]}\"'”’»。！？"
 LONG_LINE = 12          # words from which a line needs punctuation
 SHORT_LINE = 30         # words up to which a line can be boilerplate
+# Fixed phrases of English, German, French and Spanish pages, in lower case.
 BOILERPLATE = (
     "all rights reserved|licen[cs]ed under|released under the|terms of (use|service)|"
     "privacy policy|cookie policy|accept (all )?cookies|sign (in|up)|log ?in to|subscribe (to|now)|"
     "click here|read more|share this|skip to (main )?content|javascript is (disabled|required)|"
-    "copyright (©|\\(c\\)|[0-9]{4})")
+    "copyright (©|\\(c\\)|[0-9]{4})|"
+    "alle rechte vorbehalten|lizenziert unter|datenschutzerklärung|nutzungsbedingungen|impressum|"
+    "cookies? akzeptieren|hier (klicken|anmelden)|weiterlesen|zum (haupt)?inhalt springen|"
+    "tous droits réservés|sous licence|politique de confidentialité|mentions légales|conditions d.utilisation|"
+    "accepter les cookies|cliquez ici|lire la suite|se connecter|aller au contenu|"
+    "todos los derechos reservados|bajo (la )?licencia|política de privacidad|aviso legal|términos de uso|"
+    "aceptar (las )?cookies|haga clic aquí|leer más|iniciar sesión|(ir|saltar) al contenido")
 
 
 def _words(text: Column) -> Column:

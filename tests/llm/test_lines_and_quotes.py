@@ -270,3 +270,13 @@ def test_messages_without_a_turn_are_numbered_through(spark):
     got = sorted(((r.position, r.turn, r.text) for r in Q.reply_ordered(messages(spark, rows).repartition(6)).collect()))
     assert [p for p, _, _ in got] == list(range(1, 252)) and got[0][1:] == (3, "z")
     assert [t for _, _, t in got[1:]] == sorted(r[3] for r in rows[:-1])
+
+
+def test_boilerplate_of_four_languages(spark):
+    rng = random.Random(15)
+    good = prose(rng)
+    bad = ["Alle Rechte vorbehalten.", "Datenschutzerklärung und mehr.", "Tous droits réservés.", "Conditions d’utilisation.",
+           "Todos los derechos reservados.", "Política de privacidad.", "All rights reserved."]
+    docs = documents(spark, [(1, "\n".join([*good, *bad]), None, None)])
+    row = L.judge(docs, columns=["doc_id"]).collect()[0].quality
+    assert row.text.split("\n") == good and row.kept
