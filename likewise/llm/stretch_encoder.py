@@ -23,7 +23,7 @@ from .common import row_blocks
 # A worker keeps the ids of known stretches up to these bounds, then starts anew.
 KNOWN_STRETCHES = 1_000_000
 KNOWN_BYTES = 24 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 GROUP = 256
 
 # Byte kinds for the cuts.

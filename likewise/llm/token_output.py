@@ -29,7 +29,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,8 @@ from .stretch_encoder import shared_encoder
 
 MAGIC = b"GRAMMAR2"
 END_ID = 0
-SHARD_BYTES = 6 << 20
-RULES_PER_ROUND = 8192
+SHARD_BYTES = 8 << 20
+RULES_PER_ROUND = 16384
 MIN_COUNT = 16
 _PAIR_BITS = 19
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.ndarray:
@@ -225,6 +225,23 @@ class Shard:
 # Tables
 # --------------------------------------------------------------------------
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
+    """``(part, ids, nulls, data, offsets)`` of batches put together up to about ``size`` bytes
+    of text, so that shards are not cut where batches happen to end."""
+    held: list[pa.RecordBatch] = []
+    n_bytes = 0
+    for batch in chain(batches, [None]):
+        if held and (batch is None or n_bytes + batch.column(1).nbytes > size):
+            table = pa.Table.from_batches(held)
+            data, offsets = utf8_bytes(table.column(1))
+            ids = table.column(0)
+            yield (held[0].column(2)[0].as_py(), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(), data, offsets)
+            held, n_bytes = [], 0
+        if batch is not None and batch.num_rows:
+            held.append(batch)
+            n_bytes += batch.column(1).nbytes
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, shard_bytes: int = SHARD_BYTES,
                  rounds: int | None = None) -> str:
@@ -242,18 +259,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = rows.select("id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seq = None, 0
-        for batch in batches:
-            encoder = encoder or shared_encoder(tokenizer_path)
-            ids, nulls = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(False)
-            data, offsets = utf8_bytes(batch.column(1))
+        encoder, seq = shared_encoder(tokenizer_path), 0
+        for part, ids, nulls, data, offsets in gathered(batches, shard_bytes):
             for low, high in row_blocks(offsets, shard_bytes):
                 tokens, counts = encoder.encode(data[offsets[low]:offsets[high]],
                                                 offsets[low:high + 1] - offsets[low])
                 tokens = with_end(tokens, counts, end_id)
                 payload = write_shard(ids[low:high], nulls[low:high], counts + 1, tokens, encoder.terminals, rounds)
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([batch.column(2)[0].as_py()], pa.int32()),
+                    "part": pa.array([part], pa.int32()),
                     "seq": pa.array([seq], pa.int32()),
                     "n_docs": pa.array([high - low], pa.int64()),
                     "n_tokens": pa.array([len(tokens)], pa.int64()),
