@@ -45,7 +45,7 @@ END_ID = 0
 SHARD_BYTES = 6 << 20
 RULES_PER_ROUND = 8192
 MIN_COUNT = 16
-_PAIR_BITS = 19
+_PAIR_BITS = 21
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int = END_ID) -> np.ndarray:
     """``ids`` with ``end_id`` after each document."""
     return np.insert(ids, np.cumsum(counts), end_id)
