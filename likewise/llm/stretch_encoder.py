@@ -198,7 +198,11 @@ class StretchEncoder:
         words = coded.dictionary
         if len(self.known) + len(words) > KNOWN_STRETCHES or self.known.nbytes > KNOWN_BYTES:
             self._forget()
-        slot = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().copy()
+        # The table of a look-up is made each time: the block's words are fewer than the known.
+        place = pc.index_in(self.known, value_set=words)
+        seen = place.is_valid().to_numpy(zero_copy_only=False)
+        slot = np.full(len(words), -1, np.int32)
+        slot[place.drop_null().to_numpy()] = np.flatnonzero(seen)
         fresh = np.flatnonzero(slot < 0)
         if len(fresh):
             slot[fresh] = self._learn(words.take(pa.array(fresh)))
