@@ -54,6 +54,7 @@ from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, b
                                  count_from_score, escaped, mask_from_score, score_from_mask)
 from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
+from .blocks import MAX_COMPARED, block_levels, coded, compared_share, shares, top_k_by_blocks
 from .lookup import one_row_per_id
 from .postings import top_k_by_postings
 
@@ -347,6 +348,57 @@ def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> D
                       mask_from_score(F.col("score"), m).alias("mask"))
 
 
+def _by_blocks(items: DataFrame, asked: DataFrame, share: Sequence[float], k: int,
+               id_col: str) -> tuple[list[DataFrame], DataFrame | None, DataFrame | None, int]:
+    """Rounds of ``top_k_by_blocks`` over stored ``(id, codes)``, each for what the one before left.
+
+    Gives the results of the finished requests, a table for each round; the unfinished
+    requests (``None``: none are); what these have met so far; and the level of the last round
+    (``m + 1``: no round was worth it).  A request with ``k`` items that match on
+    ``level`` attributes or more is finished, as no other item matches on as many.
+    """
+    m, left = len(share), asked.count()
+    done, carried, reached = [], None, m + 1
+    levels = block_levels(m)
+    while left and reached > levels[-1]:
+        # Two attributes fewer, or one if that meets too many items.
+        tries = levels[:1] if reached > m else [x for x in (reached - 2, reached - 1) if x >= levels[-1]]
+        level = next((x for x in tries if left * compared_share(share, x) <= MAX_COMPARED), None)
+        if level is None:
+            break
+        top = materialize(top_k_by_blocks(items, asked, share, level, k), "batch-blocks")
+        top = top.withColumnRenamed("id", id_col)
+        finished = top.filter(F.col("rn") == k).select("request_sku")
+        done.append(top.join(finished, "request_sku", "left_semi").select(
+            "request_sku", F.col("rn").cast("int").alias("rn"), id_col, "score",
+            count_from_score(F.col("score"), m).alias("match_count"), mask_from_score(F.col("score"), m).alias("mask")))
+        carried = top.join(finished, "request_sku", "left_anti").select("request_sku", id_col, "score")
+        asked = materialize(asked.join(finished, asked["id"] == finished["request_sku"], "left_anti"), "batch-unfinished")
+        left, reached = asked.count(), level
+    return done, asked.select(F.col("id").alias(id_col)) if left else None, carried, reached
+
+
+def _together(done: list[DataFrame], pairs: DataFrame | None, carried: DataFrame | None, k: int, m: int,
+              id_col: str) -> DataFrame:
+    """The rounds' results, and those of the unfinished from ``pairs`` and what is ``carried``."""
+    if pairs is not None:
+        pairs = pairs if carried is None else pairs.unionByName(carried)
+        done = [*done, top_k_from_pairs(pairs, k, m, id_col)]
+    top = done[0]
+    for more in done[1:]:
+        top = top.unionByName(more)
+    return top
+
+
+def _ids_repeat(flat: DataFrame, id_col: str) -> bool:
+    return not flat.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def _fan_out(flat: DataFrame, names: Sequence[str]) -> int:
+    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
+    return flat.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
+
+
 def catalog_version(flat: DataFrame, id_col: str = "sku") -> str:
     """A digest of all rows: their number and the sum of their hashes."""
     columns = [attr(c).cast("string") for c in sorted(flat.columns)]
@@ -459,11 +511,14 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     left out; ``missing_requests`` lists them.  ``include_empty=False`` keeps
     only candidates with at least one match (``batch_top_k_indexed``).
 
-    Two rounds (``split_level``; by default three fifths of the attributes when there
-    are at least ``TWO_ROUND_MIN_ATTRIBUTES``, the fan-out has at least
-    ``TWO_ROUND_MIN_FANOUT`` rows and the requests are too many for the
-    few-requests pruning of ``candidate_pairs``, else one round; ``0`` turns
-    it off).  Small subsets make big groups, whose heads are mostly poor
+    With at least ``TWO_ROUND_MIN_ATTRIBUTES`` attributes, a fan-out of at least
+    ``TWO_ROUND_MIN_FANOUT`` rows and requests too many for the few-requests pruning
+    of ``candidate_pairs``, rounds of ``top_k_by_blocks`` come first, which
+    send an item once per block of attributes instead of once per subset; only
+    requests they leave unfinished meet the heads of the smaller subsets.
+
+    Two rounds of heads (``split_level``, or where the blocks' lists are too long; else one
+    round; ``0`` turns it off).  Small subsets make big groups, whose heads are mostly poor
     candidates and make up most of the candidate rows.  Round 1 uses only
     subsets of at least ``split_level`` attributes.  A request that finds
     ``k`` candidates there is finished: those ``k`` items match it on at least
@@ -517,14 +572,21 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                               hot_group_rows, None if auto_split else split_level, True)
             return top.join(requests.select(F.col(id_col).alias("request_sku")), "request_sku", "left_semi")
     elif auto_split and split > lowest:
-        present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
-        fan = flat.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
-        if fan < TWO_ROUND_MIN_FANOUT:
+        if _fan_out(flat, names) < TWO_ROUND_MIN_FANOUT:
             # A small fan-out is cheaper to finish in one round than to
             # split into two rounds' worth of jobs.
             split = 0
     if k == 0 or split <= lowest or split > m:
         return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
+    if auto_split and not (unique_ids and _ids_repeat(flat, id_col)):
+        items = materialize(coded(_spread(flat, id_col), names, id_col), "batch-codes")
+        asked = items if requests is None else materialize(
+            items.join(requests.select(F.col(id_col).alias("id")), "id", "left_semi"), "batch-asked")
+        done, unfinished, carried, reached = _by_blocks(items, asked, shares(items, m), k, id_col)
+        if done:
+            pairs = None if unfinished is None else candidate_pairs(
+                flat, k, unfinished, max_level=reached - 1, **common)
+            return _together(done, pairs, carried, k, m, id_col)
 
     round1 = materialize(
         top_k_from_pairs(candidate_pairs(flat, k, requests, min_level=split, **common),
