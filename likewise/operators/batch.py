@@ -414,6 +414,10 @@ def build_subset_index(flat: DataFrame, k: int, path: str | None = None, id_col:
     heads of every subset group (``heads``, sorted by the group's key, so that
     a few keys read few row groups) and one row of what it was built for
     (``about``).  Built once, it answers any number of later requests.
+
+    Where the fan-out is large (as for the two rounds of ``batch_top_k``) the heads are
+    those of subsets below ``below`` attributes only, of which there are few, and the items'
+    ``codes`` are stored, by which ``top_k_by_blocks`` finds matches on more attributes.
     """
     spark = flat.sparkSession
     path = path or shared_path(spark, "subset-index")
@@ -426,11 +430,18 @@ def build_subset_index(flat: DataFrame, k: int, path: str | None = None, id_col:
     if not _fits_lattice(flat, names, MAX_LATTICE_ATTRIBUTES):
         raise ValueError(f"an item has more than {MAX_LATTICE_ATTRIBUTES} attributes; batch_top_k "
                          "answers requests on such a catalog without an index")
-    heads = subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty), k, id_col)
+    below = share = None
+    if (k > 0 and len(names) >= TWO_ROUND_MIN_ATTRIBUTES and _fan_out(flat, names) >= TWO_ROUND_MIN_FANOUT
+            and not (unique_ids and _ids_repeat(flat, id_col))):
+        below = block_levels(len(names))[-1]
+        coded(_spread(flat, id_col), names, id_col).write.parquet(f"{path}/codes")
+        share = shares(spark.read.parquet(f"{path}/codes"), len(names))
+    heads = subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty,
+                                     max_level=None if below is None else below - 1), k, id_col)
     heads.sortWithinPartitions(*_group_cols()).write.parquet(f"{path}/heads")
-    about = [(k, names, id_col, include_empty, version)]
+    about = [(k, names, id_col, include_empty, version, below, share)]
     spark.createDataFrame(about, "k int, names array<string>, id_col string, include_empty boolean, "
-                          "version string").write.parquet(f"{path}/about")
+                          "version string, below int, share array<double>").write.parquet(f"{path}/about")
     return path
 
 
@@ -453,14 +464,26 @@ def top_k_from_index(spark: SparkSession, path: str, requests: DataFrame, k: int
     items, heads = spark.read.parquet(f"{path}/items"), spark.read.parquet(f"{path}/heads")
     req_items, n_req = _requests_in_catalog(items, requests, id_col)
     req_items = materialize(req_items, "index-requests")
-    req = subset_rows(req_items, names, id_col, include_empty)
-    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
-    fan = req_items.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
-    if fan <= MAX_BROADCAST_ROWS:
+    done, carried = [], None
+    if about["below"] is not None and k > 0:
+        codes = spark.read.parquet(f"{path}/codes")
+        asked = materialize(coded(req_items, names, id_col), "index-codes")
+        done, unfinished, carried, reached = _by_blocks(codes, asked, about["share"], k, id_col)
+        if unfinished is None and done:
+            return _together(done, None, None, k, m, id_col)
+        if unfinished is not None and reached > about["below"]:
+            # The stored heads don't reach up to the last round.
+            pairs = candidate_pairs(items, k, unfinished, id_col, include_empty, max_level=reached - 1)
+            return _together(done, pairs, carried, k, m, id_col)
+        if unfinished is not None:
+            req_items = materialize(req_items.join(unfinished, id_col, "left_semi"), "index-unfinished")
+    highest = None if about["below"] is None else about["below"] - 1
+    req = subset_rows(req_items, names, id_col, include_empty, max_level=highest)
+    if _fan_out(req_items, names) <= MAX_BROADCAST_ROWS:
         pairs = _pairs(F.broadcast(req), heads, m, id_col, build_heads=False)
     else:
         pairs = _pairs(req, heads, m, id_col, _hot_groups(req_items, req, names, None, n_req))
-    return top_k_from_pairs(pairs, k, m, id_col)
+    return _together(done, pairs, carried, k, m, id_col)
 
 
 def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFrame | None,

@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import flat_frame
-from likewise import batch_top_k
+from likewise import batch_top_k, build_subset_index, top_k_from_index
 from likewise.operators import batch
 from likewise.operators.blocks import block_levels, blocks_of, coded, shares, top_k_by_blocks
 from likewise.plans.session import materialize
@@ -69,6 +70,18 @@ def test_rounds_equal_brute_force(spark, large, monkeypatch, compared):
     assert as_lists(batch_top_k(cat, 5, asked, include_empty=False)) == matched
 
 
+@pytest.mark.parametrize("compared", [batch.MAX_COMPARED, 12])
+def test_index_keeps_only_small_subsets(spark, large, monkeypatch, compared):
+    monkeypatch.setattr(batch, "MAX_COMPARED", compared)
+    rows = catalog(3)
+    path = build_subset_index(flat_frame(spark, rows, NAMES), 5)
+    heads = spark.read.parquet(f"{path}/heads")
+    assert heads.agg(F.max(F.bit_count("_s"))).first()[0] < block_levels(8)[-1]
+    asked = [r[0] for r in rows[::3]]
+    top = top_k_from_index(spark, path, spark.createDataFrame([(i,) for i in [*asked, "nobody"]], "sku string"), 4)
+    assert as_lists(top) == brute_force(rows, NAMES, 4, asked)
+
+
 def test_repeated_ids_stay_with_the_heads(spark, large):
     rows = catalog(4, 40)
     cat = flat_frame(spark, [*rows, *rows], NAMES)
