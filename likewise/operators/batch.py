@@ -68,6 +68,8 @@ DENSE_SUBSET_ATTRIBUTES = 12
 # average rows per shuffle partition, and never below MIN_HOT_GROUP_ROWS.
 HOT_GROUP_FACTOR = 4
 MIN_HOT_GROUP_ROWS = 1 << 20
+# Up to this many heads a shuffle partition they are held in a hash table, else sorted.
+MAX_HASHED_HEADS = 1 << 20
 # With fewer attributes the fan-out is small and a second round costs more
 # in extra jobs than it saves (measured at sf0.1: 5 attributes lose, 10 win).
 TWO_ROUND_MIN_ATTRIBUTES = 8
@@ -331,7 +333,40 @@ def candidate_pairs(flat: DataFrame, k: int, requests: DataFrame | None = None,
     if materialize_index:
         heads = materialize(heads, "subset-heads")
     hot = _hot_groups(req_items, req, names, hot_group_rows, n_req)
-    return _pairs(req, heads, m, id_col, hot)
+    hashed = _fan_out(flat, names) <= MAX_HASHED_HEADS * int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _pairs(req, heads, m, id_col, hot, build_heads=hashed)
+
+
+def class_rows(flat: DataFrame, names: Sequence[str], id_col: str) -> DataFrame:
+    """One row per class, the items equal in all attributes: these, and the smallest id."""
+    return flat.groupBy(*[attr(n) for n in names]).agg(F.min(id_col).alias(id_col))
+
+
+def top_k_from_classes(pairs: DataFrame, classes: DataFrame, members: DataFrame, names: Sequence[str], k: int,
+                       id_col: str, include_empty: bool) -> DataFrame:
+    """The top ``k`` of all ``members`` from the ``pairs`` of their ``classes``' smallest ids.
+
+    The best ``k + 1`` items for a class's values, its own among them, are the same
+    for all of its members; each leaves itself out and takes the first ``k``.
+    """
+    m = len(names)
+    present = sum((F.when(attr(n).isNotNull(), F.lit(bit_of(i, m))).otherwise(F.lit(0))
+                   for i, n in enumerate(names)), F.lit(0).cast("bigint"))
+    own = classes.select(F.col(id_col).alias("request_sku"), id_col, score_from_mask(present, m).alias("score"))
+    own = own if include_empty else own.filter("score > 0")
+    top = top_k_from_pairs(pairs.unionByName(own), k + 1, m, id_col)
+    lists = top.groupBy("request_sku").agg(F.sort_array(F.collect_list(
+        F.struct("rn", F.col(id_col).alias("id"), "score"))).alias("best"))
+    lists = classes.withColumnRenamed(id_col, "_first").join(lists, F.col("_first") == lists["request_sku"]).select(
+        *[attr(n).alias(f"_a{i}") for i, n in enumerate(names)], "best")
+    items = members.select(F.col(id_col).alias("request_sku"), *[attr(n).alias(f"_b{i}") for i, n in enumerate(names)])
+    same = [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(m)]
+    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("request_sku")), 1, k)
+    met = items.join(lists, same).select("request_sku", F.posexplode(others).alias("at", "x"))
+    score = F.col("x.score")
+    return met.select("request_sku", (F.col("at") + 1).cast("int").alias("rn"), F.col("x.id").alias(id_col),
+                      score.alias("score"), count_from_score(score, m).alias("match_count"),
+                      mask_from_score(score, m).alias("mask"))
 
 
 def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> DataFrame:
@@ -599,6 +634,16 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
             # A small fan-out is cheaper to finish in one round than to
             # split into two rounds' worth of jobs.
             split = 0
+    if (auto_split and requests is None and 0 < k < MAX_GROUP_LIMIT and names and m < TWO_ROUND_MIN_ATTRIBUTES
+            and _fan_out(flat, names) > MAX_BROADCAST_ROWS):
+        flat = materialize(flat, "batch-flat")
+        classes = materialize(class_rows(flat, names, id_col), "batch-classes")
+        if 2 * classes.count() <= flat.count() and not (unique_ids and _ids_repeat(flat, id_col)):
+            # A group is made of classes, so its smallest ids are among theirs.
+            order = Window.partitionBy(*[attr(n) for n in names]).orderBy(id_col)
+            firsts = flat.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k + 1).drop("_r")
+            pairs = candidate_pairs(materialize(firsts, "batch-firsts"), k, classes.select(id_col), **common)
+            return top_k_from_classes(pairs, classes, flat, names, k, id_col, include_empty)
     if k == 0 or split <= lowest or split > m:
         return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
     if auto_split and not (unique_ids and _ids_repeat(flat, id_col)):

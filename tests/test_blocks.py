@@ -87,3 +87,18 @@ def test_repeated_ids_stay_with_the_heads(spark, large):
     cat = flat_frame(spark, [*rows, *rows], NAMES)
     top = batch_top_k(cat, 3, unique_ids=True)
     assert top.groupBy("request_sku", "sku").count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("include_empty", [True, False])
+def test_equal_items_are_answered_together(spark, large, monkeypatch, include_empty):
+    """Items of one class share a list; heads too many to be hashed are sorted."""
+    monkeypatch.setattr(batch, "MAX_HASHED_HEADS", 1)
+    rng = random.Random(5)
+    rows = [(f"i{i:03d}", *[rng.choice(["x", None]) for _ in range(2)], rng.choice("uvw")) for i in range(60)]
+    rows += [(f"n{i}", None, None, None) for i in range(9)] + [("alone", "q", "q", "q")]
+    found, used = batch.top_k_from_classes, []
+    monkeypatch.setattr(batch, "top_k_from_classes", lambda *a: used.append(1) or found(*a))
+    cat = flat_frame(spark, rows, list("abc"))
+    want = brute_force(rows, list("abc"), 5, matched_only=not include_empty)
+    assert as_lists(batch_top_k(cat, 5, include_empty=include_empty)) == {t: v for t, v in want.items() if v}
+    assert used
