@@ -14,7 +14,12 @@ frequent at most.  An item's heavy values are a small bit set that goes with its
   at least as much.  These heads are found per bit set, of which there are at most
   ``2**MAX_HEAVY``, and looked up once per bit set of the requests.
 
-The light values' rows are dealt out in blocks of a value's requests, so a value just
+The same holds for pairs with a shared light value: through one set of light values and one of
+heavy ones only the ``k + 1`` smallest ids can get into a top k.  So where items have few
+attributes (``MAX_LATTICE_ATTRIBUTES``) the join is of sets of values with these heads, and its
+rows grow with the items.  Items equal in all attributes are joined once.
+
+For wider items single values are joined.  The light values' rows are dealt out in blocks of a value's requests, so a value just
 under the share is no single task's.  Best where most values are rare; with many frequent
 values use the subset index (``batch_top_k``).
 """
@@ -25,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..errors import TooManyAttributes
 from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, bit_of, count_from_score,
-                                 escaped, mask_from_score)
+                                 escaped, mask_from_score, score_from_mask)
 from ..plans.session import materialize
 from ..plans.sizing import broadcast_if_small
+from .batch import MAX_LATTICE_ATTRIBUTES, _fits_lattice, _ids_repeat, class_rows, subset_rows, top_k_from_classes
 from .lookup import one_row_per_id
 
 HEAVY_SHARE = 8
@@ -73,6 +79,28 @@ def _heavy_only(items: DataFrame, asked: DataFrame, weights: list[int], k: int)
     return met.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1).drop("r")
 
 
+def _light_heads(flat: DataFrame, items: DataFrame, classes: DataFrame, names: list[str], id_col: str,
+                 heavy: list[tuple[int, str]], weights: list[int], k: int) -> DataFrame:
+    """``(request_sku, id, score)``: the classes' smallest ids with the heads of every set of
+    values, one of them light at least, that they have."""
+    m = len(names)
+    light = []
+    for at, name in enumerate(names):
+        value = attr(name)
+        often = [v for a, v in heavy if a == at]
+        light.append((F.when(~value.cast("string").isin(often), value) if often else value).alias(name))
+    rows = subset_rows(flat.select(id_col, *light), names, id_col, min_level=1).withColumnRenamed(id_col, "id")
+    rows = rows.join(items, "id").select("_k1", "_k2", "_s", "id", F.explode(_subsets(F.col("bits"), len(heavy))).alias("s"))
+    key = ["_k1", "_k2", "_s", "s"]
+    rows = materialize(rows, "join-sets")
+    order = Window.partitionBy(*key).orderBy("id")
+    heads = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1).drop("r")
+    asking = rows.join(classes.select(F.col(id_col).alias("id")), "id", "left_semi").withColumnRenamed("id", "request_sku")
+    of_light = score_from_mask(F.col("_s"), m)
+    return asking.join(heads, key).filter("request_sku != id").select(
+        "request_sku", "id", (of_light + _weight(F.col("s"), weights)).alias("score"))
+
+
 def batch_top_k_joined(flat: DataFrame, k: int = 10, requests: DataFrame | None = None, id_col: str = "sku",
                        include_empty: bool = False, unique_ids: bool = False, heavy_share: int = HEAVY_SHARE,
                        max_heavy: int = MAX_HEAVY) -> DataFrame:
@@ -105,6 +133,22 @@ def batch_top_k_joined(flat: DataFrame, k: int = 10, requests: DataFrame | None
     if requests is not None:
         asked = items.join(requests.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
 
+    if 0 < k and _fits_lattice(flat, names, MAX_LATTICE_ATTRIBUTES) and names and not (
+            unique_ids and _ids_repeat(flat, id_col)):
+        members = flat if requests is None else flat.join(asked.select(F.col("id").alias(id_col)), id_col, "left_semi")
+        classes = materialize(class_rows(flat, names, id_col), "join-equal")
+        order = Window.partitionBy(*[attr(n) for n in names]).orderBy(id_col)
+        firsts = materialize(flat.withColumn("r_", F.row_number().over(order)).filter(
+            F.col("r_") <= k + 1).drop("r_"), "join-firsts")
+        met = _light_heads(firsts, items, classes, names, id_col, heavy, weights, k)
+        first = items.join(classes.select(F.col(id_col).alias("id")), "id", "left_semi")
+        alone = broadcast_if_small(_heavy_only(items, first, weights, k), known_rows=(k + 1) << len(heavy))
+        rest = first.select(F.col("id").alias("request_sku"), F.col("bits").alias("request_bits")).join(
+            alone, "request_bits").filter("request_sku != id").select("request_sku", "id", "score")
+        pairs = met.unionByName(rest).withColumnRenamed("id", id_col)
+        pairs = pairs if include_empty else pairs.filter("score > 0")
+        return top_k_from_classes(pairs, classes, members, names, k, id_col, include_empty)
+
     # The light values of every item, with its bit set.
     is_heavy = F.lit(False)
     for at, v in heavy:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import flat_frame
 from likewise import batch_top_k, build_subset_index, top_k_from_index
-from likewise.operators import batch
+from likewise.operators import batch, value_join
 from likewise.operators.blocks import block_levels, blocks_of, coded, shares, top_k_by_blocks
 from likewise.plans.session import materialize
 from test_batch import as_lists, brute_force
@@ -102,3 +102,14 @@ def test_equal_items_are_answered_together(spark, large, monkeypatch, include_em
     want = brute_force(rows, list("abc"), 5, matched_only=not include_empty)
     assert as_lists(batch_top_k(cat, 5, include_empty=include_empty)) == {t: v for t, v in want.items() if v}
     assert used
+
+
+def test_value_join_sends_no_pairs_of_a_light_value(spark, monkeypatch):
+    """A value of 60 items, just light, meets k + 1 heads for every set of values, not 60 items."""
+    rows = [(f"i{i:03d}", "x" if i % 4 else "y", f"v{i % 20}", None if i % 5 else "z") for i in range(80)]
+    met, light = [], value_join._light_heads
+    monkeypatch.setattr(value_join, "_light_heads", lambda *a: met.append(light(*a)) or met[-1])
+    cat = flat_frame(spark, rows, list("abc"))
+    got = value_join.batch_top_k_joined(cat, 2, heavy_share=1)
+    assert as_lists(got) == brute_force(rows, list("abc"), 2, matched_only=True)
+    assert met[0].groupBy("request_sku").count().agg(F.max("count")).first()[0] <= 7 * 3
