@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions.columns import attr, attribute_names, escaped
 from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
-from .batch import (MAX_LATTICE_ATTRIBUTES, _fits_lattice, _group_cols, _hot_groups, _pairs, _requests_in_catalog,
-                    _spread, subset_heads, subset_rows, top_k_from_pairs)
+from .batch import (MAX_LATTICE_ATTRIBUTES, _fan_out, _fits_lattice, _group_cols, _hot_groups, _ids_repeat, _pairs,
+                    _requests_in_catalog, _spread, class_rows, subset_heads, subset_rows, top_k_from_classes,
+                    top_k_from_pairs)
 from .lookup import one_row_per_id
 
 GROUP = _group_cols()
@@ -189,13 +190,19 @@ def top_k_from_upkept(spark: SparkSession, path: str, requests: DataFrame | None
     items, n_req = live_items(spark, path), None
     if requests is not None:
         items, n_req = _requests_in_catalog(items, requests, id_col)
-    asked = materialize(items, "upkept-requests")
+    asked = members = materialize(items, "upkept-requests")
+    together = False
+    if 0 < k and names and _fan_out(members, names) > MAX_BROADCAST_ROWS:
+        # Items equal in all attributes are answered together.
+        asked = materialize(class_rows(members, names, id_col), "upkept-classes")
+        together = 2 * asked.count() <= members.count() and not _ids_repeat(members, id_col)
+        asked = asked if together else members
     rows = subset_rows(_spread(asked, id_col), names, id_col, about["include_empty"])
     heads = live_heads(spark, path).select(*GROUP, id_col).distinct()
-    present = sum((attr(n).isNotNull().cast("int") for n in names), F.lit(0))
-    fan = asked.agg(F.sum(F.pow(F.lit(2), present).cast("bigint"))).first()[0] or 0
-    if fan <= MAX_BROADCAST_ROWS:
+    if _fan_out(asked, names) <= MAX_BROADCAST_ROWS:
         pairs = _pairs(F.broadcast(rows), heads, len(names), id_col, build_heads=False)
     else:
         pairs = _pairs(rows, heads, len(names), id_col, _hot_groups(asked, rows, names, None, n_req))
+    if together:
+        return top_k_from_classes(pairs, asked, members, names, k, id_col, about["include_empty"])
     return top_k_from_pairs(pairs, k, len(names), id_col)

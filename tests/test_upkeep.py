@@ -75,3 +75,15 @@ def test_an_empty_catalog_can_grow(spark):
     rows = random_catalog(8, 12, 3)
     update_index(spark, path, flat_frame(spark, rows, NAMES))
     assert as_lists(top_k_from_upkept(spark, path)) == brute_force(rows, NAMES, 3)
+
+
+def test_equal_items_are_answered_together(spark, monkeypatch):
+    monkeypatch.setattr(upkeep, "MAX_BROADCAST_ROWS", 1)
+    found, used = upkeep.top_k_from_classes, []
+    monkeypatch.setattr(upkeep, "top_k_from_classes", lambda *a: used.append(1) or found(*a))
+    rows = [(f"i{i:02d}", "x" if i % 2 else None, "hot", "u" if i % 3 else "v") for i in range(40)]
+    path = build_upkept_index(flat_frame(spark, rows, NAMES), 3)
+    update_index(spark, path, flat_frame(spark, [(rows[8][0], "x", None, "v")], NAMES), ids(spark, [rows[0][0]]))
+    live = [*rows[1:8], (rows[8][0], "x", None, "v"), *rows[9:]]
+    assert as_lists(top_k_from_upkept(spark, path)) == brute_force(live, NAMES, 3)
+    assert used
