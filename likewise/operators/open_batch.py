@@ -22,7 +22,7 @@ def open_items(catalog: DataFrame, id_col: str = "sku", unique_ids: bool = False
         F.coalesce("attributes", F.create_map().cast("map<string,string>")), lambda n, v: v.isNotNull()).alias("attributes"))
     rows = rows.filter("sku IS NOT NULL")
     rows = rows if unique_ids else first_per_id(rows)
-    entries = F.array_sort(F.map_entries("attributes"))
+    entries = F.sort_array(F.map_entries("attributes"))
     return rows.select(F.col("sku").alias("id"), F.transform(entries, lambda e: e["key"]).alias("names"),
                        F.transform(entries, lambda e: F.xxhash64(e["key"], e["value"])).alias("keys"))
 

@@ -21,6 +21,11 @@ A list and the requests that read it meet in one group of ``cogroup``.  Groups a
 bounded: many short lists share one, a long list is cut into blocks of items and of
 requests, and every pair of blocks is a group.  A group passes on at most ``k`` items of
 a request, so pairs of items are never rows.
+
+That sends an item's keys to each of its lists, the square of their number.  So a request
+whose lists are all short takes another way (``top_k_by_short_lists``): its lists come to it,
+as ids only, and how often and where an id comes is what it shares.  One round
+is the whole result.
 """
 
 from __future__ import annotations
@@ -32,10 +37,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..plans.session import materialize, ship_package
+from ..plans.sizing import broadcast_if_small
 from ..plans.skew import join_counted, partitions
 
 # Keys of the items of one group, 8 bytes each.
 GROUP_KEYS = 1 << 20
+# Ids of the lists of one group, 8 bytes each.
+GROUP_IDS = 1 << 21
+# A list is short up to this many times the keys of an item on average: its ids, once
+# for each of its items, are then no more than these items' keys, which are sent three times.
+SHORT_FACTOR = 4
 _BITS = 62
 
 
@@ -162,6 +173,92 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k)
 
 
+def short_lists(items: DataFrame, most: int) -> DataFrame:
+    """``(key, members)`` of the lists with several items: ``members`` are the ids, ascending, and the
+    key's place among the item's keys; of a list of more than ``most`` the first ``most + 1``."""
+    entries = items.select("id", F.posexplode("keys").alias("place", "key"))
+    by_key = Window.partitionBy("key").orderBy("id")
+    first = entries.withColumn("r", F.row_number().over(by_key)).filter(F.col("r") <= most + 1)
+    lists = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "place"))).alias("members"))
+    return lists.filter(F.size("members") > 1)
+
+
+def best_of_lists(rows: pa.Table, k: int) -> tuple[pa.Array, np.ndarray, pa.Array, list[np.ndarray]]:
+    """Requests, the numbers and the items of their best ``k`` and the places these match at, from
+    the rows ``(request, place, ids)`` of whole requests."""
+    flat = pc.list_flatten(rows.column("ids")).combine_chunks()
+    lengths = pc.list_value_length(rows.column("ids")).to_numpy()
+    asking = rows.column("request").combine_chunks()
+    coded = pa.concat_arrays([asking, flat]).dictionary_encode()
+    by_id = pc.array_sort_indices(coded.dictionary)
+    known, ranks = coded.dictionary.take(by_id), np.empty(len(by_id), np.int64)
+    ranks[by_id.to_numpy()] = np.arange(len(by_id))
+    own = ranks[coded.indices.to_numpy()]
+    requests, request = np.unique(own[:len(asking)], return_inverse=True)
+    request, item = np.repeat(request, lengths), own[len(asking):]
+    place = np.repeat(rows.column("place").to_numpy().astype(np.int64), lengths)
+    other = requests[request] != item
+    request, item, place = request[other], item[other], place[other]
+    width, places = max(len(known), 1), int(place.max(initial=0)) + 1
+    fits = len(requests) * width * places < 1 << 63
+    # One row after the other for each place of a pair.
+    if fits:
+        pair, place = np.divmod(np.sort((request * width + item) * places + place), places)
+    else:
+        pair = request * width + item
+        order = np.lexsort((place, pair))
+        pair, place = pair[order], place[order]
+    starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(starts, len(pair)))
+    request, item = np.divmod(pair[starts], width)
+    left, out = np.full(len(requests), k, np.int64), []
+    # More matches first, of equal counts matches at earlier places, then the smaller id.
+    for count in np.unique(counts)[::-1].tolist():
+        some = np.flatnonzero((counts == count) & (left[request] > 0))
+        if count == 1 and fits:
+            some = some[np.argsort((request[some] * places + place[starts[some]]) * width + item[some])]
+        else:
+            some = some[np.lexsort((item[some], *[place[starts[some] + d] for d in range(count - 1, -1, -1)],
+                                    request[some]))]
+        found = np.bincount(request[some], minlength=len(left))
+        rank = np.arange(len(some)) - (np.cumsum(found) - found)[request[some]]
+        can = rank < left[request[some]]
+        some, rank = some[can], rank[can]
+        out.append((some, k - left[request[some]] + rank + 1))
+        left -= np.minimum(found, left)
+    best = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
+    rn = np.concatenate([x for _, x in out]) if out else np.zeros(0, np.int64)
+    matched = [place[a:a + n] for a, n in zip(starts[best].tolist(), counts[best].tolist())]
+    return known.take(pa.array(requests[request[best]])), rn, known.take(pa.array(item[best])), matched
+
+
+def top_k_by_short_lists(lists: DataFrame, ids: DataFrame | None, k: int) -> DataFrame:
+    """``(request, rn, id, places)``: the best ``k`` items that the requests ``ids`` (column ``request``;
+    all items where ``None``) meet in ``lists``, a stored table of ``short_lists``, in which are all of
+    these requests' lists."""
+    spark = lists.sparkSession
+    n = F.size("members").cast("bigint")
+    pairs = lists.agg(F.sum(n * n)).first()[0] or 0
+    bins = max(-(-pairs // GROUP_IDS), partitions(lists))
+    rows = lists.select(F.explode("members").alias("m"), F.col("members.id").alias("ids")).select(
+        F.col("m.id").alias("request"), F.col("m.place").alias("place"), "ids")
+    rows = rows if ids is None else rows.join(ids, "request", "left_semi")
+    ship_package(spark)
+    id_type = rows.schema["request"].dataType
+    schema = StructType([StructField("request", id_type), StructField("rn", IntegerType()),
+                         StructField("id", id_type), StructField("places", ArrayType(IntegerType()))])
+
+    def best_of_group(table: pa.Table) -> pa.Table:
+        request, rn, item, places = best_of_lists(table, k)
+        flat = np.concatenate(places) if places else np.zeros(0, np.int32)
+        borders = np.append(0, np.cumsum([len(p) for p in places])).astype(np.int32)
+        return pa.table([request, pa.array(rn, pa.int32()), item, pa.ListArray.from_arrays(
+            pa.array(borders, pa.int32()), pa.array(flat, pa.int32()))], ["request", "rn", "id", "places"])
+
+    bin_of = F.pmod(F.xxhash64(F.lit(2), "request"), F.lit(bins))
+    return rows.groupBy(bin_of.alias("bin")).applyInArrow(best_of_group, schema)
+
+
 def wanted_lists(items: DataFrame, requests: DataFrame) -> tuple[DataFrame, int, float]:
     """``(request, key, n, rank, p)``: each request's lists from the rarest on, with its
     number of lists ``p``; the sum of all lists' sizes, and the keys of an item on average."""
@@ -176,14 +273,8 @@ def wanted_lists(items: DataFrame, requests: DataFrame) -> tuple[DataFrame, int,
     return materialize(ranked, "posting-ranked"), total, per_item
 
 
-def top_k_by_postings(items: DataFrame, requests: DataFrame, k: int, include_empty: bool = True) -> DataFrame:
-    """``(request, rn, id, places)``: the best ``k`` other items of every request.
-
-    ``items`` has ``id, keys`` and ``requests`` ``request, keys`` with the keys in order of
-    their weight; both are stored tables, ids are unique and not null, and a request is an
-    item's id.  ``places`` are the places of the request's keys that the item has.  With
-    ``include_empty`` items without a match fill up what is left, the smallest ids first.
-    """
+def _by_rounds(items: DataFrame, requests: DataFrame, k: int) -> DataFrame:
+    """``(request, rn, id, places)``: the best ``k`` other items with a match, in two rounds."""
     ranked, total, per_item = wanted_lists(items, requests)
     first = F.ceil(F.col("p") / 3)
     one = ranked.filter(F.col("rank") <= first).select("request", "key", "n", F.lit(1).alias("least"))
@@ -193,7 +284,32 @@ def top_k_by_postings(items: DataFrame, requests: DataFrame, k: int, include_emp
     two = two.filter((F.col("rank") > first) & (F.col("rank") <= F.col("p") - F.col("least") + 1))
     two = materialize(two.select("request", "key", "n", "least"), "posting-wanted2")
     pairs = top.drop("rn").unionByName(_round(items, requests, two, total, per_item, k))
-    top = _ranked(pairs, k)
+    return _ranked(pairs, k)
+
+
+def top_k_by_postings(items: DataFrame, requests: DataFrame, k: int, include_empty: bool = True) -> DataFrame:
+    """``(request, rn, id, places)``: the best ``k`` other items of every request.
+
+    ``items`` has ``id, keys`` and ``requests`` ``request, keys`` with the keys in order of
+    their weight; both are stored tables, ids are unique and not null, and a request is an
+    item's id.  ``places`` are the places of the request's keys that the item has.  With
+    ``include_empty`` items without a match fill up what is left, the smallest ids first.
+    """
+    most = max(int(SHORT_FACTOR * (items.agg(F.avg(F.size("keys"))).first()[0] or 0.0)), 1)
+    lists = materialize(short_lists(items, most), "posting-short")
+    long = lists.filter(F.size("members") > most).select("key")
+    every = requests.count() == items.count()
+    if long.isEmpty():
+        top = top_k_by_short_lists(lists, None if every else requests.select("request"), k)
+    else:
+        asked = requests.select("request", F.explode("keys").alias("key"))
+        far = asked.join(broadcast_if_small(long), "key", "left_semi").select("request").distinct()
+        far = materialize(far, "posting-far")
+        near = materialize(requests.select("request").join(far, "request", "left_anti"), "posting-near")
+        top = _by_rounds(items, materialize(requests.join(far, "request", "left_semi"), "posting-asked"), k)
+        if not near.isEmpty():
+            short = lists.filter(F.size("members") <= most)
+            top = top.unionByName(top_k_by_short_lists(short, near, k))
     if include_empty:
         top = materialize(top, "posting-round2")
         # At most k - 1 of the smallest ids match and one is the request's own.

@@ -181,3 +181,46 @@ def test_map_form_and_flat_form_agree(spark):
     cat = flat_frame(spark, rows, names)
     opened = {(r.request_sku, r.rn): r.sku for r in batch_top_k_open(to_map(cat), 5).collect()}
     assert opened == {(r.request_sku, r.rn): r.sku for r in batch_top_k(cat, 5).collect()}
+
+
+def test_short_lists_come_to_the_request_without_keys(spark, monkeypatch):
+    """Where no list is long no item's keys are sent to its lists; one long list leaves only its
+    own requests to the rounds."""
+    rng = random.Random(8)
+    items = random_items(rng, 150, [f"n{i}" for i in range(60)], 12, values=range(4))
+    items = {t: {n: str(v) for n, v in a.items()} for t, a in items.items()}
+    rounds, asked = postings._by_rounds, []
+
+    def counted(items, requests, k):
+        asked.append({r.request for r in requests.select("request").collect()})
+        return rounds(items, requests, k)
+
+    monkeypatch.setattr(postings, "_by_rounds", counted)
+    monkeypatch.setattr(postings, "GROUP_IDS", 500)
+    assert open_lists(batch_top_k_open(open_frame(spark, list(items.items())), 5)) == open_brute(items, 5)
+    assert not asked
+    some = list(items)[::2]
+    for t in some:
+        items[t]["all"] = "long"
+    assert open_lists(batch_top_k_open(open_frame(spark, list(items.items())), 5)) == open_brute(items, 5)
+    assert asked == [set(some)]
+
+
+@pytest.mark.parametrize("far", [0, 1 << 58])
+def test_best_of_lists_orders_by_count_places_and_id(far):
+    """Also with places too large for one number a row."""
+    import pyarrow as pa
+    rng = random.Random(9)
+    keys = {i: sorted(rng.sample(range(12), 6)) for i in range(40)}
+    rows = [(t, far + p, [x for x in keys if q in keys[x]]) for t in keys for p, q in enumerate(keys[t])]
+    rng.shuffle(rows)
+    table = pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+        (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["request", "place", "ids"])
+    request, rn, item, places = postings.best_of_lists(table, 4)
+    got = sorted(zip(request.to_pylist(), rn.tolist(), item.to_pylist(), [p.tolist() for p in places]))
+    want = []
+    for t in keys:
+        met = [(x, [far + p for p, q in enumerate(keys[t]) if q in keys[x]]) for x in keys if x != t]
+        met = sorted((-len(p), p, x) for x, p in met if p)[:4]
+        want += [(t, i, x, p) for i, (_, p, x) in enumerate(met, 1)]
+    assert got == sorted(want)
