@@ -191,7 +191,7 @@ def q_batch_top_k(spark: SparkSession, sf: str) -> DataFrame:
 def q_batch_top_k_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Every part on an order line, each with its own number of results."""
     li = derived.table(spark, sf, "lineitem")
-    asked = li.select(F.col("l_partkey").alias("sku"), (1 + F.col("l_partkey") % K).alias("num")).distinct()
+    asked = li.select(F.col("l_partkey").alias("sku")).distinct().withColumn("num", 1 + F.col("sku") % K)
     return batch_top_k(derived.part10(spark, sf), K, requests=asked, unique_ids=True)
 
 

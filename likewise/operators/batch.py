@@ -54,7 +54,9 @@ from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, b
                                  count_from_score, escaped, mask_from_score, score_from_mask)
 from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
-from .blocks import MAX_COMPARED, block_levels, coded, compared_share, shares, top_k_by_blocks
+from ..plans.skew import partitions
+from .blocks import (MAX_COMPARED, Field, block_levels, coded, compared_share, next_prefixes, packed, prefix_costs,
+                     prefix_levels, repeated_values, settle, shares, top_k_by_blocks, top_k_by_prefixes, value_of, with_num)
 from .lookup import one_row_per_id
 from .postings import top_k_by_postings
 
@@ -74,6 +76,8 @@ MAX_HASHED_HEADS = 1 << 20
 # in extra jobs than it saves (measured at sf0.1: 5 attributes lose, 10 win).
 TWO_ROUND_MIN_ATTRIBUTES = 8
 TWO_ROUND_MIN_FANOUT = 4_000_000
+# Pairs of wide items with a common value from which prefixes come before the posting lists.
+MIN_PREFIX_PAIRS = 1 << 26
 
 
 # Group keys are two 64-bit hashes.  Each present value is hashed twice with
@@ -383,16 +387,39 @@ def top_k_from_pairs(pairs: DataFrame, k: int, m: int, id_col: str = "sku") -> D
                       mask_from_score(F.col("score"), m).alias("mask"))
 
 
-def _by_blocks(items: DataFrame, asked: DataFrame, share: Sequence[float], k: int,
-               id_col: str) -> tuple[list[DataFrame], DataFrame | None, DataFrame | None, int]:
+def _results(top: DataFrame, m: int, id_col: str) -> DataFrame:
+    """The result rows of a stored round of lists."""
+    return top.select("request_sku", F.col("rn").cast("int").alias("rn"), F.col("id").alias(id_col), "score",
+                      count_from_score(F.col("score"), m).alias("match_count"), mask_from_score(F.col("score"), m).alias("mask"))
+
+
+def _packed_items(flat: DataFrame, names: Sequence[str], wanted: DataFrame | None, k: int,
+                  id_col: str) -> tuple[DataFrame, list[Field], list[float]]:
+    """``(id, codes, num)`` with unique ids, stored, with the items' values as numbers, where these are, and each
+    attribute's share of equal pairs.  ``num`` is null for items that are not ``wanted``."""
+    items = coded(flat, names, id_col).repartition(partitions(flat), "id")
+    items = with_num(items, k) if wanted is None else items.join(
+        wanted.select(F.col(id_col).alias("id"), "num"), "id", "left").select("id", "codes", "num")
+    items = materialize(items, "batch-codes")
+    share, values = repeated_values(items, len(names))
+    items, fields = packed(items, values)
+    return materialize(items, "batch-packed"), fields, share
+
+
+def _by_blocks(items: DataFrame, asked: DataFrame, share: Sequence[float], k: int, id_col: str,
+               fields: Sequence[Field] | None = None) -> tuple[list[DataFrame], DataFrame | None, DataFrame | None, int]:
     """Rounds of ``top_k_by_blocks`` over stored ``(id, codes)``, each for what the one before left.
 
     Gives the results of the finished requests, a table for each round; the unfinished
     requests (``None``: none are); what these have met so far; and the level of the last round
-    (``m + 1``: no round was worth it).  A request with ``k`` items that match on
+    (``m + 1``: no round was worth it).  A request with all the items it asks for that match on
     ``level`` attributes or more is finished, as no other item matches on as many.
     """
-    m, left = len(share), asked.count()
+    if asked is items:
+        items = asked = with_num(items, k)
+    else:
+        asked = with_num(asked, k)
+    m, left, n = len(share), asked.filter("num IS NOT NULL").count(), items.count()
     done, carried, reached = [], None, m + 1
     levels = block_levels(m)
     while left and reached > levels[-1]:
@@ -401,30 +428,56 @@ def _by_blocks(items: DataFrame, asked: DataFrame, share: Sequence[float], k: in
         level = next((x for x in tries if left * compared_share(share, x) <= MAX_COMPARED), None)
         if level is None:
             break
-        top = materialize(top_k_by_blocks(items, asked, share, level, k), "batch-blocks")
-        top = top.withColumnRenamed("id", id_col)
-        finished = top.filter(F.col("rn") == k).select("request_sku")
-        done.append(top.join(finished, "request_sku", "left_semi").select(
-            "request_sku", F.col("rn").cast("int").alias("rn"), id_col, "score",
-            count_from_score(F.col("score"), m).alias("match_count"), mask_from_score(F.col("score"), m).alias("mask")))
-        carried = top.join(finished, "request_sku", "left_anti").select("request_sku", id_col, "score")
-        asked = materialize(asked.join(finished, asked["id"] == finished["request_sku"], "left_anti"), "batch-unfinished")
-        left, reached = asked.count(), level
-    return done, asked.select(F.col("id").alias(id_col)) if left else None, carried, reached
+        top = materialize(top_k_by_blocks(items, asked, share, level, k, fields=fields), "batch-blocks")
+        carried = top.filter("found < num").select("request_sku", F.col("id").alias(id_col), "score")
+        finished, items, asked, left = settle(top, items, asked, left, n)
+        done.append(_results(finished, m, id_col))
+        reached = level
+    unfinished = asked.filter("num IS NOT NULL").select(F.col("id").alias(id_col)) if left else None
+    return done, unfinished, carried, reached
+
+
+def _by_prefixes(items: DataFrame, fields: Sequence[Field], share: Sequence[float], k: int,
+                 id_col: str) -> tuple[list[DataFrame], DataFrame | None]:
+    """Rounds of ``top_k_by_prefixes`` over the stored ``(id, codes, num)``: the results of the finished requests,
+    and those left, which match fewer items than they ask for."""
+    m, n = len(fields), items.count()
+    order = sorted(range(m), key=lambda i: share[i])
+    p = sum(((value_of(f) != 0).cast("int") for f in fields), F.lit(0))
+    widths = {r[0]: r[1] for r in items.filter("num IS NOT NULL").groupBy(p.alias("p")).count().collect()}
+    left = sum(widths.values())
+    asked = items if 2 * left > n else materialize(items.filter("num IS NOT NULL"), "wide-asked")
+    levels = prefix_levels(max(widths, default=0))
+    costs, done, level = prefix_costs(items, fields, order, levels), [], levels[0] + 1
+    while left and level > 1:
+        level, size = next_prefixes(costs, level, left / n)
+        n_rows = max(int(costs[level][size][0]), 1)
+        top = materialize(top_k_by_prefixes(items, asked, fields, order, level, size, k, n_rows), "wide-prefixes")
+        finished, items, asked, left = settle(top, items, asked, left, n)
+        done.append(_results(finished, m, id_col))
+    return done, asked.filter("num IS NOT NULL").select(F.col("id").alias(id_col)) if left else None
 
 
 def _together(done: list[DataFrame], pairs: DataFrame | None, carried: DataFrame | None, k: int, m: int,
-              id_col: str) -> DataFrame:
+              id_col: str, wanted: DataFrame | None = None) -> DataFrame:
     """The rounds' results, and those of the unfinished from ``pairs`` and what is ``carried``."""
     if pairs is not None:
         pairs = pairs if carried is None else pairs.unionByName(carried)
-        done = [*done, top_k_from_pairs(pairs, k, m, id_col)]
+        done = [*done, _as_wanted(top_k_from_pairs(pairs, k, m, id_col), wanted, id_col)]
     top = done[0]
     for more in done[1:]:
         top = top.unionByName(more)
     return top
 
 
+def _as_wanted(top: DataFrame, wanted: DataFrame | None, id_col: str) -> DataFrame:
+    """As many results as each request asks for."""
+    if wanted is None:
+        return top
+    return top.join(wanted.withColumnRenamed(id_col, "request_sku"), "request_sku").filter(
+        F.col("rn") <= F.col("num")).drop("num")
+
+
 def _ids_repeat(flat: DataFrame, id_col: str) -> bool:
     return not flat.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
@@ -521,10 +574,28 @@ def top_k_from_index(spark: SparkSession, path: str, requests: DataFrame, k: int
     return _together(done, pairs, carried, k, m, id_col)
 
 
-def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFrame | None,
-                id_col: str, include_empty: bool) -> DataFrame:
-    """The result of ``batch_top_k`` by posting lists, for items of any width; ids are
-    unique and not null."""
+def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, wanted: DataFrame | None, id_col: str,
+                include_empty: bool, unique_ids: bool) -> DataFrame:
+    """The result of ``batch_top_k`` for items of any width; ``flat`` is stored, ids are unique and not null.
+
+    Where many pairs share a value, rounds by prefixes come first; posting lists answer what these leave,
+    and catalogs with more names than a mask's bits."""
+    m = len(names)
+    if 0 < k and m <= MAX_BIGINT_ATTRIBUTES and not (unique_ids and _ids_repeat(flat, id_col)):
+        items, fields, share = _packed_items(flat, names, wanted, k, id_col)
+        if sum(share) * items.count() ** 2 >= MIN_PREFIX_PAIRS:
+            done, left = _by_prefixes(items, fields, share, k, id_col)
+            if left is not None:
+                left = with_num(left, k) if wanted is None else left.join(wanted, id_col)
+                done.append(_by_postings(flat, names, k, materialize(left, "wide-left"), id_col, include_empty))
+            if done:
+                return _together(done, None, None, k, m, id_col)
+    return _by_postings(flat, names, k, wanted, id_col, include_empty)
+
+
+def _by_postings(flat: DataFrame, names: Sequence[str], k: int, wanted: DataFrame | None, id_col: str,
+                 include_empty: bool) -> DataFrame:
+    """The result of ``batch_top_k`` by posting lists."""
     m = len(names)
     present = F.filter(F.array(*[F.when(attr(n).isNotNull(), F.struct(
         F.lit(i).alias("at"), F.xxhash64(F.lit(i), attr(n).cast("string")).alias("key")))
@@ -532,8 +603,8 @@ def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFra
     items = materialize(flat.select(F.col(id_col).alias("id"), F.transform(present, lambda x: x["key"]).alias("keys"),
                                     F.transform(present, lambda x: x["at"]).alias("at")), "wide-items")
     asked = items.select(F.col("id").alias("request"), "keys", "at")
-    if requests is not None:
-        ids = requests.select(F.col(id_col).alias("request")).distinct()
+    if wanted is not None:
+        ids = wanted.select(F.col(id_col).alias("request"))
         asked = materialize(asked.join(ids, "request", "left_semi"), "wide-requests")
     top = top_k_by_postings(items.select("id", "keys"), asked, k, include_empty)
     top = top.join(asked.select("request", "at"), "request")
@@ -545,9 +616,10 @@ def _wide_top_k(flat: DataFrame, names: Sequence[str], k: int, requests: DataFra
         mask = F.aggregate("matched", F.lit(0).cast("bigint"), lambda a, i: a + F.pow(
             F.lit(2.0), F.lit(m - 1) - i).cast("bigint"))
     top = top.withColumn("matched", matched).withColumn("mask", mask)
-    return top.select(F.col("request").alias("request_sku"), F.col("rn").cast("int").alias("rn"),
-                      F.col("id").alias(id_col), score_from_mask(F.col("mask"), m).alias("score"),
-                      F.size("places").alias("match_count"), "mask")
+    top = top.select(F.col("request").alias("request_sku"), F.col("rn").cast("int").alias("rn"),
+                     F.col("id").alias(id_col), score_from_mask(F.col("mask"), m).alias("score"),
+                     F.size("places").alias("match_count"), "mask")
+    return _as_wanted(top, wanted, id_col)
 
 
 def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
@@ -589,20 +661,25 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    if requests is not None and "num" in requests.columns:
-        wanted = materialize(requests.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("request_sku"))
-                             .agg(F.max(F.coalesce("num", F.lit(k))).alias("num")), "batch-wanted")
-        top = batch_top_k(flat, k, wanted.select(F.col("request_sku").alias(id_col)), id_col, include_empty,
-                          max_attributes, materialize_index, hot_group_rows, split_level, unique_ids)
-        return top.join(wanted, "request_sku").filter(F.col("rn") <= F.col("num")).drop("num")
+    wanted = None
+    if requests is not None:
+        # The requests are read several times (counted, joined, split into
+        # finished and unfinished); store them once so their lineage runs once.
+        num = F.least(F.coalesce("num", F.lit(k)), F.lit(k)) if "num" in requests.columns else F.lit(k)
+        wanted = materialize(requests.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+            F.max(num).cast("int").alias("num")).filter("num > 0"), "batch-requests")
+        plain, requests = "num" not in requests.columns, wanted.select(id_col)
     flat = escaped(flat, id_col)
     names = attribute_names(flat, id_col)
     m = len(names)
     # The choice of one row per id is stored, as both fan-outs start from it.
     flat = (flat.filter(F.col(id_col).isNotNull()) if unique_ids
             else materialize(one_row_per_id(flat, id_col), "batch-items"))
+    if unique_ids and max_attributes < m <= MAX_BIGINT_ATTRIBUTES:
+        # It is aggregated before it is fanned out.
+        flat = materialize(flat, "batch-flat")
     if not _fits_lattice(flat, names, max_attributes):
-        return _wide_top_k(flat, names, k, requests, id_col, include_empty)
+        return _wide_top_k(flat, names, k, wanted, id_col, include_empty, unique_ids)
     lowest = 0 if include_empty else 1
     auto_split = split_level is None
     if auto_split:
@@ -614,21 +691,18 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
     common = dict(id_col=id_col, include_empty=include_empty,
                   materialize_index=materialize_index, hot_group_rows=hot_group_rows)
     if requests is not None:
-        # The request ids are read several times (counted, joined, split into
-        # finished and unfinished); store them once so their lineage runs once.
-        requests = materialize(
-            requests.select(F.col(id_col)).filter(F.col(id_col).isNotNull()).distinct(),
-            "batch-requests")
-        n_asked = requests.count()
+        n_asked = wanted.count()
         if auto_split and (n_asked << m) <= MAX_BROADCAST_ROWS:
             # Few requests: one round, whose heads are built only for the
             # groups these requests are in, beats fanning the catalog out twice.
             split = 0
-        elif 2 * n_asked > flat.count():
+        elif 2 * n_asked > flat.count() and (not auto_split or split <= lowest
+                                             or _fan_out(flat, names) < TWO_ROUND_MIN_FANOUT):
             # Most items are asked for: all are answered, and the others left out.
             top = batch_top_k(flat, k, None, id_col, include_empty, max_attributes, materialize_index,
                               hot_group_rows, None if auto_split else split_level, True)
-            return top.join(requests.select(F.col(id_col).alias("request_sku")), "request_sku", "left_semi")
+            return _as_wanted(top, wanted, id_col)
+        wanted = None if plain else wanted
     elif auto_split and split > lowest:
         if _fan_out(flat, names) < TWO_ROUND_MIN_FANOUT:
             # A small fan-out is cheaper to finish in one round than to
@@ -645,16 +719,17 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
             pairs = candidate_pairs(materialize(firsts, "batch-firsts"), k, classes.select(id_col), **common)
             return top_k_from_classes(pairs, classes, flat, names, k, id_col, include_empty)
     if k == 0 or split <= lowest or split > m:
-        return top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col)
+        return _as_wanted(top_k_from_pairs(candidate_pairs(flat, k, requests, **common), k, m, id_col), wanted, id_col)
     if auto_split and not (unique_ids and _ids_repeat(flat, id_col)):
-        items = materialize(coded(_spread(flat, id_col), names, id_col), "batch-codes")
-        asked = items if requests is None else materialize(
-            items.join(requests.select(F.col(id_col).alias("id")), "id", "left_semi"), "batch-asked")
-        done, unfinished, carried, reached = _by_blocks(items, asked, shares(items, m), k, id_col)
+        asking = None if requests is None else with_num(wanted if wanted is not None else requests, k)
+        items, fields, share = _packed_items(flat, names, asking, k, id_col)
+        asked = items if requests is None or 2 * n_asked > items.count() else materialize(
+            items.filter("num IS NOT NULL"), "batch-asked")
+        done, unfinished, carried, reached = _by_blocks(items, asked, share, k, id_col, fields)
         if done:
             pairs = None if unfinished is None else candidate_pairs(
                 flat, k, unfinished, max_level=reached - 1, **common)
-            return _together(done, pairs, carried, k, m, id_col)
+            return _together(done, pairs, carried, k, m, id_col, wanted)
 
     round1 = materialize(
         top_k_from_pairs(candidate_pairs(flat, k, requests, min_level=split, **common),
@@ -668,7 +743,7 @@ def batch_top_k(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,
                .select("request_sku", id_col, "score"))
     pairs2 = candidate_pairs(flat, k, unfinished, max_level=split - 1, **common)
     round2 = top_k_from_pairs(pairs2.unionByName(carried), k, m, id_col)
-    return round1.join(finished, "request_sku", "left_semi").unionByName(round2)
+    return _as_wanted(round1.join(finished, "request_sku", "left_semi").unionByName(round2), wanted, id_col)
 
 
 def batch_top_k_indexed(flat: DataFrame, k: int = 10, requests: DataFrame | None = None,

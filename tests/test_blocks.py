@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import flat_frame
 from likewise import batch_top_k, build_subset_index, top_k_from_index
-from likewise.operators import batch, value_join
+from likewise.operators import batch, blocks, value_join
 from likewise.operators.blocks import block_levels, blocks_of, coded, shares, top_k_by_blocks
 from likewise.plans.session import materialize
 from test_batch import as_lists, brute_force
@@ -113,3 +113,73 @@ def test_value_join_sends_no_pairs_of_a_light_value(spark, monkeypatch):
     got = value_join.batch_top_k_joined(cat, 2, heavy_share=1)
     assert as_lists(got) == brute_force(rows, list("abc"), 2, matched_only=True)
     assert met[0].groupBy("request_sku").count().agg(F.max("count")).first()[0] <= 7 * 3
+
+
+@pytest.mark.parametrize("group_rows", [1 << 14, 7])
+def test_values_become_numbers_and_rows_are_sent_once(spark, group_rows):
+    """Numbers of eight attributes fit one word; items that all ask are not sent as requests once more; a request
+    gets as many items as it asks for."""
+    rows = catalog(6)
+    cat = flat_frame(spark, rows, NAMES)
+    num = spark.createDataFrame([(r[0], i % 4) for i, r in enumerate(rows)], "sku string, num int")
+    items, fields, share = batch._packed_items(cat, NAMES, num, 5, "sku")
+    assert items.agg(F.max(F.size("codes"))).first()[0] == 1 and max(f.word for f in fields) == 0
+    top = top_k_by_blocks(items, items, share, 4, 5, group_rows, fields)
+    assert "CoGroup" not in top._jdf.queryExecution().optimizedPlan().toString()
+    want = {t: [x for x in v if x[1] >> 8 >= 4][:n] for (t, v), n in zip(
+        brute_force(rows, NAMES, 5).items(), [i % 4 for i in range(len(rows))])}
+    assert as_lists(top.withColumnRenamed("id", "sku")) == {t: v for t, v in want.items() if v}
+
+
+def test_requests_with_num_are_cut_in_the_rounds(spark, large, monkeypatch):
+    """Most and some of the items asked for, each with its own number."""
+    rows = catalog(7)
+    cat = flat_frame(spark, rows, NAMES)
+    rounds, tables = batch._by_blocks, []
+    monkeypatch.setattr(batch, "_by_blocks", lambda *a: tables.append(a) or rounds(*a))
+    for every in (1, 3):
+        asked = [(r[0], (None, 1, 3, 9, 0)[i % 5]) for i, r in enumerate(rows) if i % every == 0]
+        got = batch_top_k(cat, 5, spark.createDataFrame([*asked, ("nobody", 2), (None, 4)], "sku string, num int"))
+        full = brute_force(rows, NAMES, 5)
+        want = {t: full[t][:5 if n is None else n] for t, n in asked}
+        assert as_lists(got) == {t: v for t, v in want.items() if v}
+        items, asking = tables[-1][:2]
+        assert (asking is items) == (every == 1)
+
+
+def wide_catalog(seed, m, n=90):
+    rng = random.Random(seed)
+    names = [f"n{i:02d}" for i in range(m)]
+    rows = []
+    for i in range(n):
+        if rows and rng.random() < 0.5:
+            values = [v if rng.random() < 0.8 else rng.choice(["x", "y", None]) for v in rng.choice(rows)[1:]]
+        else:
+            values = [rng.choice(["x", "y", "z", f"{i}", None, None]) for _ in names]
+        rows.append((f"i{i:03d}", *values))
+    return [*rows, ("none", *[None] * m), ("one", "x", *[None] * (m - 1))], names
+
+
+@pytest.mark.parametrize("m,include_empty,group_rows", [(16, True, 1 << 14), (24, False, 9)])
+def test_wide_rounds_equal_brute_force(spark, monkeypatch, m, include_empty, group_rows):
+    """Prefixes answer the requests that match enough items; posting lists get only the others."""
+    monkeypatch.setattr(batch, "MIN_PREFIX_PAIRS", 0)
+    monkeypatch.setattr(blocks, "ROW_PAIRS", 0)
+    monkeypatch.setattr(batch, "prefix_levels", lambda most: [9, 6, 3, 1])
+    monkeypatch.setattr(blocks, "CHEAP_ROUND", -1)
+    monkeypatch.setattr(blocks, "MAX_LISTS", 500)
+    found, rest = batch.top_k_by_postings, []
+    monkeypatch.setattr(batch, "top_k_by_postings", lambda items, asked, *a: rest.append(asked.count()) or found(
+        items, asked, *a))
+    by_prefixes, sizes = batch.top_k_by_prefixes, []
+    monkeypatch.setattr(batch, "top_k_by_prefixes", lambda *a: sizes.append(a[5]) or by_prefixes(*a, group_rows))
+    rows, names = wide_catalog(m, m)
+    cat = flat_frame(spark, rows, names)
+    want = {t: v for t, v in brute_force(rows, names, 4, matched_only=not include_empty).items() if v}
+    assert as_lists(batch_top_k(cat, 4, include_empty=include_empty)) == want
+    assert rest and rest[0] <= 4 and max(sizes) > 1
+    if include_empty:
+        return
+    asked = [(r[0], i % 6) for i, r in enumerate(rows) if i % 5 < 1]
+    got = batch_top_k(cat, 4, spark.createDataFrame(asked, "sku string, num int"), include_empty=include_empty)
+    assert as_lists(got) == {t: want[t][:n] for t, n in asked if n and t in want}
