@@ -468,13 +468,16 @@ def prefix_costs(items: DataFrame, fields: Sequence[Field], order: Sequence[int]
 
 def next_prefixes(costs: dict[int, dict[int, tuple[float, float]]], above: int, share: float) -> tuple[int, int]:
     """The level of the next round, below ``above``, and the size of its lists, where a ``share`` of the items ask:
-    the lowest level whose cost is small, else the highest one."""
+    the lowest level whose cost is small, else the highest one.  Where few ask, each further round would send
+    about as many rows, so only the comparisons count."""
     def cost(level: int, size: int) -> float:
         rows, pairs = costs[level][size]
         return ROW_PAIRS * rows + pairs * share
 
     best = {level: min(costs[level], key=lambda size: cost(level, size)) for level in costs if level < above}
-    cheap = [level for level in best if cost(level, best[level]) <= CHEAP_ROUND]
+    few = 2 * share <= 1
+    cheap = [level for level in best if (costs[level][best[level]][1] * share if few
+                                         else cost(level, best[level])) <= CHEAP_ROUND]
     level = min(cheap) if cheap else max(best)
     return level, best[level]
 
