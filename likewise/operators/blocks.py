@@ -38,10 +38,12 @@ from ..functions.columns import attr, bit_of, score_from_mask
 from ..plans.session import materialize, ship_package
 from ..plans.skew import partitions
 
-# Rows of one side of a group, pairs compared at once in it, and pairs kept in it between two cuts.
+# Rows of one side of a group, pairs compared at once in it, pairs kept in it between two cuts, and items of
+# a long list that are looked at first.
 GROUP_ROWS = 1 << 14
-PAIRS = 1 << 17
+PAIRS = 1 << 15
 HELD = 1 << 21
+FIRST_SEEN = 512
 # Comparisons per item that are worth less than the fan-out to all subsets.
 MAX_COMPARED = 1 << 16
 # Levels below are left to the subsets, which are few there.
@@ -216,7 +218,10 @@ def meet_lists(items: pa.Table, requests: pa.Table, fields: Sequence[Field], lev
                here: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> list[np.ndarray]:
     """Row numbers of requests and items and the masks of what they share: for each request the best
     items of its lists in this group, as many as its ``num``.  ``here`` tells from the list's ``sig`` and the mask
-    whether a pair counts in a list."""
+    whether a pair counts in a list.
+
+    Pairs are told apart by the number of attributes they differ on.  Where as many items of a list as a request
+    wants differ on fewer, whatever list they count in, a pair can't be among its best and gets no mask."""
     none = [np.zeros(0, np.int64)] * 3
     if not items.num_rows or not requests.num_rows:
         return none
@@ -256,15 +261,22 @@ def meet_lists(items: pa.Table, requests: pa.Table, fields: Sequence[Field], lev
             kept = [_best([np.concatenate(x) for x in zip(*kept)], ranks, m, limit)]
             held = len(kept[0][0])
 
-    def near(requests_at: np.ndarray, items_at: np.ndarray) -> np.ndarray:
-        """Whether they differ on few attributes: a value that differs carries into its free bit."""
+    def differing(asking_words: list[np.ndarray], listed_words: list[np.ndarray]) -> np.ndarray:
+        """On how many attributes they differ: a value that differs carries into its free bit."""
         differ = None
-        for word, low, high in words:
-            x = word[n + requests_at] ^ word[items_at]
+        for (_, low, high), one, other in zip(words, asking_words, listed_words):
+            x = one ^ other
             x += low
             x &= high
             differ = np.bitwise_count(x) if differ is None else differ + np.bitwise_count(x)
-        return differ <= m - level
+        return differ
+
+    def nearest(row: np.ndarray, differ: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Which pairs can be among the best of their row: no more than ``wanted`` others, and the request
+        itself, differ on less."""
+        width = m - level + 1
+        upto = np.cumsum(np.bincount(row * width + differ, minlength=len(wanted) * width).reshape(-1, width), axis=1)
+        return differ <= np.count_nonzero(upto <= wanted[:, None], axis=1)[row]
 
     lengths = last - first
     borders = np.flatnonzero(np.append(True, lists[1:] != lists[:-1]))
@@ -272,11 +284,23 @@ def meet_lists(items: pa.Table, requests: pa.Table, fields: Sequence[Field], lev
     large = (ends - borders) * lengths[borders] >= 1 << 12
     for start, end in zip(borders[large].tolist(), ends[large].tolist()):
         listed = by_key[first[start]:last[start]]
+        listed_words = [word[listed][None, :] for word, _, _ in words]
         step = max(PAIRS // len(listed), 1)
         for at in range(start, end, step):
             some = asking[at:min(at + step, end)]
-            r, i = np.nonzero(near(some[:, None], listed[None, :]))
-            take(some[r], listed[i])
+            wanted = limit[some]
+            differ = differing([word[n + some][:, None] for word, _, _ in words], listed_words)
+            bound, most_wanted = np.uint8(m - level), int(wanted.max())
+            if len(listed) > 4 * FIRST_SEEN and most_wanted < FIRST_SEEN // 4:
+                # Some of the list give a bound for all of it.
+                seen = np.partition(differ[:, :FIRST_SEEN], most_wanted, axis=1)[:, most_wanted]
+                bound = np.minimum(bound, seen)[:, None]
+            hits = np.flatnonzero(differ <= bound)
+            row = hits // len(listed)
+            if len(hits) > 4 * int(wanted.sum()):
+                can = nearest(row, differ.ravel()[hits].astype(np.int64), wanted)
+                hits, row = hits[can], row[can]
+            take(some[row], listed[hits - row * len(listed)])
     # The short lists' pairs all together; a list of one holds only the request or nobody else.
     small = np.flatnonzero(np.repeat(~large, ends - borders) & (lengths > 0))
     total = np.cumsum(lengths[small])
@@ -284,10 +308,15 @@ def meet_lists(items: pa.Table, requests: pa.Table, fields: Sequence[Field], lev
     while at < len(small):
         to = max(int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")), at + 1)
         some = small[at:to]
-        request = np.repeat(asking[some], lengths[some])
-        offset = np.arange(len(request)) - np.repeat(np.cumsum(lengths[some]) - lengths[some], lengths[some])
-        item = by_key[np.repeat(first[some], lengths[some]) + offset]
-        can = near(request, item)
+        row = np.repeat(np.arange(len(some)), lengths[some])
+        offset = np.arange(len(row)) - np.repeat(np.cumsum(lengths[some]) - lengths[some], lengths[some])
+        item = by_key[first[some][row] + offset]
+        request = asking[some][row]
+        differ = differing([word[n + request] for word, _, _ in words], [word[item] for word, _, _ in words])
+        can = np.flatnonzero(differ <= m - level)
+        wanted = limit[asking[some]]
+        if len(can) > 4 * int(wanted.sum()):
+            can = can[nearest(row[can], differ[can].astype(np.int64), wanted)]
         take(request[can], item[can])
         at = to
     return _best([np.concatenate(x) for x in zip(*kept)], ranks, m, limit) if kept else none

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +184,29 @@ def test_wide_rounds_equal_brute_force(spark, monkeypatch, m, include_empty, gro
     asked = [(r[0], i % 6) for i, r in enumerate(rows) if i % 5 < 1]
     got = batch_top_k(cat, 4, spark.createDataFrame(asked, "sku string, num int"), include_empty=include_empty)
     assert as_lists(got) == {t: want[t][:n] for t, n in asked if n and t in want}
+
+
+@pytest.mark.parametrize("n,n_lists", [(3000, 1), (3000, 60)])
+def test_only_pairs_that_can_be_among_the_best_get_masks(n, n_lists):
+    """Most pairs of a list match on the low level asked for; those of a long and of many short lists."""
+    rng, m, k = np.random.default_rng(8), 12, 3
+    codes = np.where(rng.random((n, m)) < 0.2, 0, rng.integers(1, 4, (n, m)))
+    key = rng.integers(0, n_lists, n)
+    items = pa.table({"id": pa.array(rng.permutation(n)), "key": key, "sig": np.zeros(n, np.int64),
+                      "codes": pa.array(list(codes)), "num": pa.array(rng.integers(1, k + 1, n), pa.int32())})
+    some = sorted(rng.choice(n, 200, replace=False).tolist())
+    asked, seen = items.take(some), []
+
+    def here(sig, mask):
+        seen.append(len(sig))
+        return np.ones(len(sig), bool)
+
+    request, item, mask = blocks.meet_lists(items, asked, blocks.raw_fields(m), 1, here)
+    bits, ids, num = 1 << np.arange(m)[::-1], items["id"].to_numpy(), asked["num"].to_numpy()
+    for r, at in enumerate(some):
+        masks = ((codes == codes[at]) & (codes != 0)) @ bits
+        met = [(-int(x).bit_count(), -int(x), int(i)) for x, i, here_too in zip(masks, ids, key == key[at])
+               if x and i != ids[at] and here_too]
+        got = [(-int(x).bit_count(), -int(x), int(ids[i])) for i, x in zip(item[request == r], mask[request == r])]
+        assert sorted(got) == sorted(met)[:num[r]]
+    assert sum(seen) < sum(int((key == key[at]).sum()) for at in some) / 3
