@@ -55,7 +55,7 @@ from ..functions.columns import (MAX_BIGINT_ATTRIBUTES, attr, attribute_names, b
 from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
 from ..plans.skew import partitions
-from .blocks import (MAX_COMPARED, Field, block_levels, coded, compared_share, next_prefixes, packed, prefix_costs,
+from .blocks import (MAX_COMPARED, Field, block_levels, coded, next_block_level, next_prefixes, packed, prefix_costs,
                      prefix_levels, repeated_values, settle, shares, top_k_by_blocks, top_k_by_prefixes, value_of, with_num)
 from .lookup import one_row_per_id
 from .postings import top_k_by_postings
@@ -423,9 +423,7 @@ def _by_blocks(items: DataFrame, asked: DataFrame, share: Sequence[float], k: in
     done, carried, reached = [], None, m + 1
     levels = block_levels(m)
     while left and reached > levels[-1]:
-        # Two attributes fewer, or one if that meets too many items.
-        tries = levels[:1] if reached > m else [x for x in (reached - 2, reached - 1) if x >= levels[-1]]
-        level = next((x for x in tries if left * compared_share(share, x) <= MAX_COMPARED), None)
+        level = next_block_level(share, left, reached, MAX_COMPARED)
         if level is None:
             break
         top = materialize(top_k_by_blocks(items, asked, share, level, k, fields=fields), "batch-blocks")

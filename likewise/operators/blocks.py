@@ -44,8 +44,10 @@ GROUP_ROWS = 1 << 14
 PAIRS = 1 << 15
 HELD = 1 << 21
 FIRST_SEEN = 512
-# Comparisons per item that are worth less than the fan-out to all subsets.
-MAX_COMPARED = 1 << 16
+# Comparisons per item up to which a round takes a lower level at once, and that are worth less than the fan-out
+# to all subsets.
+CHEAP_COMPARED = 1 << 15
+MAX_COMPARED = 1 << 18
 # Levels below are left to the subsets, which are few there.
 LOWEST_LEVEL = 3
 # Repeated values of an attribute, and of all, up to which they get numbers.
@@ -98,6 +100,22 @@ def compared_share(share: Sequence[float], level: int) -> float:
     return float(sum(np.prod([share[i] for i in block]) for block in blocks_of(share, level)))
 
 
+def next_block_level(share: Sequence[float], left: int, reached: int, max_compared: int) -> int | None:
+    """The level of the round after that of level ``reached`` (none yet: above ``len(share)``), with ``left`` requests:
+    ``None`` if all meet too many items.
+
+    The first round takes the lowest level from ``block_levels`` up that is cheap, as the more items there are the more
+    of them match on many attributes; the others go two attributes down, or one if that is not cheap.
+    """
+    m, levels = len(share), block_levels(len(share))
+    tries = list(range(levels[0], m + 1)) if reached > m else [x for x in (reached - 2, reached - 1) if x >= levels[-1]]
+    compared = [left * compared_share(share, level) for level in tries]
+    cheap = [level for level, n in zip(tries, compared) if n <= min(CHEAP_COMPARED, max_compared)]
+    if cheap:
+        return cheap[0]
+    return tries[-1] if tries and compared[-1] <= max_compared else None
+
+
 class Field(NamedTuple):
     """Where an attribute's value is in a row's ``codes``; 64 bits are a hash. 0 is no value."""
     word: int

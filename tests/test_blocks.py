@@ -210,3 +210,46 @@ def test_only_pairs_that_can_be_among_the_best_get_masks(n, n_lists):
         got = [(-int(x).bit_count(), -int(x), int(ids[i])) for i, x in zip(item[request == r], mask[request == r])]
         assert sorted(got) == sorted(met)[:num[r]]
     assert sum(seen) < sum(int((key == key[at]).sum()) for at in some) / 3
+
+
+def spied_levels(monkeypatch):
+    """The levels of the rounds, and the highest level of the heads that are met."""
+    rounds, heads, by_blocks, pairs = [], [], batch.top_k_by_blocks, batch.candidate_pairs
+    monkeypatch.setattr(batch, "top_k_by_blocks", lambda items, asked, share, level, *a, **b: rounds.append(
+        (level, asked is items, items)) or by_blocks(items, asked, share, level, *a, **b))
+    monkeypatch.setattr(batch, "candidate_pairs", lambda *a, max_level=None, **b: heads.append(
+        max_level) or pairs(*a, max_level=max_level, **b))
+    return rounds, heads
+
+
+def dense_catalog(seed, n=160):
+    """Items that match many others on most attributes."""
+    rng = random.Random(seed)
+    return [(f"i{i:03d}", *[rng.choice("xy") if rng.random() < 0.15 else "x" for _ in NAMES[:-2]],
+             rng.choice(["u", "v"]), None if rng.random() < 0.1 else f"{i % 8}") for i in range(n)]
+
+
+def test_many_items_start_on_a_higher_level(spark, large, monkeypatch):
+    """Where the lowest first round meets too many items a higher one comes first, not all subsets."""
+    rows = dense_catalog(9)
+    cat = flat_frame(spark, rows, NAMES)
+    codes = materialize(coded(cat, NAMES, "sku"), "test-codes")
+    first, share = block_levels(8)[0], shares(codes, 8)
+    limit = len(rows) * blocks.compared_share(share, first) - 1
+    monkeypatch.setattr(batch, "MAX_COMPARED", limit)
+    rounds, heads = spied_levels(monkeypatch)
+    assert as_lists(batch_top_k(cat, 5)) == brute_force(rows, NAMES, 5)
+    assert rounds[0][0] > first and all(x is not None and x < rounds[-1][0] for x in heads)
+
+
+def test_rounds_go_down_by_what_is_cheap():
+    share = [1 / 10] * 10
+    near = [10 ** 4 / blocks.compared_share(share, level) for level in range(11)]
+    assert blocks.next_block_level(share, int(near[7]), 11, 1 << 18) == 7
+    assert blocks.next_block_level(share, int(near[8]), 11, 1 << 18) == 8
+    assert blocks.next_block_level(share, int(near[5]), 7, 1 << 18) == 5
+    assert blocks.next_block_level(share, int(near[6]), 7, 1 << 18) == 6
+    # Dear, but less than the fan-out; and more than it.
+    assert blocks.next_block_level(share, int(10 * near[6]), 7, 1 << 18) == 6
+    assert blocks.next_block_level(share, int(100 * near[6]), 7, 1 << 18) is None
+    assert blocks.next_block_level(share, 1, 4, 1 << 18) == 3 and blocks.next_block_level(share, 1, 3, 1 << 18) is None
