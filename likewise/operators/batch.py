@@ -56,7 +56,7 @@ from ..plans.session import materialize, shared_path
 from ..plans.sizing import MAX_BROADCAST_ROWS
 from ..plans.skew import partitions
 from .blocks import (MAX_COMPARED, Field, block_levels, coded, next_block_level, next_prefixes, packed, prefix_costs,
-                     prefix_levels, repeated_values, settle, shares, top_k_by_blocks, top_k_by_prefixes, value_of, with_num)
+                     prefix_levels, repeated_values, settle, top_k_by_blocks, top_k_by_prefixes, value_of, with_num)
 from .lookup import one_row_per_id
 from .postings import top_k_by_postings
 
@@ -503,7 +503,8 @@ def build_subset_index(flat: DataFrame, k: int, path: str | None = None, id_col:
 
     Where the fan-out is large (as for the two rounds of ``batch_top_k``) the heads are
     those of subsets below ``below`` attributes only, of which there are few, and the items'
-    ``codes`` are stored, by which ``top_k_by_blocks`` finds matches on more attributes.
+    ``codes`` are stored, by which ``top_k_by_blocks`` finds matches on more attributes; ``fields`` tells where
+    each attribute's value is in them.
     """
     spark = flat.sparkSession
     path = path or shared_path(spark, "subset-index")
@@ -516,18 +517,21 @@ def build_subset_index(flat: DataFrame, k: int, path: str | None = None, id_col:
     if not _fits_lattice(flat, names, MAX_LATTICE_ATTRIBUTES):
         raise ValueError(f"an item has more than {MAX_LATTICE_ATTRIBUTES} attributes; batch_top_k "
                          "answers requests on such a catalog without an index")
-    below = share = None
+    below = share = fields = None
     if (k > 0 and len(names) >= TWO_ROUND_MIN_ATTRIBUTES and _fan_out(flat, names) >= TWO_ROUND_MIN_FANOUT
             and not (unique_ids and _ids_repeat(flat, id_col))):
         below = block_levels(len(names))[-1]
-        coded(_spread(flat, id_col), names, id_col).write.parquet(f"{path}/codes")
-        share = shares(spark.read.parquet(f"{path}/codes"), len(names))
+        codes = materialize(coded(_spread(flat, id_col), names, id_col), "index-values")
+        share, values = repeated_values(codes, len(names))
+        codes, fields = packed(codes, values)
+        codes.write.parquet(f"{path}/codes")
     heads = subset_heads(subset_rows(_spread(flat, id_col), names, id_col, include_empty,
                                      max_level=None if below is None else below - 1), k, id_col)
     heads.sortWithinPartitions(*_group_cols()).write.parquet(f"{path}/heads")
-    about = [(k, names, id_col, include_empty, version, below, share)]
+    about = [(k, names, id_col, include_empty, version, below, share, fields)]
     spark.createDataFrame(about, "k int, names array<string>, id_col string, include_empty boolean, "
-                          "version string, below int, share array<double>").write.parquet(f"{path}/about")
+                          "version string, below int, share array<double>, "
+                          "fields array<struct<word: int, shift: int, bits: int>>").write.parquet(f"{path}/about")
     return path
 
 
@@ -548,21 +552,28 @@ def top_k_from_index(spark: SparkSession, path: str, requests: DataFrame, k: int
         raise ValueError("the index is of another catalog")
     m = len(names)
     items, heads = spark.read.parquet(f"{path}/items"), spark.read.parquet(f"{path}/heads")
-    req_items, n_req = _requests_in_catalog(items, requests, id_col)
+    by_blocks = about["below"] is not None and k > 0
+    req_items, n_req = _requests_in_catalog(items.select(id_col) if by_blocks else items, requests, id_col)
     req_items = materialize(req_items, "index-requests")
     done, carried = [], None
-    if about["below"] is not None and k > 0:
-        codes = spark.read.parquet(f"{path}/codes")
-        asked = materialize(coded(req_items, names, id_col), "index-codes")
-        done, unfinished, carried, reached = _by_blocks(codes, asked, about["share"], k, id_col)
+    if by_blocks:
+        codes, ids = spark.read.parquet(f"{path}/codes"), req_items.select(F.col(id_col).alias("id"))
+        if 2 * ids.count() > codes.count():
+            # Most items are asked for: they are sent once, the asked ones with a num.
+            asking = ids.withColumn("num", F.lit(k).cast("int"))
+            codes = asked = materialize(codes.join(asking, "id", "left").select("id", "codes", "num"), "index-codes")
+        else:
+            asked = materialize(codes.join(ids, "id", "left_semi"), "index-codes")
+        fields = [Field(*f) for f in about["fields"]]
+        done, unfinished, carried, reached = _by_blocks(codes, asked, about["share"], k, id_col, fields)
         if unfinished is None and done:
             return _together(done, None, None, k, m, id_col)
         if unfinished is not None and reached > about["below"]:
             # The stored heads don't reach up to the last round.
             pairs = candidate_pairs(items, k, unfinished, id_col, include_empty, max_level=reached - 1)
             return _together(done, pairs, carried, k, m, id_col)
-        if unfinished is not None:
-            req_items = materialize(req_items.join(unfinished, id_col, "left_semi"), "index-unfinished")
+        req_items = materialize(items.join(req_items if unfinished is None else unfinished, id_col, "left_semi"),
+                                "index-unfinished")
     highest = None if about["below"] is None else about["below"] - 1
     req = subset_rows(req_items, names, id_col, include_empty, max_level=highest)
     if _fan_out(req_items, names) <= MAX_BROADCAST_ROWS:

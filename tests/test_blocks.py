@@ -253,3 +253,20 @@ def test_rounds_go_down_by_what_is_cheap():
     assert blocks.next_block_level(share, int(10 * near[6]), 7, 1 << 18) == 6
     assert blocks.next_block_level(share, int(100 * near[6]), 7, 1 << 18) is None
     assert blocks.next_block_level(share, 1, 4, 1 << 18) == 3 and blocks.next_block_level(share, 1, 3, 1 << 18) is None
+
+
+@pytest.mark.parametrize("every", [1, 3])
+def test_index_answers_many_requests_on_a_higher_level(spark, large, monkeypatch, every):
+    """The stored values are numbers; items that are mostly asked for are sent once."""
+    rows = dense_catalog(10)
+    cat = flat_frame(spark, rows, NAMES)
+    path = build_subset_index(cat, 5)
+    assert spark.read.parquet(f"{path}/codes").agg(F.max(F.size("codes"))).first()[0] == 1
+    share, asked = spark.read.parquet(f"{path}/about").first()["share"], [r[0] for r in rows[::every]]
+    first = block_levels(8)[0]
+    monkeypatch.setattr(batch, "MAX_COMPARED", len(asked) * blocks.compared_share(share, first) - 1)
+    rounds, heads = spied_levels(monkeypatch)
+    top = top_k_from_index(spark, path, spark.createDataFrame([(i,) for i in [*asked, "nobody"]], "sku string"), 4)
+    assert as_lists(top) == brute_force(rows, NAMES, 4, asked)
+    assert rounds[0][0] > first and rounds[0][1] == (every == 1)
+    assert all(x is not None and x < rounds[-1][0] for x in heads)
